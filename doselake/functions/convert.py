@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from doselake.functions.text import strip
 
+_DATE = "^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
 _INT = r"^[+-]?[0-9]+(_[0-9]+)*$"
 _INT64_MIN, _INT64_MAX = -(2**63), 2**63 - 1
 
@@ -17,7 +18,9 @@ def date_prefix(c: Column) -> Column:
     The zone suffix is dropped, not applied: going through a timestamp would
     move late-evening doses to the next day.
     """
-    return F.try_to_date(F.split_part(c, F.lit(" "), F.lit(1)), "yyyy-M-d")
+    day = F.substring_index(c, " ", 1)
+    valid = day.rlike(_DATE) & ~day.startswith("0000")
+    return F.when(valid, day.try_cast("date"))
 
 
 def whole_number(c: Column, default: int = 0) -> Column:

@@ -23,6 +23,8 @@ BY_ESTABLISHMENT = ("sigla_uf_estabelecimento", "sigla_vacina", "data_vacina")
 #: Columns filtered on but not in the sort order, with their expected distinct values.
 BLOOM = {"nome_municipio_paciente": 6_000, "codigo_cnes_estabelecimento": 60_000}
 BLOOM_FPP = 0.01
+#: Values that hardly repeat: trying a dictionary only costs time.
+UNIQUE = ("codigo_documento", "codigo_paciente", "codigo_lote_vacina")
 #: Small row groups keep the min/max statistics of sorted columns narrow.
 ROW_GROUP_BYTES = 16 * 1024 * 1024
 
@@ -35,6 +37,7 @@ def file_options(bloom: dict[str, int] | None = None, row_group_bytes: int = ROW
     dictionary-encoded, where the dictionary serves the same purpose.
     """
     options = {"compression": "zstd", "parquet.block.size": str(row_group_bytes)}
+    options |= {f"parquet.enable.dictionary#{column}": "false" for column in UNIQUE}
     for column, ndv in (bloom or {}).items():
         options[f"parquet.bloom.filter.enabled#{column}"] = "true"
         options[f"parquet.bloom.filter.expected.ndv#{column}"] = str(ndv)

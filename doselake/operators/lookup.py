@@ -2,20 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: A code table up to this many rows is broadcast; beyond it Spark picks the join.
+#: A side within both bounds is broadcast; beyond them Spark picks the join.
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 32 * 1024 * 1024
+
+
+def size_of(df: DataFrame) -> tuple[Column, Column]:
+    """Aggregates that measure ``df``: rows and bytes of its values."""
+    width = sum(
+        (
+            F.coalesce(F.octet_length(F.col(f.name)), F.lit(0))
+            if isinstance(f.dataType, T.StringType)
+            else F.lit(8)
+            for f in df.schema.fields
+        ),
+        F.lit(0),
+    )
+    return F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")
+
+
+def fits_broadcast(rows: int, size: int) -> bool:
+    return rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES
 
 
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast after counting that ``df`` has at most ``rows`` rows.
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """Hint a broadcast after measuring that ``df`` is within the bounds.
 
-    The count stops at ``rows + 1``. A larger side is returned as it is, for a
-    shuffled join with AQE's skew handling.
+    A larger side is returned as it is, for a shuffled join with AQE's skew handling.
     """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    rows, size = df.agg(*size_of(df)).first()
+    return F.broadcast(df) if fits_broadcast(rows, size) else df
 
 
 def first_names(dim: DataFrame, code: str, name: str, ordinal: str) -> DataFrame:

@@ -1,15 +1,18 @@
-"""Weighted sampling as an equi-join.
+"""Weighted sampling over integer ranges.
 
 Items of a dimension share the line of integers ``[0, total)``: each owns a range
 as long as its weight, and a draw modulo ``total`` falls into exactly one. The
-line is cut into about as many equal cells as there are items. A draw joins on
-its cell and then compares bounds, with at most about two candidates on average
-whatever the weights are. Cells are equally likely, so the join key is not
-skewed even if one item has most of the weight.
+line is cut into equal cells, so that a draw needs only the few items of its cell.
+
+Small dimensions become literal arrays and the lookup is plain arithmetic inside
+the projection. Any other dimension is an equi-join on the cell, with about two
+candidates per draw on average whatever the weights are. Cells are equally
+likely, so that join key is not skewed even if one item has most of the weight.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
@@ -18,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from doselake.functions.draws import digit, int_div
-from doselake.operators.lookup import BROADCAST_ROWS, first_names
+from doselake.operators.lookup import first_names, fits_broadcast, size_of
 from doselake.operators.profile import ITEMS
 from doselake.sources.months import as_label
 
@@ -88,22 +91,85 @@ def with_state_names(weights: DataFrame) -> DataFrame:
     )
 
 
+#: Bounds of a dimension kept as literal arrays, and of its items per cell.
+INLINE_ROWS, INLINE_BYTES, INLINE_DEPTH = 8192, 1024 * 1024, 16
+_SEPARATOR = "\x1f"
+
+
+def _constant(values: Sequence, kind: str) -> Column:
+    """An array literal from one string, folded to a constant when the query is planned."""
+    array = F.split(F.lit(_SEPARATOR.join(str(v) for v in values)), _SEPARATOR)
+    return array if kind == "string" else array.cast(f"array<{kind}>")
+
+
+@dataclass(frozen=True)
+class Inline:
+    """A small dimension: upper range ends, items, and the first item of each cell."""
+
+    total: int
+    width: int
+    depth: int  # most items in one cell
+    ends: list[int]
+    starts: list[int]
+    items: Mapping[str, list[str]]
+
+    @staticmethod
+    def of(rows: Sequence) -> Inline | None:
+        """From all rows of a dimension; None if some cell holds too many items."""
+        rows = sorted(rows, key=lambda r: r["hi"])
+        ends = [r["hi"] for r in rows]
+        total = ends[-1]
+        width = max(1, total // (8 * len(ends)))
+        starts = [bisect_right(ends, at) for at in range(0, total, width)]
+        beyond = starts[1:] + [len(ends) - 1]
+        depth = max(b - a + 1 for a, b in zip(starts, beyond, strict=True))
+        items = {c: [r[c] or "" for r in rows] for c in (*ITEMS, STATE_NAME)}
+        clash = any(_SEPARATOR in v for values in items.values() for v in values)
+        if depth > INLINE_DEPTH or clash:
+            return None
+        return Inline(total, width, depth, ends, starts, items)
+
+    # The lookup has three steps, one projection each: later steps use the result
+    # of an earlier one several times, and a merged expression would repeat it.
+
+    def position(self, draw: str) -> Column:
+        """The draw's place on the line."""
+        return digit(F.col(draw), self.total)
+
+    def first(self, x: Column) -> Column:
+        """The first item of the cell of ``x``."""
+        cell = int_div(x, _bigint(self.width)).cast("int")
+        return F.get(_constant(self.starts, "int"), cell)
+
+    def index(self, x: Column, first: Column) -> Column:
+        """The item of ``x``. Ends rise, so it is as many items on as ends are passed."""
+        ends = _constant(self.ends, "bigint")
+        steps = [
+            F.when(x >= F.get(ends, first + k), 1).otherwise(0) for k in range(self.depth - 1)
+        ]
+        return sum(steps, first)
+
+    def item(self, name: str, index: Column) -> Column:
+        return F.get(_constant(self.items[name], "string"), index)
+
+
 @dataclass(frozen=True)
 class Sampler:
     """Weight tables prepared for sampling, stored as Parquet by dimension."""
 
     spark: SparkSession
     path: str
-    stats: Mapping[str, tuple[int, int, int]]  # total, cell width, rows
+    stats: Mapping[str, tuple[int, int, int, int]]  # total, cell width, rows, bytes
+    inline: Mapping[str, Inline]
 
     @staticmethod
-    def prepare(weights: DataFrame, path: str) -> Sampler:
-        """Write the cell table to ``path`` and read back one line of totals per dimension."""
+    def prepare(weights: DataFrame, path: str, inline_rows: int = INLINE_ROWS) -> Sampler:
+        """Write the cell table to ``path``; read back totals, and the items of small dimensions."""
         spark = weights.sparkSession
         prepared = cells(ranges(with_state_names(weights)))
         (
             prepared.select("dimension", "cell", "lo", "hi", *ITEMS, STATE_NAME, "total", "width")
-            .repartition("dimension")
+            .hint("rebalance", "dimension")
             .write.mode("overwrite")
             .partitionBy("dimension")
             .parquet(path)
@@ -112,18 +178,51 @@ class Sampler:
         totals = stored.groupBy("dimension").agg(
             F.max("total").alias("total"),
             F.max("width").alias("width"),
-            F.count(F.lit(1)).alias("n"),
+            *size_of(stored),
         )
-        stats = {r["dimension"]: (r["total"], r["width"], r["n"]) for r in totals.collect()}
-        return Sampler(spark, path, stats)
-
-    def pick(self, df: DataFrame, dimension: str, draw: str, names: Mapping[str, str]) -> DataFrame:
-        """Add columns of the item that the draw column hits; ``names`` maps item to output column.
-
-        The table is broadcast if its counted size is small, otherwise both
-        sides are shuffled on the evenly spread cell.
+        stats = {name: tuple(measured) for name, *measured in totals.collect()}
+        small = [
+            name
+            for name, (_, _, rows, size) in stats.items()
+            if rows <= inline_rows and size <= INLINE_BYTES
+        ]
+        items: dict[str, list] = {}
+        # measured above: a bounded number of rows per dimension
+        first_cells = stored.where(F.col("dimension").isin(small)).where(
+            F.col("cell") == int_div(F.col("lo"), F.col("width"))
+        )
+        for row in first_cells.collect():
+            items.setdefault(row["dimension"], []).append(row)
+        made = {name: Inline.of(rows) for name, rows in items.items()}
+        return Sampler(spark, path, stats, {n: i for n, i in made.items() if i is not None})
+
+    def pick(self, df: DataFrame, picks: Mapping[str, Mapping[str, str]]) -> DataFrame:
+        """Add columns of the items hit by the draw columns ``d_<dimension>``.
+
+        ``picks`` maps a dimension to ``{item: output column}``. Literal arrays
+        and joins give the same items. A joined table is broadcast if its
+        measured size is small, otherwise both sides are shuffled on the evenly
+        spread cell.
         """
-        total, width, rows = self.stats[dimension]
+        inline = {d: self.inline[d] for d in picks if d in self.inline}
+        x, at = {d: f"_x_{d}" for d in picks}, {d: f"_at_{d}" for d in picks}
+        df = df.withColumns({x[d]: i.position(f"d_{d}") for d, i in inline.items()})
+        df = df.withColumns({at[d]: i.first(F.col(x[d])) for d, i in inline.items()})
+        df = df.withColumns({at[d]: i.index(F.col(x[d]), F.col(at[d])) for d, i in inline.items()})
+        df = df.withColumns(
+            {
+                out: i.item(item, F.col(at[d]))
+                for d, i in inline.items()
+                for item, out in picks[d].items()
+            }
+        ).drop(*x.values(), *at.values())
+        for d in picks:
+            if d not in inline:
+                df = self._join(df, d, picks[d])
+        return df
+
+    def _join(self, df: DataFrame, dimension: str, names: Mapping[str, str]) -> DataFrame:
+        total, width, rows, size = self.stats[dimension]
         x, cell, lo, hi = "_x", "_cell", "_lo", "_hi"
         table = (
             self.spark.read.parquet(self.path)
@@ -135,9 +234,9 @@ class Sampler:
                 *[F.col(item).alias(out) for item, out in names.items()],
             )
         )
-        if rows <= BROADCAST_ROWS:
+        if fits_broadcast(rows, size):
             table = F.broadcast(table)
-        drawn = df.withColumn(x, digit(F.col(draw), total)).withColumn(
+        drawn = df.withColumn(x, digit(F.col(f"d_{dimension}"), total)).withColumn(
             cell, int_div(F.col(x), _bigint(width))
         )
         hit = (F.col(x) >= F.col(lo)) & (F.col(x) < F.col(hi))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from doselake.adapters import DOSE_EVENTS_ANSI, RAW_EVENTS, SHARD
-from doselake.functions.text import STRIP_PATTERN
 from doselake.operators.cleaning import MALFORMED
 from doselake.operators.ids import LOT_PREFIXES, LOT_SUFFIXES
 from doselake.operators.profile import DIMENSIONS
@@ -86,6 +85,12 @@ def _cube() -> str:
 
 # ---- cleaning ---------------------------------------------------------------------
 
+_SPACE = (
+    r"[\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
+    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+)
+STRIP_PATTERN = f"^{_SPACE}+|{_SPACE}+$"
+
 
 def _strip(c: str) -> str:
     return f"regexp_replace({c}, '{STRIP_PATTERN}', '', 'g')"
@@ -523,6 +528,9 @@ def oracle_sql() -> dict[str, str]:
         "mun.item_1 as city_code, mun.item_4 as state_name, ida.item_1 as age, "
         f"{_choose('d_person', synth.SEX)} as sex from drawn "
         + " ".join(_pick(n[:3], n) for n in ("vacina", "municipio", "idade")),
+        "weighted_sample_joined": f"with {DRAWN}, {RANGES} select o_orderkey, "
+        "vac.item_1 as sigla_vacina, mun.item_1 as city_code, mun.item_4 as state_name from drawn "
+        + " ".join(_pick(n[:3], n) for n in ("vacina", "municipio")),
         "weekday_dates": f"with {DRAWN}, {CALENDAR} select o_orderkey, {BIASED} as biased, "
         f"{RESAMPLED} as resampled from drawn join calendar on ym = year_month",
         "entry_dates": f"with {DRAWN} select o.o_orderkey, cast(o_orderdate as date) "

@@ -265,8 +265,7 @@ def build_records(
     spark = rows.sparkSession
     calendar = F.broadcast(month_calendar(spark, months))  # one row per requested month
     df = with_draws(rows, seed, method).join(calendar, MONTH)
-    for dimension, names in SAMPLED.items():
-        df = sampler.pick(df, dimension, f"d_{dimension}", names)
+    df = sampler.pick(df, SAMPLED)
 
     person, form, address = F.col("d_person"), F.col("d_form"), F.col("d_address")
     n_sex, n_nature = sum(x[-1] for x in SEX), sum(x[-1] for x in NATURE)

@@ -410,9 +410,16 @@ def freq_profile(spark, sf_dir):
     return profile.frequency_profile(dose_events(spark, sf_dir))
 
 
-def _sampler(spark: SparkSession, sf_dir: str) -> sampling.Sampler:
-    weights = profile.frequency_profile(dose_events(spark, sf_dir))
-    return sampling.Sampler.prepare(weights, work_dir(spark, "weights"))
+_samplers: dict[tuple[str, str], sampling.Sampler] = {}
+
+
+def _sampler(spark: SparkSession, sf_dir: str, inline_rows: int = sampling.INLINE_ROWS):
+    key = (spark.sparkContext.applicationId, f"{sf_dir}#{inline_rows}")
+    if key not in _samplers:
+        weights = profile.frequency_profile(dose_events(spark, sf_dir))
+        path = work_dir(spark, "weights")
+        _samplers[key] = sampling.Sampler.prepare(weights, path, inline_rows)
+    return _samplers[key]
 
 
 def _drawn(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -423,18 +430,30 @@ def _drawn(spark: SparkSession, sf_dir: str) -> DataFrame:
 def weighted_sample(spark, sf_dir):
     """From the weight table and from a built-in distribution."""
     sampler = _sampler(spark, sf_dir)
-    df = _drawn(spark, sf_dir)
-    df = sampler.pick(df, "vacina", "d_vacina", {"item_1": "sigla_vacina"})
-    df = sampler.pick(
-        df, "municipio", "d_municipio", {"item_1": "city_code", sampling.STATE_NAME: "state_name"}
-    )
-    df = sampler.pick(df, "idade", "d_idade", {"item_1": "age"})
+    picks = {
+        "vacina": {"item_1": "sigla_vacina"},
+        "municipio": {"item_1": "city_code", sampling.STATE_NAME: "state_name"},
+        "idade": {"item_1": "age"},
+    }
+    df = sampler.pick(_drawn(spark, sf_dir), picks)
     sex = synth.choose(F.col("d_person"), synth.SEX)
     return df.select(
         "o_orderkey", "sigla_vacina", "city_code", "state_name", "age", sex.alias("sex")
     )
 
 
+@query
+def weighted_sample_joined(spark, sf_dir):
+    """The same with the weight table joined, as for dimensions too large for literals."""
+    sampler = _sampler(spark, sf_dir, inline_rows=0)
+    picks = {
+        "municipio": {"item_1": "city_code", sampling.STATE_NAME: "state_name"},
+        "vacina": {"item_1": "sigla_vacina"},
+    }
+    df = sampler.pick(_drawn(spark, sf_dir), picks)
+    return df.select("o_orderkey", "sigla_vacina", "city_code", "state_name")
+
+
 @query
 def weekday_dates(spark, sf_dir):
     calendar = sampling.month_calendar(spark, GENERATED_MONTHS)
@@ -474,9 +493,7 @@ def synth_codes(spark, sf_dir):
 @query
 def synth_derived(spark, sf_dir):
     """Establishment names built from city names."""
-    df = _sampler(spark, sf_dir).pick(
-        _drawn(spark, sf_dir), "municipio", "d_municipio", {"item_2": "city"}
-    )
+    df = _sampler(spark, sf_dir).pick(_drawn(spark, sf_dir), {"municipio": {"item_2": "city"}})
     return df.select(
         "o_orderkey",
         F.concat(F.lit(synth.NAME_PREFIX), F.col("city")).alias("name"),

@@ -17,6 +17,10 @@ SETTINGS = {
     # input instead of keeping a hash table of them. 1024 typical rollup groups
     # of a few thousand patients are tens of megabytes.
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "1024",
+    # The JVM never compiles methods above 8000 bytes. Projections of 56 columns
+    # can exceed that when fused into one method; beyond the limit Spark uses
+    # its split projections, which are compiled.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.parquet.compression.codec": "zstd",
 }
 
