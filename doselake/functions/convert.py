@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from doselake.functions.text import strip
+from doselake.functions.text import WHITE_SPACE
 
 _DATE = "^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
 _INT = r"^[+-]?[0-9]+(_[0-9]+)*$"
+_INT_SPACE = "".join(c for c in WHITE_SPACE if not "\x1c" <= c <= "\x1f")
 _INT64_MIN, _INT64_MAX = -(2**63), 2**63 - 1
 
 
@@ -27,8 +28,9 @@ def whole_number(c: Column, default: int = 0) -> Column:
     """Text to bigint the way Python's ``int`` reads it; failures give ``default``.
 
     Numbers beyond 64 bits saturate, so that a later range check still rejects them.
+    ``int`` does not take the separators U+001C..1F for white space.
     """
-    s = strip(c)
+    s = F.trim(c, F.lit(_INT_SPACE))
     digits = F.replace(s, F.lit("_"), F.lit(""))
     saturated = F.when(digits.startswith("-"), F.lit(_INT64_MIN)).otherwise(F.lit(_INT64_MAX))
     parsed = F.coalesce(digits.try_cast("bigint"), saturated)

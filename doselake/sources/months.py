@@ -39,6 +39,8 @@ def read_months(
     read as null, and no file footer is opened for planning.
     """
     df = spark.read.schema(_with_month(schema)).parquet(root)
+    # a live table has batches below its months
+    df = df.drop(*set(df.columns).difference(schema.names, [MONTH]))
     if months is not None:
         df = df.where(F.col(MONTH).isin([as_label(m) for m in months]))
     if start is not None:
