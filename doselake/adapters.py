@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from doselake.schema import CANONICAL, FIELDS
+from doselake.schema import CANONICAL, ENVELOPE_KEY, FIELDS
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -162,6 +162,31 @@ def raw_events(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) ->
     return _view(table(spark, sf_dir, "events"), RAW_EVENTS, keep)
 
 
+PAGE_LIMIT = 100
+
+
+def land_events(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """The raw records as packed pages, as a fetcher would leave them.
+
+    ``event_id`` is unique, so a page collects at most 100 rows.
+    """
+    page = F.expr(f"event_id div {PAGE_LIMIT}").alias("offset")
+    record = F.struct("event_id", F.struct(*CANONICAL).alias("r"))
+    records = F.sort_array(F.collect_list(record))
+    envelope = F.struct(
+        "offset",
+        F.lit(PAGE_LIMIT).cast("bigint").alias("limit"),
+        F.transform(records, lambda x: x["r"]).alias(ENVELOPE_KEY),
+    )
+    (
+        raw_events(spark, sf_dir, keep=("event_id",))
+        .groupBy(page)
+        .agg(F.to_json(envelope, {"ignoreNullFields": "false"}).alias("value"))
+        .select("value")
+        .write.text(path)
+    )
+
+
 # ---- orders as row identities ---------------------------------------------------
 
 SHARD = 1000

@@ -45,18 +45,18 @@ def judge(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Cleaned columns, the ``keep`` columns, ``raw`` and ``problem`` (null for a good row).
 
     Numbers stay wide here, so that one out of range can be told from a good
-    one. ``raw`` is the record as JSON; it is computed for rejected rows only,
-    because ``accepted`` never selects it. A ``corrupt`` column in the input
-    marks records that were not readable and holds their text.
+    one. ``raw`` is the record as JSON, built for bad rows only. A ``corrupt``
+    column in the input marks records that were not readable and holds their text.
     """
     corrupt = "corrupt" in raw.columns
-    text = F.to_json(F.struct(*[c for c in raw.columns if c not in (*keep, "corrupt")]))
-    cols = clean_columns(raw) + [F.col(k) for k in keep]
-    if corrupt:
-        cols += [F.col("corrupt"), F.coalesce("corrupt", text).alias("raw")]
-    else:
-        cols.append(text.alias("raw"))
-    return raw.select(*cols).withColumn(PROBLEM, _problem(corrupt))
+    record = F.struct(*[c for c in raw.columns if c not in (*keep, "corrupt")])
+    extra = [*keep, "corrupt"] if corrupt and "corrupt" not in keep else list(keep)
+    judged = raw.select(*clean_columns(raw), *extra, record.alias("_record")).withColumn(
+        PROBLEM, _problem(corrupt)
+    )
+    text = F.to_json("_record")
+    text = F.coalesce("corrupt", text) if corrupt else text
+    return judged.withColumn("raw", F.when(F.col(PROBLEM).isNotNull(), text)).drop("_record")
 
 
 def accepted(judged: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -97,5 +97,6 @@ def default_nulls(df: DataFrame) -> DataFrame:
 def load_judge(df: DataFrame) -> DataFrame:
     """``default_nulls`` plus ``raw`` and ``problem``, ready for ``accepted`` and ``rejected``."""
     rows = default_nulls(df)
-    text = F.to_json(F.struct(*rows.columns)).alias("raw")
-    return rows.select("*", text).withColumn(PROBLEM, _problem())
+    judged = rows.withColumn(PROBLEM, _problem())
+    text = F.when(F.col(PROBLEM).isNotNull(), F.to_json(F.struct(*rows.columns)))
+    return judged.withColumn("raw", text)

@@ -128,7 +128,10 @@ def load_months(
         ~month_label(F.col("data_vacina")).eqNullSafe(F.col(MONTH)),
         F.lit("date outside its month partition"),
     )
-    judged = judged.withColumn(PROBLEM, F.coalesce(PROBLEM, stray))
+    record = F.to_json(F.struct(*CANONICAL, MONTH))
+    judged = judged.withColumn(PROBLEM, F.coalesce(PROBLEM, stray)).withColumn(
+        "raw", F.when(F.col(PROBLEM).isNotNull(), record)
+    )
     clean = judged.where(F.col(PROBLEM).isNotNull()).select(PROBLEM).isEmpty()
     if reject_root is not None:
         bad = rejected(judged, keep=(MONTH,))

@@ -8,7 +8,14 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from doselake.adapters import GENERATED_MONTHS, dose_events, order_rows, raw_events, table
+from doselake.adapters import (
+    GENERATED_MONTHS,
+    dose_events,
+    land_events,
+    order_rows,
+    raw_events,
+    table,
+)
 from doselake.functions.calendar import label_of, month_label, split_yyyymm, yyyymm
 from doselake.functions.convert import date_prefix, dose_digits, small_int, whole_number
 from doselake.functions.draws import digest, digit
@@ -263,12 +270,7 @@ def lookup_name(spark, sf_dir):
 
 
 def _landed(spark: SparkSession, sf_dir: str) -> str:
-    def write(path: str) -> None:
-        raw = raw_events(spark, sf_dir, keep=("event_id",))
-        paged = raw.withColumn("page", F.expr("event_id div 100"))
-        pages.land_pages(paged, "page", "event_id", path)
-
-    return _once(spark, sf_dir, "pages", write)
+    return _once(spark, sf_dir, "pages", lambda path: land_events(spark, sf_dir, path))
 
 
 @query
@@ -278,7 +280,7 @@ def scan_pages(spark, sf_dir):
 
 def _gappy_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Page sizes with a gap in the middle of the landing."""
-    sizes = pages.page_sizes(pages.scan_envelopes(spark, _landed(spark, sf_dir)))
+    sizes = pages.scan_page_sizes(spark, _landed(spark, sf_dir))
     return sizes.where(F.col("page") % 61 != 47)
 
 
@@ -297,7 +299,7 @@ def stream_ingest(spark, sf_dir):
     """Landed pages through the stream into the fact table, read back."""
     root = work_dir(spark, "ingest")
     sink = IngestSink(f"{root}/fact", f"{root}/rejects", f"{root}/partials")
-    q = start_ingest(spark, _landed(spark, sf_dir), sink, f"{root}/checkpoint", files_per_batch=2)
+    q = start_ingest(spark, _landed(spark, sf_dir), sink, f"{root}/checkpoint", files_per_batch=4)
     q.awaitTermination()
     return months.read_months(spark, f"{root}/fact").select(*CANONICAL)
 
@@ -395,7 +397,7 @@ def export_roundtrip(spark, sf_dir):
 def compact_month(spark, sf_dir):
     """Many small files of one month rewritten in place; the others stay."""
     root = work_dir(spark, "compact")
-    small = dose_events(spark, sf_dir).repartition(6)
+    small = months.read_months(spark, _fact(spark, sf_dir)).repartition(6)
     layout.append_months(small, root)
     layout.compact_months(spark, root, ["2025-02"])
     rows = months.read_months(spark, root)

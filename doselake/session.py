@@ -13,10 +13,11 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    # Sketch buffers are Java objects: beyond this many groups a task sorts its
-    # input instead of keeping a hash table of them. 1024 typical rollup groups
-    # of a few thousand patients are tens of megabytes.
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "1024",
+    # Sketches are Java objects: beyond this many groups a task sorts its input
+    # instead of hashing it. A sketch grows with the values it has seen, so all
+    # sketches of a task together stay within a few times the task's input, and
+    # the number of groups only adds about a kilobyte each.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
     # The JVM never compiles methods above 8000 bytes. Projections of 56 columns
     # can exceed that when fused into one method; beyond the limit Spark uses
     # its split projections, which are compiled.
