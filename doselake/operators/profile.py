@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ITEMS = ("item_1", "item_2", "item_3")
 
@@ -43,11 +44,31 @@ def frequency_profile(fact: DataFrame) -> DataFrame:
     )
 
 
-def weights_from_lists(spark, distributions: dict) -> DataFrame:
-    """The same table from in-memory lists ``{dimension: [[item, ..., count], ...]}``.
+def read_weights(spark: SparkSession, path: str) -> DataFrame:
+    """The weight table from a JSON file of lists ``{dimension: [[item, ..., count], ...]}``.
 
     ``ordinal`` keeps the position in the list: of duplicate codes the first name wins.
     """
+    lists = T.ArrayType(T.ArrayType(T.StringType()))
+    schema = T.StructType([T.StructField(name, lists) for name in DIMENSIONS])
+    document = spark.read.schema(schema).option("multiLine", True).json(path)
+    named = F.array(
+        *[F.struct(F.lit(n).alias("dimension"), F.col(n).alias("rows")) for n in DIMENSIONS]
+    )
+    rows = document.select(F.explode(named).alias("d")).select(
+        "d.dimension", F.posexplode("d.rows").alias("ordinal", "row")
+    )
+    has = F.size("row") - 1  # the last entry is the count
+    items = [
+        F.when(has > i, F.get("row", F.lit(i))).otherwise(F.lit("")).alias(c)
+        for i, c in enumerate(ITEMS)
+    ]
+    weight = F.element_at("row", -1).cast("bigint").alias("weight")
+    return rows.select("dimension", *items, weight, F.col("ordinal").cast("bigint"))
+
+
+def weights_from_lists(spark: SparkSession, distributions: dict) -> DataFrame:
+    """The same table from lists in memory."""
     rows = []
     for name in DIMENSIONS:
         for i, (*items, count) in enumerate(distributions[name]):

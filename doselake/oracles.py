@@ -8,7 +8,7 @@ from doselake.operators.ids import LOT_PREFIXES, LOT_SUFFIXES
 from doselake.operators.profile import DIMENSIONS
 from doselake.operators.rollups import STATE_DEMOGRAPHICS, STATE_VACCINE_DATE, Rollup
 from doselake.plans import synth
-from doselake.registry import PLAN_SEED, PLAN_SHARD, PLAN_TARGET, TEXT_FIELDS
+from doselake.registry import GAP, PLAN_SEED, PLAN_SHARD, PLAN_TARGET, TEXT_FIELDS
 from doselake.schema import CANONICAL, FIELDS
 
 A, B = STATE_VACCINE_DATE, STATE_DEMOGRAPHICS
@@ -209,8 +209,9 @@ from customer left join names on c_nationkey = code
 # ---- pages ------------------------------------------------------------------------
 
 _SIZES = (
-    "sizes as (select page, count(*) as n from (select event_id // 100 as page from events) e "
-    "where page % 61 <> 47 group by page)"
+    "sizes as (select page + case when page >= "
+    f"{GAP} then 1 else 0 end as page, count(*) as n "
+    "from (select event_id // 100 as page from events) e group by page)"
 )
 _COMPLETENESS = f"""
 {_SIZES},

@@ -19,6 +19,10 @@ def files(root, month="*"):
     return sorted(glob.glob(f"{root}/year_month={month}/*.parquet"))
 
 
+def copies(df, n):
+    return df.withColumn("id", F.explode(F.sequence(F.lit(1), F.lit(n))))
+
+
 @pytest.fixture(scope="module")
 def stored(fact, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("fact"))
@@ -51,10 +55,10 @@ def test_spread_by_state_splits_states_over_files(spark, fact, tmp_path):
 def test_month_that_holds_most_rows_is_split(spark, fact, tmp_path):
     """No task gets a whole oversized month: the rebalance splits it by size."""
     key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    big = fact.crossJoin(spark.range(4).withColumnRenamed("id", "copy")).repartition(12)
+    big = copies(fact, 4).repartition(12)
     spark.conf.set(key, "256KB")
     try:
-        layout.write_months(big.drop("copy"), str(tmp_path / "split"), spread=())
+        layout.write_months(big.drop("id"), str(tmp_path / "split"), spread=())
     finally:
         spark.conf.unset(key)
     assert len(files(tmp_path / "split", "2025-01")) > 3
@@ -129,7 +133,7 @@ def test_date_first_copy(fact, tmp_path):
 
 def test_bloom_filter_where_no_dictionary_serves(spark, fact, tmp_path):
     # distinct codes beyond what a dictionary page holds
-    many = fact.crossJoin(spark.range(40)).withColumn(
+    many = copies(fact, 40).withColumn(
         "codigo_cnes_estabelecimento", F.md5(F.concat("codigo_documento", F.col("id")))
     )
     root = str(tmp_path / "bloom")

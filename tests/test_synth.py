@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import glob
+import json
 import math
 import re
 from datetime import date
@@ -41,6 +42,13 @@ def records(sampler):
     return df
 
 
+def test_weights_from_file_equal_weights_from_lists(spark, tmp_path):
+    (tmp_path / "d.json").write_text(json.dumps(LISTS, indent=1))
+    got = profile.read_weights(spark, str(tmp_path / "d.json"))
+    want = profile.weights_from_lists(spark, LISTS)
+    assert got.columns == want.columns and rows(got) == rows(want)
+
+
 def test_shape(records):
     assert records.columns == [*CANONICAL, "year_month"]
     assert dict(records.dtypes)["codigo_dose_vacina"] == "tinyint"
@@ -244,7 +252,8 @@ def test_resampled_day_odds(spark):
     # February 2025: 20 week days, 8 weekend days
     cal = sampling.month_calendar(spark, [202502])
     total = 8 * 12 * 20 + 20 * (100 * 20 + 88 * 8)
-    days = spark.range(total).crossJoin(cal).select(sampling.resampled_day(F.col("id")).alias("d"))
+    draws_ = spark.range(total).withColumn("year_month", F.lit("2025-02"))
+    days = draws_.join(cal, "year_month").select(sampling.resampled_day(F.col("id")).alias("d"))
     got = {r["d"]: r["count"] for r in days.groupBy("d").count().collect()}
     assert len(got) == 28
     for d, n in got.items():
