@@ -2,8 +2,8 @@
 
 BENCH_SF_DIR is the data folder, BENCH_CPUS the number of local cores. Each
 query runs twice and the second time counts, so that JVM warm-up is left out;
-queries that write
-files, or take long the first time, run once. Results go to a sink that reads every column.
+queries that write files, or take long the first time, run once. Results go to a
+sink that reads every column.
 """
 
 from __future__ import annotations
