@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from doselake.llm import license_scan, spotsigs, url_filter
+from doselake.llm import bpe, decontaminate, language_id, license_scan, minhash, sharding, spotsigs, suffix_dedup, url_filter
 from doselake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,3 +77,70 @@ def op7_license_scan(spark, sf_dir):
     return license_scan.scan_licenses(docs).select(
         "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"
     )
+
+
+@query
+def op2_sharding(spark, sf_dir):
+    """Documents in 16 shards of near-equal bytes."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sharding.assign_shards(docs)
+
+
+def tokenizer_file(name: str) -> str:
+    return public_tokenizers.path(name)
+
+
+@query
+def op1_language_id(spark, sf_dir):
+    """Predicted language of every document, learned from two thirds of the labelled ones."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = docs.withColumn("held_out", F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1)
+    pieces = language_id.load_pieces(tokenizer_file("piece_bpe_32k.model"))
+    model = language_id.train(docs.where(~F.col("held_out")), pieces)
+    judged = language_id.predict(docs.select("doc_id", "held_out", "text"), model)
+    return judged.select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query
+def op9_bpe(spark, sf_dir):
+    """Digests of the token ids and of the decoded text of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    made = bpe.encode(docs, tokenizer_file("word_bpe_49k.json"))
+    return made.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2(F.col("ids"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op8_decontamination(spark, sf_dir):
+    """Benchmark passages in every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    made = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    return made.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        "n_items",
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+@query
+def op10_near_dedup(spark, sf_dir):
+    """Class of near duplicates and number of links of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return minhash.near_duplicates(docs).select("doc_id", "class_id", "n_links", "is_first")
+
+
+@query
+def op3_suffix_dedup(spark, sf_dir):
+    """Bytes removed from every document because 400 of them stand elsewhere too."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    made = suffix_dedup.remove_repeats(docs)
+    return made.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2(F.col("kept"), 256).alias("kept_sha256")
+    )
