@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from doselake.llm import bpe, decontaminate, language_id, license_scan, minhash, sharding, spotsigs, suffix_dedup, url_filter
+from doselake.llm import bpe, decontaminate, language_id, license_scan, minhash, quality, sharding, spotsigs, suffix_dedup, url_filter
 from doselake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -144,3 +144,11 @@ def op3_suffix_dedup(spark, sf_dir):
     return made.select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2(F.col("kept"), 256).alias("kept_sha256")
     )
+
+
+@query
+def op5_quality(spark, sf_dir):
+    """Perplexity, threshold of its language and decision for every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    trusted = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return quality.judge_quality(docs, trusted).select("doc_id", "lang", "perplexity", "threshold", "keep")
