@@ -73,9 +73,6 @@ class Lattice:
         self.ids, self.width = order.astype(np.int64), width
         self.filter = np.zeros(1 << 20, bool)
         self.filter[self._mixed(self.digests) >> np.uint64(44)] = True
-        self.powers = np.ones(width + 1, np.uint64)
-        for k in range(width):
-            self.powers[k + 1] = self.powers[k] * BASE
 
     @staticmethod
     def _mixed(x: np.ndarray) -> np.ndarray:

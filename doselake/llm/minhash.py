@@ -190,7 +190,6 @@ def shared_buckets(rows: DataFrame) -> DataFrame:
 
 def links_of(docs: DataFrame, doc_id: str, text: str, threshold: float) -> tuple[DataFrame, DataFrame]:
     """(key, id) of all distinct texts, and links (key, hub, similarity)."""
-    spark = docs.sparkSession
     texts = stored(sketched(docs, doc_id, text), "near-sketches")
     rows = texts.select("key", F.explode("sketch").alias("bucket"))
     open_ = stored(shared_buckets(rows), "near-buckets")
@@ -209,8 +208,6 @@ def links_of(docs: DataFrame, doc_id: str, text: str, threshold: float) -> tuple
         open_ = stored(shared_buckets(rest), "near-buckets")
         if open_.isEmpty():
             break
-    if found is None:
-        found = spark.createDataFrame([], "key binary, hub binary, similarity double")
     return texts.select("key", "id"), found
 
 
@@ -239,14 +236,8 @@ def components(links: DataFrame) -> DataFrame:
             return roots
 
 
-def near_duplicates(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD
-) -> DataFrame:
-    """One row per document: doc_id, class_id (doc_id of the class's first), n_links, is_first.
-
-    ``n_links`` counts the verified links of the document's text, ``class_key`` names the class
-    also where ids repeat.
-    """
+def classes(docs: DataFrame, doc_id: str, text: str, threshold: float) -> DataFrame:
+    """Per distinct text: its class, the id and the text of the class's first document, its links."""
     texts, links = links_of(docs, doc_id, text, threshold)
     links = stored(links, "near-links")
     roots = components(links)
@@ -259,7 +250,7 @@ def near_duplicates(
     named = texts.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
     order = F.struct(F.col("id").isNull().alias("no"), F.col("id").alias("id"), F.col("key").alias("key"))
     first = named.groupBy("root").agg(F.min(order).alias("first"))
-    named = (
+    return (
         named.join(first, "root")
         .join(degree, "key", "left")
         .select(
@@ -268,14 +259,35 @@ def near_duplicates(
             F.col("first.id").alias("class_id"),
             F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
             (F.col("first.key") == F.col("key")).alias("_first_text"),
-            F.col("first.id").alias("_first_id"),
         )
     )
+
+
+def near_duplicates(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD
+) -> DataFrame:
+    """One row per document: doc_id, class_id (doc_id of the class's first), n_links, is_first.
+
+    ``n_links`` counts the verified links of the document's text, ``class_key`` names the class
+    also where ids repeat.
+    """
+    named = classes(docs, doc_id, text, threshold)
     rows = docs.select(F.col(doc_id).alias("doc_id"), text_key(text).alias("_key"))
     return rows.join(named, "_key").select(
         "doc_id",
         "class_id",
         "class_key",
         "n_links",
-        (F.col("_first_text") & F.col("doc_id").eqNullSafe(F.col("_first_id"))).alias("is_first"),
+        (F.col("_first_text") & F.col("doc_id").eqNullSafe(F.col("class_id"))).alias("is_first"),
     )
+
+
+def keep_first(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD
+) -> DataFrame:
+    """``docs`` with one document of each class, whole rows; of rows repeated in id and text, one."""
+    named = classes(docs, doc_id, text, threshold).where("_first_text")
+    named = named.select("_key", F.struct(F.col("class_id").alias("id")).alias("_id"))
+    rows = docs.withColumns({"_key": text_key(text), "_id": F.struct(F.col(doc_id).alias("id"))})
+    kept = rows.join(named, ["_key", "_id"], "left_semi").dropDuplicates(["_key", "_id"])
+    return kept.drop("_key", "_id")
