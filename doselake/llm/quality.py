@@ -92,10 +92,10 @@ def count_grams(rows: DataFrame, order: int) -> DataFrame:
 def discounts(counts: DataFrame) -> DataFrame:
     """(lang, d1, d2, d3) from how many grams occur once, twice, three and four times."""
     n = [F.sum((F.col("n") == k).cast("double")).alias(f"n{k}") for k in (1, 2, 3, 4)]
-    y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
+    y = F.try_divide(F.col("n1"), F.col("n1") + 2 * F.col("n2"))
     made = []
     for k, plain in zip((1, 2, 3), PLAIN, strict=True):
-        d = k - (k + 1) * y * F.col(f"n{k + 1}") / F.col(f"n{k}")
+        d = k - (k + 1) * y * F.try_divide(F.col(f"n{k + 1}"), F.col(f"n{k}"))
         made.append(F.when(d.isNotNull() & (d > 0) & (d < k), d).otherwise(F.lit(plain)).alias(f"d{k}"))
     return counts.groupBy("lang").agg(*n).select("lang", *made)
 
