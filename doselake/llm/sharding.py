@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from doselake.llm.common import partitions, stored
 
 LAW = "bytes"
-#: Digest ranges known at first, and parts a range is split into by one scan.
-RANGES, SPLIT = 65_536, 4_096
+#: Digest ranges known at first, and parts looked at by one scan, whatever the number of groups.
+RANGES, SPLIT = 65_536, 131_072
 
 
 class PrefixSums:
@@ -75,54 +75,52 @@ class PrefixSums:
                 low = mid + 1
         return low
 
-    def open_ranges(self, low: list[int], high: list[int]) -> list[tuple[int, int]]:
-        """Disjoint ranges between known ends that hold all places from low to high, if several groups."""
-        out: list[tuple[int, int]] = []
-        for a, b in sorted(zip(low, high, strict=True)):
-            i = int(np.searchsorted(self.ends, a, "right")) - 1
+    def open_intervals(self, low: list[int], high: list[int]) -> np.ndarray:
+        """Numbers of the intervals of several groups that hold places from low to high."""
+        wanted: set[int] = set()
+        for a, b in zip(low, high, strict=True):
+            i = int(np.searchsorted(self.ends, a, "right"))
             j = int(np.searchsorted(self.ends, b, "left"))
-            while i < j and self.single[i + 1]:
-                i += 1
-            while j > i and self.single[j]:
-                j -= 1
-            if i == j:
-                continue
-            a, b = int(self.ends[i]), int(self.ends[j])
-            if out and a <= out[-1][1]:
-                out[-1] = (out[-1][0], max(b, out[-1][1]))
-            else:
-                out.append((a, b))
-        return out
-
-    def insert(self, ranges: list[tuple[int, int]], ends: np.ndarray, counts: np.ndarray) -> None:
-        """Put newly read ends in the place of those inside ``ranges``."""
-        keep = np.ones(len(self.ends), bool)
-        for a, b in ranges:
-            keep &= ~((self.ends > a) & (self.ends <= b))
-        merged = np.concatenate([self.ends[keep], ends])
-        single = np.concatenate([self.single[keep], counts == 1])
-        order = np.argsort(merged, kind="stable")
-        self.ends, self.single = merged[order], single[order]
-
-
-def split_ranges(groups: DataFrame, ranges: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
-    """Last end and number of groups of each part of each range, by one scan."""
-    part = F.lit(None).cast("long")
-    for k, (a, b) in enumerate(ranges):
-        inside = (F.col("end") > a) & (F.col("end") <= b)
-        step = max(1, -(-(b - a) // SPLIT))
-        part = F.when(inside, k * (SPLIT + 1) + F.floor((F.col("end") - a - 1) / step)).otherwise(part)
-    any_of = F.lit(False)
-    for a, b in ranges:
-        any_of = any_of | ((F.col("end") > a) & (F.col("end") <= b))
+            wanted.update(range(i, min(j, len(self.ends) - 1) + 1))
+        rows = np.array(sorted(wanted), np.int64)
+        return rows[~self.single[rows]]
+
+    def insert(self, ends: np.ndarray, single: np.ndarray) -> None:
+        """Add ends; what is said of an end anew replaces what was."""
+        merged, first = np.unique(np.concatenate([ends, self.ends]), return_index=True)
+        self.single = np.concatenate([single, self.single])[first]
+        self.ends = merged
+
+
+def split_intervals(groups: DataFrame, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last end of every part of every interval, and whether one group ends there after
+    the end before; one scan."""
+    parts = max(2, SPLIT // len(low))
+    shared = groups.sparkSession.sparkContext.broadcast((low, high))
+
+    def summed(batches):
+        low, high = shared.value
+        for pdf in batches:
+            end = pdf["end"].to_numpy(np.int64)
+            k = np.minimum(np.searchsorted(high, end), len(high) - 1)
+            inside = (end > low[k]) & (end <= high[k])
+            end, k = end[inside], k[inside]
+            width = -(-(high[k] - low[k]) // parts)
+            part = k * parts + (end - low[k] - 1) // width
+            found = pd.DataFrame({"part": part, "end": end}).groupby("part")["end"]
+            yield found.agg(first="min", last="max", n="size").reset_index()
+
     found = (
-        groups.where(any_of)
-        .groupBy(part.alias("part"))
-        .agg(F.max("end").alias("end"), F.count("*").alias("n"))
+        groups.where(F.col("end").between(int(low[0]) + 1, int(high[-1])))
+        .select("end")
+        .mapInPandas(summed, "part long, first long, last long, n long")
+        .groupBy("part")
+        .agg(F.min("first").alias("first"), F.max("last").alias("last"), F.sum("n").alias("n"))
         .toPandas()
-        .sort_values("end")
     )
-    return found["end"].to_numpy(np.int64), found["n"].to_numpy(np.int64)
+    several = found[found["n"] > 1]
+    ends = np.concatenate([found["first"].to_numpy(np.int64), several["last"].to_numpy(np.int64)])
+    return ends, np.concatenate([np.ones(len(found), bool), (several["n"] == 2).to_numpy(bool)])
 
 
 def minimax_cuts(groups: DataFrame, known: PrefixSums, n: int, largest: int) -> list[int]:
@@ -132,10 +130,10 @@ def minimax_cuts(groups: DataFrame, known: PrefixSums, n: int, largest: int) ->
         enough = known.smallest(known.sure_cuts, n, least)
         least = known.smallest(known.best_cuts, n, least)
         low, high = known.sure_cuts(least, n), known.best_cuts(enough, n)
-        ranges = known.open_ranges(low, high)
-        if not ranges:
+        rows = known.open_intervals(low, high)
+        if not len(rows):
             return known.sure_cuts(enough, n)
-        known.insert(ranges, *split_ranges(groups, ranges))
+        known.insert(*split_intervals(groups, known.ends[rows - 1], known.ends[rows]))
 
 
 def assign_shards(
