@@ -32,12 +32,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from doselake.llm.common import Mapped
+from doselake.llm.common import Mapped, stored
 
 #: Words of the lexicon at most, bytes of its longest word.
-LEXICON_WORDS, LONGEST = 65_536, 32
+LEXICON_WORDS, LONGEST = 200_000, 32
 #: Chunks and words a worker remembers at once; distinct chunks a task counts before it passes them on.
-REMEMBERED, COUNTED = 150_000, 400_000
+REMEMBERED, COUNTED = 300_000, 400_000
 #: White space that str.split() takes for such and the tokenizer does not.
 ODD_SPACE = regex.compile(r"[\x1c-\x1f]")
 SPACE = regex.compile(r"\p{White_Space}+")
@@ -81,6 +81,8 @@ class Rules:
         """Token ids of a word: neighbours merged, lowest rank first, leftmost first."""
         parts: list[str | None] = [self.signs[b] for b in word]
         parts[-1] += self.suffix
+        if len(parts) <= LONGEST:
+            return self.merge_short(parts)
         before, after = list(range(-1, len(parts) - 1)), list(range(1, len(parts) + 1))
         ranks = self.merges
         heap = [
@@ -104,6 +106,20 @@ class Rules:
                 heapq.heappush(heap, (r, h, parts[h], parts[i]))
         return [self.vocab[p] for p in parts if p is not None and p in self.vocab]
 
+    def merge_short(self, parts: list[str]) -> list[int]:
+        """The same by looking through all neighbours each time: quicker for few parts."""
+        rank, none = self.merges.get, len(self.merges)
+        ranks = [rank(pair, none) for pair in zip(parts, parts[1:], strict=False)]
+        while ranks and (least := min(ranks)) < none:
+            i = ranks.index(least)
+            parts[i] += parts.pop(i + 1)
+            del ranks[i]
+            if i < len(ranks):
+                ranks[i] = rank((parts[i], parts[i + 1]), none)
+            if i:
+                ranks[i - 1] = rank((parts[i - 1], parts[i]), none)
+        return [self.vocab[p] for p in parts if p in self.vocab]
+
 
 def byte_signs() -> list[str]:
     """The printable sign that stands for each byte in byte-level vocabularies."""
@@ -317,8 +333,21 @@ def count_words(docs: DataFrame, rules: Rules, text: str = "text") -> DataFrame:
 def build_lexicon(
     docs: DataFrame, rules: Rules, text: str = "text", most: int = LEXICON_WORDS
 ) -> Lexicon:
-    """The lexicon of the ``most`` most frequent words; counts cover all rows."""
-    top = count_words(docs, rules, text).orderBy(F.desc("n"), "word").limit(most).collect()
+    """The lexicon of the most frequent words, ``most`` of them or as many as the next lower count allows.
+
+    Counts cover all rows. The driver gets a histogram of counts and then the chosen words.
+    """
+    counts = stored(count_words(docs, rules, text), "word-counts")
+    # steps of about one percent: a few thousand at any size
+    step = F.floor(F.log2("n") * 64).cast("int")
+    steps = sorted(counts.groupBy(step.alias("step")).agg(F.count("*").alias("words")).collect(), reverse=True)
+    least, total = None, 0
+    for number, words in steps:
+        total += words
+        if total > most:
+            break
+        least = number
+    top = counts.where(step >= least).select("word").collect() if least is not None else []
     words = sorted(bytes(r[0]) for r in top)
     return Lexicon.compile(words, {w: rules.merge(w) for w in words})
 
