@@ -38,7 +38,7 @@ PIECE, STRETCH, HEAD = 12, 40, "▁"
 #: Rounds of expectation maximisation, count added to each piece, probability of a letter outside the vocabulary.
 ROUNDS, ADDED, OUTSIDE = 2, 0.1, 1e-9
 UNDETERMINED = "und"
-REMEMBERED, COUNTED = 150_000, 300_000
+REMEMBERED, COUNTED = 400_000, 300_000
 BASE = np.uint64(0x100000001B3)
 
 
