@@ -4,8 +4,8 @@ Each byte that lies in a string of ``length`` bytes that also starts somewhere e
 or another document, is marked. Strings are judged on the input and overlaps count.
 
 *Partition.* Of all 64-byte substrings of a string the smallest digest names it: equal
-strings have equal names, and a text's strings fall into stretches of one name. Names that
-occur once can't repeat. The stretches of a name are compared with each other only, each
+strings have equal names, and a text's strings fall into stretches of one name. A name with
+one stretch that holds the naming substring once can't repeat. The stretches of a name are compared with each other only, each
 distinct stretch once; a stretch that occurs twice is repeated as a whole.
 
 *Suffix array.* A task takes the stretches of some names as one text and cuts it into tokens
@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from doselake.llm.common import stored, text_key
+from doselake.llm.common import partitions, stored, text_key
 
 LENGTH, GRAM = 400, 64
 #: Strings in a stretch at most, distinct stretches of a name in a task at most, bytes sorted at once.
@@ -258,39 +258,44 @@ def sliding_least(h: np.ndarray, width: int) -> np.ndarray:
     return least
 
 
-def stretches_of(raw: bytes, length: int) -> list[tuple[int, int, int, int]]:
-    """(name, digest of the stretch, first string, number of strings)."""
+def stretches_of(raw: bytes, length: int) -> list[tuple[int, int, int, int, bool]]:
+    """(name, digest of the stretch, first string, number of strings, may it repeat itself).
+
+    Only a stretch that holds its naming substring twice can hold equal strings.
+    """
     if len(raw) < length:
         return []
     gram = min(GRAM, length)
-    names = sliding_least(gram_digests(raw, gram), length - gram + 1)
+    grams = gram_digests(raw, gram)
+    names = sliding_least(grams, length - gram + 1)
     cuts = [0, *(np.flatnonzero(names[1:] != names[:-1]) + 1).tolist(), len(names)]
     out = []
     for a, b in zip(cuts, cuts[1:], strict=False):
         for s in range(a, b, STRETCH):
             e = min(b, s + STRETCH)
             digest = hashlib.blake2b(raw[s : e + length - 1], digest_size=8).digest()
-            out.append((int(names[a]) - (1 << 63), int.from_bytes(digest, "little", signed=True), s, e - s))
+            twice = np.count_nonzero(grams[s : e + length - gram] == names[a]) > 1
+            out.append((int(names[a]) - (1 << 63), int.from_bytes(digest, "little", signed=True), s, e - s, twice))
     return out
 
 
 def stretches(docs: DataFrame, length: int) -> DataFrame:
-    """(name, digest, key, id, start, n) of all documents (key, id, text)."""
+    """(name, digest, key, id, start, n, twice) of all documents (key, id, text)."""
 
     def cut(batches):
         for batch in batches:
-            cols: list[list] = [[], [], [], [], [], []]
+            cols: list[list] = [[], [], [], [], [], [], []]
             for key, doc, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                for name, digest, start, n in stretches_of((text or "").encode("utf-8", "replace"), length):
-                    for col, x in zip(cols, (name, digest, key, doc, start, n), strict=True):
+                for name, digest, start, n, twice in stretches_of((text or "").encode("utf-8", "replace"), length):
+                    for col, x in zip(cols, (name, digest, key, doc, start, n, twice), strict=True):
                         col.append(x)
-            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.string(), pa.int32(), pa.int32())
+            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.string(), pa.int32(), pa.int32(), pa.bool_())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(cols, kinds, strict=True)],
-                names=["name", "digest", "key", "id", "start", "n"],
+                names=["name", "digest", "key", "id", "start", "n", "twice"],
             )
 
-    return docs.mapInArrow(cut, "name long, digest long, key binary, id string, start int, n int")
+    return docs.mapInArrow(cut, "name long, digest long, key binary, id string, start int, n int, twice boolean")
 
 
 def cut_out(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
@@ -353,7 +358,7 @@ def sorted_repeats(cuts: DataFrame, length: int) -> DataFrame:
             yield from judge(held)
 
     return (
-        cuts.repartition("name")
+        cuts.repartition(partitions(cuts.sparkSession), "name")
         .sortWithinPartitions("name")
         .mapInArrow(work, "name long, digest long, spans array<struct<s:int,e:int>>")
     )
@@ -388,14 +393,17 @@ def counted_repeats(cuts: DataFrame, length: int) -> DataFrame:
 def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
     """(key, id, spans): byte ranges to remove, of documents that have any; docs: (key, id, text)."""
     all_ = stretches(docs, length)
-    names = all_.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name")
+    counts = all_.groupBy("name").agg(F.count("*").alias("n"), F.bool_or("twice").alias("twice"))
+    names = counts.where("n > 1 or twice").select("name")
     found = stored(all_.join(names, "name"), "repeat-candidates")
     distinct = found.groupBy("name", "digest").agg(
-        F.count("*").alias("copies"), F.min(F.struct("key", "id", "start", "n")).alias("rep")
+        F.count("*").alias("copies"),
+        F.first("twice").alias("twice"),
+        F.min(F.struct("key", "id", "start", "n")).alias("rep"),
     )
     sizes = distinct.groupBy("name").agg(F.count("*").alias("distinct"))
     distinct = stored(distinct.join(sizes, "name"), "repeat-distinct")
-    several = distinct.where("distinct > 1").select("name", "digest", "rep.*", "distinct")
+    several = distinct.where("distinct > 1 or twice").select("name", "digest", "rep.*", "distinct")
     spans = sorted_repeats(cut_out(docs, several.where(F.col("distinct") <= MOST), length), length)
     large = several.where(F.col("distinct") > MOST)
     if not large.isEmpty():
