@@ -54,7 +54,7 @@ def judge(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     judged = raw.select(*clean_columns(raw), *extra, record.alias("_record")).withColumn(
         PROBLEM, _problem(corrupt)
     )
-    text = F.to_json("_record")
+    text = F.to_json("_record", {"ignoreNullFields": "false"})
     text = F.coalesce("corrupt", text) if corrupt else text
     return judged.withColumn("raw", F.when(F.col(PROBLEM).isNotNull(), text)).drop("_record")
 
@@ -98,5 +98,6 @@ def load_judge(df: DataFrame) -> DataFrame:
     """``default_nulls`` plus ``raw`` and ``problem``, ready for ``accepted`` and ``rejected``."""
     rows = default_nulls(df)
     judged = rows.withColumn(PROBLEM, _problem())
-    text = F.when(F.col(PROBLEM).isNotNull(), F.to_json(F.struct(*rows.columns)))
+    record = F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"})
+    text = F.when(F.col(PROBLEM).isNotNull(), record)
     return judged.withColumn("raw", text)

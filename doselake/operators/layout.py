@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from doselake.functions.calendar import month_label
-from doselake.functions.convert import small_int
 from doselake.operators.cleaning import PROBLEM, accepted, load_judge, rejected
-from doselake.schema import CANONICAL, FACT_SCHEMA, MONTH, to_schema
+from doselake.schema import CANONICAL, FACT_SCHEMA, MONTH
 from doselake.sources.months import misplaced, read_exchange, read_months
 
 #: Fact order: state and vaccine narrow a scan first, date and age trim within.
@@ -25,6 +26,17 @@ BLOOM = {"nome_municipio_paciente": 6_000, "codigo_cnes_estabelecimento": 60_000
 BLOOM_FPP = 0.01
 #: Values that hardly repeat: trying a dictionary only costs time.
 UNIQUE = ("codigo_documento", "codigo_paciente", "codigo_lote_vacina")
+#: Where staged rows come from: the run is the stream's own id, kept in its checkpoint.
+RUN, BATCH, ORIGIN = "run", "batch_id", "_origin"
+WITH_ORIGIN = T.StructType(FACT_SCHEMA.fields + [T.StructField(ORIGIN, T.StringType())])
+STAGED_SCHEMA = T.StructType(
+    FACT_SCHEMA.fields
+    + [
+        T.StructField(MONTH, T.StringType()),
+        T.StructField(RUN, T.StringType()),
+        T.StructField(BATCH, T.LongType()),
+    ]
+)
 #: Small row groups keep the min/max statistics of sorted columns narrow.
 ROW_GROUP_BYTES = 16 * 1024 * 1024
 
@@ -77,10 +89,27 @@ def write_months(
     )
 
 
-def append_months(df: DataFrame, root: str) -> None:
-    """Add fact rows to their months. Not idempotent: for rows that are new for certain."""
+def gate(df: DataFrame, reject_root: str | None) -> DataFrame:
+    """The rows of ``df`` the fact table can hold.
+
+    Others are added to ``reject_root`` with the reason; without it they stop the write.
+    """
+    judged = load_judge(df)
+    bad = rejected(judged)
+    if not judged.where(F.col(PROBLEM).isNotNull()).select(PROBLEM).isEmpty():
+        if reject_root is None:
+            raise ValueError("rows the fact table cannot hold; give reject_root to set them aside")
+        bad.write.mode("append").parquet(reject_root)
+    return accepted(judged)
+
+
+def append_months(df: DataFrame, root: str, reject_root: str | None = None) -> None:
+    """Add fact rows to their months. Not idempotent: for rows that are new for certain.
+
+    Nulls get the defaults of a load, and rows the table cannot hold are set aside.
+    """
     (
-        to_schema(df, FACT_SCHEMA)
+        gate(df, reject_root)
         .withColumn(MONTH, month_label(F.col("data_vacina")))
         .sortWithinPartitions(MONTH, *BY_STATE)
         .write.mode("append")
@@ -99,11 +128,10 @@ def export_months(
 ) -> DataFrame:
     """Export months of the fact table to exchange files and return rows per month.
 
-    The dose code leaves as a nullable signed byte: codes beyond 127 become null.
+    The dose code keeps its width: a signed byte would lose the codes beyond 127.
     """
     rows = read_months(spark, fact_root, months)
-    dose = small_int(F.col("codigo_dose_vacina"))
-    write_months(rows.select(*CANONICAL).withColumn("codigo_dose_vacina", dose), out_root, sort)
+    write_months(rows.select(*CANONICAL), out_root, sort)
     return rows.groupBy(MONTH).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -119,9 +147,9 @@ def load_months(
 
     Null and missing columns get defaults. A row the fact table cannot hold, or
     whose date belongs to another month than its partition, is not loaded. With
-    ``reject_root`` such rows replace the content of that folder, with the reason;
-    without it the load stops before touching the table. The check reads only
-    the columns it is about.
+    ``reject_root`` such rows replace what that folder holds of the loaded months, with
+    the reason; without it the load stops before touching the table. A month of which
+    every row is set aside ends up empty. The check reads only the columns it is about.
     """
     judged = load_judge(read_exchange(spark, exchange_root, months))
     stray = F.when(
@@ -132,13 +160,37 @@ def load_months(
     judged = judged.withColumn(PROBLEM, F.coalesce(PROBLEM, stray)).withColumn(
         "raw", F.when(F.col(PROBLEM).isNotNull(), record)
     )
-    clean = judged.where(F.col(PROBLEM).isNotNull()).select(PROBLEM).isEmpty()
+    # one row per month
+    counts = (
+        judged.groupBy(MONTH)
+        .agg(F.count_if(F.col(PROBLEM).isNull()), F.count_if(F.col(PROBLEM).isNotNull()))
+        .collect()
+    )
+    if any(bad for _, _, bad in counts):
+        if reject_root is None:
+            raise ValueError("rows the fact table cannot hold; give reject_root to set them aside")
+        (
+            rejected(judged, keep=(MONTH,))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(MONTH)
+            .parquet(reject_root)
+        )
     if reject_root is not None:
-        bad = rejected(judged, keep=(MONTH,))
-        (bad.limit(0) if clean else bad).write.mode("overwrite").parquet(reject_root)
-    elif not clean:
-        raise ValueError("rows the fact table cannot hold; give reject_root to set them aside")
+        empty_months(judged.select(PROBLEM, "raw"), reject_root, [m for m, _, bad in counts if not bad])
     write_months(accepted(judged), fact_root, bloom=bloom)
+    empty_months(accepted(judged), fact_root, [m for m, good, _ in counts if not good])
+
+
+def empty_months(like: DataFrame, root: str, labels: Iterable[str]) -> None:
+    """Leave no rows in the months ``labels`` of ``root``; months it lacks stay absent."""
+    for label in labels:
+        path = f"{root.rstrip('/')}/{MONTH}={label}"
+        try:
+            like.sparkSession.read.schema(like.schema).parquet(path)
+        except AnalysisException:
+            continue
+        like.limit(0).write.mode("overwrite").parquet(path)
 
 
 def partition_guard(stored: DataFrame) -> DataFrame:
@@ -162,10 +214,44 @@ def compact_months(
 
     In place, new files are complete in a staging folder before the old ones go.
     """
-    rows = read_months(spark, root, months).select(*CANONICAL)
+    rows = read_months(spark, root, months, schema=WITH_ORIGIN).drop(MONTH)
     write_months(rows, out_root or root, sort, bloom=bloom)
 
 
+def promote(spark: SparkSession, staged_root: str, fact_root: str, ledger_root: str) -> None:
+    """Bring staged stream batches into the fact table, each once.
+
+    The stream writes below ``staged_root`` by month, run and batch. Months with new batches are
+    rewritten with them; their rows carry the batch they came from, so that running
+    this again after a crash finds them and adds nothing. The ledger lists the batches that are
+    done for good: a month loaded anew later does not get them a second time.
+    """
+    origin = F.concat_ws("/", F.col(RUN), F.col(BATCH))
+    staged = spark.read.schema(STAGED_SCHEMA).parquet(staged_root).withColumn(ORIGIN, origin)
+    found = staged.select(ORIGIN).distinct()
+    try:
+        ledger = spark.read.schema(f"{ORIGIN} string").parquet(ledger_root)
+        found = found.join(ledger, ORIGIN, "left_anti")
+    except AnalysisException:
+        pass
+    # one row per batch
+    names = [r[0] for r in found.collect()]
+    if not names:
+        return
+    todo = spark.createDataFrame([(n,) for n in names], f"{ORIGIN} string")
+    new = staged.join(F.broadcast(todo), ORIGIN, "left_semi")
+    labels = [r[0] for r in new.select(MONTH).distinct().collect()]
+    columns = [*CANONICAL, ORIGIN]
+    rows = new.select(*columns)
+    try:
+        old = read_months(spark, fact_root, labels, schema=WITH_ORIGIN)
+        rows = old.join(F.broadcast(todo), ORIGIN, "left_anti").select(*columns).unionByName(rows)
+    except AnalysisException:
+        pass
+    write_months(rows, fact_root, bloom=BLOOM)
+    todo.write.mode("append").parquet(ledger_root)
+
+
 def create_fact_table(spark: SparkSession, name: str, location: str | None = None) -> None:
     """Create the partitioned fact table in the catalog unless it exists."""
     columns = ", ".join(

@@ -94,6 +94,8 @@ def with_state_names(weights: DataFrame) -> DataFrame:
 #: Bounds of a dimension kept as literal arrays, and of its items per cell.
 INLINE_ROWS, INLINE_BYTES, INLINE_DEPTH = 8192, 1024 * 1024, 16
 _SEPARATOR = "\x1f"
+#: Stands for null in literal arrays.
+_NULL = "\x1e"
 
 
 def _constant(values: Sequence, kind: str) -> Column:
@@ -111,7 +113,7 @@ class Inline:
     depth: int  # most items in one cell
     ends: list[int]
     starts: list[int]
-    items: Mapping[str, list[str]]
+    items: Mapping[str, list[str | None]]
 
     @staticmethod
     def of(rows: Sequence) -> Inline | None:
@@ -123,8 +125,9 @@ class Inline:
         starts = [bisect_right(ends, at) for at in range(0, total, width)]
         beyond = starts[1:] + [len(ends) - 1]
         depth = max(b - a + 1 for a, b in zip(starts, beyond, strict=True))
-        items = {c: [r[c] or "" for r in rows] for c in (*ITEMS, STATE_NAME)}
-        clash = any(_SEPARATOR in v for values in items.values() for v in values)
+        items = {c: [r[c] for r in rows] for c in (*ITEMS, STATE_NAME)}
+        marks = (_SEPARATOR, _NULL)
+        clash = any(m in (v or "") for values in items.values() for v in values for m in marks)
         if depth > INLINE_DEPTH or clash:
             return None
         return Inline(total, width, depth, ends, starts, items)
@@ -150,7 +153,9 @@ class Inline:
         return sum(steps, first)
 
     def item(self, name: str, index: Column) -> Column:
-        return F.get(_constant(self.items[name], "string"), index)
+        values = self.items[name]
+        found = F.get(_constant([_NULL if v is None else v for v in values], "string"), index)
+        return F.nullif(found, F.lit(_NULL)) if None in values else found
 
 
 @dataclass(frozen=True)
@@ -200,7 +205,8 @@ class Sampler:
         """Add columns of the items hit by the draw columns ``d_<dimension>``.
 
         ``picks`` maps a dimension to ``{item: output column}``. Literal arrays
-        and joins give the same items. A joined table is broadcast if its
+        and joins give the same items, nulls included; a dimension without weights
+        gives nulls. A joined table is broadcast if its
         measured size is small, otherwise both sides are shuffled on the evenly
         spread cell.
         """
@@ -222,6 +228,8 @@ class Sampler:
         return df
 
     def _join(self, df: DataFrame, dimension: str, names: Mapping[str, str]) -> DataFrame:
+        if dimension not in self.stats:
+            return df.withColumns({out: F.lit(None).cast("string") for out in names.values()})
         total, width, rows, size = self.stats[dimension]
         x, cell, lo, hi = "_x", "_cell", "_lo", "_hi"
         table = (

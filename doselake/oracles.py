@@ -182,10 +182,11 @@ def _exchange(where: str = "true") -> str:
 
 def _legacy() -> str:
     cols = dict(DOSE_EVENTS_ANSI)
+    # code "x" and ages 300 and 40000 are set aside, code "200" is kept
     cols["codigo_dose_vacina"] = (
-        "cast(case when l_linenumber in (3, 4) then null else l_linenumber end as smallint)"
+        "cast(case when l_linenumber = 4 then 200 else l_linenumber end as smallint)"
     )
-    return f"select {_select(cols)} from lineitem"
+    return f"select {_select(cols)} from lineitem where l_linenumber not in (3, 5, 6)"
 
 
 _LOOKUP = """
@@ -496,6 +497,11 @@ def oracle_sql() -> dict[str, str]:
         f"as as_byte, {_digits('codigo_dose_vacina')} as as_digits from raw",
         "clean_records": _CLEAN_FACT,
         "stream_ingest": _CLEAN_FACT,
+        "stream_reset": _CLEAN_FACT,
+        "stream_then_compact": _CLEAN_FACT,
+        "stream_then_load": _exchange(f"{month} in ('2025-01', '2025-03')"),
+        "quarantine_pages": "select 'accepted' as outcome, count(*) as n from events "
+        "where event_id // 100 <> 2 union all select 'malformed record', 1",
         "quarantine": _QUARANTINE,
         "null_as_default": _exchange(),
         "load_month": _exchange(f"{month} in ('2025-01', '2025-03')"),

@@ -36,6 +36,8 @@ QUERIES: dict[str, Query] = {}
 PLAN_SHARD, PLAN_SEED, PLAN_TARGET = 400, 42, 50_000_000
 #: Page number that the gappy landing lacks.
 GAP = 47
+#: The page that is cut short and the one landed twice.
+CUT, TWICE = 2, 5
 TEXT_FIELDS = [f for f in FIELDS if f.kind == "text"]
 
 
@@ -243,7 +245,10 @@ def legacy_align(spark, sf_dir):
     old = legacy.to_legacy(dose_events(spark, sf_dir))
     dose = F.col("codigo_dose_vacina")
     odd = F.when(dose == "3", F.lit("x")).when(dose == "4", F.lit("200")).otherwise(dose)
-    return legacy.from_legacy(old.withColumn("codigo_dose_vacina", odd))
+    age = F.when(dose == "5", 300).when(dose == "6", 40_000).otherwise(F.col("numero_idade_paciente"))
+    return legacy.from_legacy(
+        old.withColumns({"codigo_dose_vacina": odd, "numero_idade_paciente": age})
+    )
 
 
 @query
@@ -277,7 +282,23 @@ def _landed(spark: SparkSession, sf_dir: str) -> str:
 
 @query
 def scan_pages(spark, sf_dir):
-    return pages.scan_pages(spark, _landed(spark, sf_dir))
+    return pages.scan_pages(spark, _landed(spark, sf_dir)).drop("corrupt")
+
+
+@query
+def quarantine_pages(spark, sf_dir):
+    """A page cut short and a page landed twice among the landed ones: what comes of all records."""
+    src = spark.read.text(_landed(spark, sf_dir))
+    number = F.get_json_object("value", "$.offset").cast("bigint")
+    lines = src.select(
+        F.when(number == CUT, F.substring("value", 1, 400)).otherwise(F.col("value")).alias("value"), number.alias("n")
+    )
+    path = work_dir(spark, "cut-pages")
+    lines.unionAll(lines.where(F.col("n") == TWICE)).select("value").write.text(path)
+    judged = cleaning.judge(pages.scan_pages(spark, path), keep=("page", "pos"))
+    return judged.groupBy(F.coalesce(cleaning.PROBLEM, F.lit("accepted")).alias("outcome")).agg(
+        F.count("*").alias("n")
+    )
 
 
 def _gappy_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -301,12 +322,59 @@ def ingest_progress(spark, sf_dir):
 def stream_ingest(spark, sf_dir):
     """Landed pages through the stream into the fact table, read back."""
     root = work_dir(spark, "ingest")
-    sink = IngestSink(f"{root}/fact", f"{root}/rejects", f"{root}/partials")
-    q = start_ingest(spark, _landed(spark, sf_dir), sink, f"{root}/checkpoint", files_per_batch=4)
-    q.awaitTermination()
+    _streamed(spark, _landed(spark, sf_dir), root, f"{root}/partials")
+    _promoted(spark, root)
     return months.read_months(spark, f"{root}/fact").select(*CANONICAL)
 
 
+def _streamed(spark: SparkSession, src: str, root: str, partials: str | None = None, checkpoint: str = "one"):
+    sink = IngestSink(f"{root}/staged", f"{root}/rejects", partials)
+    start_ingest(spark, src, sink, f"{root}/{checkpoint}", files_per_batch=4).awaitTermination()
+
+
+def _promoted(spark: SparkSession, root: str) -> None:
+    layout.promote(spark, f"{root}/staged", f"{root}/fact", f"{root}/ledger")
+
+
+@query
+def stream_reset(spark, sf_dir):
+    """Two checkpoints, each with half the pages, into one table; promoted after each and once more."""
+    root = work_dir(spark, "reset")
+    lines = spark.read.text(_landed(spark, sf_dir))
+    odd = F.get_json_object("value", "$.offset").cast("bigint") % 2
+    for k in (0, 1):
+        lines.where(odd == k).write.text(f"{root}/src{k}")
+        _streamed(spark, f"{root}/src{k}", root, checkpoint=f"checkpoint{k}")
+        _promoted(spark, root)
+    _promoted(spark, root)
+    return months.read_months(spark, f"{root}/fact").select(*CANONICAL)
+
+
+@query
+def stream_then_compact(spark, sf_dir):
+    """A streamed table, compacted, with no rows appended, promoted again: nothing changes."""
+    root = work_dir(spark, "stream-compact")
+    _streamed(spark, _landed(spark, sf_dir), root)
+    _promoted(spark, root)
+    layout.compact_months(spark, f"{root}/fact")
+    fact = months.read_months(spark, f"{root}/fact").select(*CANONICAL)
+    layout.append_months(fact.limit(0), f"{root}/fact")
+    _promoted(spark, root)
+    return months.read_months(spark, f"{root}/fact").select(*CANONICAL)
+
+
+@query
+def stream_then_load(spark, sf_dir):
+    """Streamed months replaced by a load of exchange files, which a later promotion leaves alone."""
+    root = work_dir(spark, "stream-load")
+    layout.write_months(dose_events(spark, sf_dir).limit(0), f"{root}/fact")
+    _streamed(spark, _landed(spark, sf_dir), root)
+    _promoted(spark, root)
+    layout.load_months(spark, _exchange(spark, sf_dir), f"{root}/fact", [202501, 202503])
+    _promoted(spark, root)
+    return months.read_months(spark, f"{root}/fact", [202501, 202503]).select(*CANONICAL)
+
+
 @query
 def stream_rollup_a(spark, sf_dir):
     """Fact files through the live rollup, partial rows merged on reading."""

@@ -187,6 +187,46 @@ def test_load_is_repeatable_and_rejects_bad_rows(spark, fact, tmp_path):
     }
 
 
+def test_month_of_bad_rows_ends_up_empty_and_rejects_stay_by_month(spark, fact, tmp_path):
+    src, dst, bad = str(tmp_path / "x"), str(tmp_path / "f"), str(tmp_path / "bad")
+    layout.write_months(fact, dst)
+    january = fact.where(F.month("data_vacina") == 1)
+    layout.write_months(january.withColumn("numero_idade_paciente", F.lit(300)), src)
+    layout.load_months(spark, src, dst, reject_root=bad)
+    left = fact.where(F.month("data_vacina") != 1)
+    assert months.read_months(spark, dst).count() == left.count()
+    february = fact.where(F.month("data_vacina") == 2)
+    layout.write_months(february, src)
+    layout.load_months(spark, src, dst, ["2025-02"], reject_root=bad)
+    assert spark.read.parquet(bad).count() == january.count()
+    layout.write_months(january, src)
+    layout.load_months(spark, src, dst, ["2025-01"], reject_root=bad)
+    assert spark.read.parquet(bad).count() == 0
+    assert months.read_months(spark, dst).count() == fact.count()
+
+
+def test_dose_codes_survive_export(spark, fact, tmp_path):
+    table, out, back = (str(tmp_path / x) for x in "toc")
+    high = fact.withColumn("codigo_dose_vacina", F.lit(200).cast("smallint"))
+    layout.write_months(high, table)
+    layout.export_months(spark, table, out)
+    layout.load_months(spark, out, back)
+    assert rows(months.read_months(spark, back).select(*CANONICAL)) == rows(high)
+
+
+def test_append_takes_only_what_the_table_holds(spark, fact, tmp_path):
+    odd = fact.limit(3).withColumns(
+        {"codigo_dose_vacina": F.lit(None).cast("smallint"), "nome_uf_paciente": F.lit(None).cast("string")}
+    )
+    undated = fact.limit(2).withColumn("data_vacina", F.lit(None).cast("date"))
+    with pytest.raises(ValueError):
+        layout.append_months(undated, str(tmp_path / "f"))
+    layout.append_months(odd.unionByName(undated), str(tmp_path / "f"), str(tmp_path / "bad"))
+    got = months.read_months(spark, str(tmp_path / "f")).collect()
+    assert [r["codigo_dose_vacina"] for r in got] == [0, 0, 0]
+    assert spark.read.parquet(str(tmp_path / "bad")).count() == 2
+
+
 def test_rollup_survives_export_and_load(spark, fact, stored, tmp_path):
     out, back = str(tmp_path / "o"), str(tmp_path / "b")
     counts = layout.export_months(spark, stored, out, sort=layout.BY_ESTABLISHMENT)

@@ -5,7 +5,7 @@ import json
 import pytest
 from helpers import raw_row, rows
 
-from doselake.operators import rollups
+from doselake.operators import layout, rollups
 from doselake.operators.rollups import ROLLUPS
 from doselake.plans import load
 from doselake.schema import CANONICAL, ENVELOPE_KEY
@@ -45,7 +45,7 @@ def test_ingest_resume_replay_and_rejects(spark, tmp_path, sink):
     bad = raw_row(data_vacina="?", codigo_documento="bad")
     land(src, {0: [record(0), record(1), record(2)], 1: [record(3), bad, record(5)]})
     run(spark, src, sink, checkpoint, files_per_batch=1)
-    fact = read_months(spark, sink.fact_root)
+    fact = read_months(spark, sink.staged_root)
     assert {r["codigo_documento"] for r in fact.collect()} == {f"d{i}" for i in (0, 1, 2, 3, 5)}
 
     # a restart takes new pages only
@@ -53,7 +53,7 @@ def test_ingest_resume_replay_and_rejects(spark, tmp_path, sink):
     (src / "broken.json").write_text('{"offset": 3, "doses')
     q = run(spark, src, sink, checkpoint)
     assert sum(p["numInputRows"] for p in q.recentProgress) == 2
-    fact = read_months(spark, sink.fact_root)
+    fact = read_months(spark, sink.staged_root)
     assert fact.count() == 6 and fact.columns == [*CANONICAL, "year_month"]
     rejects = spark.read.parquet(sink.reject_root)
     assert {(r["problem"], r["page"]) for r in rejects.collect()} == {
@@ -65,13 +65,13 @@ def test_ingest_resume_replay_and_rejects(spark, tmp_path, sink):
     # a replayed batch overwrites what it wrote
     before = rows(fact)
     batch = explode_all(scan_envelopes(spark, str(src / "p0.json")))
-    first = spark.read.parquet(sink.fact_root).where("codigo_documento = 'd0'").first()["batch_id"]
-    sink(batch, first)
-    assert rows(read_months(spark, sink.fact_root)) == before
+    first = spark.read.parquet(sink.staged_root).where("codigo_documento = 'd0'").first()
+    sink(batch, first["batch_id"], first["run"])
+    assert rows(read_months(spark, sink.staged_root)) == before
 
     # live rollups equal a rebuild from the fact table
     load.refresh(spark, sink.partial_root, str(tmp_path / "live"), mode="live")
-    load.refresh(spark, sink.fact_root, str(tmp_path / "batch"), mode="batch")
+    load.refresh(spark, sink.staged_root, str(tmp_path / "batch"), mode="batch")
     for spec in ROLLUPS:
         live, batch = (
             rollups.estimate(load.read_rollup(spark, str(tmp_path / d), spec).select(*spec.columns))
@@ -81,13 +81,25 @@ def test_ingest_resume_replay_and_rejects(spark, tmp_path, sink):
         assert live.agg({"total_doses": "sum"}).first()[0] == 6
 
 
-def test_new_checkpoint_starts_over(spark, tmp_path, sink):
-    src = tmp_path / "src"
-    land(src, {0: [record(0)], 1: [record(1)]})
-    run(spark, src, sink, tmp_path / "one")
-    q = run(spark, src, sink, tmp_path / "two")
-    assert sum(p["numInputRows"] for p in q.recentProgress) == 2
-    assert read_months(spark, sink.fact_root).count() == 2  # batch 0 again: overwritten
+def test_new_checkpoint_loses_nothing(spark, tmp_path, sink):
+    fact, ledger = str(tmp_path / "table"), str(tmp_path / "ledger")
+    for k in (0, 1):  # other pages, batch 0 again
+        src = tmp_path / f"src{k}"
+        land(src, {k: [record(2 * k), record(2 * k + 1)]})
+        run(spark, src, sink, tmp_path / f"checkpoint{k}")
+        for _ in range(2):
+            layout.promote(spark, sink.staged_root, fact, ledger)
+    names = [r["codigo_documento"] for r in read_months(spark, fact).collect()]
+    assert sorted(names) == ["d0", "d1", "d2", "d3"]
+    for spec in ROLLUPS:
+        partial = spark.read.parquet(load.rollup_path(sink.partial_root, spec))
+        assert partial.agg({"total_doses": "sum"}).first()[0] == 4
+    # a crash before the ledger was written
+    layout.promote(spark, sink.staged_root, fact, str(tmp_path / "other"))
+    assert read_months(spark, fact).count() == 4
+    layout.compact_months(spark, fact)
+    layout.append_months(read_months(spark, fact).select(*CANONICAL).limit(1), fact)
+    assert read_months(spark, fact).count() == 5
 
 
 def test_ingest_without_live_rollups(spark, tmp_path):
@@ -95,7 +107,7 @@ def test_ingest_without_live_rollups(spark, tmp_path):
     land(src, {0: [record(0)]})
     sink = ingest.IngestSink(str(tmp_path / "f"), str(tmp_path / "r"))
     run(spark, src, sink, tmp_path / "c")
-    assert read_months(spark, sink.fact_root).count() == 1
+    assert read_months(spark, sink.staged_root).count() == 1
 
 
 def test_one_file_per_page_stream(spark, tmp_path, sink):
@@ -105,7 +117,7 @@ def test_one_file_per_page_stream(spark, tmp_path, sink):
         body = json.dumps({ENVELOPE_KEY: [record(p)]}, indent=1)
         (src / f"page-{p:06d}.json").write_text(body)
     run(spark, src, sink, tmp_path / "c", packed=False)
-    assert read_months(spark, sink.fact_root).count() == 3
+    assert read_months(spark, sink.staged_root).count() == 3
 
 
 def test_unknown_refresh_mode(spark, tmp_path):
