@@ -7,8 +7,8 @@ shingles in another order do not. ``SKETCHES`` independent sketches are taken. D
 that agree in one meet in a bucket.
 
 In a bucket the first document is the hub, and all others are compared with it, never all
-pairs. Those not close enough to it form the next round's buckets, by length too, with hubs of
-their own, until none is left. A comparison aligns the two word sequences in the band of offsets
+pairs. Those not close enough to it form new buckets, by length too, with hubs of their own,
+until none is left; small buckets do so within one task. A comparison aligns the two word sequences in the band of offsets
 that the threshold allows; similarity is the share of the longer text's words that are
 aligned, in order, with equal ones. Pairs of ``threshold`` or more are links, and classes are
 the connected components of the links.
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from doselake.llm.common import stored, text_key, words_of
+from doselake.llm.common import partitions, stored, text_key, words_of
 
 WORDS, THRESHOLD = 5, 0.8
 #: With these a pair of Jaccard value 0.8 over shingles is missed with a chance of 1e-10, one of 0.6
@@ -38,6 +38,8 @@ SKETCHES, KEPT = 32, 3
 SEEDS = np.random.default_rng(20190705).integers(1, 2**63, SKETCHES, np.uint64) | np.uint64(1)
 MIX = np.uint64(0xBF58476D1CE4E5B9)
 REMEMBERED = 300_000
+#: Labels hashed at once, members of a bucket that one task compares by itself at most.
+LABELS, MEMBERS = 16_384, 256
 
 
 class WordDigests(dict):
@@ -83,22 +85,31 @@ def labels(d: np.ndarray) -> np.ndarray:
     return mixed(h + occurrence * np.uint64(0xD6E8FEB86659FD93))
 
 
-def sketches(label: np.ndarray) -> list[int]:
-    """One 64-bit value per sketch: its smallest labels in text order."""
+def sketches(label: np.ndarray) -> np.ndarray:
+    """One 64-bit value per sketch: its smallest labels in text order; none for no labels."""
     if not len(label):
-        return []
-    out = []
-    for k, seed in enumerate(SEEDS):
-        h = mixed(label * seed)
-        if len(h) > KEPT:
-            at = np.sort(np.argpartition(h, KEPT)[:KEPT])
+        return np.empty(0, np.int64)
+    least = at = None
+    for start in range(0, len(label), LABELS):
+        h = label[None, start : start + LABELS] * SEEDS[:, None]
+        h ^= h >> np.uint64(29)
+        h *= MIX
+        if h.shape[1] > KEPT:
+            some = np.argpartition(h, KEPT - 1, axis=1)[:, :KEPT]
+            h = np.take_along_axis(h, some, 1)
         else:
-            at = np.arange(len(h))
-        value = k
-        for x in label[at].tolist():
-            value = (value * 0x9E3779B97F4A7C15 + x ^ value >> 31) & 0xFFFFFFFFFFFFFFFF
-        out.append(value - (1 << 63))
-    return out
+            some = np.broadcast_to(np.arange(h.shape[1]), h.shape)
+        some = some + start
+        if least is not None:
+            h, some = np.concatenate([least, h], 1), np.concatenate([at, some], 1)
+            if h.shape[1] > KEPT:
+                few = np.argpartition(h, KEPT - 1, axis=1)[:, :KEPT]
+                h, some = np.take_along_axis(h, few, 1), np.take_along_axis(some, few, 1)
+        least, at = h, some
+    value = np.arange(SKETCHES, dtype=np.uint64)
+    for x in label[np.sort(at, axis=1)].T:
+        value = mixed(value * np.uint64(0x9E3779B97F4A7C15) + x)
+    return value.view(np.int64)
 
 
 def aligned(a: list[int], b: list[int], band: int) -> int:
@@ -150,8 +161,10 @@ def sketched(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     def sketch(batches):
         for batch in batches:
             made = [sketches(labels(sequence(t.as_py()))) for t in batch.column(2)]
+            ends = np.cumsum([0, *map(len, made)]).astype(np.int32)
+            flat = pa.array(np.concatenate([np.empty(0, np.int64), *made]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(made, pa.list_(pa.int64()))],
+                [batch.column(0), batch.column(1), pa.ListArray.from_arrays(ends, flat)],
                 names=["key", "id", "sketch"],
             )
 
@@ -198,24 +211,68 @@ def verified(pairs: DataFrame, seqs: DataFrame, threshold: float) -> DataFrame:
 
 
 def shared_buckets(rows: DataFrame) -> DataFrame:
-    """(bucket, key, hub) of every bucket of two or more."""
+    """(bucket, key, hub, members) of every bucket of two or more."""
     hubs = (
         rows.groupBy("bucket")
-        .agg(F.min("key").alias("hub"), F.count("*").alias("n"))
-        .where("n > 1")
-        .drop("n")
+        .agg(F.min("key").alias("hub"), F.count("*").alias("members"))
+        .where("members > 1")
+    )
+    return rows.join(hubs, "bucket").select("bucket", "key", "hub", "members")
+
+
+def compared_in_tasks(rows: DataFrame, seqs: DataFrame, threshold: float) -> DataFrame:
+    """Links (key, hub, similarity) within buckets of at most ``MEMBERS`` members.
+
+    The rounds of ``links_of``, one after the other in the task that has the bucket: a member is
+    compared with the bucket's hubs in turn and becomes one if it is close to none.
+    """
+
+    def work(batches):
+        last, hubs, links = None, [], []
+        for batch in batches:
+            for bucket, key, seq in zip(*(batch.column(i) for i in range(3)), strict=True):
+                bucket, key = bucket.as_py(), key.as_py()
+                if bucket != last:
+                    last, hubs = bucket, []
+                words = np.frombuffer(seq.as_py(), np.uint64)
+                for hub, other in hubs:
+                    got = similarity(words, other, threshold)
+                    if got >= threshold:
+                        links.append((key, hub, got))
+                        break
+                else:
+                    hubs.append((key, words))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([x[0] for x in links], pa.binary()),
+                    pa.array([x[1] for x in links], pa.binary()),
+                    pa.array([x[2] for x in links], pa.float64()),
+                ],
+                names=["key", "hub", "similarity"],
+            )
+            links = []
+
+    held = rows.select("bucket", "key").join(seqs, "key").select("bucket", "key", "seq")
+    return (
+        held.repartition(partitions(rows.sparkSession), "bucket")
+        .sortWithinPartitions("bucket", "key")
+        .mapInArrow(work, "key binary, hub binary, similarity double")
+        .dropDuplicates(["key", "hub"])
     )
-    return rows.join(hubs, "bucket").select("bucket", "key", "hub")
 
 
 def links_of(docs: DataFrame, doc_id: str, text: str, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """(key, id) of all distinct texts, and links (key, hub, similarity)."""
+    """(key, id) of all distinct texts, and links (key, hub, similarity).
+
+    The first round compares all members with their hub. What it leaves is parted by length and goes on in
+    tasks, bucket by bucket; only what is left of larger buckets has further rounds.
+    """
     texts = stored(sketched(docs, doc_id, text), "near-sketches")
     rows = texts.select("key", F.explode("sketch").alias("bucket"))
     open_ = stored(shared_buckets(rows), "near-buckets")
     wanted = open_.select("key").distinct().join(texts.select("key", "id"), "key")
     seqs = stored(sequences(docs, wanted, doc_id, text), "near-sequences")
-    found, parted = None, True
+    found, parted = None, False
     while True:
         pairs = open_.where("key <> hub").select("key", "hub").distinct()
         judged = stored(verified(pairs, seqs, threshold), "near-pairs")
@@ -225,16 +282,19 @@ def links_of(docs: DataFrame, doc_id: str, text: str, threshold: float) -> tuple
         if failed.isEmpty():
             break
         rest = open_.join(failed, ["key", "hub"], "left_semi").select("bucket", "key")
-        if parted:
+        if not parted:
             # texts of one class of lengths, or of neighbouring ones
             part = F.floor(F.log(F.octet_length("seq") / 8) / -math.log(threshold)).cast("int")
             rest = rest.join(seqs.select("key", F.explode(F.array(part, part + 1)).alias("part")), "key")
             rest = rest.select(F.xxhash64("bucket", "part").alias("bucket"), "key")
-            parted = False
-        open_ = stored(shared_buckets(rest), "near-buckets")
+            parted = True
+        rest = stored(shared_buckets(rest), "near-buckets")
+        small = compared_in_tasks(rest.where(F.col("members") <= MEMBERS), seqs, threshold)
+        found = found.unionByName(stored(small, "near-pairs"))
+        open_ = rest.where(F.col("members") > MEMBERS)
         if open_.isEmpty():
             break
-    return texts.select("key", "id"), found
+    return texts.select("key", "id"), found.dropDuplicates(["key", "hub"])
 
 
 def components(links: DataFrame) -> DataFrame:

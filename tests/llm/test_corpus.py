@@ -285,6 +285,14 @@ def test_similarity_equals_alignment():
         assert got == pytest.approx(want) if want >= 0.8 else got < 0.8
 
 
+def test_sketches_do_not_depend_on_blocks(monkeypatch):
+    label = np.random.default_rng(1).integers(0, 2**63, 500, np.uint64)
+    want = minhash.sketches(label)
+    monkeypatch.setattr(minhash, "LABELS", 7)
+    assert (minhash.sketches(label) == want).all() and len(set(want)) == minhash.SKETCHES
+    assert len(minhash.sketches(label[:2])) == minhash.SKETCHES and not len(minhash.sketches(label[:0]))
+
+
 def test_classes_against_all_pairs(spark, awkward, documents):
     rows = near_copies()
     want = plain_classes(rows)
@@ -294,7 +302,9 @@ def test_classes_against_all_pairs(spark, awkward, documents):
     assert minhash.near_duplicates(brute.empty(spark)).count() == 0
 
 
-def test_buckets_get_new_hubs_until_none_is_left(spark):
+@pytest.mark.parametrize("members", [minhash.MEMBERS, 3])
+def test_buckets_get_new_hubs_until_none_is_left(spark, monkeypatch, members):
+    monkeypatch.setattr(minhash, "MEMBERS", members)
     base = [f"w{k}" for k in range(300)]
     # all share their first half, pairs share their second half as well
     rows = []
