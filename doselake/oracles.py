@@ -500,8 +500,10 @@ def oracle_sql() -> dict[str, str]:
         "stream_reset": _CLEAN_FACT,
         "stream_then_compact": _CLEAN_FACT,
         "stream_then_load": _exchange(f"{month} in ('2025-01', '2025-03')"),
-        "quarantine_pages": "select 'accepted' as outcome, count(*) as n from events "
-        "where event_id // 100 <> 2 union all select 'malformed record', 1",
+        "quarantine_pages": f"with {_CLEAN}, judged as (select case when event_id // 100 = 2 "
+        f"then '{MALFORMED}' else coalesce({_problem()}, 'accepted') end as outcome, "
+        "case when event_id // 100 = 2 then -1 else event_id end as record from clean) "
+        "select outcome, count(distinct record) as n from judged group by outcome",
         "quarantine": _QUARANTINE,
         "null_as_default": _exchange(),
         "load_month": _exchange(f"{month} in ('2025-01', '2025-03')"),
