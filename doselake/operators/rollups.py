@@ -51,6 +51,7 @@ class Rollup:
         return [*self.keys, "total_doses", PATIENTS, *self.counters[1:]]
 
 
+# The conditions of both rollups.
 _DOSE_COUNTS = (
     ("first_doses", "codigo_dose_vacina = 1"),
     ("second_doses", "codigo_dose_vacina = 2"),
@@ -143,17 +144,18 @@ def estimate(rows: DataFrame) -> DataFrame:
     return rows.withColumn(PATIENTS, F.theta_sketch_estimate(PATIENTS))
 
 
-def store(rows: DataFrame, spec: Rollup, path: str) -> None:
+def store(rows: DataFrame, spec: Rollup, path: str, months: Sequence[str] | None = None) -> None:
     """Replace a stored rollup: month partitions, rows in key order.
 
-    The whole table is replaced, so months that lost all their rows disappear.
+    Given ``months``, those are replaced and the others stay; else the whole table is,
+    so that months that lost all their rows disappear.
     """
     with_month = rows.withColumn(MONTH, month_label(F.col("data_vacina")))
     (
         with_month.hint("rebalance", MONTH)
         .sortWithinPartitions(MONTH, *spec.keys)
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
+        .option("partitionOverwriteMode", "static" if months is None else "dynamic")
         .partitionBy(MONTH)
         .parquet(path)
     )

@@ -92,12 +92,42 @@ def rollup_merge(spark, sf_dir):
 
 @query
 def rollup_refresh(spark, sf_dir):
-    """Both rollups backfilled from the stored fact table, read back from storage."""
+    """Both rollups backfilled from the stored fact table; the second read back."""
     root = work_dir(spark, "rollups")
     load.refresh(spark, _fact(spark, sf_dir), root, mode="batch")
     return rollups.estimate(load.read_rollup(spark, root, B))
 
 
+@query
+def rollup_refresh_a(spark, sf_dir):
+    """Both rollups backfilled from the stored fact table; the first read back."""
+    root = work_dir(spark, "rollups")
+    load.refresh(spark, _fact(spark, sf_dir), root, mode="batch")
+    return rollups.estimate(load.read_rollup(spark, root, A))
+
+
+@query
+def rollup_refresh_months(spark, sf_dir):
+    """The rollups of wrong rows, put right month by month from the stored fact table."""
+    root, fact = work_dir(spark, "rollups"), _fact(spark, sf_dir)
+    wrong = months.read_months(spark, fact).where(F.col("codigo_dose_vacina") > 2)
+    for spec in rollups.ROLLUPS:
+        rollups.store(rollups.build(wrong, spec), spec, load.rollup_path(root, spec))
+    for row in months.discover_months(spark, fact).collect():
+        load.backfill(spark, fact, root, [row[MONTH]])
+    return rollups.estimate(load.read_rollup(spark, root, A))
+
+
+@query
+def rollup_refresh_live(spark, sf_dir):
+    """Partial rollups of a stream of fact files folded into the stored rollup."""
+    root, src = work_dir(spark, "live-fold"), _fact(spark, sf_dir)
+    stream = spark.readStream.schema(spark.read.parquet(src).schema).parquet(src)
+    start_live_rollups(spark, stream, f"{root}/partials", f"{root}/checkpoint").awaitTermination()
+    load.refresh(spark, f"{root}/partials", f"{root}/rollups", mode="live")
+    return rollups.estimate(load.read_rollup(spark, f"{root}/rollups", A))
+
+
 def _stored_rollup(spark: SparkSession, sf_dir: str, spec: rollups.Rollup = A) -> DataFrame:
     """The rollup as the dashboard finds it: built and stored before."""
     path = _once(
