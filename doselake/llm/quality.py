@@ -279,7 +279,9 @@ def judge_quality(
     ids = trusted_ids.select(F.col(trusted_ids.columns[0]).alias("_id")).distinct()
     name = F.coalesce(F.col(lang), F.lit(NO_LANG))
     rows = docs.select(F.col(doc_id).alias("_id"), name.alias("lang"), F.col(text).alias("text"))
-    trusted = rows.where(F.length("text") > 0).join(ids, "_id", "left_semi").select("lang", "text")
+    # the ids grow with the documents: the same join at every size
+    trusted = rows.where(F.length("text") > 0).join(ids.hint("merge"), "_id", "left_semi")
+    trusted = trusted.select("lang", "text")
     model = train(trusted, order)
     score = scored_by_lookup if model.count() <= model_rows else scored_by_join
     scores = score(docs.select(*kept, name.alias("_lang"), F.col(text).alias("_text")), model, order)
