@@ -8,7 +8,7 @@ that agree in one meet in a bucket.
 
 In a bucket the first document is the hub, and all others are compared with it, never all
 pairs. Those not close enough to it form new buckets, by length too, with hubs of their own,
-until none is left; small buckets do so within one task. A comparison aligns the two word sequences in the band of offsets
+until none is left; a task settles up to ``MEMBERS`` of a bucket at once. A comparison aligns the two word sequences in the band of offsets
 that the threshold allows; similarity is the share of the longer text's words that are
 aligned, in order, with equal ones. Pairs of ``threshold`` or more are links, and classes are
 the connected components of the links.
@@ -26,7 +26,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from doselake.llm.common import partitions, stored, text_key, words_of
@@ -38,8 +38,8 @@ SKETCHES, KEPT = 32, 3
 SEEDS = np.random.default_rng(20190705).integers(1, 2**63, SKETCHES, np.uint64) | np.uint64(1)
 MIX = np.uint64(0xBF58476D1CE4E5B9)
 REMEMBERED = 300_000
-#: Labels hashed at once, members of a bucket that one task compares by itself at most.
-LABELS, MEMBERS = 16_384, 256
+#: Labels hashed at once, members of a bucket that one task compares with each other at most.
+LABELS, MEMBERS = 16_384, 128
 
 
 class WordDigests(dict):
@@ -211,89 +211,94 @@ def verified(pairs: DataFrame, seqs: DataFrame, threshold: float) -> DataFrame:
 
 
 def shared_buckets(rows: DataFrame) -> DataFrame:
-    """(bucket, key, hub, members) of every bucket of two or more."""
+    """(bucket, key, hub) of every bucket of two or more."""
     hubs = (
         rows.groupBy("bucket")
         .agg(F.min("key").alias("hub"), F.count("*").alias("members"))
         .where("members > 1")
     )
-    return rows.join(hubs, "bucket").select("bucket", "key", "hub", "members")
+    return rows.join(hubs, "bucket").select("bucket", "key", "hub")
 
 
 def compared_in_tasks(rows: DataFrame, seqs: DataFrame, threshold: float) -> DataFrame:
-    """Links (key, hub, similarity) within buckets of at most ``MEMBERS`` members.
+    """(bucket, key, hub, similarity): each member's link to a hub; hub null: close to none.
 
-    The rounds of ``links_of``, one after the other in the task that has the bucket: a member is
-    compared with the bucket's hubs in turn and becomes one if it is close to none.
+    Members of a bucket are numbered by key and cut into tiles of ``MEMBERS``. In the first tile a member is
+    compared with the hubs so far and becomes one if it is close to none, which settles the tile. The
+    other tiles are compared with all members of the first, each tile in a task of its own; those
+    close to none go on to the next round, which is thereby shorter by a whole tile.
     """
+    rank = F.row_number().over(Window.partitionBy("bucket").orderBy("key")) - 1
+    tiled = rows.select("bucket", "key", F.floor(rank / MEMBERS).cast("int").alias("tile"))
+    tiled = stored(tiled, "near-tiles")
+    tiles = tiled.where("tile > 0").select("bucket", "tile").distinct()
+    heads = tiled.where("tile = 0").select("bucket", "key")
+    copies = heads.join(tiles, "bucket").select("bucket", "tile", "key", F.lit(True).alias("head"))
+    held = tiled.select("bucket", "tile", "key", F.lit(False).alias("head")).unionByName(copies)
+    held = held.join(seqs, "key").select("bucket", "tile", "head", "key", "seq")
 
     def work(batches):
-        last, hubs, links = None, [], []
+        last, hubs = None, []
         for batch in batches:
-            for bucket, key, seq in zip(*(batch.column(i) for i in range(3)), strict=True):
-                bucket, key = bucket.as_py(), key.as_py()
-                if bucket != last:
-                    last, hubs = bucket, []
+            out = []
+            for bucket, tile, head, key, seq in zip(*(batch.column(i) for i in range(5)), strict=True):
+                bucket, tile, key = bucket.as_py(), tile.as_py(), key.as_py()
                 words = np.frombuffer(seq.as_py(), np.uint64)
+                if (bucket, tile) != last:
+                    last, hubs = (bucket, tile), []
+                if head.as_py():
+                    hubs.append((key, words))
+                    continue
                 for hub, other in hubs:
                     got = similarity(words, other, threshold)
                     if got >= threshold:
-                        links.append((key, hub, got))
+                        out.append((bucket, key, hub, got))
                         break
                 else:
-                    hubs.append((key, words))
+                    if tile:
+                        out.append((bucket, key, None, 0.0))
+                    else:
+                        hubs.append((key, words))
+            kinds = (pa.int64(), pa.binary(), pa.binary(), pa.float64())
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([x[0] for x in links], pa.binary()),
-                    pa.array([x[1] for x in links], pa.binary()),
-                    pa.array([x[2] for x in links], pa.float64()),
-                ],
-                names=["key", "hub", "similarity"],
+                [pa.array([x[i] for x in out], k) for i, k in enumerate(kinds)],
+                names=["bucket", "key", "hub", "similarity"],
             )
-            links = []
 
-    held = rows.select("bucket", "key").join(seqs, "key").select("bucket", "key", "seq")
     return (
-        held.repartition(partitions(rows.sparkSession), "bucket")
-        .sortWithinPartitions("bucket", "key")
-        .mapInArrow(work, "key binary, hub binary, similarity double")
-        .dropDuplicates(["key", "hub"])
+        held.repartition(partitions(rows.sparkSession), "bucket", "tile")
+        .sortWithinPartitions("bucket", "tile", F.desc("head"), "key")
+        .mapInArrow(work, "bucket long, key binary, hub binary, similarity double")
     )
 
 
 def links_of(docs: DataFrame, doc_id: str, text: str, threshold: float) -> tuple[DataFrame, DataFrame]:
     """(key, id) of all distinct texts, and links (key, hub, similarity).
 
-    The first round compares all members with their hub. What it leaves is parted by length and goes on in
-    tasks, bucket by bucket; only what is left of larger buckets has further rounds.
+    First all members of a bucket are compared with its hub. Buckets of what that leaves are parted by
+    length and settled tile by tile.
     """
     texts = stored(sketched(docs, doc_id, text), "near-sketches")
     rows = texts.select("key", F.explode("sketch").alias("bucket"))
     open_ = stored(shared_buckets(rows), "near-buckets")
     wanted = open_.select("key").distinct().join(texts.select("key", "id"), "key")
     seqs = stored(sequences(docs, wanted, doc_id, text), "near-sequences")
-    found, parted = None, False
+    pairs = open_.where("key <> hub").select("key", "hub").distinct()
+    judged = stored(verified(pairs, seqs, threshold), "near-pairs")
+    found = judged.where(F.col("similarity") >= threshold)
+    failed = judged.where(F.col("similarity") < threshold).select("key", "hub")
+    rest = open_.join(failed, ["key", "hub"], "left_semi").select("bucket", "key")
+    # texts of one class of lengths, or of neighbouring ones
+    part = F.floor(F.log(F.octet_length("seq") / 8) / -math.log(threshold)).cast("int")
+    rest = rest.join(seqs.select("key", F.explode(F.array(part, part + 1)).alias("part")), "key")
+    rest = rest.select(F.xxhash64("bucket", "part").alias("bucket"), "key")
     while True:
-        pairs = open_.where("key <> hub").select("key", "hub").distinct()
-        judged = stored(verified(pairs, seqs, threshold), "near-pairs")
-        links = judged.where(F.col("similarity") >= threshold)
-        found = links if found is None else found.unionByName(links)
-        failed = judged.where(F.col("similarity") < threshold).select("key", "hub")
-        if failed.isEmpty():
-            break
-        rest = open_.join(failed, ["key", "hub"], "left_semi").select("bucket", "key")
-        if not parted:
-            # texts of one class of lengths, or of neighbouring ones
-            part = F.floor(F.log(F.octet_length("seq") / 8) / -math.log(threshold)).cast("int")
-            rest = rest.join(seqs.select("key", F.explode(F.array(part, part + 1)).alias("part")), "key")
-            rest = rest.select(F.xxhash64("bucket", "part").alias("bucket"), "key")
-            parted = True
         rest = stored(shared_buckets(rest), "near-buckets")
-        small = compared_in_tasks(rest.where(F.col("members") <= MEMBERS), seqs, threshold)
-        found = found.unionByName(stored(small, "near-pairs"))
-        open_ = rest.where(F.col("members") > MEMBERS)
-        if open_.isEmpty():
+        if rest.isEmpty():
             break
+        judged = stored(compared_in_tasks(rest, seqs, threshold), "near-pairs")
+        found = found.unionByName(judged.where("hub is not null").drop("bucket"))
+        rest = judged.where("hub is null").select("bucket", "key")
     return texts.select("key", "id"), found.dropDuplicates(["key", "hub"])
 
 
