@@ -4,8 +4,9 @@ Stages and what they decide:
 
 1. ``language_id`` drops documents without a determinable language and sets ``lang``.
 2. ``near_dedup`` keeps one document of every class of near duplicates.
-3. ``suffix_dedup`` cuts out every 400 bytes that also stand elsewhere; ``n_chars`` follows.
-   Characters cut in part go whole; a document of which nothing is left goes.
+3. ``suffix_dedup`` cuts out every passage of 51 words that also stands elsewhere, then every 400 bytes that do
+   in what is left; ``n_chars`` follows.
+   Characters cut in part go whole; a document of which no word is left goes.
 4. ``decontamination`` drops documents that hold a benchmark passage.
 5. ``bpe`` adds ``n_tokens``, ``ids`` and the ``decoded`` text.
 
@@ -27,6 +28,8 @@ from doselake.llm.queries import tokenizer_file
 ORACLE_SQL = None
 #: Share of the predicted language below which a document's language is not determined.
 LEAST_SCORE = 0.5
+#: Passages of more than 50 words are repeats, however few bytes they have.
+PASSAGE = 51
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +45,12 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    made = suffix_dedup.remove_repeats(docs)
+    docs = stored(without(docs, suffix_dedup.remove_repeats(docs, n_words=PASSAGE)), "pipeline-passages")
+    return without(docs, suffix_dedup.remove_repeats(docs))
+
+
+def without(docs: DataFrame, made: DataFrame) -> DataFrame:
+    """``docs`` after ``remove_repeats`` gave ``made``."""
     names = made.columns
 
     def whole(batches):
@@ -55,7 +63,7 @@ def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
             yield pa.RecordBatch.from_arrays([cols[n] for n in names], names=names)
 
     changed = F.col("n_removed") > 0
-    out = made.mapInArrow(whole, made.schema).where(~changed | (F.length("text") > 0))
+    out = made.mapInArrow(whole, made.schema).where(~changed | F.col("text").rlike(r"[0-9A-Za-z]|[^\x00-\x7F]"))
     out = out.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return out.select(docs.columns)
 

@@ -20,12 +20,17 @@ one. Neighbours that share ``length`` bytes are repeats.
 A name with more than ``MOST`` distinct stretches is not held in one task: digests of its strings are
 counted in a shuffle instead.
 
+*Passages of words.* With ``n_words`` the same is done for sequences of that many words (case and what
+stands between words don't count): every word becomes ``CODE`` bytes, a string of ``n_words`` codes that
+starts at a code is a passage, and all from its first to its last word is marked.
+
 Null counts as the empty text. Texts shorter than ``length`` have nothing to remove.
 Repeated rows are repeats of each other. Empty tables give empty results.
 """
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import re
 
@@ -35,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from doselake.llm.common import partitions, stored, text_key
+from doselake.llm.common import WORD_BYTES, partitions, stored, text_key, words_of
 
 LENGTH, GRAM = 400, 64
 #: Strings in a stretch at most, distinct stretches of a name in a task at most, bytes sorted at once.
@@ -51,6 +56,8 @@ SEPARATORS = [
     re.compile(rb"[\x00-\xff]"),
 ]
 LONG_TOKEN = 128
+#: Bytes of a word's code: 54 bits of its digest in base64, and a blank. Words whose codes a worker remembers at once.
+CODE, REMEMBERED = 10, 300_000
 
 
 # ---- suffix sorting by grouping ---------------------------------------------------
@@ -436,22 +443,63 @@ def merged(spans: list[dict]) -> list[tuple[int, int]]:
     return out
 
 
+class WordCodes(dict):
+    """Codes of words; forgets all when full."""
+
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        value = base64.b64encode(hashlib.blake2b(word, digest_size=9).digest())[: CODE - 1] + b" "
+        self[word] = value
+        return value
+
+
+_codes = WordCodes()
+
+
+def coded(docs: DataFrame) -> DataFrame:
+    """``docs`` (key, id, text) with the codes of its words for text."""
+
+    def encode(batches):
+        for batch in batches:
+            texts = [b"".join(map(_codes.__getitem__, words_of(t.as_py()))).decode() for t in batch.column(2)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["key", "id", "text"]
+            )
+
+    return docs.mapInArrow(encode, "key binary, id string, text string")
+
+
+def passages(raw: bytes, spans: list[dict], n_words: int) -> list[dict]:
+    """Byte ranges of the passages that begin in spans of the coded text."""
+    word = np.frombuffer(raw.translate(WORD_BYTES), np.uint8) != 0x20
+    starts, ends = intervals(word)
+    out = []
+    for x in spans:
+        first, last = -(-x["s"] // CODE), (x["e"] - CODE * n_words) // CODE
+        if first <= last:
+            out.append({"s": starts[first], "e": ends[last + n_words - 1]})
+    return out
+
+
 def row_id(doc_id: str) -> Column:
     return F.coalesce(F.col(doc_id).cast("string"), F.lit(""))
 
 
 def remove_repeats(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, n_words: int | None = None
 ) -> DataFrame:
     """``docs`` with n_bytes, n_removed, n_spans, kept (the remaining bytes) and removed spans.
 
-    Those names replace columns of the input.
+    Repeats are strings of ``length`` bytes, or passages of ``n_words`` words if that is given. Those names replace
+    columns of the input.
     """
     made = {"n_bytes", "n_removed", "n_spans", "kept", "spans"}
     own = [c for c in docs.columns if c.lower() not in made]
     keys = {"_key": text_key(text), "_id": row_id(doc_id)}
     narrow = docs.select(keys["_key"].alias("key"), keys["_id"].alias("id"), F.col(text).alias("text"))
-    spans = repeated_spans(narrow, length).select(
+    found = repeated_spans(narrow, length) if n_words is None else repeated_spans(coded(narrow), CODE * n_words)
+    spans = found.select(
         F.col("key").alias("_key"), F.col("id").alias("_id"), F.col("spans").alias("_spans")
     )
     rows = docs.select(*own, F.col(text).alias("_text"), *(c.alias(n) for n, c in keys.items()))
@@ -474,7 +522,8 @@ def remove_repeats(
             rows = []
             for value, found in zip(batch.column(len(own)), batch.column(len(own) + 1), strict=True):
                 raw = (value.as_py() or "").encode("utf-8", "replace")
-                gone = merged(found.as_py() or [])
+                found = found.as_py() or []
+                gone = merged(passages(raw, found, n_words) if n_words and found else found)
                 at, parts = 0, []
                 for s, e in gone:
                     parts.append(raw[at:s])

@@ -144,6 +144,41 @@ def test_names_with_many_stretches_are_counted(spark, monkeypatch):
     check_repeats(spark, texts, 100)
 
 
+def repeated_passages(texts, n):
+    """Positions (text, word) in passages of ``n`` words that stand twice."""
+    places = defaultdict(list)
+    for i, t in enumerate(texts):
+        ws = brute.words(t)
+        for at in range(len(ws) - n + 1):
+            places[tuple(ws[at : at + n])].append((i, at))
+    return {(i, at + k) for found in places.values() if len(found) > 1 for i, at in found for k in range(n)}
+
+
+def test_pipeline_cuts_short_passages_of_51_words(spark, sf_dir, documents):
+    rng = random.Random(8)
+
+    def some(n):
+        return [rng.choice("abcdefgh") + str(rng.randrange(10**4)) for _ in range(n)]
+
+    shared, fewer = some(52), some(50)
+    assert len(" ".join(shared)) < 400
+    texts = [" ".join(some(60) + shared[k % 2 :] + some(60)) for k in range(4)]
+    texts += [" ".join(some(20)) + ", " + ", ".join(shared).upper() + ".", None, "", "."]
+    texts += [" ".join(some(9) + fewer + some(9)) for _ in range(2)]
+    rows = [(k, t, "en", "s", len(t) if t is not None else None) for k, t in enumerate(texts)]
+    rows += [(100 + k, r.text, "en", "s", r.n_chars) for k, r in enumerate(documents.where("n_chars < 3000").collect())]
+    gone = repeated_passages([r[1] for r in rows], 51)
+    docs = spark.createDataFrame(rows, brute.DOCS)
+    words = suffix_dedup.remove_repeats(docs, n_words=51).select("doc_id", "kept").collect()
+    left = {r.doc_id: brute.words(bytes(r.kept).decode()) for r in words}
+    want = {r[0]: [w for at, w in enumerate(brute.words(r[1])) if (i, at) not in gone] for i, r in enumerate(rows)}
+    assert left == want and {(i, 60 + 1) for i in range(4)} <= gone
+    kept = {r.doc_id: r.text for r in corpus_pipeline.drop_repeats(spark, docs, sf_dir).collect()}
+    assert not repeated_passages(kept.values(), 51)
+    assert all(n == 0 for _, n, _, _ in plain_repeats(kept.values(), 400))
+    assert kept[8] == texts[8] and kept[9] == texts[9] and kept[5] is None and kept[7] == "."
+
+
 # ---- benchmark passages -----------------------------------------------------------
 
 
