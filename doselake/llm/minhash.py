@@ -1,10 +1,12 @@
 """Near duplicates by Order MinHash, verified by banded alignment.
 
-A text is seen as its five-word shingles, each labelled with how often it occurred before, so
+A text is seen as its words, each labelled with how often it occurred before, so
 that no label repeats. One sketch keeps the ``KEPT`` smallest labels under a random order, in the
 order of the text; texts close in edit distance agree in it often, texts with the same
-shingles in another order do not. ``SKETCHES`` independent sketches are taken. Documents
-that agree in one meet in a bucket.
+words in another order do not. ``SKETCHES`` independent sketches are taken. Documents
+that agree in one meet in a bucket. However edits are scattered, of two texts aligned at 0.8 two thirds of all
+labels at least are in both. Texts of few words meet exactly, in what is left of them
+without any of the words that the threshold lets be left out (``remainders``).
 
 In a bucket the first document is the hub, and all others are compared with it, never all
 pairs. Those not close enough to it form new buckets, by length too, with hubs of their own,
@@ -14,14 +16,14 @@ aligned, in order, with equal ones. Pairs of ``threshold`` or more are links, an
 the connected components of the links.
 
 Equal texts (hence all nulls and empty texts) are one class from the start and compared once.
-Texts of fewer than five words have one shingle, texts without words have none and only equal
-ones join them. The class is named by its smallest document: the lowest doc_id, then the lowest text
+Texts without words have no labels and only equal ones join them. The class is named by its smallest document: the lowest doc_id, then the lowest text
 digest; null ids come last. A repeated row is a copy. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
 
 import numpy as np
@@ -31,10 +33,13 @@ from pyspark.sql import functions as F
 
 from doselake.llm.common import partitions, stored, text_key, words_of
 
-WORDS, THRESHOLD = 5, 0.8
-#: With these a pair of Jaccard value 0.8 over shingles is missed with a chance of 1e-10, one of 0.6
-#: (about 0.93 of the words aligned) with 4e-4.
-SKETCHES, KEPT = 32, 3
+WORDS, THRESHOLD = 1, 0.8
+#: With these a pair of Jaccard value 2/3 over labels (0.8 of the words aligned at the worst) agrees in a
+#: sketch with a chance of (2/3)^5 and is missed with one of 1e-4, 0.75 with 2e-8; of 15 words, the fewest
+#: that are not met exactly, 3 changed ones with 2e-3.
+SKETCHES, KEPT = 64, 5
+#: Remainders of a text at most; with more it has sketches only.
+REMAINDERS = 128
 SEEDS = np.random.default_rng(20190705).integers(1, 2**63, SKETCHES, np.uint64) | np.uint64(1)
 MIX = np.uint64(0xBF58476D1CE4E5B9)
 REMEMBERED = 300_000
@@ -112,6 +117,27 @@ def sketches(label: np.ndarray) -> np.ndarray:
     return value.view(np.int64)
 
 
+def remainders(d: np.ndarray, threshold: float = THRESHOLD) -> np.ndarray:
+    """One 64-bit value per way to leave out up to 1 - ``threshold`` of few words; none for many words."""
+    n = len(d)
+    most = int((1 - threshold) * n + 1e-9)
+    # among over REMAINDERS words one left out is too much already; sums over many words have huge terms
+    if not n or most and n > REMAINDERS or sum(math.comb(n, k) for k in range(most + 1)) > REMAINDERS:
+        return np.empty(0, np.int64)
+    words, out = d.tolist(), set()
+    for k in range(most + 1):
+        for rest in itertools.combinations(words, n - k):
+            value = hashlib.blake2b(np.array(rest, np.uint64).tobytes(), digest_size=8, person=b"rest").digest()
+            out.add(int.from_bytes(value, "little", signed=True))
+    return np.array(sorted(out), np.int64)
+
+
+def meeting_places(text: str | None, threshold: float = THRESHOLD) -> np.ndarray:
+    """Buckets of a text."""
+    d = sequence(text)
+    return np.concatenate([sketches(labels(d)), remainders(d, threshold)])
+
+
 def aligned(a: list[int], b: list[int], band: int) -> int:
     """Most pairs of equal words in an alignment whose places differ by at most ``band``.
 
@@ -153,14 +179,14 @@ def similarity(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> fl
     return aligned(a.tolist(), b.tolist(), band) / most
 
 
-def sketched(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(key, id, sketch): per distinct text its key, its first id, its sketches."""
+def sketched(docs: DataFrame, doc_id: str, text: str, threshold: float = THRESHOLD) -> DataFrame:
+    """(key, id, sketch): per distinct text its key, its first id, its buckets."""
     rows = docs.select(text_key(text).alias("key"), F.col(doc_id).alias("id"), F.col(text).alias("text"))
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def sketch(batches):
         for batch in batches:
-            made = [sketches(labels(sequence(t.as_py()))) for t in batch.column(2)]
+            made = [meeting_places(t.as_py(), threshold) for t in batch.column(2)]
             ends = np.cumsum([0, *map(len, made)]).astype(np.int32)
             flat = pa.array(np.concatenate([np.empty(0, np.int64), *made]))
             yield pa.RecordBatch.from_arrays(
@@ -278,7 +304,7 @@ def links_of(docs: DataFrame, doc_id: str, text: str, threshold: float) -> tuple
     First all members of a bucket are compared with its hub. Buckets of what that leaves are parted by
     length and settled tile by tile.
     """
-    texts = stored(sketched(docs, doc_id, text), "near-sketches")
+    texts = stored(sketched(docs, doc_id, text, threshold), "near-sketches")
     rows = texts.select("key", F.explode("sketch").alias("bucket"))
     open_ = stored(shared_buckets(rows), "near-buckets")
     wanted = open_.select("key").distinct().join(texts.select("key", "id"), "key")

@@ -328,6 +328,24 @@ def test_sketches_do_not_depend_on_blocks(monkeypatch):
     assert len(minhash.sketches(label[:2])) == minhash.SKETCHES and not len(minhash.sketches(label[:0]))
 
 
+@pytest.mark.parametrize("n", [5, 6, 10, 14, 15, 20, 60, 250])
+def test_links_at_the_threshold_meet(n):
+    rng = random.Random(n)
+    pool = [f"w{k}" for k in range(3000)]
+    met = links = 0
+    for k in range(60):
+        base = rng.choices(pool, weights=[1 / (r + 5) for r in range(3000)], k=n)
+        copy, m = list(base), int(n * (0.1, 0.15, 0.18, 0.2)[k % 4])
+        places = rng.sample(range(n), m) if k % 8 < 4 else range(n // 10, n, 5)[:m]
+        for at in places:
+            copy[at] = f"new{rng.randrange(10**6)}"
+        a, b = " ".join(base), " ".join(copy)
+        if plain_similarity(a, b) >= 0.8 - 1e-9:
+            links += 1
+            met += not set(minhash.meeting_places(a)).isdisjoint(minhash.meeting_places(b))
+    assert links == 60 and (met == 60 if n < 15 else met >= 59)
+
+
 def test_classes_against_all_pairs(spark, awkward, documents):
     rows = near_copies()
     want = plain_classes(rows)
