@@ -8,9 +8,12 @@ that agree in one meet in a bucket. However edits are scattered, of two texts al
 labels at least are in both. Texts of few words meet exactly, in what is left of them
 without any of the words that the threshold lets be left out (``remainders``).
 
-In a bucket the first document is the hub, and all others are compared with it, never all
-pairs. Those not close enough to it form new buckets, by length too, with hubs of their own,
-until none is left; a task settles up to ``MEMBERS`` of a bucket at once. A comparison aligns the two word sequences in the band of offsets
+In a bucket the first document is the hub, and all others are compared with it first. That
+joins most of what belongs together. Where a bucket then still holds members of several classes, all pairs
+of them that no links join yet are compared, those with the hub's class included: up to ``MEMBERS`` members with as
+many others in a task. So no link that would join two classes is left out, but links within a class
+are; ``n_pairs`` counts the links that were met, not all there are. A comparison aligns the two word
+sequences in the band of offsets
 that the threshold allows; similarity is the share of the longer text's words that are
 aligned, in order, with equal ones. Pairs of ``threshold`` or more are links, and classes are
 the connected components of the links.
@@ -43,7 +46,7 @@ REMAINDERS = 128
 SEEDS = np.random.default_rng(20190705).integers(1, 2**63, SKETCHES, np.uint64) | np.uint64(1)
 MIX = np.uint64(0xBF58476D1CE4E5B9)
 REMEMBERED = 300_000
-#: Labels hashed at once, members of a bucket that one task compares with each other at most.
+#: Labels hashed at once, members of a bucket in one tile at most.
 LABELS, MEMBERS = 16_384, 128
 
 
@@ -246,85 +249,113 @@ def shared_buckets(rows: DataFrame) -> DataFrame:
     return rows.join(hubs, "bucket").select("bucket", "key", "hub")
 
 
-def compared_in_tasks(rows: DataFrame, seqs: DataFrame, threshold: float) -> DataFrame:
-    """(bucket, key, hub, similarity): each member's link to a hub; hub null: close to none.
+def unsettled(rows: DataFrame) -> DataFrame:
+    """(bucket, key, root, pushed) of buckets with several roots; of buckets with the same members one."""
+    member = F.xxhash64("key", "pushed")
+    buckets = rows.groupBy("bucket").agg(
+        F.min("root").alias("low"),
+        F.max("root").alias("high"),
+        F.bool_or("pushed").alias("any"),
+        F.count("*").alias("n"),
+        F.bit_xor(member).alias("x"),
+        F.sum(F.shiftright(member, 20)).alias("s"),
+    )
+    kept = buckets.where("low <> high and any").groupBy("n", "x", "s").agg(F.min("bucket").alias("bucket"))
+    return rows.join(kept.select("bucket"), "bucket", "left_semi")
+
 
-    Members of a bucket are numbered by key and cut into tiles of ``MEMBERS``. In the first tile a member is
-    compared with the hubs so far and becomes one if it is close to none, which settles the tile. The
-    other tiles are compared with all members of the first, each tile in a task of its own; those
-    close to none go on to the next round, which is thereby shorter by a whole tile.
+def joining_links(rows: DataFrame, seqs: DataFrame, threshold: float) -> DataFrame:
+    """(key, hub, similarity): links that join all roots of a bucket that any links join.
+
+    Members (bucket, key, root, pushed) are cut into tiles of ``MEMBERS``, by root; a task compares the members of two
+    tiles, or of one. Two that are not pushed are compared in another bucket.
     """
-    rank = F.row_number().over(Window.partitionBy("bucket").orderBy("key")) - 1
-    tiled = rows.select("bucket", "key", F.floor(rank / MEMBERS).cast("int").alias("tile"))
-    tiled = stored(tiled, "near-tiles")
-    tiles = tiled.where("tile > 0").select("bucket", "tile").distinct()
-    heads = tiled.where("tile = 0").select("bucket", "key")
-    copies = heads.join(tiles, "bucket").select("bucket", "tile", "key", F.lit(True).alias("head"))
-    held = tiled.select("bucket", "tile", "key", F.lit(False).alias("head")).unionByName(copies)
-    held = held.join(seqs, "key").select("bucket", "tile", "head", "key", "seq")
+    rank = F.row_number().over(Window.partitionBy("bucket").orderBy("root", "key")) - 1
+    tiled = stored(rows.withColumn("tile", F.floor(rank / MEMBERS).cast("int")), "near-tiles")
+    tiles = tiled.groupBy("bucket", "tile").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    left = tiles.select("bucket", F.col("tile").alias("i"), "low", F.col("high").alias("i_high"))
+    right = tiles.select("bucket", F.col("tile").alias("j"), F.col("low").alias("j_low"), "high")
+    # in order of roots: not one root in both
+    pairs = left.join(right, "bucket").where("i <= j and low <> high").select("bucket", "i", "j")
+    first = pairs.withColumn("tile", F.col("i")).join(tiled, ["bucket", "tile"]).withColumn("second", F.lit(False))
+    second = pairs.where("i < j").withColumn("tile", F.col("j")).join(tiled, ["bucket", "tile"])
+    held = first.unionByName(second.withColumn("second", F.lit(True))).join(seqs, "key")
+    held = held.select("bucket", "i", "j", "second", "key", "root", "pushed", "seq")
 
     def work(batches):
-        last, hubs = None, []
+        last, members, joined = None, [], {}
+
+        def find(x: bytes) -> bytes:
+            while joined.setdefault(x, x) != x:
+                joined[x] = x = joined[joined[x]]
+            return x
+
         for batch in batches:
             out = []
-            for bucket, tile, head, key, seq in zip(*(batch.column(i) for i in range(5)), strict=True):
-                bucket, tile, key = bucket.as_py(), tile.as_py(), key.as_py()
+            for bucket, i, j, later, key, root, pushed, seq in zip(*(batch.column(k) for k in range(8)), strict=True):
+                unit = bucket.as_py(), i.as_py(), j.as_py()
+                if unit != last:
+                    last, members, joined = unit, [], {}
+                key, root, pushed = key.as_py(), root.as_py(), pushed.as_py()
                 words = np.frombuffer(seq.as_py(), np.uint64)
-                if (bucket, tile) != last:
-                    last, hubs = (bucket, tile), []
-                if head.as_py():
-                    hubs.append((key, words))
-                    continue
-                for hub, other in hubs:
-                    got = similarity(words, other, threshold)
-                    if got >= threshold:
-                        out.append((bucket, key, hub, got))
-                        break
-                else:
-                    if tile:
-                        out.append((bucket, key, None, 0.0))
-                    else:
-                        hubs.append((key, words))
-            kinds = (pa.int64(), pa.binary(), pa.binary(), pa.float64())
+                if later.as_py() or unit[1] == unit[2]:
+                    for other, its_root, its_pushed, its_words in members:
+                        if (pushed or its_pushed) and find(root) != find(its_root):
+                            got = similarity(words, its_words, threshold)
+                            if got >= threshold - 1e-9:
+                                joined[find(root)] = find(its_root)
+                                out.append((key, other, got))
+                if not later.as_py():
+                    members.append((key, root, pushed, words))
+            kinds = (pa.binary(), pa.binary(), pa.float64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array([x[i] for x in out], k) for i, k in enumerate(kinds)],
-                names=["bucket", "key", "hub", "similarity"],
+                [pa.array([x[k] for x in out], kind) for k, kind in enumerate(kinds)],
+                names=["key", "hub", "similarity"],
             )
 
     return (
-        held.repartition(partitions(rows.sparkSession), "bucket", "tile")
-        .sortWithinPartitions("bucket", "tile", F.desc("head"), "key")
-        .mapInArrow(work, "bucket long, key binary, hub binary, similarity double")
+        held.repartition(partitions(rows.sparkSession), "bucket", "i", "j")
+        .sortWithinPartitions("bucket", "i", "j", "second", "root", "key")
+        .mapInArrow(work, "key binary, hub binary, similarity double")
     )
 
 
-def links_of(docs: DataFrame, doc_id: str, text: str, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """(key, id) of all distinct texts, and links (key, hub, similarity).
+def links_in(open_: DataFrame, seqs: DataFrame, threshold: float) -> DataFrame:
+    """Links (key, hub, similarity) in buckets (bucket, key, hub) whose components are those of all links in them.
 
-    First all members of a bucket are compared with its hub. Buckets of what that leaves are parted by
-    length and settled tile by tile.
+    First all members of a bucket are compared with its hub. Buckets whose members that leaves in several
+    components are parted by length and their members compared with each other.
     """
+    pairs = open_.where("key <> hub").select("key", "hub").distinct()
+    judged = verified(pairs, seqs, threshold)
+    found = stored(judged.where(F.col("similarity") >= threshold - 1e-9), "near-pairs")
+    roots = components(found)
+    rows = open_.join(roots, "key", "left").select("bucket", "key", F.coalesce("root", "key").alias("root"))
+    # two members are a hub and its only other one, already compared
+    several = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
+    rest = stored(rows.join(several.where("n > 2 and low <> high").select("bucket"), "bucket", "left_semi"), "near-open")
+    if rest.isEmpty():
+        return found
+    # texts of one class of lengths, or of neighbouring ones; pushed: in the next class
+    part = F.floor(F.log(F.octet_length("seq") / 8) / (1e-9 - math.log(threshold))).cast("int")
+    both = F.array(
+        F.struct(part.alias("part"), F.lit(False).alias("pushed")), F.struct((part + 1).alias("part"), F.lit(True).alias("pushed"))
+    )
+    rest = rest.join(seqs.select("key", F.explode(both).alias("at")), "key")
+    rest = rest.select(F.xxhash64("bucket", "at.part").alias("bucket"), "key", "root", "at.pushed")
+    rest = stored(unsettled(stored(rest, "near-parts")), "near-buckets")
+    return found.unionByName(stored(joining_links(rest, seqs, threshold), "near-pairs"))
+
+
+def links_of(docs: DataFrame, doc_id: str, text: str, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """(key, id) of all distinct texts, and links (key, hub, similarity) that give the classes."""
     texts = stored(sketched(docs, doc_id, text, threshold), "near-sketches")
     rows = texts.select("key", F.explode("sketch").alias("bucket"))
     open_ = stored(shared_buckets(rows), "near-buckets")
     wanted = open_.select("key").distinct().join(texts.select("key", "id"), "key")
     seqs = stored(sequences(docs, wanted, doc_id, text), "near-sequences")
-    pairs = open_.where("key <> hub").select("key", "hub").distinct()
-    judged = stored(verified(pairs, seqs, threshold), "near-pairs")
-    found = judged.where(F.col("similarity") >= threshold)
-    failed = judged.where(F.col("similarity") < threshold).select("key", "hub")
-    rest = open_.join(failed, ["key", "hub"], "left_semi").select("bucket", "key")
-    # texts of one class of lengths, or of neighbouring ones
-    part = F.floor(F.log(F.octet_length("seq") / 8) / -math.log(threshold)).cast("int")
-    rest = rest.join(seqs.select("key", F.explode(F.array(part, part + 1)).alias("part")), "key")
-    rest = rest.select(F.xxhash64("bucket", "part").alias("bucket"), "key")
-    while True:
-        rest = stored(shared_buckets(rest), "near-buckets")
-        if rest.isEmpty():
-            break
-        judged = stored(compared_in_tasks(rest, seqs, threshold), "near-pairs")
-        found = found.unionByName(judged.where("hub is not null").drop("bucket"))
-        rest = judged.where("hub is null").select("bucket", "key")
+    pair = F.least("key", "hub").alias("key"), F.greatest("key", "hub").alias("hub"), "similarity"
+    found = links_in(open_, seqs, threshold).select(*pair)
     return texts.select("key", "id"), found.dropDuplicates(["key", "hub"])
 
 
@@ -354,7 +385,7 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def classes(docs: DataFrame, doc_id: str, text: str, threshold: float) -> DataFrame:
-    """Per distinct text: its class, the id and the text of the class's first document, its links."""
+    """Per distinct text: its class, the id and the text of the class's first document, its links met."""
     texts, links = links_of(docs, doc_id, text, threshold)
     links = stored(links, "near-links")
     roots = components(links)
@@ -362,7 +393,7 @@ def classes(docs: DataFrame, doc_id: str, text: str, threshold: float) -> DataFr
         links.select("key")
         .unionAll(links.select(F.col("hub").alias("key")))
         .groupBy("key")
-        .agg(F.count("*").alias("n_links"))
+        .agg(F.count("*").alias("n_pairs"))
     )
     named = texts.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
     order = F.struct(F.col("id").isNull().alias("no"), F.col("id").alias("id"), F.col("key").alias("key"))
@@ -374,7 +405,7 @@ def classes(docs: DataFrame, doc_id: str, text: str, threshold: float) -> DataFr
             F.col("key").alias("_key"),
             F.col("root").alias("class_key"),
             F.col("first.id").alias("class_id"),
-            F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+            F.coalesce("n_pairs", F.lit(0)).cast("long").alias("n_pairs"),
             (F.col("first.key") == F.col("key")).alias("_first_text"),
         )
     )
@@ -383,9 +414,10 @@ def classes(docs: DataFrame, doc_id: str, text: str, threshold: float) -> DataFr
 def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD
 ) -> DataFrame:
-    """One row per document: doc_id, class_id (doc_id of the class's first), n_links, is_first.
+    """One row per document: doc_id, class_id (doc_id of the class's first), n_pairs, is_first.
 
-    ``n_links`` counts the verified links of the document's text, ``class_key`` names the class
+    ``n_pairs`` counts the verified links of the document's text that were met on the way to its class (0: it is
+    alone), which are not all links within the class; ``class_key`` names the class
     also where ids repeat.
     """
     named = classes(docs, doc_id, text, threshold)
@@ -394,7 +426,7 @@ def near_duplicates(
         "doc_id",
         "class_id",
         "class_key",
-        "n_links",
+        "n_pairs",
         (F.col("_first_text") & F.col("doc_id").eqNullSafe(F.col("class_id"))).alias("is_first"),
     )
 

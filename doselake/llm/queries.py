@@ -131,9 +131,9 @@ def op8_decontamination(spark, sf_dir):
 
 @query
 def op10_near_dedup(spark, sf_dir):
-    """Class of near duplicates and number of links of every document."""
+    """Class of near duplicates of every document, and how many pairs joined it to that."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return minhash.near_duplicates(docs).select("doc_id", "class_id", "n_links", "is_first")
+    return minhash.near_duplicates(docs).select("doc_id", "class_id", "n_pairs", "is_first")
 
 
 @query

@@ -369,6 +369,33 @@ def test_buckets_get_new_hubs_until_none_is_left(spark, monkeypatch, members):
     assert got == sorted(sorted([str(2 * k), str(2 * k + 1)]) for k in range(6))
 
 
+@pytest.mark.parametrize("members", [minhash.MEMBERS, 3])
+def test_members_that_left_with_the_hub_stay_partners(spark, monkeypatch, members):
+    monkeypatch.setattr(minhash, "MEMBERS", members)
+    rng = random.Random(11)
+
+    def chain(name, n):
+        words, out = [f"{name}{k}" for k in range(100)], []
+        for step in range(n):
+            words[step * 12 % 100 : step * 12 % 100 + 12] = [f"{name}{step}x{j}" for j in range(12)]
+            out.append(" ".join(words))
+        return out
+
+    texts = chain("h", 3) + chain("c", 14) + [" ".join(f"u{k}x{j}" for j in range(90 + k)) for k in range(4)]
+    keys = [bytes([k]) for k in rng.sample(range(1, 200), len(texts))]
+    keys[:3] = b"\x00", keys[1], keys[2]  # the first one's end is the hub
+    rows = [(1, k, b"\x00") for k in keys]
+    open_ = spark.createDataFrame(rows, "bucket long, key binary, hub binary")
+    seqs = [(k, minhash.sequence(t).tobytes()) for k, t in zip(keys, texts, strict=True)]
+    links = minhash.links_in(open_, spark.createDataFrame(seqs, "key binary, seq binary"), 0.8)
+    named = {bytes(r.key): bytes(r.root) for r in minhash.components(corpus_pipeline.stored(links, "test-links")).collect()}
+    groups = defaultdict(list)
+    for n, k in enumerate(keys):
+        groups[named.get(k, k)].append(str(n))
+    assert plain_similarity(texts[0], texts[2]) < 0.8 <= plain_similarity(texts[1], texts[2])
+    assert sorted(map(sorted, groups.values())) == plain_classes(list(enumerate(texts)))
+
+
 def test_one_of_each_class_stays(spark, awkward):
     rows = near_copies()
     docs = spark.createDataFrame(rows + rows[:3], "doc_id int, text string")
