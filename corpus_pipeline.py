@@ -26,8 +26,6 @@ from doselake.llm.queries import tokenizer_file
 
 #: No SQL: language models, sketches, suffix arrays and merges; tests compare with brute force.
 ORACLE_SQL = None
-#: Share of the predicted language below which a document's language is not determined.
-LEAST_SCORE = 0.5
 #: Passages of more than 50 words are repeats, however few bytes they have.
 PASSAGE = 51
 
@@ -36,7 +34,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     pieces = language_id.load_pieces(tokenizer_file("piece_bpe_32k.model"))
     model = language_id.train(docs, pieces)
     judged = language_id.predict(docs, model)
-    known = (F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("score") >= LEAST_SCORE)
+    known = F.col("lang_pred") != language_id.UNDETERMINED
     return judged.where(known).withColumn("lang", F.col("lang_pred")).select(docs.columns)
 
 

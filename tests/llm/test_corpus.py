@@ -434,6 +434,16 @@ def test_pipeline(spark, sf_dir, documents):
     assert all(r.n_chars == len(r.text) and r.n_tokens == len(r.ids.split()) for r in final)
 
 
+def test_pipeline_keeps_every_determined_language(spark, sf_dir, monkeypatch):
+    language_id = corpus_pipeline.language_id
+    docs = spark.createDataFrame([(1, "die", None, "s", 3), (2, "...", "de", "s", 3)], brute.DOCS)
+    judged = docs.selectExpr("*", f"if(doc_id = 1, 'de', '{language_id.UNDETERMINED}') as lang_pred", "0.3D as score")
+    monkeypatch.setattr(language_id, "train", lambda *_: None)
+    monkeypatch.setattr(language_id, "predict", lambda *_: judged)
+    kept = corpus_pipeline.identify_language(spark, docs, sf_dir).collect()
+    assert [(r.doc_id, r.lang) for r in kept] == [(1, "de")]
+
+
 def test_pipeline_stages_on_awkward_and_empty_tables(spark, sf_dir, awkward):
     for _, stage in corpus_pipeline.STAGES:
         stage(spark, awkward, sf_dir).collect()
