@@ -39,6 +39,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def quoted(name: str) -> Column:
+    """The column of exactly this name, whatever signs it holds."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -8,7 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from doselake.llm import bpe, decontaminate, language_id, license_scan, minhash, quality, sharding, spotsigs, suffix_dedup, url_filter
+from doselake.llm import (
+    bpe,
+    collocations,
+    decontaminate,
+    language_id,
+    license_scan,
+    minhash,
+    piece_bpe,
+    quality,
+    sharding,
+    spotsigs,
+    suffix_dedup,
+    url_filter,
+)
 from doselake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -152,3 +165,69 @@ def op5_quality(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     trusted = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
     return quality.judge_quality(docs, trusted).select("doc_id", "lang", "perplexity", "threshold", "keep")
+
+
+@query
+def op13_sentencepiece(spark, sf_dir):
+    """Digests of the piece ids and of the decoded text of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    made = piece_bpe.encode(docs, tokenizer_file("piece_bpe_32k.model"))
+    return made.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2(F.col("ids"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op12_collocations(spark, sf_dir):
+    """The 2000 most telling phrases of every language."""
+    docs = table(spark, sf_dir, "documents").select("lang", "text")
+    return collocations.collocations(docs)
+
+
+ORACLE_SQL["op12_collocations"] = r"""
+with pieces as (
+  select coalesce(lang, 'und') as lang, doc_id, text, unnest(regexp_split_to_array(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n\x0B\x0C\r]')) as piece
+  from documents where text is not null
+), split as (
+  select lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda w: w <> '') as words from pieces
+), grams as (
+  select lang, m, array_to_string(words[i:i + m - 1], ' ') as phrase
+  from (select lang, words, m, unnest(range(1, len(words) - m + 2)) as i
+        from split, (values (1), (2), (3), (4), (5)) as sizes(m))
+), f as (
+  select lang, m, phrase, count(*) as f from grams group by all
+), sizes as (
+  select lang, sum(f) as n from f where m = 1 group by lang
+), frequent as (
+  select * from f where f >= 100
+), candidates as (
+  select lang, m, phrase, f as a, string_split(phrase, ' ') as words from frequent where m > 1
+), inside as (
+  select distinct p.lang, p.phrase
+  from (select lang, a, array_to_string(words[i:j], ' ') as phrase
+        from (select *, unnest(range(i + 1, m + 1)) as j
+              from (select *, unnest(range(1, m)) as i from candidates))
+        where j - i + 1 < m) as p
+  join candidates c on c.lang = p.lang and c.phrase = p.phrase and 100 * p.a >= 100 * c.a
+), cuts as (
+  select c.lang, c.phrase, c.a, c.k, l.f as l, r.f as r, s.n,
+    (1000::hugeint * c.a * s.n::hugeint) // (l.f::hugeint * r.f) as score
+  from (select *, unnest(range(1, m)) as k from candidates) c
+  join frequent l on l.lang = c.lang and l.phrase = array_to_string(c.words[1:c.k], ' ')
+  join frequent r on r.lang = c.lang and r.phrase = array_to_string(c.words[c.k + 1:], ' ')
+  join sizes s on s.lang = c.lang
+  where not exists (select 1 from inside i where i.lang = c.lang and i.phrase = c.phrase)
+), best as (
+  select *, row_number() over (partition by lang, phrase order by score, k) as place from cuts
+), ranked as (
+  select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank
+  from best where place = 1
+)
+select lang, rank::bigint as rank, phrase, a::bigint as a, l::bigint as l, r::bigint as r, n::bigint as n,
+  score::bigint as score
+from ranked where rank <= 2000
+"""
