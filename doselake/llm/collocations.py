@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -44,14 +45,24 @@ BREAK = b","
 UNKNOWN = "und"
 #: Segments of the stripe of all words, and of any other stripe.
 WORD_SEGMENTS, SEGMENTS = 4096, 64
-#: Bits of a bitmap of frequent phrases (8 MB), bytes of one of its blocks.
-BITS, BLOCK = 1 << 26, 4096
-#: Entries and words a task counts before it passes them on, bytes of text counted at once.
-ENTRIES, WORDS, BATCH = 1_000_000, 400_000, 2_000_000
+#: Bytes of a block of a bitmap.
+BLOCK = 4096
 SCATTER, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 STRIPE = "lang string, prefix string, segment int, next array<string>, n array<bigint>"
 
 
+@dataclass(frozen=True)
+class Limits:
+    """What tasks hold: none of it changes results."""
+
+    #: Entries and words a task counts before it passes them on, bytes of text counted at once.
+    entries: int = 1_000_000
+    words: int = 400_000
+    batch: int = 2_000_000
+    #: Bits of a bitmap of frequent phrases (8 MB): 2 to this power.
+    bits: int = 26
+
+
 def tokens(raw: bytes) -> list[bytes]:
     """Words of a text, and ``BREAK`` wherever a piece ends."""
     return raw.translate(LETTERS).replace(BREAK, b" , ").split()
@@ -72,16 +83,16 @@ def phrase_digest(lang: str, phrase: str) -> int:
     return x
 
 
-def bit_of(digest: np.ndarray) -> np.ndarray:
-    return (digest * SCATTER >> np.uint64(64 - (BITS.bit_length() - 1))).astype(np.int64)
+def bit_of(digest: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
+    return (digest * SCATTER >> np.uint64(64 - (8 * len(bitmap) - 1).bit_length())).astype(np.int64)
 
 
 def word_digest(word: bytes) -> int:
     return zlib.crc32(word) << 32 | zlib.adler32(word)
 
 
-def by_language(batches):
-    """(language, texts joined by a break) of up to ``BATCH`` bytes or one text each."""
+def by_language(batches, size: int):
+    """(language, texts joined by a break) of about ``size`` bytes or one text each."""
     waiting: dict[str, list[bytes]] = {}
     sizes: Counter = Counter()
     for batch in batches:
@@ -92,17 +103,25 @@ def by_language(batches):
                 continue
             waiting.setdefault(lang, []).append(raw)
             sizes[lang] += len(raw)
-            if sizes[lang] >= BATCH:
+            if sizes[lang] >= size:
                 yield lang, BREAK.join(waiting.pop(lang))
                 del sizes[lang]
-            elif sum(sizes.values()) >= 4 * BATCH:
+            elif sum(sizes.values()) >= 4 * size:
                 yield from ((k, BREAK.join(v)) for k, v in waiting.items())
                 waiting.clear()
                 sizes.clear()
     yield from ((k, BREAK.join(v)) for k, v in waiting.items())
 
 
-def segments(lang: str, prefixes: pa.Array, prefix: np.ndarray, names: pa.Array, word: np.ndarray, n: np.ndarray, segment: np.ndarray):
+def segments(
+    lang: str,
+    prefixes: pa.Array,
+    prefix: np.ndarray,
+    names: pa.Array,
+    word: np.ndarray,
+    n: np.ndarray,
+    segment: np.ndarray,
+) -> pa.RecordBatch:
     """Stripes as a batch: entries (prefix, word, n) put together by prefix and segment."""
     order = np.lexsort((segment, prefix))
     prefix, word, n, segment = prefix[order], word[order], n[order], segment[order]
@@ -121,7 +140,7 @@ def segments(lang: str, prefixes: pa.Array, prefix: np.ndarray, names: pa.Array,
     )
 
 
-def word_stripes(texts: DataFrame) -> DataFrame:
+def word_stripes(texts: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """Segments of each language's stripe of all words: the empty prefix."""
 
     def emit(lang: str, seen: Counter):
@@ -134,9 +153,9 @@ def word_stripes(texts: DataFrame) -> DataFrame:
 
     def count(batches):
         seen: dict[str, Counter] = {}
-        for lang, raw in by_language(batches):
+        for lang, raw in by_language(batches, limits.batch):
             seen.setdefault(lang, Counter()).update(tokens(raw))
-            if sum(map(len, seen.values())) > WORDS:
+            if sum(map(len, seen.values())) > limits.words:
                 yield from (emit(k, c) for k, c in seen.items())
                 seen.clear()
         yield from (emit(k, c) for k, c in seen.items())
@@ -147,8 +166,8 @@ def word_stripes(texts: DataFrame) -> DataFrame:
 class Phrases:
     """What a task counts for one language: stripes of prefixes of ``length`` words."""
 
-    def __init__(self, lang: str, bitmaps: list[np.ndarray]):
-        self.lang, self.bitmaps = lang, bitmaps
+    def __init__(self, lang: str, bitmaps: list[np.ndarray], limits: Limits):
+        self.lang, self.bitmaps, self.limits = lang, bitmaps, limits
         self.root = np.uint64(word_digest(lang.encode()))
         # 0: breaks, and words that can't be frequent
         self.words: dict[bytes, int] = {BREAK: 0}
@@ -161,8 +180,9 @@ class Phrases:
         self.entries = 0
 
     def frequent(self, length: int, digest: np.ndarray) -> np.ndarray:
-        bit = bit_of(digest)
-        return self.bitmaps[length - 1][bit >> 3] >> (bit & 7).astype(np.uint8) & 1 > 0
+        bitmap = self.bitmaps[length - 1]
+        bit = bit_of(digest, bitmap)
+        return bitmap[bit >> 3] >> (bit & 7).astype(np.uint8) & 1 > 0
 
     def add(self, length: int, key: int, digest: int, name: bytes) -> int:
         self.numbers[length - 1][key] = number = len(self.names[length - 1])
@@ -213,7 +233,7 @@ class Phrases:
         after = np.where(now[at + 1] > 0, ids[at + len(self.bitmaps)], 0)
         self.parts.append(np.unique(now[at] << 32 | after, return_counts=True))
         self.entries += len(self.parts[-1][0])
-        if self.entries > ENTRIES:
+        if self.entries > self.limits.entries:
             self.pack()
 
     def pack(self) -> None:
@@ -224,7 +244,7 @@ class Phrases:
             self.entries = len(keys)
 
     def full(self) -> bool:
-        return self.entries > ENTRIES or len(self.words) > WORDS
+        return self.entries > self.limits.entries or len(self.words) > self.limits.words
 
     def emit(self):
         self.pack()
@@ -235,17 +255,17 @@ class Phrases:
             yield segments(self.lang, pa.array(self.names[-1], pa.binary()), keys >> 32, names, word, n, place[word])
 
 
-def stripes(texts: DataFrame, bitmaps: list[np.ndarray]) -> DataFrame:
+def stripes(texts: DataFrame, bitmaps: list[np.ndarray], limits: Limits = Limits()) -> DataFrame:
     """Segments of the stripes of all prefixes of as many words as there are bitmaps."""
     shared = texts.sparkSession.sparkContext.broadcast(bitmaps)
 
     def count(batches):
         held: dict[str, Phrases] = {}
-        for lang, raw in by_language(batches):
+        for lang, raw in by_language(batches, limits.batch):
             if lang not in held:
-                held[lang] = Phrases(lang, shared.value)
+                held[lang] = Phrases(lang, shared.value, limits)
             held[lang].count(raw)
-            if held[lang].full() or sum(p.entries + len(p.words) for p in held.values()) > 2 * ENTRIES:
+            if held[lang].full() or sum(p.entries + len(p.words) for p in held.values()) > 2 * limits.entries:
                 for phrases in held.values():
                     yield from phrases.emit()
                 held.clear()
@@ -274,14 +294,15 @@ def phrases_in(table: DataFrame) -> DataFrame:
     return rows.select("lang", phrase.alias("phrase"), F.col("e.n").alias("a"))
 
 
-def bitmap(phrases: DataFrame) -> np.ndarray:
-    """Bits of all phrases (lang, phrase): ``BITS`` of them, however many phrases there are."""
+def bitmap(phrases: DataFrame, limits: Limits = Limits()) -> np.ndarray:
+    """Bits of all phrases (lang, phrase): of one size, however many phrases there are."""
+    size = max(1 << limits.bits >> 3, BLOCK)
 
     def mark(batches):
-        bits = np.zeros(BITS // 8, np.uint8)
+        bits = np.zeros(size, np.uint8)
         for batch in batches:
             pairs = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
-            at = bit_of(np.array([phrase_digest(*pair) for pair in pairs], np.uint64))
+            at = bit_of(np.array([phrase_digest(*pair) for pair in pairs], np.uint64), bits)
             np.bitwise_or.at(bits, at >> 3, (1 << (at & 7)).astype(np.uint8))
         blocks = bits.reshape(-1, BLOCK)
         used = np.flatnonzero(blocks.any(axis=1))
@@ -290,23 +311,25 @@ def bitmap(phrases: DataFrame) -> np.ndarray:
             names=["block", "bits"],
         )
 
-    out = np.zeros(BITS // 8, np.uint8).reshape(-1, BLOCK)
+    out = np.zeros(size, np.uint8).reshape(-1, BLOCK)
     parts = phrases.select("lang", "phrase").mapInArrow(mark, "block long, bits binary")
     for block, bits in parts.groupBy("block").agg(F.bitmap_or_agg("bits")).collect():
         out[block] = np.frombuffer(bytes(bits), np.uint8)
     return out.reshape(-1)
 
 
-def count_stripes(docs: DataFrame, longest: int, least: int, text: str = "text", lang: str = "lang") -> list[DataFrame]:
+def count_stripes(
+    docs: DataFrame, longest: int, least: int, text: str = "text", lang: str = "lang", limits: Limits = Limits()
+) -> list[DataFrame]:
     """Merged stripes of prefixes of 0 to ``longest`` - 1 words."""
     texts = docs.select(
         F.coalesce(quoted(lang).cast("string"), F.lit(UNKNOWN)).alias("lang"), quoted(text).alias("text")
     )
-    tables = [stored(merged(word_stripes(texts), least), "stripes-0")]
+    tables = [stored(merged(word_stripes(texts, limits), least), "stripes-0")]
     bitmaps = []
     for length in range(1, longest):
-        bitmaps.append(bitmap(phrases_in(tables[-1])))
-        tables.append(stored(merged(stripes(texts, bitmaps), least), f"stripes-{length}"))
+        bitmaps.append(bitmap(phrases_in(tables[-1]), limits))
+        tables.append(stored(merged(stripes(texts, bitmaps, limits), least), f"stripes-{length}"))
     return tables
 
 
@@ -325,6 +348,7 @@ def collocations(
     percent: int = 100,
     text: str = "text",
     lang: str = "lang",
+    limits: Limits = Limits(),
 ) -> DataFrame:
     """Phrases of 2 to ``longest`` words with at least ``least`` occurrences: (lang, rank, phrase, a, l, r, n, score).
 
@@ -332,7 +356,7 @@ def collocations(
     words. Phrases within a longer one that has ``percent`` of their occurrences are dropped. ``top`` is how many
     phrases each language reports; None: all.
     """
-    tables = count_stripes(docs, longest, least, text, lang)
+    tables = count_stripes(docs, longest, least, text, lang, limits)
     sizes = tables[0].groupBy("lang").agg(F.sum("total").alias("n"))
     totals = union(tables[1:]).groupBy("lang", "prefix").agg(F.sum("total").alias("f"))
     totals = stored(totals.where(F.col("f") >= least), "prefix-totals")

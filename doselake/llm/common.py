@@ -44,6 +44,11 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """``df`` with columns named by their places, which no name of the user's can clash with."""
+    return df.toDF(*(f"c{k}" for k in range(len(df.columns))))
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -29,7 +29,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from doselake.llm.common import quoted
+from doselake.llm.common import numbered
 
 MARK = "▁"
 NONE = np.int32(2**31 - 1)
@@ -415,4 +415,4 @@ def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*(piece.column(k) for k in kept), *columns], names=schema.names)
                 at = end
 
-    return docs.select(*map(quoted, docs.columns)).mapInArrow(work, schema)
+    return numbered(docs).mapInArrow(work, schema)

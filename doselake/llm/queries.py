@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from doselake.llm import (
     bpe,
     collocations,
+    conversations,
     decontaminate,
     language_id,
     license_scan,
@@ -231,3 +232,101 @@ select lang, rank::bigint as rank, phrase, a::bigint as a, l::bigint as l, r::bi
   score::bigint as score
 from ranked where rank <= 2000
 """
+
+
+def damaged(rows):
+    """Conversations with damage that conv_id and turn decide; ``alive`` is false for rows that are dropped."""
+    space = F.lit(" ")
+    name = F.concat_ws(
+        ":", *(F.coalesce(F.col(c).cast("string"), space) for c in ("conv_id", "turn"))
+    )
+    fate = F.crc32(name.cast("binary")) % 20
+    role, text = (F.coalesce(F.col(c), space) for c in ("role", "text"))
+    return rows.select(
+        "conv_id",
+        "turn",
+        F.when(fate == 4, "user").otherwise(role).alias("role"),
+        F.when(fate == 1, "").when(fate == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        (fate != 0).alias("alive"),
+        F.explode(F.when(fate == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("copy"),
+    )
+
+
+@query
+def op11_conversation_repair(spark, sf_dir):
+    """Faults, cheapest edits and digest of the repaired text of every damaged conversation."""
+    rows = damaged(table(spark, sf_dir, "conversations"))
+    made = conversations.repair(rows, alive=F.col("alive"))
+    return made.select(
+        "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"
+    )
+
+
+ORACLE_SQL["op11_conversation_repair"] = r"""
+with recursive crc_table as (
+  select list(v order by i) as t
+  from (select i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+      lambda c, b: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) as v
+    from (select unnest(range(0, 256)) as i))
+), marked as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+    xor(list_reduce([4294967295] || list_transform(range(1, length(name) + 1), lambda k: ascii(name[k])::bigint),
+      lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)])), 4294967295) % 20 as fate
+  from (select *, coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as name from conversations),
+    crc_table
+), damaged as (
+  select conv_id, turn, case fate when 4 then 'user' else role end as role,
+    case fate when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+    unnest(range(case fate when 0 then 0 when 3 then 2 else 1 end)) as copy
+  from marked
+), placed as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as i from damaged
+), judged as (
+  select *, role[1] as initial, lag(role[1]) over (partition by conv_id order by i) || role[1] as pair,
+    case when not regexp_matches(text, '[^\x20\x09-\x0D]') then 'blank'
+      when row_number() over (partition by conv_id, role, text order by i) > 1 then 'duplicate'
+      when not regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') then 'truncated' else '' end as fault
+  from placed
+), inserts(q, k, q2, added) as (
+  values (0, 0, 0, []::varchar[]), (0, 1, 2, ['user:']), (0, 2, 3, ['user:', 'assistant:']),
+    (1, 0, 1, []), (1, 1, 2, ['user:']), (1, 2, 3, ['user:', 'assistant:']),
+    (2, 0, 2, []), (2, 1, 3, ['assistant:']), (2, 2, 2, ['assistant:', 'user:']),
+    (3, 0, 3, []), (3, 1, 2, ['user:']), (3, 2, 3, ['user:', 'assistant:'])
+), edits(edit, initial, q, q2, cost) as (
+  values ('D', null, 0, 0, 2), ('D', null, 1, 1, 2), ('D', null, 2, 2, 2), ('D', null, 3, 3, 2),
+    ('K', 's', 0, 1, 0), ('K', 'u', 0, 2, 0), ('K', 'u', 1, 2, 0), ('K', 'u', 3, 2, 0), ('K', 'a', 2, 3, 0),
+    ('R', null, 0, 2, 1), ('R', null, 1, 2, 1), ('R', null, 3, 2, 1), ('R', null, 2, 3, 1)
+), paths as (
+  select distinct conv_id, 0::bigint as i, 0 as q, {'cost': 0::bigint, 'audit': '', 'lines': []::varchar[]} as best
+  from conversations
+  union all
+  select p.conv_id, p.i + 1, e.q2, min({
+      'cost': p.best.cost + 5 * s.k + e.cost + case when e.edit <> 'D' and r.fault = 'truncated' then 5 else 0 end,
+      'audit': p.best.audit || repeat('I', s.k) || e.edit,
+      'lines': p.best.lines || s.added || case e.edit when 'D' then [] when 'K' then [r.role || ':' || r.text]
+        else [case e.q2 when 2 then 'user:' else 'assistant:' end || r.text] end})
+  from paths p
+  join judged r on r.conv_id is not distinct from p.conv_id and r.i = p.i + 1
+  join inserts s on s.q = p.q
+  join edits e on e.q = s.q2 and (e.initial is null or e.initial = r.initial)
+    and (e.edit = 'D' or r.fault not in ('blank', 'duplicate'))
+  group by p.conv_id, p.i + 1, e.q2
+), sizes as (
+  select conv_id, count(*) as n, max(turn) - min(turn) + 1 - count(distinct turn) as gaps,
+    count_if(fault = 'blank') as blank, count_if(fault = 'duplicate') as duplicate,
+    count_if(fault = 'truncated') as truncated, count_if(pair not in ('su', 'ua', 'au')) as illegal
+  from judged group by conv_id
+), best as (
+  select p.conv_id, min({'cost': p.best.cost + 5 * s.k, 'audit': p.best.audit || repeat('I', s.k),
+    'lines': p.best.lines || s.added}) as best
+  from paths p left join sizes z on z.conv_id is not distinct from p.conv_id
+  join inserts s on s.q = p.q and s.q2 in (0, 3)
+  where p.i = coalesce(z.n, 0)
+  group by p.conv_id
+)
+select b.conv_id, coalesce(z.gaps, 0)::bigint as gaps, coalesce(z.blank, 0)::bigint as blank,
+  coalesce(z.duplicate, 0)::bigint as duplicate, coalesce(z.truncated, 0)::bigint as truncated,
+  coalesce(z.illegal, 0)::bigint as illegal, b.best.cost::bigint as cost, b.best.audit as audit,
+  sha256(array_to_string(b.best.lines, chr(10))) as repaired_sha256
+from best b left join sizes z on z.conv_id is not distinct from b.conv_id
+"""
