@@ -3,9 +3,9 @@
 The frequent words of the corpus are compiled into a minimal acyclic automaton: words
 share prefixes and, by merging equal states bottom up, suffixes. Every transition carries
 how many words come before those it leads to, so the sum along a path numbers the word,
-and the number finds its token ids in a table beside the automaton. Tasks map both into
-memory and walk all new words of a batch at once. Words it lacks are merged exactly,
-lowest merge rank first.
+and the number finds its token ids in a table beside the automaton. Both are one file, which Spark hands to every
+executor once and all tasks there map into memory; they walk all new words of a batch at once. Words it lacks
+are merged exactly, lowest merge rank first, all new ones of a batch in the same rounds (``merging``).
 
 Text is treated as the tokenizer file says: special tokens are cut out of the raw text,
 the rest is put in NFC and lower case, and split into contractions, runs of letters, single
@@ -14,13 +14,17 @@ of the ids by a space, as a file without decoder asks.
 
 Null counts as the empty text: no tokens, empty strings. Rows do not depend on each other;
 repeated rows are encoded alike, an empty table gives an empty result. Long texts cost
-time in proportion. Columns ``n_tokens ids decoded`` of the input are replaced.
+time in proportion; a worker remembers a bounded number of chunks of text. Columns ``n_tokens ids decoded`` of the
+input are replaced, all others are carried along, whatever their names.
 """
 
 from __future__ import annotations
 
-import heapq
+import hashlib
 import json
+import mmap
+import os
+import tempfile
 import unicodedata
 from collections import Counter
 from dataclasses import dataclass, field
@@ -28,47 +32,74 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark import SparkFiles
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from doselake.llm.common import Mapped, stored
+from doselake.llm.common import numbered, stored
+from doselake.llm.merging import Memory, Merges, spans, strings
 
 #: Words of the lexicon at most, bytes of its longest word.
-LEXICON_WORDS, LONGEST = 200_000, 32
-#: Chunks and words a worker remembers at once; distinct chunks a task counts before it passes them on.
-REMEMBERED, COUNTED = 300_000, 400_000
+LEXICON_WORDS, LONGEST = 100_000, 32
+#: Chunks a worker remembers at most, with so many letters and ids in all; signs of a batch of texts.
+REMEMBERED, REMEMBERED_ROOM, BATCH = 200_000, 4_000_000, 500_000
+#: Distinct chunks a task counts before it passes them on.
+COUNTED = 200_000
 #: White space that str.split() takes for such and the tokenizer does not.
 ODD_SPACE = regex.compile(r"[\x1c-\x1f]")
 SPACE = regex.compile(r"\p{White_Space}+")
 
 
+def laid(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(all parts one after the other, where each starts and the last ends)."""
+    return np.frombuffer(b"".join(parts), np.uint8), np.cumsum([0, *map(len, parts)])
+
+
 @dataclass
 class Rules:
-    """What a tokenizer file of this kind says: vocabulary, merges, split pattern, special tokens."""
+    """What a tokenizer file of this kind says, as tasks need it. Symbols are token ids."""
 
-    vocab: dict[str, int]
-    merges: dict[tuple[str, str], int]
     pattern: str
-    suffix: str
     special: dict[str, int]
+    inner: np.ndarray  # symbol of each byte, of the last byte of a word
+    last: np.ndarray
+    merges: Merges
+    n_tokens: int
+    tokens: tuple[np.ndarray, np.ndarray]  # text of every token and a space
+    numbers: tuple[np.ndarray, np.ndarray]  # every id in decimal and a space
 
     @classmethod
     def load(cls, path: str) -> Rules:
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         model, split = spec["model"], spec["pre_tokenizer"]["pretokenizers"][0]
+        suffix = model["end_of_word_suffix"]
+        special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        texts = {i: t for t, i in (model["vocab"] | special).items()}
+        n = max(texts, default=-1) + 1
+        # what is no token itself gets a symbol beyond them, and is left out in the end
+        symbols = dict(model["vocab"])
+
+        def symbol(part: str) -> int:
+            return symbols.setdefault(part, n + len(symbols))
+
+        table = {}
+        for rank, (left, right) in enumerate(model["merges"]):
+            table.setdefault((symbol(left) << 32) + symbol(right), (symbol(left + right), rank))
+        signs = byte_signs()
         return cls(
-            model["vocab"],
-            {tuple(m): k for k, m in enumerate(model["merges"])},
             split["pattern"]["Regex"].replace(r"\s", r"\p{White_Space}"),
-            model["end_of_word_suffix"],
-            {t["content"]: t["id"] for t in spec["added_tokens"]},
+            special,
+            np.array([symbol(s) for s in signs], np.int64),
+            np.array([symbol(s + suffix) for s in signs], np.int64),
+            Merges.of(table),
+            n,
+            laid([(texts.get(i, "") + " ").encode() for i in range(n)]),
+            laid([b"%d " % i for i in range(n)]),
         )
 
     def __post_init__(self):
-        self.signs = byte_signs()
-        self.tokens = {i: t for t, i in (self.vocab | self.special).items()}
         self.pieces = regex.compile(self.pattern)
 
     def words(self, chunk: str) -> list[bytes]:
@@ -77,48 +108,28 @@ class Rules:
             chunk = unicodedata.normalize("NFC", chunk).replace("Σ", "σ")
         return [w.encode("utf-8", "replace") for w in self.pieces.findall(chunk.lower())]
 
-    def merge(self, word: bytes) -> list[int]:
-        """Token ids of a word: neighbours merged, lowest rank first, leftmost first."""
-        parts: list[str | None] = [self.signs[b] for b in word]
-        parts[-1] += self.suffix
-        if len(parts) <= LONGEST:
-            return self.merge_short(parts)
-        before, after = list(range(-1, len(parts) - 1)), list(range(1, len(parts) + 1))
-        ranks = self.merges
-        heap = [
-            (r, i, parts[i], parts[i + 1])
-            for i in range(len(parts) - 1)
-            if (r := ranks.get((parts[i], parts[i + 1]))) is not None
-        ]
-        heapq.heapify(heap)
-        while heap:
-            _, i, left, right = heapq.heappop(heap)
-            j = after[i]
-            if parts[i] != left or j >= len(parts) or parts[j] != right:
-                continue
-            parts[i], parts[j] = left + right, None
-            after[i] = k = after[j]
-            if k < len(parts):
-                before[k] = i
-                if (r := ranks.get((parts[i], parts[k]))) is not None:
-                    heapq.heappush(heap, (r, i, parts[i], parts[k]))
-            if (h := before[i]) >= 0 and (r := ranks.get((parts[h], parts[i]))) is not None:
-                heapq.heappush(heap, (r, h, parts[h], parts[i]))
-        return [self.vocab[p] for p in parts if p is not None and p in self.vocab]
-
-    def merge_short(self, parts: list[str]) -> list[int]:
-        """The same by looking through all neighbours each time: quicker for few parts."""
-        rank, none = self.merges.get, len(self.merges)
-        ranks = [rank(pair, none) for pair in zip(parts, parts[1:], strict=False)]
-        while ranks and (least := min(ranks)) < none:
-            i = ranks.index(least)
-            parts[i] += parts.pop(i + 1)
-            del ranks[i]
-            if i < len(ranks):
-                ranks[i] = rank((parts[i], parts[i + 1]), none)
-            if i:
-                ranks[i - 1] = rank((parts[i - 1], parts[i]), none)
-        return [self.vocab[p] for p in parts if p in self.vocab]
+    def merge(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(token ids of all words one after the other, number of ids of each)."""
+        flat = np.frombuffer(b"".join(words), np.uint8)
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        ends = np.cumsum(lengths)
+        symbol = self.inner[flat]
+        symbol[ends - 1] = self.last[flat[ends - 1]]
+        opens = np.zeros(len(flat), bool)
+        opens[ends - lengths] = True
+        place = self.merges.rounds(symbol, opens)
+        place = place[symbol[place] < self.n_tokens]
+        word = np.searchsorted(ends, place, side="right")
+        return symbol[place].astype(np.int32), np.bincount(word, minlength=len(words))
+
+    def written(self, table: tuple[np.ndarray, np.ndarray], ids: np.ndarray, lengths: np.ndarray) -> pa.Array:
+        """The parts of ``table`` that ``ids`` name, row by row, without the space at the end."""
+        data, starts = table
+        sizes = np.diff(starts)[ids]
+        ends = np.cumsum(lengths)[lengths > 0]
+        sizes[ends - 1] -= 1
+        upto = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(lengths)])]
+        return strings(data[spans(starts[ids], sizes)], np.diff(upto), pa.string())
 
 
 def byte_signs() -> list[str]:
@@ -132,17 +143,13 @@ def byte_signs() -> list[str]:
 class Lexicon:
     """A minimal acyclic automaton over bytes that numbers its words, with token ids for each number."""
 
-    blob: bytes
+    blob: bytes | None
     n_moves: int
     n_states: int
     n_words: int
     n_ids: int
-    _mapped: Mapped | None = field(default=None, repr=False)
-
-    def __getstate__(self):
-        return {k: getattr(self, k) for k in ("blob", "n_moves", "n_states", "n_words", "n_ids")} | {
-            "_mapped": None
-        }
+    file: str = ""
+    opened: bool = field(default=False, repr=False)
 
     @classmethod
     def compile(cls, words: list[bytes], ids: dict[bytes, list[int]]) -> Lexicon:
@@ -199,17 +206,34 @@ class Lexicon:
         )
         return cls(blob, len(keys), len(final), len(words), len(flat))
 
+    def shared(self, spark: SparkSession) -> Lexicon:
+        """The same as a file that every executor fetches once; what travels to tasks is its name."""
+        name = f"lexicon-{hashlib.sha256(self.blob).hexdigest()[:32]}"
+        folder = os.path.join(tempfile.gettempdir(), f"doselake-{os.getpid()}")
+        os.makedirs(folder, exist_ok=True)
+        path = os.path.join(folder, name)
+        if not os.path.exists(path):
+            with open(path, "wb") as out:
+                out.write(self.blob)
+        spark.sparkContext.addFile(path)
+        return Lexicon(None, self.n_moves, self.n_states, self.n_words, self.n_ids, name)
+
     def open(self) -> Lexicon:
-        if self._mapped is None:
-            self._mapped = Mapped(self.blob)
+        if not self.opened:
+            if self.blob is None:
+                with open(SparkFiles.get(self.file), "rb") as file:
+                    view = memoryview(mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ))
+            else:
+                view = memoryview(self.blob)
             at = 0
             for name, kind, n in (
                 ("keys", np.int64, self.n_moves), ("starts", np.int64, self.n_words + 1),
                 ("to", np.int32, self.n_moves), ("skipped", np.int32, self.n_moves),
                 ("ids", np.int32, self.n_ids), ("final", np.uint8, self.n_states),
             ):
-                setattr(self, name, np.frombuffer(self._mapped.view, kind, n, at))
+                setattr(self, name, np.frombuffer(view, kind, n, at))
                 at += n * np.dtype(kind).itemsize
+            self.opened = True
         return self
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
@@ -246,59 +270,82 @@ class Lexicon:
 
 
 class Encoder:
-    """Encodes texts chunk by chunk; remembers a bounded number of chunks and words."""
+    """Encodes batches of texts; each chunk without white space once, while it is remembered."""
 
     def __init__(self, rules: Rules, lexicon: Lexicon):
         self.rules, self.lexicon = rules, lexicon.open()
         self.cut = regex.compile("(" + "|".join(map(regex.escape, rules.special)) + ")")
-        self.known: dict[str, tuple[int, str, str]] = {
-            t: (1, str(i), t) for t, i in rules.special.items()
-        }
-        self.chunks: dict[str, tuple[int, str, str]] = dict(self.known)
-        self.merged: dict[bytes, list[int]] = {}
+        self.memory = Memory(REMEMBERED, REMEMBERED_ROOM)
+        self.begin()
 
-    def split(self, text: str) -> list[str]:
-        if any(t in text for t in self.rules.special):
-            parts = self.cut.split(text)
-            return [c for p in parts for c in ([p] if p in self.known else self.spaced(p))]
-        return self.spaced(text)
+    def begin(self) -> None:
+        memory, special = self.memory, self.rules.special
+        memory.forget()
+        for text in special:
+            memory.known[text]
+        memory.add(np.array(list(special.values()), np.int32), np.ones(len(special), np.int64), 0)
 
-    @staticmethod
-    def spaced(text: str) -> list[str]:
-        if ODD_SPACE.search(text):
-            return [c for c in SPACE.split(text) if c]
-        return text.split()
+    def split(self, text: str) -> list[str]:
+        special = self.rules.special
+        if any(t in text for t in special):
+            return [c for p in self.cut.split(text) for c in ([p] if p in special else spaced(p))]
+        return spaced(text)
 
     def learn(self, new: list[str]) -> None:
         """Encode chunks not seen before: their words by the lexicon, the rest by merging."""
-        if len(self.chunks) + len(new) > REMEMBERED:
-            self.chunks = dict(self.known)
-        if len(self.merged) > REMEMBERED:
-            self.merged.clear()
-        words = {c: self.rules.words(c) for c in new}
-        unseen = list({w for ws in words.values() for w in ws if w not in self.merged})
-        ids = {}
-        for word, number in zip(unseen, self.lexicon.numbers(unseen).tolist(), strict=True):
-            ids[word] = self.lexicon.ids_of(number) if number >= 0 else self.rules.merge(word)
-        self.merged |= ids
-        tokens = self.rules.tokens
-        for chunk, ws in words.items():
-            row = [i for w in ws for i in self.merged[w]]
-            self.chunks[chunk] = (len(row), " ".join(map(str, row)), " ".join(tokens[i] for i in row))
-
-    def encode(self, texts: list[str]) -> list[tuple[int, str, str]]:
-        """(number of tokens, ids, decoded text) of each text."""
-        split = [self.split(t) for t in texts]
-        new = set().union(*split).difference(self.chunks)
-        if len(self.chunks) + len(new) > REMEMBERED:
-            self.chunks = dict(self.known)
-            new = set().union(*split).difference(self.chunks)
-        self.learn(list(new))
-        out = []
-        for chunks in split:
-            rows = [r for r in map(self.chunks.__getitem__, chunks) if r[0]]
-            out.append((sum(r[0] for r in rows), " ".join([r[1] for r in rows]), " ".join([r[2] for r in rows])))
-        return out
+        words = [self.rules.words(c) for c in new]
+        place: dict[bytes, int] = {}
+        flat = [place.setdefault(w, len(place)) for ws in words for w in ws]
+        distinct = list(place)
+        number = self.lexicon.numbers(distinct)
+        held, other = np.flatnonzero(number >= 0), np.flatnonzero(number < 0)
+        starts, sizes = (np.zeros(len(distinct), np.int64) for _ in range(2))
+        first = self.lexicon.starts[number[held]]
+        sizes[held] = self.lexicon.starts[number[held] + 1] - first
+        known = self.lexicon.ids[spans(first, sizes[held])]
+        starts[held] = np.cumsum(sizes[held]) - sizes[held]
+        merged = np.empty(0, np.int32)
+        if len(other):
+            merged, sizes[other] = self.rules.merge([distinct[k] for k in other.tolist()])
+            starts[other] = len(known) + np.cumsum(sizes[other]) - sizes[other]
+        at = np.array(flat, np.int64)
+        ids = np.concatenate([known, merged])[spans(starts[at], sizes[at])]
+        upto = np.concatenate([[0], np.cumsum(sizes[at])])
+        counts = np.diff(upto[np.cumsum([0, *map(len, words)])])
+        self.memory.add(ids, counts, sum(map(len, new)))
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after the other, number of ids of each)."""
+        if self.memory.full():
+            self.begin()
+        chunks, counts = [], []
+        for text in texts:
+            parts = self.split(text)
+            chunks += parts
+            counts.append(len(parts))
+        known = self.memory.known
+        numbers = np.fromiter(map(known.__getitem__, chunks), np.int64, len(chunks))
+        if known.new:
+            self.learn(known.new)
+        return self.memory.gather(numbers, counts)
+
+
+def spaced(text: str) -> list[str]:
+    """Chunks between white space."""
+    if ODD_SPACE.search(text):
+        return [c for c in SPACE.split(text) if c]
+    return text.split()
+
+
+#: The encoder of the lexicon that tasks of this worker used last: it remembers beyond a task.
+_last: dict[str, Encoder] = {}
+
+
+def encoder_of(rules: Rules, lexicon: Lexicon) -> Encoder:
+    if lexicon.file not in _last:
+        _last.clear()
+        _last[lexicon.file] = Encoder(rules, lexicon)
+    return _last[lexicon.file]
 
 
 def count_words(docs: DataFrame, rules: Rules, text: str = "text") -> DataFrame:
@@ -320,7 +367,7 @@ def count_words(docs: DataFrame, rules: Rules, text: str = "text") -> DataFrame:
         seen: Counter = Counter()
         for batch in batches:
             for value in batch.column(0).to_pylist():
-                seen.update(Encoder.spaced(value or ""))
+                seen.update(spaced(value or ""))
                 if len(seen) > COUNTED:
                     yield from emit(seen)
                     seen = Counter()
@@ -349,47 +396,44 @@ def build_lexicon(
         least = number
     top = counts.where(step >= least).select("word").collect() if least is not None else []
     words = sorted(bytes(r[0]) for r in top)
-    return Lexicon.compile(words, {w: rules.merge(w) for w in words})
+    ids, sizes = rules.merge(words) if words else ([], [])
+    ends = np.cumsum([0, *sizes]).tolist()
+    return Lexicon.compile(words, {w: ids[ends[k] : ends[k + 1]].tolist() for k, w in enumerate(words)})
 
 
 def encode_decode(
-    docs: DataFrame, rules: Rules, lexicon: Lexicon, text: str = "text", batch_chars: int = 2_000_000
+    docs: DataFrame, rules: Rules, lexicon: Lexicon, text: str = "text", batch_chars: int = BATCH
 ) -> DataFrame:
     """``docs`` with n_tokens, ids (decimal, joined by one space) and the decoded text."""
-    kept = [c for c in docs.columns if c.lower() not in ("n_tokens", "ids", "decoded")]
-    schema = T.StructType(
-        [docs.schema[c] for c in kept]
-        + [
-            T.StructField("n_tokens", T.LongType()),
-            T.StructField("ids", T.StringType()),
-            T.StructField("decoded", T.StringType()),
-        ]
-    )
-    shared = docs.sparkSession.sparkContext.broadcast((rules, lexicon))
+    made = T.StructType().add("n_tokens", "long").add("ids", "string").add("decoded", "string")
+    names = [c for c in docs.columns if c.lower() not in ("n_tokens", "ids", "decoded")]
+    schema = T.StructType([docs.schema[c] for c in names] + made.fields)
+    kept, source = [docs.columns.index(c) for c in names], docs.columns.index(text)
+    spark = docs.sparkSession
+    shared, lexicon = spark.sparkContext.broadcast(rules), lexicon.shared(spark)
 
     def work(batches):
-        encoder = Encoder(*shared.value)
+        rules = shared.value
+        encoder = encoder_of(rules, lexicon)
         for batch in batches:
-            at, n = 0, batch.num_rows
-            texts = batch.column(len(kept))
-            while at < n:
+            texts, at = batch.column(source), 0
+            while at < batch.num_rows:
                 part, size, end = [], 0, at
-                while end < n and (size < batch_chars or end == at):
+                while end < batch.num_rows and (size < batch_chars or end == at):
                     part.append(texts[end].as_py() or "")
                     size += len(part[-1])
                     end += 1
-                rows = encoder.encode(part)
-                made = [
-                    pa.array([r[i] for r in rows], kind)
-                    for i, kind in enumerate((pa.int64(), pa.string(), pa.string()))
+                ids, lengths = encoder.encode(part)
+                columns = [
+                    pa.array(lengths, pa.int64()),
+                    rules.written(rules.numbers, ids, lengths),
+                    rules.written(rules.tokens, ids, lengths),
                 ]
                 piece = batch.slice(at, end - at)
-                yield pa.RecordBatch.from_arrays(
-                    [piece.column(i) for i in range(len(kept))] + made, names=schema.names
-                )
+                yield pa.RecordBatch.from_arrays([*(piece.column(k) for k in kept), *columns], names=schema.names)
                 at = end
 
-    return docs.select(*kept, F.col(text).alias("_text")).mapInArrow(work, schema)
+    return numbered(docs).mapInArrow(work, schema)
 
 
 def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:

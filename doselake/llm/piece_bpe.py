@@ -30,11 +30,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from doselake.llm.common import numbered
+from doselake.llm.merging import Memory, Merges, found, spans, strings
 
 MARK = "▁"
-NONE = np.int32(2**31 - 1)
-#: Words a worker remembers at most, with so many letters and ids in all; signs of a batch of texts.
-REMEMBERED, REMEMBERED_LETTERS, BATCH = 250_000, 4_000_000, 1_000_000
+#: Words a task remembers at most, with so many letters and ids in all; signs of a batch of texts.
+REMEMBERED, REMEMBERED_ROOM, BATCH = 250_000, 4_000_000, 1_000_000
 NORMAL, BYTE, SILENT = 0, 1, 2
 #: What a text falls into: marks with what follows them, or a line break with what follows it.
 WORD = re.compile(r" +[^ \n]*|\n[^ \n]*")
@@ -42,38 +42,13 @@ WORD = re.compile(r" +[^ \n]*|\n[^ \n]*")
 PROBE = "  Aﬁ\t½  é　Ａ \n "
 
 
-def found(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(place in sorted ``keys``, whether it is there) of each wanted one."""
-    if not len(keys):
-        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return at, keys[at] == wanted
-
-
-def spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """The places start, start + 1, ... of all spans, one after the other."""
-    ends = np.cumsum(lengths)
-    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + lengths, lengths)
-
-
-def alternate(at: np.ndarray) -> np.ndarray:
-    """Of places in ascending order the 1st, 3rd, ... of every run of neighbours."""
-    if not len(at):
-        return at
-    new = np.concatenate([[True], np.diff(at) != 1])
-    order = np.arange(len(at))
-    return at[(order - np.maximum.accumulate(np.where(new, order, 0))) % 2 == 0]
-
-
 @dataclass
 class Pieces:
     """A vocabulary as arrays. Symbols are piece ids, then signs without a piece of their own, then code points."""
 
     letters: np.ndarray  # code points of the signs in pieces, sorted
     letter_symbols: np.ndarray
-    pairs: np.ndarray  # left * 2^32 + right, sorted
-    merged: np.ndarray  # symbol that a pair becomes
-    ranks: np.ndarray  # of each symbol as the result of a merge
+    merges: Merges
     touching: np.ndarray  # signs next to each other in some piece, left * 2^32 + right, sorted
     loose: np.ndarray  # code points of the symbols that are no pieces
     n_pieces: int
@@ -109,29 +84,24 @@ class Pieces:
         symbols = {names[i]: i for i in normal}
         loose = sorted({c for p in symbols for c in p} - symbols.keys())
         symbols |= {c: n + k for k, c in enumerate(loose)}
-        ranks = np.full(n + len(loose), NONE, np.int32)
         _, order = np.unique([-model.get_score(i) for i in normal], return_inverse=True)
-        ranks[normal] = order
         pairs, touching = {}, set()
-        for i in normal:
+        for i, rank in zip(normal, order.tolist(), strict=True):
             piece = names[i]
             for k in range(1, len(piece)):
                 touching.add((ord(piece[k - 1]) << 32) + ord(piece[k]))
                 left, right = symbols.get(piece[:k]), symbols.get(piece[k:])
                 if left is not None and right is not None:
-                    pairs[(left << 32) + right] = i
+                    pairs[(left << 32) + right] = i, rank
         letters = sorted((ord(s), i) for s, i in symbols.items() if len(s) == 1)
         surface = [
             bytes([int(name[3:5], 16)]) if kind == BYTE else b"" if kind == SILENT else name.replace(MARK, " ").encode()
             for name, kind in zip(names, kinds.tolist(), strict=True)
         ]
-        keys = np.array(sorted(pairs), np.int64)
         return cls(
             np.array([c for c, _ in letters], np.int64),
             np.array([i for _, i in letters], np.int64),
-            keys,
-            np.array([pairs[k] for k in keys.tolist()], np.int64),
-            ranks,
+            Merges.of(pairs),
             np.array(sorted(touching), np.int64),
             np.array([ord(c) for c in loose], np.int64),
             n,
@@ -162,14 +132,6 @@ class Pieces:
             return word
         return MARK + word.replace(" ", MARK)
 
-    def joined(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(symbol, rank) each pair becomes; rank NONE if it makes no piece."""
-        if not len(self.pairs):
-            return np.zeros(len(left), np.int64), np.full(len(left), NONE)
-        at, there = found(self.pairs, (left << 32) + right)
-        symbol = self.merged[at]
-        return symbol, np.where(there, self.ranks[symbol], NONE)
-
     def merge(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all words one after the other, number of ids of each)."""
         n_words = len(words)
@@ -183,7 +145,7 @@ class Pieces:
         opens = np.zeros(len(code), bool)
         opens[np.cumsum(lengths) - lengths] = True
         opens[1:] |= ~found(self.touching, (code[:-1] << 32) + code[1:])[1]
-        place = self.rounds(symbol, opens)
+        place = self.merges.rounds(symbol, opens)
         symbol = symbol[place]
         # pieces are ids; signs without one become their UTF-8 bytes
         word = np.repeat(np.arange(n_words), lengths)[place]
@@ -198,63 +160,6 @@ class Pieces:
         out[spans(starts, size[odd])] = self.byte_ids[np.frombuffer(b"".join(raw), np.uint8)]
         return out, np.bincount(np.repeat(word, size), minlength=n_words)
 
-    def rounds(self, symbol: np.ndarray, opens: np.ndarray) -> np.ndarray:
-        """Merge within the segments that ``opens`` starts; ``symbol`` is written to. Places of the symbols left."""
-        left = []
-        place = np.arange(len(symbol))
-        segment = np.cumsum(opens)
-        made = np.zeros(len(symbol), np.int64)
-        rank = np.full(len(symbol), NONE)
-        within = np.flatnonzero(segment[:-1] == segment[1:])
-        made[within], rank[within] = self.joined(symbol[within], symbol[within + 1])
-        now = symbol
-        while len(place):
-            starts = np.flatnonzero(np.concatenate([[True], segment[1:] != segment[:-1]]))
-            sizes = np.diff(np.append(starts, len(place)))
-            least = np.minimum.reduceat(rank, starts)
-            ended = np.repeat(least == NONE, sizes)
-            if ended.any():
-                symbol[place[ended]] = now[ended]
-                left.append(place[ended])
-                open_ = ~ended
-                place, segment, now, made, rank = (x[open_] for x in (place, segment, now, made, rank))
-                least, sizes = least[least != NONE], sizes[least != NONE]
-                if not len(place):
-                    break
-            at = alternate(np.flatnonzero(rank == np.repeat(least, sizes)))
-            at = at[~self.hasty(at, now, made, rank, segment)]
-            keep = np.ones(len(place), bool)
-            keep[at + 1] = False
-            now[at] = made[at]
-            place, segment, now, made, rank = (x[keep] for x in (place, segment, now, made, rank))
-            at -= np.arange(len(at))
-            fresh = np.unique(np.concatenate([at, at[at > 0] - 1]))
-            rank[fresh] = NONE
-            fresh = fresh[fresh + 1 < len(place)]
-            fresh = fresh[segment[fresh] == segment[fresh + 1]]
-            made[fresh], rank[fresh] = self.joined(now[fresh], now[fresh + 1])
-        return np.sort(np.concatenate(left)) if left else np.empty(0, np.int64)
-
-    def hasty(self, at, now, made, rank, segment) -> np.ndarray:
-        """Which of the merges must wait: all but the first where one makes a pair that ranks before the next."""
-        sign, level = made[at], rank[at]
-        early = np.zeros(len(at), bool)
-        before = at - 1
-        inside = np.flatnonzero((at > 0) & (segment[before] == segment[at]))
-        neighbour = now[before[inside]]
-        # the neighbour may have been merged just before
-        follows = np.flatnonzero((inside > 0) & (at[inside - 1] + 1 == before[inside]))
-        neighbour[follows] = sign[inside[follows] - 1]
-        early[inside] |= self.joined(neighbour, sign[inside])[1] <= level[inside]
-        after = np.minimum(at + 2, len(now) - 1)
-        inside = np.flatnonzero((at + 2 < len(now)) & (segment[after] == segment[at]))
-        early[inside] |= self.joined(sign[inside], now[after[inside]])[1] <= level[inside]
-        if not early.any():
-            return early
-        held = np.isin(segment[at], segment[at[early]])
-        first = np.concatenate([[True], segment[at[1:]] != segment[at[:-1]]])
-        return held & ~first
-
     def decode(self, ids: np.ndarray, lengths: np.ndarray) -> list[str]:
         """The text of each sequence of ids."""
         kinds = self.kinds[ids]
@@ -315,65 +220,29 @@ def signs(raw: bytes) -> str:
     return "".join(out)
 
 
-class Known(dict):
-    """Numbers words in the order they come, and lists the new ones."""
-
-    def __init__(self):
-        super().__init__()
-        self.new: list[str] = []
-
-    def __missing__(self, word: str) -> int:
-        number = self[word] = len(self)
-        self.new.append(word)
-        return number
-
-
 class Encoder:
     """Encodes batches of texts, merging each word once."""
 
     def __init__(self, pieces: Pieces):
         self.pieces = pieces
-        self.forget()
-
-    def forget(self) -> None:
-        self.known = Known()
-        self.ids = np.empty(1 << 12, np.int32)
-        self.starts = np.zeros(1 << 10, np.int64)
-        self.sizes = np.zeros(1 << 10, np.int64)
-        self.used = self.letters = 0
-
-    def learn(self) -> None:
-        """Merge the words not seen before."""
-        new = [self.pieces.spelled(w) for w in self.known.new]
-        self.known.new = []
-        ids, sizes = self.pieces.merge(new)
-        first, total = len(self.known) - len(new), len(self.known)
-        while total > len(self.starts):
-            self.starts, self.sizes = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.sizes))
-        while self.used + len(ids) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
-        self.ids[self.used : self.used + len(ids)] = ids
-        self.sizes[first:total] = sizes
-        self.starts[first:total] = self.used + np.cumsum(sizes) - sizes
-        self.used += len(ids)
-        self.letters += sum(map(len, new))
+        self.memory = Memory(REMEMBERED, REMEMBERED_ROOM)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, number of ids of each)."""
-        if len(self.known) > REMEMBERED or self.letters + self.used > REMEMBERED_LETTERS:
-            self.forget()
+        memory = self.memory
+        if memory.full():
+            memory.forget()
         words, counts = [], []
         for text in texts:
             parts = self.pieces.words(text)
             words += parts
             counts.append(len(parts))
-        numbers = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-        if self.known.new:
-            self.learn()
-        sizes = self.sizes[numbers]
-        flat = self.ids[spans(self.starts[numbers], sizes)]
-        ends = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum([0, *counts])]
-        lengths = np.diff(ends) + 2
+        numbers = np.fromiter(map(memory.known.__getitem__, words), np.int64, len(words))
+        if memory.known.new:
+            new = [self.pieces.spelled(w) for w in memory.known.new]
+            memory.add(*self.pieces.merge(new), sum(map(len, new)))
+        flat, lengths = memory.gather(numbers, counts)
+        lengths = lengths + 2
         out = np.empty(len(flat) + 2 * len(texts), np.int32)
         stops = np.cumsum(lengths)
         inner = np.ones(len(out), bool)
@@ -403,12 +272,9 @@ def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
                     size += len(part[-1])
                     end += 1
                 ids, lengths = encoder.encode(part)
-                offsets = np.concatenate([[0], np.cumsum(lengths * 4)]).astype(np.int32)
                 columns = [
                     pa.array(lengths, pa.int64()),
-                    pa.BinaryArray.from_buffers(
-                        pa.binary(), len(part), [None, pa.py_buffer(offsets), pa.py_buffer(ids.astype("<i4"))]
-                    ),
+                    strings(ids.astype("<i4"), lengths * 4, pa.binary()),
                     pa.array(pieces.decode(ids, lengths), pa.string()),
                 ]
                 piece = batch.slice(at, end - at)

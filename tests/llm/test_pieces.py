@@ -13,7 +13,7 @@ import public_tokenizers
 import pytest
 import sentencepiece
 
-from doselake.llm import collocations, piece_bpe, queries
+from doselake.llm import collocations, merging, piece_bpe, queries
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -69,11 +69,10 @@ def test_a_merge_that_ranks_before_the_next():
     ranks = {"ab": 5, "abc": 1, "ca": 9}
     names = ["a", "b", "c", *ranks]
     pairs = {(0 << 32) + 1: 3, (3 << 32) + 2: 4, (2 << 32) + 0: 5}
-    keys = np.array(sorted(pairs), np.int64)
     touching = sorted({(ord(x) << 32) + ord(y) for x, y in ("ab", "bc", "ca")})
+    merges = merging.Merges.of({k: (i, ranks[names[i]]) for k, i in pairs.items()})
     made = piece_bpe.Pieces(
-        np.array([97, 98, 99]), np.array([0, 1, 2]), keys, np.array([pairs[k] for k in keys.tolist()]),
-        np.array([piece_bpe.NONE] * 3 + [ranks[n] for n in names[3:]], np.int32), np.array(touching), np.empty(0, np.int64),
+        np.array([97, 98, 99]), np.array([0, 1, 2]), merges, np.array(touching), np.empty(0, np.int64),
         6, np.empty(0, np.uint8), np.empty(0, np.int64), np.zeros(6), np.zeros(256), 0, 0, True, True,
     )
 
