@@ -10,9 +10,10 @@ next words; equal segments are merged elementwise. So one structure holds
 * the prefix totals: counts of the parts a phrase may be cut into,
 * the subsumption maxima: the most frequent extension of a prefix.
 
-A phrase is no more frequent than any part of it. So stripes of longer prefixes are counted only where prefix and
-following words were frequent one word before. Tasks know that from a bitmap of digests of fixed size: where
-two phrases share a bit, more is counted than needs be, and the result is the same.
+A phrase is no more frequent than any part of it. So stripes are counted only along words that are frequent and whose
+neighbouring pairs may be. Tasks know that from two bitmaps: one of digests of the frequent words, and one of a sieve,
+counters that all pairs of frequent words are added up in by digest, so that those of a frequent pair reach the
+least count. Where digests share a bit or a counter, more is counted than needs be, and the result is the same.
 
 Every cut of a phrase of a words in two parts gives ``a * n / (l * r)``; the lowest counts. All arithmetic is in
 integers of up to 38 digits. Phrases inside a longer one that is (nearly) as frequent are dropped: if such a
@@ -59,8 +60,13 @@ class Limits:
     entries: int = 1_000_000
     words: int = 400_000
     batch: int = 2_000_000
-    #: Bits of a bitmap of frequent phrases (8 MB): 2 to this power.
-    bits: int = 26
+    #: Bits of the bitmap of words (2 MB), and of the sieve at most (128 MB): 2 to this power.
+    word_bits: int = 24
+    pair_bits: int = 30
+
+    def sieve_bits(self, words: int, least: int) -> int:
+        """Enough counters that the average one stays at an eighth of the least count, if that many are allowed."""
+        return max(15, min(self.pair_bits, (8 * words // least).bit_length()))
 
 
 def tokens(raw: bytes) -> list[bytes]:
@@ -74,17 +80,22 @@ def extended(digest: np.ndarray, word: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def phrase_digest(lang: str, phrase: str) -> int:
-    """The same for one phrase."""
-    x = word_digest(lang.encode())
-    for word in phrase.encode().split(b" "):
-        x = (x * int(SCATTER) + word_digest(word) + 1) * int(MIX) & 0xFFFFFFFFFFFFFFFF
-        x ^= x >> 29
-    return x
+def bucket_of(digest: np.ndarray, bits: int) -> np.ndarray:
+    return (digest * SCATTER >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def holds(bitmap: np.ndarray, digest: np.ndarray) -> np.ndarray:
+    """Whether the bits of digests are set."""
+    bit = bucket_of(digest, (8 * len(bitmap) - 1).bit_length())
+    return bitmap[bit >> 3] >> (bit & 7).astype(np.uint8) & 1 > 0
 
 
-def bit_of(digest: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
-    return (digest * SCATTER >> np.uint64(64 - (8 * len(bitmap) - 1).bit_length())).astype(np.int64)
+def collected(blocks: DataFrame, bits: int) -> np.ndarray:
+    """A bitmap of 2^``bits`` bits from its blocks (block, bits)."""
+    out = np.zeros(1 << bits >> 3, np.uint8).reshape(-1, BLOCK)
+    for block, part in blocks.toLocalIterator():
+        out[block] = np.frombuffer(bytes(part), np.uint8)
+    return out.reshape(-1)
 
 
 def word_digest(word: bytes) -> int:
@@ -163,112 +174,204 @@ def word_stripes(texts: DataFrame, limits: Limits = Limits()) -> DataFrame:
     return texts.mapInArrow(count, STRIPE)
 
 
-class Phrases:
-    """What a task counts for one language: stripes of prefixes of ``length`` words."""
+class Vocabulary:
+    """Numbers of the frequent words of one language as a task meets them; 0: breaks and other words."""
 
-    def __init__(self, lang: str, bitmaps: list[np.ndarray], limits: Limits):
-        self.lang, self.bitmaps, self.limits = lang, bitmaps, limits
+    def __init__(self, lang: str, bitmap: np.ndarray):
+        self.lang, self.bitmap = lang, bitmap
         self.root = np.uint64(word_digest(lang.encode()))
-        # 0: breaks, and words that can't be frequent
-        self.words: dict[bytes, int] = {BREAK: 0}
-        # number 0 is no phrase
-        self.numbers: list[dict[int, int]] = [{} for _ in bitmaps]
-        self.digests = [[0] for _ in bitmaps]
-        self.names: list[list[bytes]] = [[b""] for _ in bitmaps]
-        self.word_digests = [0]
+        self.numbers: dict[bytes, int] = {BREAK: 0}
+        self.names: list[bytes] = [b""]
+        self._digests, self._marks = [0], [0]
+
+    def ids(self, raw: bytes) -> np.ndarray:
+        """Number of each word, with a break at the end."""
+        found = tokens(raw)
+        if new := list(set(found).difference(self.numbers)):
+            self.numbers.update(dict.fromkeys(new, 0))
+            marks = np.array([word_digest(w) for w in new], np.uint64)
+            digests = extended(np.full(len(new), self.root), marks)
+            for k in np.flatnonzero(holds(self.bitmap, digests)).tolist():
+                self.numbers[new[k]] = len(self.names)
+                self.names.append(new[k])
+                self._marks.append(int(marks[k]))
+                self._digests.append(int(digests[k]))
+            self.digests, self.marks = np.array(self._digests, np.uint64), np.array(self._marks, np.uint64)
+        return np.fromiter(map(self.numbers.__getitem__, [*found, BREAK]), np.int64, len(found) + 1)
+
+    def pairs(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(where two frequent words follow each other, digests of the pairs)."""
+        at = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0))
+        return at, extended(self.digests[ids[at]], self.marks[ids[at + 1]]) if len(at) else np.empty(0, np.uint64)
+
+
+def sieve(texts: DataFrame, words: np.ndarray, bits: int, least: int, limits: Limits = Limits()) -> np.ndarray:
+    """Bitmap of the counters that reach ``least`` when all pairs of frequent words are added up by digest."""
+    shared = texts.sparkSession.sparkContext.broadcast(words)
+    size = BLOCK * 8
+
+    def emit(bucket: np.ndarray, n: np.ndarray):
+        """Counters by block: places of two bytes, counts of one; beyond ``least`` they don't matter."""
+        block = bucket // size
+        at = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]])) if len(bucket) else []
+        place = (bucket % size).astype("<u2")
+        n = np.minimum(n, least).astype("<u4" if least > 255 else "u1")
+        ends = [*at, len(bucket)]
+        cuts = list(zip(ends, ends[1:], strict=False))
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(block[at], pa.int64()),
+                pa.array([place[a:b].tobytes() for a, b in cuts], pa.binary()),
+                pa.array([n[a:b].tobytes() for a, b in cuts], pa.binary()),
+            ],
+            names=["block", "place", "n"],
+        )
+
+    def count(batches):
+        held: dict[str, Vocabulary] = {}
+        counts = Tally()
+        for lang, raw in by_language(batches, limits.batch):
+            if sum(len(v.numbers) for v in held.values()) > limits.words:
+                held.clear()
+            words = held.setdefault(lang, Vocabulary(lang, shared.value))
+            counts.add(bucket_of(words.pairs(words.ids(raw))[1], bits))
+            if counts.entries > limits.entries and counts.pack() > limits.entries:
+                yield emit(*counts.take())
+        yield emit(*counts.take())
+
+    def add(batches):
+        last, sums = None, np.zeros(size, np.int64)
+
+        def flags():
+            return last, np.packbits(sums >= least, bitorder="little").tobytes()
+
+        out = []
+        for batch in batches:
+            for block, place, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if block != last:
+                    if last is not None:
+                        out.append(flags())
+                    last = block
+                    sums[:] = 0
+                sums[np.frombuffer(place, "<u2")] += np.frombuffer(n, "<u4" if least > 255 else "u1")
+        if last is not None:
+            out.append(flags())
+        blocks, made = ([x[k] for x in out] for k in range(2))
+        yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int64()), pa.array(made, pa.binary())], names=["block", "bits"])
+
+    parts = texts.mapInArrow(count, "block long, place binary, n binary")
+    parts = parts.repartition("block").sortWithinPartitions("block")
+    return collected(parts.mapInArrow(add, "block long, bits binary"), bits)
+
+
+class Tally:
+    """How often numbers came."""
+
+    def __init__(self):
         self.parts: list[tuple[np.ndarray, np.ndarray]] = []
         self.entries = 0
 
-    def frequent(self, length: int, digest: np.ndarray) -> np.ndarray:
-        bitmap = self.bitmaps[length - 1]
-        bit = bit_of(digest, bitmap)
-        return bitmap[bit >> 3] >> (bit & 7).astype(np.uint8) & 1 > 0
+    def add(self, keys: np.ndarray) -> None:
+        self.put(*np.unique(keys, return_counts=True))
+
+    def put(self, keys: np.ndarray, n: np.ndarray) -> None:
+        self.parts.append((keys, n))
+        self.entries += len(keys)
 
-    def add(self, length: int, key: int, digest: int, name: bytes) -> int:
-        self.numbers[length - 1][key] = number = len(self.names[length - 1])
-        self.digests[length - 1].append(digest)
-        self.names[length - 1].append(name)
-        return number
+    def pack(self) -> int:
+        if len(self.parts) > 1:
+            keys, back = np.unique(np.concatenate([k for k, _ in self.parts]), return_inverse=True)
+            n = np.bincount(back, np.concatenate([c for _, c in self.parts]), len(keys)).astype(np.int64)
+            self.parts = [(keys, n)]
+            self.entries = len(keys)
+        return self.entries
+
+    def take(self) -> tuple[np.ndarray, np.ndarray]:
+        self.pack()
+        keys, n = self.parts[0] if self.parts else (np.empty(0, np.int64), np.empty(0, np.int64))
+        self.parts, self.entries = [], 0
+        return keys, n
+
+
+class Phrases:
+    """What a task counts for one language: stripes of prefixes of 1 to ``longest`` words."""
+
+    def __init__(self, lang: str, words: np.ndarray, pairs: np.ndarray, longest: int):
+        self.lang, self.pairs = lang, pairs
+        self.vocabulary = Vocabulary(lang, words)
+        # numbers of phrases of each length, by prefix * 2^32 + word; 0 is no phrase
+        self.numbers: list[dict[int, int]] = [{} for _ in range(longest)]
+        self.names: list[list[bytes]] = [self.vocabulary.names] + [[b""] for _ in range(longest - 1)]
+        self.tallies = [Tally() for _ in range(longest)]
 
     def numbered(self, length: int, keys: np.ndarray) -> np.ndarray:
-        """Number of each phrase of ``length`` words (its prefix * 2^32 + its last word), 0 if it can't be frequent."""
-        prefix, word = keys >> 32, keys & 0xFFFFFFFF
-        digest = extended(
-            np.array(self.digests[length - 2], np.uint64)[prefix], np.array(self.word_digests, np.uint64)[word]
-        )
-        out = np.zeros(len(keys), np.int64)
-        known, names, words = self.numbers[length - 1], self.names[length - 2], self.names[0]
-        for k in np.flatnonzero(self.frequent(length, digest)).tolist():
-            key = int(keys[k])
+        known, names = self.numbers[length - 1], self.names[length - 1]
+        before, words = self.names[length - 2], self.names[0]
+        out = np.empty(len(keys), np.int64)
+        for k, key in enumerate(keys.tolist()):
             number = known.get(key)
             if number is None:
-                name = names[key >> 32] + b" " + words[key & 0xFFFFFFFF]
-                number = self.add(length, key, int(digest[k]), name)
+                number = known[key] = len(names)
+                names.append(before[key >> 32] + b" " + words[key & 0xFFFFFFFF])
             out[k] = number
         return out
 
-    def learn(self, new: list[bytes]) -> None:
-        self.words.update(dict.fromkeys(new, 0))
-        marks = np.array([word_digest(w) for w in new], np.uint64)
-        digests = extended(np.full(len(new), self.root), marks)
-        for k in np.flatnonzero(self.frequent(1, digests)).tolist():
-            self.word_digests.append(int(marks[k]))
-            self.words[new[k]] = self.add(1, len(self.names[0]), int(digests[k]), new[k])
-
     def count(self, raw: bytes) -> None:
-        found = tokens(raw)
-        if new := list(set(found).difference(self.words)):
-            self.learn(new)
-        # a break at the end, so that a phrase never starts at the last place
-        ids = np.fromiter(map(self.words.__getitem__, [*found, BREAK]), np.int64, len(found) + 1)
-        if len(ids) <= len(self.bitmaps):
-            return
-        now = ids
-        for length in range(2, len(self.bitmaps) + 1):
-            at = np.flatnonzero((now[:-1] > 0) & (now[1:] > 0))
-            keys, back = np.unique(now[at] << 32 | ids[at + length - 1], return_inverse=True)
-            now = np.zeros(len(now) - 1, np.int64)
-            now[at] = self.numbered(length, keys)[back]
-        at = np.flatnonzero(now > 0)
-        after = np.where(now[at + 1] > 0, ids[at + len(self.bitmaps)], 0)
-        self.parts.append(np.unique(now[at] << 32 | after, return_counts=True))
-        self.entries += len(self.parts[-1][0])
-        if self.entries > self.limits.entries:
-            self.pack()
-
-    def pack(self) -> None:
-        if len(self.parts) > 1:
-            keys, back = np.unique(np.concatenate([k for k, _ in self.parts]), return_inverse=True)
-            n = np.bincount(back, np.concatenate([c for _, c in self.parts]), len(keys)).astype(np.int64)
-            self.parts = [(keys, n)]
-            self.entries = len(keys)
-
-    def full(self) -> bool:
-        return self.entries > self.limits.entries or len(self.words) > self.limits.words
+        ids = self.vocabulary.ids(raw)
+        linked = np.zeros(len(ids), bool)  # to the next word
+        at, digests = self.vocabulary.pairs(ids)
+        linked[at[holds(self.pairs, digests)]] = True
+        # most words are linked to none; the stripes of these get no word
+        alone = np.bincount(ids[~linked], minlength=1)
+        alone[0] = 0
+        found = np.flatnonzero(alone)
+        self.tallies[0].put(found << 32, alone[found])
+        starts = np.flatnonzero(linked)
+        now = ids[starts]
+        for length in range(1, len(self.tallies) + 1):
+            if not len(starts):
+                return
+            end = starts + length - 1
+            after = np.where(linked[end], ids[np.minimum(end + 1, len(ids) - 1)], 0)
+            self.tallies[length - 1].add(now << 32 | after)
+            go = linked[end]
+            if length < len(self.tallies):
+                keys, back = np.unique(now[go] << 32 | after[go], return_inverse=True)
+                starts, now = starts[go], self.numbered(length + 1, keys)[back]
+
+    def size(self) -> int:
+        return sum(t.entries for t in self.tallies) + len(self.vocabulary.numbers) + sum(map(len, self.numbers))
 
     def emit(self):
-        self.pack()
-        for keys, n in self.parts:
+        words = self.names[0]
+        names = pa.array(words, pa.binary())
+        place = np.array([zlib.crc32(w) % SEGMENTS for w in words], np.int64)
+        for tally, prefixes in zip(self.tallies, self.names, strict=True):
+            keys, n = tally.take()
             word = keys & 0xFFFFFFFF
-            place = np.array([zlib.crc32(w) % SEGMENTS for w in self.names[0]], np.int64)
-            names = pa.array(self.names[0], pa.binary())
-            yield segments(self.lang, pa.array(self.names[-1], pa.binary()), keys >> 32, names, word, n, place[word])
+            yield segments(self.lang, pa.array(prefixes, pa.binary()), keys >> 32, names, word, n, place[word])
 
 
-def stripes(texts: DataFrame, bitmaps: list[np.ndarray], limits: Limits = Limits()) -> DataFrame:
-    """Segments of the stripes of all prefixes of as many words as there are bitmaps."""
-    shared = texts.sparkSession.sparkContext.broadcast(bitmaps)
+def stripes(
+    texts: DataFrame, words: np.ndarray, pairs: np.ndarray, longest: int, limits: Limits = Limits()
+) -> DataFrame:
+    """Segments of the stripes of all prefixes of 1 to ``longest`` words."""
+    shared = texts.sparkSession.sparkContext.broadcast((words, pairs))
 
     def count(batches):
         held: dict[str, Phrases] = {}
         for lang, raw in by_language(batches, limits.batch):
             if lang not in held:
-                held[lang] = Phrases(lang, shared.value, limits)
+                held[lang] = Phrases(lang, *shared.value, longest)
             held[lang].count(raw)
-            if held[lang].full() or sum(p.entries + len(p.words) for p in held.values()) > 2 * limits.entries:
+            if sum(p.size() for p in held.values()) > limits.entries:
                 for phrases in held.values():
-                    yield from phrases.emit()
-                held.clear()
+                    for tally in phrases.tallies:
+                        tally.pack()
+                if sum(p.size() for p in held.values()) > limits.entries // 2:
+                    for phrases in held.values():
+                        yield from phrases.emit()
+                    held.clear()
         for phrases in held.values():
             yield from phrases.emit()
 
@@ -294,50 +397,39 @@ def phrases_in(table: DataFrame) -> DataFrame:
     return rows.select("lang", phrase.alias("phrase"), F.col("e.n").alias("a"))
 
 
-def bitmap(phrases: DataFrame, limits: Limits = Limits()) -> np.ndarray:
-    """Bits of all phrases (lang, phrase): of one size, however many phrases there are."""
-    size = max(1 << limits.bits >> 3, BLOCK)
+def word_bitmap(words: DataFrame, bits: int) -> np.ndarray:
+    """Bits of all words (lang, phrase): of one size, however many there are."""
 
     def mark(batches):
-        bits = np.zeros(size, np.uint8)
+        flags = np.zeros(1 << bits >> 3, np.uint8)
         for batch in batches:
-            pairs = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
-            at = bit_of(np.array([phrase_digest(*pair) for pair in pairs], np.uint64), bits)
-            np.bitwise_or.at(bits, at >> 3, (1 << (at & 7)).astype(np.uint8))
-        blocks = bits.reshape(-1, BLOCK)
+            names = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+            marks = [(word_digest(lang.encode()), word_digest(word.encode())) for lang, word in names]
+            at = bucket_of(extended(*np.array(marks, np.uint64).reshape(-1, 2).T), bits)
+            np.bitwise_or.at(flags, at >> 3, (1 << (at & 7)).astype(np.uint8))
+        blocks = flags.reshape(-1, BLOCK)
         used = np.flatnonzero(blocks.any(axis=1))
         yield pa.RecordBatch.from_arrays(
             [pa.array(used, pa.int64()), pa.array([blocks[k].tobytes() for k in used], pa.binary())],
             names=["block", "bits"],
         )
 
-    out = np.zeros(size, np.uint8).reshape(-1, BLOCK)
-    parts = phrases.select("lang", "phrase").mapInArrow(mark, "block long, bits binary")
-    for block, bits in parts.groupBy("block").agg(F.bitmap_or_agg("bits")).collect():
-        out[block] = np.frombuffer(bytes(bits), np.uint8)
-    return out.reshape(-1)
+    parts = words.select("lang", "phrase").mapInArrow(mark, "block long, bits binary")
+    return collected(parts.groupBy("block").agg(F.bitmap_or_agg("bits").alias("bits")), bits)
 
 
 def count_stripes(
     docs: DataFrame, longest: int, least: int, text: str = "text", lang: str = "lang", limits: Limits = Limits()
-) -> list[DataFrame]:
-    """Merged stripes of prefixes of 0 to ``longest`` - 1 words."""
+) -> tuple[DataFrame, DataFrame]:
+    """Merged stripes of all words, and of prefixes of 1 to ``longest`` - 1 words."""
     texts = docs.select(
         F.coalesce(quoted(lang).cast("string"), F.lit(UNKNOWN)).alias("lang"), quoted(text).alias("text")
     )
-    tables = [stored(merged(word_stripes(texts, limits), least), "stripes-0")]
-    bitmaps = []
-    for length in range(1, longest):
-        bitmaps.append(bitmap(phrases_in(tables[-1]), limits))
-        tables.append(stored(merged(stripes(texts, bitmaps, limits), least), f"stripes-{length}"))
-    return tables
-
-
-def union(tables: list[DataFrame]) -> DataFrame:
-    out = tables[0]
-    for table in tables[1:]:
-        out = out.unionByName(table)
-    return out
+    words = stored(merged(word_stripes(texts, limits), least), "word-stripes")
+    n = words.agg(F.coalesce(F.sum("total"), F.lit(0))).first()[0]
+    frequent = word_bitmap(phrases_in(words), max(15, limits.word_bits))
+    pairs = sieve(texts, frequent, limits.sieve_bits(n, least), least, limits)
+    return words, stored(merged(stripes(texts, frequent, pairs, longest - 1, limits), least), "stripes")
 
 
 def collocations(
@@ -356,26 +448,26 @@ def collocations(
     words. Phrases within a longer one that has ``percent`` of their occurrences are dropped. ``top`` is how many
     phrases each language reports; None: all.
     """
-    tables = count_stripes(docs, longest, least, text, lang, limits)
-    sizes = tables[0].groupBy("lang").agg(F.sum("total").alias("n"))
-    totals = union(tables[1:]).groupBy("lang", "prefix").agg(F.sum("total").alias("f"))
+    words, table = count_stripes(docs, longest, least, text, lang, limits)
+    sizes = words.groupBy("lang").agg(F.sum("total").alias("n"))
+    totals = table.groupBy("lang", "prefix").agg(F.sum("total").alias("f"))
     totals = stored(totals.where(F.col("f") >= least), "prefix-totals")
-    candidates = stored(phrases_in(union(tables[1:])).where(F.col("a") >= least), "candidates")
+    candidates = stored(phrases_in(table), "candidates")
     # longer by a word at the end: the stripe's largest entry; at the front: of all phrases with that rest
     largest = F.array_max(F.transform("next", lambda e: e.n))
-    after = union(tables[1:]).select("lang", F.col("prefix").alias("phrase"), largest.alias("a"))
+    after = table.select("lang", F.col("prefix").alias("phrase"), largest.alias("a"))
     rest = F.expr("substring(phrase, instr(phrase, ' ') + 1)")
     before = candidates.select("lang", rest.alias("phrase"), "a")
     most = after.unionByName(before).groupBy("lang", "phrase").agg(F.max("a").alias("most"))
     free = F.col("most").isNull() | (100 * F.col("most") < percent * F.col("a"))
     left = candidates.join(most, ["lang", "phrase"], "left").where(free).drop("most")
-    words = F.split("phrase", " ")
-    cut = F.explode(F.sequence(F.lit(1), F.size(words) - 1))
+    parts = F.split("phrase", " ")
+    cut = F.explode(F.sequence(F.lit(1), F.size(parts) - 1))
     cuts = left.select("lang", "phrase", "a", cut.alias("k"))
     cuts = cuts.withColumns(
         {
-            "first": F.array_join(F.slice(words, F.lit(1), F.col("k")), " "),
-            "rest": F.array_join(F.slice(words, F.col("k") + 1, F.size(words) - F.col("k")), " "),
+            "first": F.array_join(F.slice(parts, F.lit(1), F.col("k")), " "),
+            "rest": F.array_join(F.slice(parts, F.col("k") + 1, F.size(parts) - F.col("k")), " "),
         }
     )
     l_side = totals.select("lang", F.col("prefix").alias("first"), F.col("f").alias("l"))

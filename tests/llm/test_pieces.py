@@ -161,12 +161,19 @@ def some_texts(seed, n):
 @pytest.mark.parametrize(("longest", "least", "top", "percent"), [(5, 4, 2000, 100), (5, 2, 7, 80), (3, 3, 50, 100), (2, 1, None, 100)])
 def test_collocations(spark, longest, least, top, percent):
     rows = some_texts(longest, 150) + [("en", "over and over " * 2000)]
-    small = collocations.Limits(entries=50, words=8, batch=300, bits=15)
+    small = collocations.Limits(entries=50, words=8, batch=300, word_bits=15, pair_bits=15)
     docs = spark.createDataFrame([(*r, 1, 2) for r in rows], "lang string, text string, n int, phrase int")
     got = collocations.collocations(docs, longest, least, top, percent, limits=small).collect()
     assert sorted((tuple(r) for r in got), key=str) == plain_collocations(rows, longest, least, top or 10**9, percent)
 
 
+def test_counts_above_a_byte(spark):
+    rows = [("en", "a b c " * 400)] * 2 + [("de", "a b. " * 299)]
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    got = collocations.collocations(docs, 3, 300, 10).collect()
+    assert sorted((tuple(r) for r in got), key=str) == plain_collocations(rows, 3, 300, 10, 100)
+
+
 def test_products_beyond_64_bits(spark):
     """a * n / (l * r) is exact where the products are not numbers of 64 bits."""
     row = spark.sql(
