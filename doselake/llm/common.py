@@ -5,8 +5,11 @@ from __future__ import annotations
 import mmap
 import tempfile
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from doselake.session import work_dir
 
@@ -39,6 +42,53 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Empty a table that ``stored`` wrote and that nothing reads any more."""
+    files = df.inputFiles()
+    if files:
+        nothing = df.sparkSession.createDataFrame([], df.schema)
+        nothing.write.mode("overwrite").parquet(files[0].rsplit("/", 1)[0])
+
+
+#: Bits of a bitmap of values, 2 to this power (16 MB), and of one of its blocks.
+BITS, BLOCK_BITS = 27, 1 << 15
+
+
+def _bit(column: str) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(1 << BITS))
+
+
+def bitmap(rows: DataFrame, column: str) -> np.ndarray:
+    """A bit for every value of a column; of one size, however many values there are."""
+    place = _bit(column) + 1
+    bits = rows.select(F.bitmap_bucket_number(place).alias("block"), F.bitmap_bit_position(place).alias("at"))
+    out = np.zeros((1 << BITS >> 15, BLOCK_BITS >> 3), np.uint8)
+    for block, part in bits.groupBy("block").agg(F.bitmap_construct_agg("at").alias("bits")).toLocalIterator():
+        out[block - 1] = np.frombuffer(bytes(part), np.uint8)
+    return out.reshape(-1)
+
+
+def marked(rows: DataFrame, column: str, bits: np.ndarray, flag: str) -> DataFrame:
+    """``rows`` with a flag: whether the bit of a column's value is set. Of other values one may have the same bit."""
+    shared = rows.sparkSession.sparkContext.broadcast(bits)
+    names = [*rows.columns, flag]
+
+    def look(batches):
+        for batch in batches:
+            at = batch.column(batch.num_columns - 1).to_numpy()
+            there = (shared.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+            columns = [*batch.columns[:-1], pa.array(there)]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    schema = T.StructType([*rows.schema.fields, T.StructField(flag, T.BooleanType())])
+    return rows.withColumn(flag, _bit(column)).mapInArrow(look, schema)
+
+
+def among(rows: DataFrame, column: str, bits: np.ndarray) -> DataFrame:
+    """The rows for which ``marked`` is true: a filter before a shuffle, not instead of a join."""
+    return marked(rows, column, bits, "_there").where("_there").drop("_there")
+
+
 def quoted(name: str) -> Column:
     """The column of exactly this name, whatever signs it holds."""
     return F.col("`" + name.replace("`", "``") + "`")

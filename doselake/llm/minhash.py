@@ -1,13 +1,17 @@
 """Near duplicates by Order MinHash, verified by banded alignment.
 
-A text is seen as its words, each labelled with how often it occurred before, so
+A text is seen as its pairs of neighbouring words, each labelled with how often it occurred before, so
 that no label repeats. One sketch keeps the ``KEPT`` smallest labels under a random order, in the
 order of the text; texts close in edit distance agree in it often, texts with the same
 words in another order do not. ``SKETCHES`` independent sketches are taken. Documents
-that agree in one meet in a bucket. However edits are scattered, of two texts aligned at 0.8 two thirds of all
+that agree in one meet in a bucket. However edits are scattered, of two texts aligned at 0.8 three sevenths of all
 labels at least are in both. Texts of few words meet exactly, in what is left of them
 without any of the words that the threshold lets be left out (``remainders``).
 
+Most buckets hold one text. A bitmap of those seen twice, of fixed size, keeps the others out of all shuffles but that
+which counts them, and one of the texts in such buckets all other texts. Pairs whose lengths alone rule them out
+are not aligned.
+
 In a bucket the first document is the hub, and all others are compared with it first. That
 joins most of what belongs together. Where a bucket then still holds members of several classes, all pairs
 of them that no links join yet are compared, those with the hub's class included: up to ``MEMBERS`` members with as
@@ -34,13 +38,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from doselake.llm.common import partitions, stored, text_key, words_of
+from doselake.llm.common import among, bitmap, discard, partitions, stored, text_key, words_of
 
-WORDS, THRESHOLD = 1, 0.8
-#: With these a pair of Jaccard value 2/3 over labels (0.8 of the words aligned at the worst) agrees in a
-#: sketch with a chance of (2/3)^5 and is missed with one of 1e-4, 0.75 with 2e-8; of 15 words, the fewest
-#: that are not met exactly, 3 changed ones with 2e-3.
-SKETCHES, KEPT = 64, 5
+WORDS, THRESHOLD = 2, 0.8
+#: With these a pair of Jaccard value 3/7 over labels (0.8 of the words aligned, the others evenly scattered) agrees in
+#: a sketch with a chance of (3/7)^2 and is missed with one of 6e-5; of 15 words, the fewest that are not
+#: met exactly, 3 changed ones with 5e-4.
+SKETCHES, KEPT = 48, 2
 #: Remainders of a text at most; with more it has sketches only.
 REMAINDERS = 128
 SEEDS = np.random.default_rng(20190705).integers(1, 2**63, SKETCHES, np.uint64) | np.uint64(1)
@@ -205,6 +209,7 @@ def sequences(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str) -> Dat
     """(key, seq): word sequences, 8 bytes a word, of the wanted (key, id)."""
     rows = docs.select(text_key(text).alias("key"), F.col(doc_id).alias("id"), F.col(text).alias("text"))
     same = (F.col("r.key") == F.col("w.key")) & F.col("r.id").eqNullSafe(F.col("w.id"))
+    rows = among(rows, "key", bitmap(wanted, "key"))
     rows = rows.alias("r").join(wanted.select("key", "id").alias("w"), same, "left_semi")
 
     def encode(batches):
@@ -241,6 +246,8 @@ def verified(pairs: DataFrame, seqs: DataFrame, threshold: float) -> DataFrame:
 
 def shared_buckets(rows: DataFrame) -> DataFrame:
     """(bucket, key, hub) of every bucket of two or more."""
+    seen = rows.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
+    rows = among(rows, "bucket", bitmap(seen, "bucket"))
     hubs = (
         rows.groupBy("bucket")
         .agg(F.min("key").alias("hub"), F.count("*").alias("members"))
@@ -327,7 +334,10 @@ def links_in(open_: DataFrame, seqs: DataFrame, threshold: float) -> DataFrame:
     components are parted by length and their members compared with each other.
     """
     pairs = open_.where("key <> hub").select("key", "hub").distinct()
-    judged = verified(pairs, seqs, threshold)
+    sizes = seqs.select("key", F.octet_length("seq").alias("n"))
+    pairs = pairs.join(sizes, "key").join(sizes.select(F.col("key").alias("hub"), F.col("n").alias("hub_n")), "hub")
+    alike = F.least("n", "hub_n") >= threshold * F.greatest("n", "hub_n") - 1e-6
+    judged = verified(pairs.where(alike).select("key", "hub"), seqs, threshold)
     found = stored(judged.where(F.col("similarity") >= threshold - 1e-9), "near-pairs")
     roots = components(found)
     rows = open_.join(roots, "key", "left").select("bucket", "key", F.coalesce("root", "key").alias("root"))
@@ -349,14 +359,18 @@ def links_in(open_: DataFrame, seqs: DataFrame, threshold: float) -> DataFrame:
 
 def links_of(docs: DataFrame, doc_id: str, text: str, threshold: float) -> tuple[DataFrame, DataFrame]:
     """(key, id) of all distinct texts, and links (key, hub, similarity) that give the classes."""
-    texts = stored(sketched(docs, doc_id, text, threshold), "near-sketches")
-    rows = texts.select("key", F.explode("sketch").alias("bucket"))
-    open_ = stored(shared_buckets(rows), "near-buckets")
-    wanted = open_.select("key").distinct().join(texts.select("key", "id"), "key")
+    sketches = stored(sketched(docs, doc_id, text, threshold), "near-sketches")
+    texts = stored(sketches.select("key", "id"), "near-texts")
+    open_ = stored(shared_buckets(sketches.select("key", F.explode("sketch").alias("bucket"))), "near-buckets")
+    discard(sketches)
+    wanted = stored(open_.select("key").distinct().join(texts, "key"), "near-wanted")
     seqs = stored(sequences(docs, wanted, doc_id, text), "near-sequences")
     pair = F.least("key", "hub").alias("key"), F.greatest("key", "hub").alias("hub"), "similarity"
     found = links_in(open_, seqs, threshold).select(*pair)
-    return texts.select("key", "id"), found.dropDuplicates(["key", "hub"])
+    links = stored(found.dropDuplicates(["key", "hub"]), "near-links")
+    for table in (open_, wanted, seqs):
+        discard(table)
+    return texts, links
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -368,6 +382,7 @@ def components(links: DataFrame) -> DataFrame:
         both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("key"), F.least("a", "m").alias("root")),
         "near-roots",
     )
+    table = roots
     while True:
         # the least root among neighbours, then the root of that root: paths halve each round
         near = both.join(roots.select(F.col("key").alias("b"), "root"), "b").groupBy("a").agg(F.min("root").alias("n"))
@@ -379,15 +394,16 @@ def components(links: DataFrame) -> DataFrame:
             "key", "old", F.least("root", F.coalesce("up", "root")).alias("root")
         )
         after = stored(after, "near-roots")
-        roots = after.select("key", "root")
+        discard(table)
+        table, roots = after, after.select("key", "root")
         if after.where("root <> old").isEmpty():
+            discard(both)
             return roots
 
 
 def classes(docs: DataFrame, doc_id: str, text: str, threshold: float) -> DataFrame:
     """Per distinct text: its class, the id and the text of the class's first document, its links met."""
     texts, links = links_of(docs, doc_id, text, threshold)
-    links = stored(links, "near-links")
     roots = components(links)
     degree = (
         links.select("key")

@@ -29,6 +29,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
 
+#: Passages of more than 50 words are repeats, however few bytes they have.
+PASSAGE = 51
 #: The rules of the url query.
 URL_RULES = [
     ("net", "/", "block"),
@@ -154,9 +156,14 @@ def op10_near_dedup(spark, sf_dir):
 def op3_suffix_dedup(spark, sf_dir):
     """Bytes removed from every document because 400 of them stand elsewhere too."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    made = suffix_dedup.remove_repeats(docs)
+    made = suffix_dedup.remove_repeats(docs, also_words=PASSAGE)
     return made.select(
-        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2(F.col("kept"), 256).alias("kept_sha256")
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        "n_spans",
+        F.sha2(F.col("kept"), 256).alias("kept_sha256"),
+        "n_passage_bytes",
     )
 
 

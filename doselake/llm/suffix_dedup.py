@@ -21,8 +21,12 @@ A name with more than ``MOST`` distinct stretches is not held in one task: diges
 counted in a shuffle instead.
 
 *Passages of words.* With ``n_words`` the same is done for sequences of that many words (case and what
-stands between words don't count): every word becomes ``CODE`` bytes, a string of ``n_words`` codes that
-starts at a code is a passage, and all from its first to its last word is marked.
+stands between words don't count): a text is the sequence of its words' 64-bit digests, whose symbols go into the
+suffix array as they are, and all from the first to the last word of a repeated sequence is marked.
+
+*Hot names.* Names that can hold repeats, those with several distinct stretches, and those with very many are told by
+bitmaps of fixed size, so that no join brings the stretches of a name together before each is there once. A name
+that shares its bit with another is looked at in vain, which changes nothing.
 
 Null counts as the empty text. Texts shorter than ``length`` have nothing to remove.
 Repeated rows are repeats of each other. Empty tables give empty results.
@@ -30,7 +34,6 @@ Repeated rows are repeats of each other. Empty tables give empty results.
 
 from __future__ import annotations
 
-import base64
 import hashlib
 import re
 
@@ -39,10 +42,26 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-
-from doselake.llm.common import WORD_BYTES, partitions, stored, text_key, words_of
-
-LENGTH, GRAM = 400, 64
+from pyspark.sql.pandas.types import to_arrow_schema
+
+from doselake.llm.common import (
+    WORD_BYTES,
+    among,
+    bitmap,
+    discard,
+    marked,
+    numbered,
+    partitions,
+    quoted,
+    stored,
+    text_key,
+)
+from doselake.llm.minhash import mixed, sequence
+
+#: Bytes of a string, and of the substrings that name it; for sequences of words, words.
+LENGTH, GRAM, WORD_GRAM = 400, 64, 8
+#: Bytes of a symbol: of a byte, and of a word's digest.
+BYTES, WORDS = 1, 8
 #: Strings in a stretch at most, distinct stretches of a name in a task at most, bytes sorted at once.
 STRETCH, MOST, BATCH = 1024, 4000, 400_000
 PRIME = 0x9E3779B97F4A7C15
@@ -56,8 +75,6 @@ SEPARATORS = [
     re.compile(rb"[\x00-\xff]"),
 ]
 LONG_TOKEN = 128
-#: Bytes of a word's code: 54 bits of its digest in base64, and a blank. Words whose codes a worker remembers at once.
-CODE, REMEMBERED = 10, 300_000
 
 
 # ---- suffix sorting by grouping ---------------------------------------------------
@@ -238,9 +255,44 @@ def repeated_starts(stretches: list[bytes], length: int) -> list[np.ndarray]:
     return np.split(marked, np.cumsum(counts)[:-1])
 
 
+def repeated_sequences(stretches: list[bytes], length: int) -> list[np.ndarray]:
+    """The same for stretches of words: which of their sequences of ``length`` also start elsewhere."""
+    digests = [np.frombuffer(s, np.uint64) for s in stretches]
+    sizes = np.array([len(d) for d in digests])
+    _, number = np.unique(np.concatenate(digests), return_inverse=True)
+    # a sign that no word has ends every stretch
+    ends = np.cumsum(sizes)
+    symbols = np.insert(number + 2, ends, 1)
+    order = np.array(suffix_array(symbols.tolist()), np.int64)
+    padded = np.concatenate([symbols, np.zeros(length, np.int64)])
+    a, b = order[:-1], order[1:]
+    alike = np.arange(len(a))
+    for k in range(length):
+        alike = alike[padded[a[alike] + k] == padded[b[alike] + k]]
+    hit = np.zeros(len(symbols), bool)
+    hit[a[alike]] = hit[b[alike]] = True
+    begins = np.concatenate([[0], ends[:-1]]) + np.arange(len(sizes))
+    counts = np.maximum(sizes - length + 1, 0)
+    return [hit[b : b + n] for b, n in zip(begins.tolist(), counts.tolist(), strict=True)]
+
+
 # ---- names and stretches ----------------------------------------------------------
 
 
+def units(text: str | None, width: int) -> bytes:
+    """A text as symbols of ``width`` bytes."""
+    return (text or "").encode("utf-8", "replace") if width == BYTES else sequence(text).tobytes()
+
+
+def sequence_digests(digests: np.ndarray, size: int) -> np.ndarray:
+    """A 64-bit digest of every sequence of ``size`` words."""
+    n = len(digests) - size + 1
+    h = np.zeros(n, np.uint64)
+    for k in range(size):
+        h = mixed(h * np.uint64(0x9E3779B97F4A7C15) + digests[k : k + n])
+    return h
+
+
 def gram_digests(raw: bytes, size: int) -> np.ndarray:
     """A 64-bit digest of every substring of ``size`` bytes."""
     n = len(raw)
@@ -265,35 +317,35 @@ def sliding_least(h: np.ndarray, width: int) -> np.ndarray:
     return least
 
 
-def stretches_of(raw: bytes, length: int) -> list[tuple[int, int, int, int, bool]]:
+def stretches_of(raw: bytes, length: int, width: int = BYTES) -> list[tuple[int, int, int, int, bool]]:
     """(name, digest of the stretch, first string, number of strings, may it repeat itself).
 
     Only a stretch that holds its naming substring twice can hold equal strings.
     """
-    if len(raw) < length:
+    if len(raw) < length * width:
         return []
-    gram = min(GRAM, length)
-    grams = gram_digests(raw, gram)
+    gram = min(GRAM if width == BYTES else WORD_GRAM, length)
+    grams = gram_digests(raw, gram) if width == BYTES else sequence_digests(np.frombuffer(raw, np.uint64), gram)
     names = sliding_least(grams, length - gram + 1)
     cuts = [0, *(np.flatnonzero(names[1:] != names[:-1]) + 1).tolist(), len(names)]
     out = []
     for a, b in zip(cuts, cuts[1:], strict=False):
         for s in range(a, b, STRETCH):
             e = min(b, s + STRETCH)
-            digest = hashlib.blake2b(raw[s : e + length - 1], digest_size=8).digest()
+            digest = hashlib.blake2b(raw[s * width : (e + length - 1) * width], digest_size=8).digest()
             twice = np.count_nonzero(grams[s : e + length - gram] == names[a]) > 1
             out.append((int(names[a]) - (1 << 63), int.from_bytes(digest, "little", signed=True), s, e - s, twice))
     return out
 
 
-def stretches(docs: DataFrame, length: int) -> DataFrame:
+def stretches(docs: DataFrame, length: int, width: int = BYTES) -> DataFrame:
     """(name, digest, key, id, start, n, twice) of all documents (key, id, text)."""
 
     def cut(batches):
         for batch in batches:
             cols: list[list] = [[], [], [], [], [], [], []]
             for key, doc, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                for name, digest, start, n, twice in stretches_of((text or "").encode("utf-8", "replace"), length):
+                for name, digest, start, n, twice in stretches_of(units(text, width), length, width):
                     for col, x in zip(cols, (name, digest, key, doc, start, n, twice), strict=True):
                         col.append(x)
             kinds = (pa.int64(), pa.int64(), pa.binary(), pa.string(), pa.int32(), pa.int32(), pa.bool_())
@@ -305,24 +357,24 @@ def stretches(docs: DataFrame, length: int) -> DataFrame:
     return docs.mapInArrow(cut, "name long, digest long, key binary, id string, start int, n int, twice boolean")
 
 
-def cut_out(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
+def cut_out(docs: DataFrame, wanted: DataFrame, length: int, width: int = BYTES) -> DataFrame:
     """(name, digest, bytes) of the wanted stretches (name, digest, key, id, start, n)."""
     per_doc = wanted.groupBy("key", "id").agg(F.collect_list(F.struct("name", "digest", "start", "n")).alias("cuts"))
-    rows = docs.join(per_doc, ["key", "id"]).select("text", "cuts")
+    rows = among(docs, "key", bitmap(wanted, "key")).join(per_doc, ["key", "id"]).select("text", "cuts")
 
     def cut(batches):
         for batch in batches:
+            cols: list[list] = [[], [], []]
             for text, cuts in zip(batch.column(0), batch.column(1), strict=True):
-                raw = (text.as_py() or "").encode("utf-8", "replace")
-                cuts = cuts.as_py()
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([c["name"] for c in cuts], pa.int64()),
-                        pa.array([c["digest"] for c in cuts], pa.int64()),
-                        pa.array([raw[c["start"] : c["start"] + c["n"] + length - 1] for c in cuts], pa.binary()),
-                    ],
-                    names=["name", "digest", "raw"],
-                )
+                raw = units(text.as_py(), width)
+                for c in cuts.as_py():
+                    cols[0].append(c["name"])
+                    cols[1].append(c["digest"])
+                    cols[2].append(raw[c["start"] * width : (c["start"] + c["n"] + length - 1) * width])
+            kinds = (pa.int64(), pa.int64(), pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["name", "digest", "raw"]
+            )
 
     return rows.mapInArrow(cut, "name long, digest long, raw binary")
 
@@ -332,12 +384,13 @@ def intervals(flags: np.ndarray) -> tuple[list[int], list[int]]:
     return edge[::2].tolist(), edge[1::2].tolist()
 
 
-def sorted_repeats(cuts: DataFrame, length: int) -> DataFrame:
+def sorted_repeats(cuts: DataFrame, length: int, width: int = BYTES) -> DataFrame:
     """(name, digest, spans) of repeated strings, by the suffix arrays of names."""
 
     def judge(batch: dict[tuple[int, int], bytes]):
         rows = []
-        for (name, digest), flags in zip(batch, repeated_starts(list(batch.values()), length), strict=True):
+        find = repeated_starts if width == BYTES else repeated_sequences
+        for (name, digest), flags in zip(batch, find(list(batch.values()), length), strict=True):
             if flags.any():
                 rows.append((name, digest, [{"s": s, "e": e} for s, e in zip(*intervals(flags), strict=True)]))
         yield pa.RecordBatch.from_arrays(
@@ -360,7 +413,7 @@ def sorted_repeats(cuts: DataFrame, length: int) -> DataFrame:
                 last = name
                 if (name, digest) not in held:
                     held[name, digest] = raw
-                    size += len(raw)
+                    size += len(raw) // (1 if width == BYTES else 2)
         if held:
             yield from judge(held)
 
@@ -371,14 +424,17 @@ def sorted_repeats(cuts: DataFrame, length: int) -> DataFrame:
     )
 
 
-def counted_repeats(cuts: DataFrame, length: int) -> DataFrame:
+def counted_repeats(cuts: DataFrame, length: int, width: int = BYTES) -> DataFrame:
     """The same for names with very many stretches, by counting 128-bit digests of their strings."""
 
     def work(batches):
         for batch in batches:
             for name, digest, raw in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                n = len(raw) - length + 1
-                strings = [hashlib.blake2b(raw[k : k + length], digest_size=16).digest() for k in range(n)]
+                n = len(raw) // width - length + 1
+                size = length * width
+                strings = [
+                    hashlib.blake2b(raw[k : k + size], digest_size=16).digest() for k in range(0, n * width, width)
+                ]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(strings, pa.binary()),
@@ -397,24 +453,29 @@ def counted_repeats(cuts: DataFrame, length: int) -> DataFrame:
     return strings.join(twice, "string").groupBy("name", "digest").agg(F.collect_list(span).alias("spans"))
 
 
-def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
-    """(key, id, spans): byte ranges to remove, of documents that have any; docs: (key, id, text)."""
-    all_ = stretches(docs, length)
+def repeated_spans(docs: DataFrame, length: int, width: int = BYTES) -> DataFrame:
+    """(key, id, spans): ranges of symbols to remove, of documents that have any; docs: (key, id, text)."""
+    all_ = stored(stretches(docs, length, width), "repeat-stretches")
     counts = all_.groupBy("name").agg(F.count("*").alias("n"), F.bool_or("twice").alias("twice"))
-    names = counts.where("n > 1 or twice").select("name")
-    found = stored(all_.join(names, "name"), "repeat-candidates")
+    found = stored(among(all_, "name", bitmap(counts.where("n > 1 or twice"), "name")), "repeat-candidates")
+    discard(all_)
     distinct = found.groupBy("name", "digest").agg(
         F.count("*").alias("copies"),
         F.first("twice").alias("twice"),
         F.min(F.struct("key", "id", "start", "n")).alias("rep"),
     )
-    sizes = distinct.groupBy("name").agg(F.count("*").alias("distinct"))
-    distinct = stored(distinct.join(sizes, "name"), "repeat-distinct")
-    several = distinct.where("distinct > 1 or twice").select("name", "digest", "rep.*", "distinct")
-    spans = sorted_repeats(cut_out(docs, several.where(F.col("distinct") <= MOST), length), length)
-    large = several.where(F.col("distinct") > MOST)
-    if not large.isEmpty():
-        spans = spans.unionByName(counted_repeats(cut_out(docs, large, length), length))
+    distinct = stored(distinct, "repeat-distinct")
+    sizes = distinct.groupBy("name").agg(F.count("*").alias("n"))
+    several = marked(distinct, "name", bitmap(sizes.where("n > 1"), "name"), "several").where("several or twice")
+    several = several.select("name", "digest", "rep.*")
+    many = sizes.where(F.col("n") > MOST)
+    if many.isEmpty():
+        spans = sorted_repeats(cut_out(docs, several, length, width), length, width)
+    else:
+        parts = stored(marked(several, "name", bitmap(many, "name"), "many"), "repeat-several")
+        few = cut_out(docs, parts.where("not many").drop("many"), length, width)
+        rest = cut_out(docs, parts.where("many").drop("many"), length, width)
+        spans = sorted_repeats(few, length, width).unionByName(counted_repeats(rest, length, width))
     once = distinct.where("copies = 1").select("name", "digest")
     whole = F.array(F.struct(F.lit(0).alias("s"), F.col("rep.n").alias("e")))
     every = distinct.where("copies > 1").select("name", "digest", whole.alias("spans"))
@@ -443,43 +504,11 @@ def merged(spans: list[dict]) -> list[tuple[int, int]]:
     return out
 
 
-class WordCodes(dict):
-    """Codes of words; forgets all when full."""
-
-    def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        value = base64.b64encode(hashlib.blake2b(word, digest_size=9).digest())[: CODE - 1] + b" "
-        self[word] = value
-        return value
-
-
-_codes = WordCodes()
-
-
-def coded(docs: DataFrame) -> DataFrame:
-    """``docs`` (key, id, text) with the codes of its words for text."""
-
-    def encode(batches):
-        for batch in batches:
-            texts = [b"".join(map(_codes.__getitem__, words_of(t.as_py()))).decode() for t in batch.column(2)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["key", "id", "text"]
-            )
-
-    return docs.mapInArrow(encode, "key binary, id string, text string")
-
-
-def passages(raw: bytes, spans: list[dict], n_words: int) -> list[dict]:
-    """Byte ranges of the passages that begin in spans of the coded text."""
+def passages(raw: bytes, spans: list[dict]) -> list[dict]:
+    """Byte ranges of ranges of words."""
     word = np.frombuffer(raw.translate(WORD_BYTES), np.uint8) != 0x20
     starts, ends = intervals(word)
-    out = []
-    for x in spans:
-        first, last = -(-x["s"] // CODE), (x["e"] - CODE * n_words) // CODE
-        if first <= last:
-            out.append({"s": starts[first], "e": ends[last + n_words - 1]})
-    return out
+    return [{"s": starts[x["s"]], "e": ends[x["e"] - 1]} for x in spans]
 
 
 def row_id(doc_id: str) -> Column:
@@ -487,53 +516,58 @@ def row_id(doc_id: str) -> Column:
 
 
 def remove_repeats(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, n_words: int | None = None
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    length: int = LENGTH,
+    n_words: int | None = None,
+    also_words: int | None = None,
 ) -> DataFrame:
     """``docs`` with n_bytes, n_removed, n_spans, kept (the remaining bytes) and removed spans.
 
-    Repeats are strings of ``length`` bytes, or passages of ``n_words`` words if that is given. Those names replace
+    Repeats are strings of ``length`` bytes, or passages of ``n_words`` words if that is given. With ``also_words``,
+    n_passage_bytes counts the bytes in repeated passages of so many words, which stay. Those names replace
     columns of the input.
     """
-    made = {"n_bytes", "n_removed", "n_spans", "kept", "spans"}
-    own = [c for c in docs.columns if c.lower() not in made]
-    keys = {"_key": text_key(text), "_id": row_id(doc_id)}
-    narrow = docs.select(keys["_key"].alias("key"), keys["_id"].alias("id"), F.col(text).alias("text"))
-    found = repeated_spans(narrow, length) if n_words is None else repeated_spans(coded(narrow), CODE * n_words)
-    spans = found.select(
-        F.col("key").alias("_key"), F.col("id").alias("_id"), F.col("spans").alias("_spans")
-    )
-    rows = docs.select(*own, F.col(text).alias("_text"), *(c.alias(n) for n, c in keys.items()))
-    rows = rows.join(spans, ["_key", "_id"], "left").select(*own, "_text", "_spans")
-    span = T.StructType([T.StructField("s", T.IntegerType()), T.StructField("e", T.IntegerType())])
-    schema = T.StructType(
-        [docs.schema[c] for c in own]
-        + [
-            T.StructField("n_bytes", T.LongType()),
-            T.StructField("n_removed", T.LongType()),
-            T.StructField("n_spans", T.LongType()),
-            T.StructField("kept", T.BinaryType()),
-            T.StructField("spans", T.ArrayType(span)),
-        ]
-    )
+    made = T.StructType().add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long")
+    span = T.StructType().add("s", "integer").add("e", "integer")
+    made = made.add("kept", "binary").add("spans", T.ArrayType(span))
+    if also_words:
+        made = made.add("n_passage_bytes", "long")
+    own = [k for k, c in enumerate(docs.columns) if c.lower() not in made.names]
+    key, id_ = text_key(text), row_id(doc_id)
+    narrow = docs.select(key.alias("key"), id_.alias("id"), quoted(text).alias("text"))
+    found = repeated_spans(narrow, n_words, WORDS) if n_words else repeated_spans(narrow, length)
+    rows = numbered(docs.select("*", key, id_))
+    at, width = docs.columns.index(text), len(docs.columns)
+    rows = rows.withColumnsRenamed({f"c{width}": "key", f"c{width + 1}": "id"}).join(found, ["key", "id"], "left")
+    if also_words:
+        more = repeated_spans(narrow, also_words, WORDS).withColumnRenamed("spans", "more")
+        rows = rows.join(more, ["key", "id"], "left")
+    rows = rows.drop("key", "id")
+    schema = T.StructType([docs.schema[docs.columns[k]] for k in own] + made.fields)
+    arrow = to_arrow_schema(made)
 
     def work(batches):
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())])))
         for batch in batches:
             rows = []
-            for value, found in zip(batch.column(len(own)), batch.column(len(own) + 1), strict=True):
+            for row, value in enumerate(batch.column(at)):
                 raw = (value.as_py() or "").encode("utf-8", "replace")
-                found = found.as_py() or []
-                gone = merged(passages(raw, found, n_words) if n_words and found else found)
-                at, parts = 0, []
+                found = batch.column(width)[row].as_py() or []
+                gone = merged(passages(raw, found) if n_words and found else found)
+                end, parts = 0, []
                 for s, e in gone:
-                    parts.append(raw[at:s])
-                    at = e
-                parts.append(raw[at:])
+                    parts.append(raw[end:s])
+                    end = e
+                parts.append(raw[end:])
                 kept = b"".join(parts)
-                rows.append((len(raw), len(raw) - len(kept), len(gone), kept, [{"s": s, "e": e} for s, e in gone]))
+                made = [len(raw), len(raw) - len(kept), len(gone), kept, [{"s": s, "e": e} for s, e in gone]]
+                if also_words:
+                    more = batch.column(width + 1)[row].as_py()
+                    made.append(sum(e - s for s, e in merged(passages(raw, more))) if more else 0)
+                rows.append(made)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(i) for i in range(len(own))]
-                + [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)],
+                [batch.column(k) for k in own] + [pa.array([r[i] for r in rows], f.type) for i, f in enumerate(arrow)],
                 names=schema.names,
             )
 
