@@ -22,12 +22,10 @@ from pyspark.sql import functions as F
 
 from doselake.llm import bpe, decontaminate, language_id, minhash, suffix_dedup
 from doselake.llm.common import stored, table
-from doselake.llm.queries import tokenizer_file
+from doselake.llm.queries import PASSAGE, tokenizer_file
 
 #: No SQL: language models, sketches, suffix arrays and merges; tests compare with brute force.
 ORACLE_SQL = None
-#: Passages of more than 50 words are repeats, however few bytes they have.
-PASSAGE = 51
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
