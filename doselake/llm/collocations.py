@@ -11,9 +11,10 @@ next words; equal segments are merged elementwise. So one structure holds
 * the subsumption maxima: the most frequent extension of a prefix.
 
 A phrase is no more frequent than any part of it. So stripes are counted only along words that are frequent and whose
-neighbouring pairs may be. Tasks know that from two bitmaps: one of digests of the frequent words, and one of a sieve,
-counters that all pairs of frequent words are added up in by digest, so that those of a frequent pair reach the
-least count. Where digests share a bit or a counter, more is counted than needs be, and the result is the same.
+pairs and triples may be. Tasks know that from bitmaps: one of digests of the frequent words, and two of sieves. A sieve
+is a row of counters that all pairs of frequent words, or triples of such pairs, are added up in by digest: those of a
+frequent one reach the least count. Where digests share a bit or a counter, more is counted than
+needs be, and the result is the same.
 
 Every cut of a phrase of a words in two parts gives ``a * n / (l * r)``; the lowest counts. All arithmetic is in
 integers of up to 38 digits. Phrases inside a longer one that is (nearly) as frequent are dropped: if such a
@@ -204,10 +205,24 @@ class Vocabulary:
         at = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0))
         return at, extended(self.digests[ids[at]], self.marks[ids[at + 1]]) if len(at) else np.empty(0, np.uint64)
 
+    def linked(self, ids: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(where pairs that may be frequent start, where two of them follow each other, digests of those triples)."""
+        at, digests = self.pairs(ids)
+        there = holds(pairs, digests)
+        at, digests = at[there], digests[there]
+        both = np.flatnonzero(at[1:] == at[:-1] + 1)
+        triples = extended(digests[both], self.marks[ids[at[both] + 2]]) if len(both) else np.empty(0, np.uint64)
+        return at, at[both], triples
 
-def sieve(texts: DataFrame, words: np.ndarray, bits: int, least: int, limits: Limits = Limits()) -> np.ndarray:
-    """Bitmap of the counters that reach ``least`` when all pairs of frequent words are added up by digest."""
-    shared = texts.sparkSession.sparkContext.broadcast(words)
+
+def sieve(
+    texts: DataFrame, words: np.ndarray, pairs: np.ndarray | None, bits: int, least: int, limits: Limits = Limits()
+) -> np.ndarray:
+    """Bitmap of the counters that reach ``least`` when pairs of frequent words are added up by digest.
+
+    Given the bitmap of pairs, triples are.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast((words, pairs))
     size = BLOCK * 8
 
     def emit(bucket: np.ndarray, n: np.ndarray):
@@ -230,11 +245,14 @@ def sieve(texts: DataFrame, words: np.ndarray, bits: int, least: int, limits: Li
     def count(batches):
         held: dict[str, Vocabulary] = {}
         counts = Tally()
+        frequent, pairs = shared.value
         for lang, raw in by_language(batches, limits.batch):
             if sum(len(v.numbers) for v in held.values()) > limits.words:
                 held.clear()
-            words = held.setdefault(lang, Vocabulary(lang, shared.value))
-            counts.add(bucket_of(words.pairs(words.ids(raw))[1], bits))
+            words = held.setdefault(lang, Vocabulary(lang, frequent))
+            ids = words.ids(raw)
+            digests = words.pairs(ids)[1] if pairs is None else words.linked(ids, pairs)[2]
+            counts.add(bucket_of(digests, bits))
             if counts.entries > limits.entries and counts.pack() > limits.entries:
                 yield emit(*counts.take())
         yield emit(*counts.take())
@@ -296,8 +314,8 @@ class Tally:
 class Phrases:
     """What a task counts for one language: stripes of prefixes of 1 to ``longest`` words."""
 
-    def __init__(self, lang: str, words: np.ndarray, pairs: np.ndarray, longest: int):
-        self.lang, self.pairs = lang, pairs
+    def __init__(self, lang: str, words: np.ndarray, pairs: np.ndarray, triples: np.ndarray, longest: int):
+        self.lang, self.pairs, self.triples = lang, pairs, triples
         self.vocabulary = Vocabulary(lang, words)
         # numbers of phrases of each length, by prefix * 2^32 + word; 0 is no phrase
         self.numbers: list[dict[int, int]] = [{} for _ in range(longest)]
@@ -318,9 +336,10 @@ class Phrases:
 
     def count(self, raw: bytes) -> None:
         ids = self.vocabulary.ids(raw)
-        linked = np.zeros(len(ids), bool)  # to the next word
-        at, digests = self.vocabulary.pairs(ids)
-        linked[at[holds(self.pairs, digests)]] = True
+        linked, triple = np.zeros(len(ids), bool), np.zeros(len(ids), bool)  # with the next word, the next two
+        at, both, digests = self.vocabulary.linked(ids, self.pairs)
+        linked[at] = True
+        triple[both[holds(self.triples, digests)]] = True
         # most words are linked to none; the stripes of these get no word
         alone = np.bincount(ids[~linked], minlength=1)
         alone[0] = 0
@@ -332,9 +351,9 @@ class Phrases:
             if not len(starts):
                 return
             end = starts + length - 1
-            after = np.where(linked[end], ids[np.minimum(end + 1, len(ids) - 1)], 0)
+            go = linked[end] if length == 1 else triple[end - 1]
+            after = np.where(go, ids[np.minimum(end + 1, len(ids) - 1)], 0)
             self.tallies[length - 1].add(now << 32 | after)
-            go = linked[end]
             if length < len(self.tallies):
                 keys, back = np.unique(now[go] << 32 | after[go], return_inverse=True)
                 starts, now = starts[go], self.numbered(length + 1, keys)[back]
@@ -352,11 +371,9 @@ class Phrases:
             yield segments(self.lang, pa.array(prefixes, pa.binary()), keys >> 32, names, word, n, place[word])
 
 
-def stripes(
-    texts: DataFrame, words: np.ndarray, pairs: np.ndarray, longest: int, limits: Limits = Limits()
-) -> DataFrame:
-    """Segments of the stripes of all prefixes of 1 to ``longest`` words."""
-    shared = texts.sparkSession.sparkContext.broadcast((words, pairs))
+def stripes(texts: DataFrame, bitmaps: tuple[np.ndarray, ...], longest: int, limits: Limits = Limits()) -> DataFrame:
+    """Segments of the stripes of all prefixes of 1 to ``longest`` words; bitmaps of words, pairs, triples."""
+    shared = texts.sparkSession.sparkContext.broadcast(bitmaps)
 
     def count(batches):
         held: dict[str, Phrases] = {}
@@ -428,8 +445,11 @@ def count_stripes(
     words = stored(merged(word_stripes(texts, limits), least), "word-stripes")
     n = words.agg(F.coalesce(F.sum("total"), F.lit(0))).first()[0]
     frequent = word_bitmap(phrases_in(words), max(15, limits.word_bits))
-    pairs = sieve(texts, frequent, limits.sieve_bits(n, least), least, limits)
-    return words, stored(merged(stripes(texts, frequent, pairs, longest - 1, limits), least), "stripes")
+    bits = limits.sieve_bits(n, least)
+    pairs = sieve(texts, frequent, None, bits, least, limits)
+    triples = sieve(texts, frequent, pairs, bits, least, limits) if longest > 2 else pairs
+    parts = stripes(texts, (frequent, pairs, triples), longest - 1, limits)
+    return words, stored(merged(parts, least), "stripes")
 
 
 def collocations(
