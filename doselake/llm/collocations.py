@@ -2,12 +2,11 @@
 
 Text (A-Z lower-cased) is cut at punctuation and line ends into pieces and at blanks into words. Everything is
 counted per language. A phrase without its last word is a prefix, and each prefix keys a stripe: how often which
-word comes next. The stripe also counts, under the empty word, where the piece ends or the next word cannot
-matter, so that its sum is the prefix's own frequency. Tasks count stripes in arrays and emit them in segments of
+word comes next. Tasks count stripes in arrays and emit them in segments of
 next words; equal segments are merged elementwise. So one structure holds
 
-* the extensions: counts of all phrases of one more word,
-* the prefix totals: counts of the parts a phrase may be cut into,
+* the extensions: counts of all phrases of one more word, the empty prefix's being all words,
+* the prefix totals: a prefix is itself an extension of the one before, so its stripe's total stands there,
 * the subsumption maxima: the most frequent extension of a prefix.
 
 A phrase is no more frequent than any part of it. So stripes are counted only along words that are frequent and whose
@@ -200,6 +199,10 @@ class Vocabulary:
             self.digests, self.marks = np.array(self._digests, np.uint64), np.array(self._marks, np.uint64)
         return np.fromiter(map(self.numbers.__getitem__, [*found, BREAK]), np.int64, len(found) + 1)
 
+    def forget(self) -> None:
+        """Leave out the words that are not frequent: they are looked up again when they come."""
+        self.numbers = {w: n for w, n in self.numbers.items() if n or w == BREAK}
+
     def pairs(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(where two frequent words follow each other, digests of the pairs)."""
         at = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0))
@@ -248,7 +251,8 @@ def sieve(
         frequent, pairs = shared.value
         for lang, raw in by_language(batches, limits.batch):
             if sum(len(v.numbers) for v in held.values()) > limits.words:
-                held.clear()
+                for words in held.values():
+                    words.forget()
             words = held.setdefault(lang, Vocabulary(lang, frequent))
             ids = words.ids(raw)
             digests = words.pairs(ids)[1] if pairs is None else words.linked(ids, pairs)[2]
@@ -340,26 +344,21 @@ class Phrases:
         at, both, digests = self.vocabulary.linked(ids, self.pairs)
         linked[at] = True
         triple[both[holds(self.triples, digests)]] = True
-        # most words are linked to none; the stripes of these get no word
-        alone = np.bincount(ids[~linked], minlength=1)
-        alone[0] = 0
-        found = np.flatnonzero(alone)
-        self.tallies[0].put(found << 32, alone[found])
         starts = np.flatnonzero(linked)
         now = ids[starts]
         for length in range(1, len(self.tallies) + 1):
+            if length > 1:
+                go = triple[starts + length - 2]
+                starts, now = starts[go], now[go]
             if not len(starts):
                 return
-            end = starts + length - 1
-            go = linked[end] if length == 1 else triple[end - 1]
-            after = np.where(go, ids[np.minimum(end + 1, len(ids) - 1)], 0)
-            self.tallies[length - 1].add(now << 32 | after)
+            keys, back, n = np.unique(now << 32 | ids[starts + length], return_inverse=True, return_counts=True)
+            self.tallies[length - 1].put(keys, n)
             if length < len(self.tallies):
-                keys, back = np.unique(now[go] << 32 | after[go], return_inverse=True)
-                starts, now = starts[go], self.numbered(length + 1, keys)[back]
+                now = self.numbered(length + 1, keys)[back]
 
     def size(self) -> int:
-        return sum(t.entries for t in self.tallies) + len(self.vocabulary.numbers) + sum(map(len, self.numbers))
+        return sum(t.entries for t in self.tallies) + sum(map(len, self.numbers))
 
     def emit(self):
         words = self.names[0]
@@ -381,6 +380,9 @@ def stripes(texts: DataFrame, bitmaps: tuple[np.ndarray, ...], longest: int, lim
             if lang not in held:
                 held[lang] = Phrases(lang, *shared.value, longest)
             held[lang].count(raw)
+            if sum(len(p.vocabulary.numbers) for p in held.values()) > limits.words:
+                for phrases in held.values():
+                    phrases.vocabulary.forget()
             if sum(p.size() for p in held.values()) > limits.entries:
                 for phrases in held.values():
                     for tally in phrases.tallies:
@@ -403,7 +405,7 @@ def merged(parts: DataFrame, least: int) -> DataFrame:
     key = ["lang", "prefix", "segment"]
     entries = parts.repartition(*key).select(*key, F.explode(F.arrays_zip("next", "n")).alias("e"))
     counts = entries.groupBy(*key, F.col("e.next").alias("word")).agg(F.sum("e.n").alias("n"))
-    kept = F.collect_list(F.when((F.col("n") >= least) & (F.col("word") != ""), F.struct("word", "n")))
+    kept = F.collect_list(F.when(F.col("n") >= least, F.struct("word", "n")))
     return counts.groupBy(*key).agg(F.sum("n").alias("total"), kept.alias("next"))
 
 
@@ -470,9 +472,8 @@ def collocations(
     """
     words, table = count_stripes(docs, longest, least, text, lang, limits)
     sizes = words.groupBy("lang").agg(F.sum("total").alias("n"))
-    totals = table.groupBy("lang", "prefix").agg(F.sum("total").alias("f"))
-    totals = stored(totals.where(F.col("f") >= least), "prefix-totals")
     candidates = stored(phrases_in(table), "candidates")
+    totals = phrases_in(words).unionByName(candidates)
     # longer by a word at the end: the stripe's largest entry; at the front: of all phrases with that rest
     largest = F.array_max(F.transform("next", lambda e: e.n))
     after = table.select("lang", F.col("prefix").alias("phrase"), largest.alias("a"))
@@ -490,8 +491,8 @@ def collocations(
             "rest": F.array_join(F.slice(parts, F.col("k") + 1, F.size(parts) - F.col("k")), " "),
         }
     )
-    l_side = totals.select("lang", F.col("prefix").alias("first"), F.col("f").alias("l"))
-    r_side = totals.select("lang", F.col("prefix").alias("rest"), F.col("f").alias("r"))
+    l_side = totals.select("lang", F.col("phrase").alias("first"), F.col("a").alias("l"))
+    r_side = totals.select("lang", F.col("phrase").alias("rest"), F.col("a").alias("r"))
     cuts = cuts.join(l_side, ["lang", "first"]).join(r_side, ["lang", "rest"]).join(sizes, "lang")
     wide = {c: F.col(c).cast("decimal(17,0)") for c in "alrn"}
     cuts = cuts.withColumn("over", F.lit(1000).cast("decimal(4,0)") * wide["a"] * wide["n"])

@@ -31,6 +31,45 @@ def words_of(text: str | None) -> list[bytes]:
     return raw.split()
 
 
+#: Base of the digests of words, odd; powers of it and of its inverse, as many as were needed so far.
+PRIME = 0x9E3779B97F4A7C15
+INVERSE = pow(PRIME, -1, 1 << 64)
+_powers: dict[int, np.ndarray] = {}
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    """The first ``n`` powers of an odd number, modulo 2^64."""
+    held = _powers.get(base)
+    if held is None or len(held) < n:
+        held = np.full(max(n, 1 << 16), base, np.uint64)
+        held[0] = 1
+        held = np.multiply.accumulate(held)
+        # what long texts need is not kept
+        if n <= 1 << 20:
+            _powers[base] = held
+    return held[:n]
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(27))
+
+
+def span_digests(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit digests of parts of a text, the same wherever they stand."""
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * powers(PRIME, len(raw)), out=sums[1:])
+    h = (sums[ends] - sums[starts]) * powers(INVERSE, len(raw))[starts]
+    return mixed(h + (ends - starts).astype(np.uint64))
+
+
+def word_digests(text: str | None) -> np.ndarray:
+    """64-bit digests of the words of a text, in order."""
+    raw = np.frombuffer((text or "").encode("utf-8", "replace").translate(WORD_BYTES), np.uint8)
+    edge = np.flatnonzero(np.diff(np.concatenate([[False], raw != 0x20, [False]]).astype(np.int8)))
+    return span_digests(raw, edge[::2], edge[1::2]) if len(edge) else np.empty(0, np.uint64)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from doselake.llm.common import among, bitmap, discard, partitions, stored, text_key, words_of
+from doselake.llm.common import among, bitmap, discard, mixed, partitions, stored, text_key, word_digests
 
 WORDS, THRESHOLD = 2, 0.8
 #: With these a pair of Jaccard value 3/7 over labels (0.8 of the words aligned, the others evenly scattered) agrees in
@@ -49,34 +49,13 @@ SKETCHES, KEPT = 48, 2
 REMAINDERS = 128
 SEEDS = np.random.default_rng(20190705).integers(1, 2**63, SKETCHES, np.uint64) | np.uint64(1)
 MIX = np.uint64(0xBF58476D1CE4E5B9)
-REMEMBERED = 300_000
 #: Labels hashed at once, members of a bucket in one tile at most.
 LABELS, MEMBERS = 16_384, 128
 
 
-class WordDigests(dict):
-    """64-bit digests of words; forgets all when full."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        value = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-        self[word] = value
-        return value
-
-
-_digests = WordDigests()
-
-
-def mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * MIX
-    return x ^ (x >> np.uint64(27))
-
-
 def sequence(text: str | None) -> np.ndarray:
     """Digests of the words."""
-    words = words_of(text)
-    return np.fromiter(map(_digests.__getitem__, words), np.uint64, len(words))
+    return word_digests(text)
 
 
 def labels(d: np.ndarray) -> np.ndarray:
@@ -206,32 +185,29 @@ def sketched(docs: DataFrame, doc_id: str, text: str, threshold: float = THRESHO
 
 
 def sequences(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(key, seq): word sequences, 8 bytes a word, of the wanted (key, id)."""
+    """(key, text, n) of the wanted (key, id): texts, which take less room than digests of words, and their words."""
     rows = docs.select(text_key(text).alias("key"), F.col(doc_id).alias("id"), F.col(text).alias("text"))
-    same = (F.col("r.key") == F.col("w.key")) & F.col("r.id").eqNullSafe(F.col("w.id"))
     rows = among(rows, "key", bitmap(wanted, "key"))
-    rows = rows.alias("r").join(wanted.select("key", "id").alias("w"), same, "left_semi")
+    rows = rows.join(wanted.select("key", F.col("id").alias("first")), "key").where(F.col("id").eqNullSafe(F.col("first")))
 
-    def encode(batches):
+    def count(batches):
         for batch in batches:
-            made = [sequence(t.as_py()).tobytes() for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(made, pa.binary())], names=["key", "seq"]
-            )
+            n = [len(sequence(t.as_py())) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(n, pa.int64())], names=["key", "text", "n"])
 
-    return rows.select("key", "text").mapInArrow(encode, "key binary, seq binary").dropDuplicates(["key"])
+    return rows.dropDuplicates(["key"]).select("key", "text").mapInArrow(count, "key binary, text string, n long")
 
 
 def verified(pairs: DataFrame, seqs: DataFrame, threshold: float) -> DataFrame:
     """(key, hub, similarity) of all pairs."""
     sides = pairs.join(seqs, "key").join(
-        seqs.select(F.col("key").alias("hub"), F.col("seq").alias("hub_seq")), "hub"
+        seqs.select(F.col("key").alias("hub"), F.col("text").alias("hub_text")), "hub"
     )
 
     def align(batches):
         for batch in batches:
             got = [
-                similarity(np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64), threshold)
+                similarity(sequence(a.as_py()), sequence(b.as_py()), threshold)
                 for a, b in zip(batch.column(2), batch.column(3), strict=True)
             ]
             yield pa.RecordBatch.from_arrays(
@@ -239,7 +215,7 @@ def verified(pairs: DataFrame, seqs: DataFrame, threshold: float) -> DataFrame:
                 names=["key", "hub", "similarity"],
             )
 
-    return sides.select("key", "hub", "seq", "hub_seq").mapInArrow(
+    return sides.select("key", "hub", "text", "hub_text").mapInArrow(
         align, "key binary, hub binary, similarity double"
     )
 
@@ -287,7 +263,7 @@ def joining_links(rows: DataFrame, seqs: DataFrame, threshold: float) -> DataFra
     first = pairs.withColumn("tile", F.col("i")).join(tiled, ["bucket", "tile"]).withColumn("second", F.lit(False))
     second = pairs.where("i < j").withColumn("tile", F.col("j")).join(tiled, ["bucket", "tile"])
     held = first.unionByName(second.withColumn("second", F.lit(True))).join(seqs, "key")
-    held = held.select("bucket", "i", "j", "second", "key", "root", "pushed", "seq")
+    held = held.select("bucket", "i", "j", "second", "key", "root", "pushed", "text")
 
     def work(batches):
         last, members, joined = None, [], {}
@@ -299,12 +275,12 @@ def joining_links(rows: DataFrame, seqs: DataFrame, threshold: float) -> DataFra
 
         for batch in batches:
             out = []
-            for bucket, i, j, later, key, root, pushed, seq in zip(*(batch.column(k) for k in range(8)), strict=True):
+            for bucket, i, j, later, key, root, pushed, text in zip(*(batch.column(k) for k in range(8)), strict=True):
                 unit = bucket.as_py(), i.as_py(), j.as_py()
                 if unit != last:
                     last, members, joined = unit, [], {}
                 key, root, pushed = key.as_py(), root.as_py(), pushed.as_py()
-                words = np.frombuffer(seq.as_py(), np.uint64)
+                words = sequence(text.as_py())
                 if later.as_py() or unit[1] == unit[2]:
                     for other, its_root, its_pushed, its_words in members:
                         if (pushed or its_pushed) and find(root) != find(its_root):
@@ -334,7 +310,7 @@ def links_in(open_: DataFrame, seqs: DataFrame, threshold: float) -> DataFrame:
     components are parted by length and their members compared with each other.
     """
     pairs = open_.where("key <> hub").select("key", "hub").distinct()
-    sizes = seqs.select("key", F.octet_length("seq").alias("n"))
+    sizes = seqs.select("key", "n")
     pairs = pairs.join(sizes, "key").join(sizes.select(F.col("key").alias("hub"), F.col("n").alias("hub_n")), "hub")
     alike = F.least("n", "hub_n") >= threshold * F.greatest("n", "hub_n") - 1e-6
     judged = verified(pairs.where(alike).select("key", "hub"), seqs, threshold)
@@ -347,7 +323,7 @@ def links_in(open_: DataFrame, seqs: DataFrame, threshold: float) -> DataFrame:
     if rest.isEmpty():
         return found
     # texts of one class of lengths, or of neighbouring ones; pushed: in the next class
-    part = F.floor(F.log(F.octet_length("seq") / 8) / (1e-9 - math.log(threshold))).cast("int")
+    part = F.floor(F.log("n") / (1e-9 - math.log(threshold))).cast("int")
     both = F.array(
         F.struct(part.alias("part"), F.lit(False).alias("pushed")), F.struct((part + 1).alias("part"), F.lit(True).alias("pushed"))
     )

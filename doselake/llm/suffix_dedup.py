@@ -45,18 +45,22 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from doselake.llm.common import (
+    INVERSE,
+    PRIME,
     WORD_BYTES,
     among,
     bitmap,
     discard,
     marked,
+    mixed,
     numbered,
     partitions,
+    powers,
     quoted,
     stored,
     text_key,
+    word_digests,
 )
-from doselake.llm.minhash import mixed, sequence
 
 #: Bytes of a string, and of the substrings that name it; for sequences of words, words.
 LENGTH, GRAM, WORD_GRAM = 400, 64, 8
@@ -64,8 +68,6 @@ LENGTH, GRAM, WORD_GRAM = 400, 64, 8
 BYTES, WORDS = 1, 8
 #: Strings in a stretch at most, distinct stretches of a name in a task at most, bytes sorted at once.
 STRETCH, MOST, BATCH = 1024, 4000, 400_000
-PRIME = 0x9E3779B97F4A7C15
-INVERSE = pow(PRIME, -1, 1 << 64)
 #: Bytes shifted by one make room for an end mark; 0xFF does not occur in UTF-8.
 SHIFT = bytes(min(b + 1, 255) for b in range(256))
 #: Separators tried one after the other until no token is long: blanks, all but letters and digits, all.
@@ -276,12 +278,33 @@ def repeated_sequences(stretches: list[bytes], length: int) -> list[np.ndarray]:
     return [hit[b : b + n] for b, n in zip(begins.tolist(), counts.tolist(), strict=True)]
 
 
+def equal_sequences(stretches: list[bytes], length: int) -> list[np.ndarray]:
+    """What ``repeated_sequences`` gives, by sorting digests of all sequences; equal ones are compared word by word."""
+    digests = [np.frombuffer(s, np.uint64) for s in stretches]
+    sizes = np.array([len(d) for d in digests])
+    words = np.concatenate([*digests, np.zeros(length, np.uint64)])
+    h = sequence_digests(words, length)
+    counts = np.maximum(sizes - length + 1, 0)
+    begins = np.cumsum(sizes) - sizes
+    at = np.repeat(begins - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+    order = np.argsort(h[at], kind="stable")
+    a, b = at[order[:-1]], at[order[1:]]
+    alike = np.flatnonzero(h[a] == h[b])
+    for k in range(length):
+        if (words[a[alike] + k] != words[b[alike] + k]).any():
+            # two sequences with one digest may hide equal ones that are not neighbours
+            return repeated_sequences(stretches, length)
+    hit = np.zeros(len(words), bool)
+    hit[a[alike]] = hit[b[alike]] = True
+    return [hit[b : b + n] for b, n in zip(begins.tolist(), counts.tolist(), strict=True)]
+
+
 # ---- names and stretches ----------------------------------------------------------
 
 
 def units(text: str | None, width: int) -> bytes:
     """A text as symbols of ``width`` bytes."""
-    return (text or "").encode("utf-8", "replace") if width == BYTES else sequence(text).tobytes()
+    return (text or "").encode("utf-8", "replace") if width == BYTES else word_digests(text).tobytes()
 
 
 def sequence_digests(digests: np.ndarray, size: int) -> np.ndarray:
@@ -296,12 +319,9 @@ def sequence_digests(digests: np.ndarray, size: int) -> np.ndarray:
 def gram_digests(raw: bytes, size: int) -> np.ndarray:
     """A 64-bit digest of every substring of ``size`` bytes."""
     n = len(raw)
-    step = np.full(n, PRIME, np.uint64)
-    back = np.full(n, INVERSE, np.uint64)
-    step[0] = back[0] = 1
-    values = (np.frombuffer(raw, np.uint8).astype(np.uint64) + np.uint64(1)) * np.multiply.accumulate(step)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.add.accumulate(values)])
-    h = (sums[size:] - sums[:-size]) * np.multiply.accumulate(back)[: n - size + 1]
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum((np.frombuffer(raw, np.uint8).astype(np.uint64) + np.uint64(1)) * powers(PRIME, n), out=sums[1:])
+    h = (sums[size:] - sums[:-size]) * powers(INVERSE, n)[: n - size + 1]
     h ^= h >> np.uint64(31)
     h *= np.uint64(0xBF58476D1CE4E5B9)
     return h ^ (h >> np.uint64(29))
@@ -384,12 +404,11 @@ def intervals(flags: np.ndarray) -> tuple[list[int], list[int]]:
     return edge[::2].tolist(), edge[1::2].tolist()
 
 
-def sorted_repeats(cuts: DataFrame, length: int, width: int = BYTES) -> DataFrame:
-    """(name, digest, spans) of repeated strings, by the suffix arrays of names."""
+def sorted_repeats(cuts: DataFrame, length: int, find) -> DataFrame:
+    """(name, digest, spans) of repeated strings; ``find`` tells them among the stretches of some names."""
 
     def judge(batch: dict[tuple[int, int], bytes]):
         rows = []
-        find = repeated_starts if width == BYTES else repeated_sequences
         for (name, digest), flags in zip(batch, find(list(batch.values()), length), strict=True):
             if flags.any():
                 rows.append((name, digest, [{"s": s, "e": e} for s, e in zip(*intervals(flags), strict=True)]))
@@ -413,7 +432,7 @@ def sorted_repeats(cuts: DataFrame, length: int, width: int = BYTES) -> DataFram
                 last = name
                 if (name, digest) not in held:
                     held[name, digest] = raw
-                    size += len(raw) // (1 if width == BYTES else 2)
+                    size += len(raw)
         if held:
             yield from judge(held)
 
@@ -453,8 +472,9 @@ def counted_repeats(cuts: DataFrame, length: int, width: int = BYTES) -> DataFra
     return strings.join(twice, "string").groupBy("name", "digest").agg(F.collect_list(span).alias("spans"))
 
 
-def repeated_spans(docs: DataFrame, length: int, width: int = BYTES) -> DataFrame:
+def repeated_spans(docs: DataFrame, length: int, width: int = BYTES, find=None) -> DataFrame:
     """(key, id, spans): ranges of symbols to remove, of documents that have any; docs: (key, id, text)."""
+    find = find or (repeated_starts if width == BYTES else repeated_sequences)
     all_ = stored(stretches(docs, length, width), "repeat-stretches")
     counts = all_.groupBy("name").agg(F.count("*").alias("n"), F.bool_or("twice").alias("twice"))
     found = stored(among(all_, "name", bitmap(counts.where("n > 1 or twice"), "name")), "repeat-candidates")
@@ -470,12 +490,12 @@ def repeated_spans(docs: DataFrame, length: int, width: int = BYTES) -> DataFram
     several = several.select("name", "digest", "rep.*")
     many = sizes.where(F.col("n") > MOST)
     if many.isEmpty():
-        spans = sorted_repeats(cut_out(docs, several, length, width), length, width)
+        spans = sorted_repeats(cut_out(docs, several, length, width), length, find)
     else:
         parts = stored(marked(several, "name", bitmap(many, "name"), "many"), "repeat-several")
         few = cut_out(docs, parts.where("not many").drop("many"), length, width)
         rest = cut_out(docs, parts.where("many").drop("many"), length, width)
-        spans = sorted_repeats(few, length, width).unionByName(counted_repeats(rest, length, width))
+        spans = sorted_repeats(few, length, find).unionByName(counted_repeats(rest, length, width))
     once = distinct.where("copies = 1").select("name", "digest")
     whole = F.array(F.struct(F.lit(0).alias("s"), F.col("rep.n").alias("e")))
     every = distinct.where("copies > 1").select("name", "digest", whole.alias("spans"))
@@ -526,7 +546,8 @@ def remove_repeats(
     """``docs`` with n_bytes, n_removed, n_spans, kept (the remaining bytes) and removed spans.
 
     Repeats are strings of ``length`` bytes, or passages of ``n_words`` words if that is given. With ``also_words``,
-    n_passage_bytes counts the bytes in repeated passages of so many words, which stay. Those names replace
+    n_passage_bytes counts the bytes in repeated passages of so many words, which stay; they are only counted, by
+    digests and comparison instead of suffix arrays. Those names replace
     columns of the input.
     """
     made = T.StructType().add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long")
@@ -542,7 +563,7 @@ def remove_repeats(
     at, width = docs.columns.index(text), len(docs.columns)
     rows = rows.withColumnsRenamed({f"c{width}": "key", f"c{width + 1}": "id"}).join(found, ["key", "id"], "left")
     if also_words:
-        more = repeated_spans(narrow, also_words, WORDS).withColumnRenamed("spans", "more")
+        more = repeated_spans(narrow, also_words, WORDS, equal_sequences).withColumnRenamed("spans", "more")
         rows = rows.join(more, ["key", "id"], "left")
     rows = rows.drop("key", "id")
     schema = T.StructType([docs.schema[docs.columns[k]] for k in own] + made.fields)

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from doselake.llm import decontaminate, minhash, queries, sharding, suffix_dedup
+from doselake.llm import common, decontaminate, minhash, queries, sharding, suffix_dedup
 
 # ---- shards -----------------------------------------------------------------------
 
@@ -179,6 +179,38 @@ def test_pipeline_cuts_short_passages_of_51_words(spark, sf_dir, documents):
     assert kept[8] == texts[8] and kept[9] == texts[9] and kept[5] is None and kept[7] == "."
 
 
+def test_sequences_by_suffix_array_and_by_digest():
+    rng = np.random.default_rng(3)
+    for _ in range(60):
+        parts = [rng.integers(0, 3, rng.integers(1, 40)).astype(np.uint64).tobytes() for _ in range(rng.integers(1, 8))]
+        length = int(rng.integers(1, 9))
+        texts = [np.frombuffer(p, np.uint64).tolist() for p in parts]
+        all_ = Counter(tuple(t[k : k + length]) for t in texts for k in range(len(t) - length + 1))
+        want = [[all_[tuple(t[k : k + length])] > 1 for k in range(len(t) - length + 1)] for t in texts]
+        for find in (suffix_dedup.repeated_sequences, suffix_dedup.equal_sequences):
+            assert [f.tolist() for f in find(parts, length)] == want
+
+
+def test_word_digests_are_those_of_words():
+    texts = ["The cat, the  CAT!", "", "é É 你好 x", "a" * 70_000 + " b a", None]
+    seen = {}
+    for text in texts:
+        digests = common.word_digests(text).tolist()
+        words = common.words_of(text)
+        assert len(digests) == len(words)
+        for word, d in zip(words, digests, strict=True):
+            assert seen.setdefault(word, d) == d
+    assert len(set(seen.values())) == len(seen)
+
+
+def test_passage_bytes_beside_the_law(spark, sf_dir, documents):
+    both = {r.doc_id: r for r in queries.op3_suffix_dedup(spark, sf_dir).collect()}
+    texts = [(r.doc_id, r.text) for r in documents.collect()]
+    gone = repeated_passages([t for _, t in texts], 51)
+    holds = {texts[k][0] for k, _ in gone}
+    assert {d for d, r in both.items() if r.n_passage_bytes} == holds
+
+
 # ---- benchmark passages -----------------------------------------------------------
 
 
@@ -386,8 +418,8 @@ def test_members_that_left_with_the_hub_stay_partners(spark, monkeypatch, member
     keys[:3] = b"\x00", keys[1], keys[2]  # the first one's end is the hub
     rows = [(1, k, b"\x00") for k in keys]
     open_ = spark.createDataFrame(rows, "bucket long, key binary, hub binary")
-    seqs = [(k, minhash.sequence(t).tobytes()) for k, t in zip(keys, texts, strict=True)]
-    links = minhash.links_in(open_, spark.createDataFrame(seqs, "key binary, seq binary"), 0.8)
+    seqs = [(k, t, len(t.split())) for k, t in zip(keys, texts, strict=True)]
+    links = minhash.links_in(open_, spark.createDataFrame(seqs, "key binary, text string, n long"), 0.8)
     named = {bytes(r.key): bytes(r.root) for r in minhash.components(corpus_pipeline.stored(links, "test-links")).collect()}
     groups = defaultdict(list)
     for n, k in enumerate(keys):
