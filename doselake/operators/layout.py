@@ -5,14 +5,15 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from doselake.functions.calendar import month_label
 from doselake.operators.cleaning import PROBLEM, accepted, load_judge, rejected
-from doselake.schema import CANONICAL, FACT_SCHEMA, MONTH
-from doselake.sources.months import misplaced, read_exchange, read_months
+from doselake.schema import CANONICAL, FACT_SCHEMA, MONTH, WRITER
+from doselake.session import remove
+from doselake.sources.months import misplaced, read_exchange, read_months, read_parts
 
 #: Fact order: state and vaccine narrow a scan first, date and age trim within.
 BY_STATE = ("sigla_uf_paciente", "sigla_vacina", "data_vacina", "numero_idade_paciente")
@@ -27,11 +28,15 @@ BLOOM_FPP = 0.01
 #: Values that hardly repeat: trying a dictionary only costs time.
 UNIQUE = ("codigo_documento", "codigo_paciente", "codigo_lote_vacina")
 #: Where staged rows come from: the run is the stream's own id, kept in its checkpoint.
-RUN, BATCH, ORIGIN = "run", "batch_id", "_origin"
+RUN, BATCH, PAGE, ORIGIN = "run", "batch_id", "page", "_origin"
+#: Writers of the fact table. Streams and generators write one part per batch or shard, named
+#: ``stream.<run>.<batch>`` and ``synth.<seed>.<shard>``, that compaction brings into the part of its family.
+LOAD, APPEND, STREAM, SYNTH = "load", "append", "stream", "synth"
 WITH_ORIGIN = T.StructType(FACT_SCHEMA.fields + [T.StructField(ORIGIN, T.StringType())])
 STAGED_SCHEMA = T.StructType(
     FACT_SCHEMA.fields
     + [
+        T.StructField(PAGE, T.LongType()),
         T.StructField(MONTH, T.StringType()),
         T.StructField(RUN, T.StringType()),
         T.StructField(BATCH, T.LongType()),
@@ -65,10 +70,12 @@ def write_months(
     rows_per_file: int = 0,
     bloom: dict[str, int] | None = None,
     row_group_bytes: int = ROW_GROUP_BYTES,
+    writer: str | Column | None = None,
 ) -> None:
     """Write month partitions, replacing exactly the months ``df`` has rows for.
 
-    Running it again with the same rows changes nothing. Rows are brought
+    With ``writer`` months are parted by it once more, as in the fact table, and only that writer's part
+    is replaced: what others wrote into the month stays. Running it again with the same rows changes nothing. Rows are brought
     together by month and ``spread`` (by default the leading sort column, so that
     a file covers few of its values), and sorted within files. The rebalance
     splits any oversized group, a month or state that holds most rows included,
@@ -76,15 +83,18 @@ def write_months(
     file per month while a month fits one task.
     """
     spread = sort[:1] if spread is None else spread
+    keys = [MONTH] if writer is None else [MONTH, WRITER]
     labelled = df.withColumn(MONTH, month_label(F.col("data_vacina")))
+    if writer is not None:
+        labelled = labelled.withColumn(WRITER, F.lit(writer) if isinstance(writer, str) else writer)
     (
-        labelled.hint("rebalance", MONTH, *[c for c in spread if c != MONTH])
-        .sortWithinPartitions(MONTH, *sort)
+        labelled.hint("rebalance", *keys, *[c for c in spread if c not in keys])
+        .sortWithinPartitions(*keys, *sort)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", rows_per_file)
         .options(**file_options(bloom, row_group_bytes))
-        .partitionBy(MONTH)
+        .partitionBy(*keys)
         .parquet(root)
     )
 
@@ -110,11 +120,11 @@ def append_months(df: DataFrame, root: str, reject_root: str | None = None) -> N
     """
     (
         gate(df, reject_root)
-        .withColumn(MONTH, month_label(F.col("data_vacina")))
+        .withColumns({MONTH: month_label(F.col("data_vacina")), WRITER: F.lit(APPEND)})
         .sortWithinPartitions(MONTH, *BY_STATE)
         .write.mode("append")
         .options(**file_options())
-        .partitionBy(MONTH)
+        .partitionBy(MONTH, WRITER)
         .parquet(root)
     )
 
@@ -143,9 +153,9 @@ def load_months(
     reject_root: str | None = None,
     bloom: dict[str, int] | None = BLOOM,
 ) -> None:
-    """Load exchange files into the fact table, replacing the months they hold.
+    """Load exchange files into the fact table, replacing what earlier loads brought into the months they hold.
 
-    Null and missing columns get defaults. A row the fact table cannot hold, or
+    Rows of other writers, a stream's above all, stay. Null and missing columns get defaults. A row the fact table cannot hold, or
     whose date belongs to another month than its partition, is not loaded. With
     ``reject_root`` such rows replace what that folder holds of the loaded months, with
     the reason; without it the load stops before touching the table. A month of which
@@ -178,14 +188,18 @@ def load_months(
         )
     if reject_root is not None:
         empty_months(judged.select(PROBLEM, "raw"), reject_root, [m for m, _, bad in counts if not bad])
-    write_months(accepted(judged), fact_root, bloom=bloom)
-    empty_months(accepted(judged), fact_root, [m for m, good, _ in counts if not good])
+    write_months(accepted(judged), fact_root, bloom=bloom, writer=LOAD)
+    empty_months(accepted(judged), fact_root, [m for m, good, _ in counts if not good], LOAD)
 
 
-def empty_months(like: DataFrame, root: str, labels: Iterable[str]) -> None:
+def part_path(root: str, label: str, writer: str | None = None) -> str:
+    return f"{root.rstrip('/')}/{MONTH}={label}" + (f"/{WRITER}={writer}" if writer else "")
+
+
+def empty_months(like: DataFrame, root: str, labels: Iterable[str], writer: str | None = None) -> None:
     """Leave no rows in the months ``labels`` of ``root``; months it lacks stay absent."""
     for label in labels:
-        path = f"{root.rstrip('/')}/{MONTH}={label}"
+        path = part_path(root, label, writer)
         try:
             like.sparkSession.read.schema(like.schema).parquet(path)
         except AnalysisException:
@@ -212,44 +226,62 @@ def compact_months(
 ) -> None:
     """Rewrite months as few sorted files, in place or to ``out_root``.
 
-    In place, new files are complete in a staging folder before the old ones go.
+    Each writer keeps its part; batches of streams and shards of generators come into one part of their family, where
+    rows carry the name of the part they came from. In place, new files are complete in a staging folder before
+    the old ones go. Parts already brought together by a run that did not end are only removed, so
+    running it again after a crash mends the table.
     """
-    rows = read_months(spark, root, months, schema=WITH_ORIGIN).drop(MONTH)
-    write_months(rows, out_root or root, sort, bloom=bloom)
+    rows = read_parts(spark, root, WITH_ORIGIN, months)
+    family = F.substring_index(WRITER, ".", 1)
+    single = F.col(WRITER) != family
+    if out_root is not None:
+        write_months(rows.drop(MONTH), out_root, sort, bloom=bloom, writer=family)
+        return
+    # one row per part
+    parts = rows.where(single).select(MONTH, WRITER).distinct().collect()
+    together = rows.where(~single & F.col(ORIGIN).isNotNull()).select(MONTH, F.col(ORIGIN).alias(WRITER)).distinct()
+    fresh = rows.where(single).join(together, [MONTH, WRITER], "left_anti") if parts else rows.where(single)
+    rows = rows.where(~single).unionByName(fresh.withColumn(ORIGIN, F.col(WRITER)))
+    write_months(rows.drop(MONTH), root, sort, bloom=bloom, writer=family)
+    for label, writer in parts:
+        remove(spark, part_path(root, label, writer))
+
+
+def read_or_none(spark: SparkSession, schema: str | T.StructType, path: str) -> DataFrame:
+    """A table that may not have been written yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException:
+        return spark.createDataFrame([], schema)
 
 
-def promote(spark: SparkSession, staged_root: str, fact_root: str, ledger_root: str) -> None:
-    """Bring staged stream batches into the fact table, each once.
+def put_parts(spark: SparkSession, rows: DataFrame, root: str, names: list[str]) -> None:
+    """Make ``rows``, whose ``WRITER`` is one of ``names``, all there is in the fact table of these parts.
 
-    The stream writes below ``staged_root`` by month, run and batch. Months with new batches are
-    rewritten with them; their rows carry the batch they came from, so that running
-    this again after a crash finds them and adds nothing. The ledger lists the batches that are
-    done for good: a month loaded anew later does not get them a second time.
+    That holds also for parts that were written before, in part, or brought into their family by compaction.
     """
-    origin = F.concat_ws("/", F.col(RUN), F.col(BATCH))
-    staged = spark.read.schema(STAGED_SCHEMA).parquet(staged_root).withColumn(ORIGIN, origin)
-    found = staged.select(ORIGIN).distinct()
     try:
-        ledger = spark.read.schema(f"{ORIGIN} string").parquet(ledger_root)
-        found = found.join(ledger, ORIGIN, "left_anti")
+        there = read_parts(spark, root, WITH_ORIGIN)
     except AnalysisException:
-        pass
-    # one row per batch
-    names = [r[0] for r in found.collect()]
-    if not names:
+        write_months(rows.drop(MONTH), root, bloom=BLOOM, writer=F.col(WRITER))
         return
-    todo = spark.createDataFrame([(n,) for n in names], f"{ORIGIN} string")
-    new = staged.join(F.broadcast(todo), ORIGIN, "left_semi")
-    labels = [r[0] for r in new.select(MONTH).distinct().collect()]
-    columns = [*CANONICAL, ORIGIN]
-    rows = new.select(*columns)
-    try:
-        old = read_months(spark, fact_root, labels, schema=WITH_ORIGIN)
-        rows = old.join(F.broadcast(todo), ORIGIN, "left_anti").select(*columns).unionByName(rows)
-    except AnalysisException:
-        pass
-    write_months(rows, fact_root, bloom=BLOOM)
-    todo.write.mode("append").parquet(ledger_root)
+    named = F.col(ORIGIN).isin(names)
+    labels = [r[0] for r in there.where(~F.contains(WRITER, F.lit(".")) & named).select(MONTH).distinct().collect()]
+    if labels:
+        families = sorted({n.split(".")[0] for n in names})
+        held = there.where(F.col(MONTH).isin(labels) & F.col(WRITER).isin(families))
+        kept = held.where(~named)
+        left = {tuple(r) for r in kept.select(MONTH, WRITER).distinct().collect()}
+        gone = {tuple(r) for r in held.select(MONTH, WRITER).distinct().collect()} - left
+        write_months(kept.drop(MONTH), root, bloom=BLOOM, writer=F.col(WRITER))
+        for part in gone:
+            remove(spark, part_path(root, *part))
+    before = {tuple(r) for r in there.where(F.col(WRITER).isin(names)).select(MONTH, WRITER).distinct().collect()}
+    write_months(rows.drop(MONTH), root, bloom=BLOOM, writer=F.col(WRITER))
+    if before:
+        now = {tuple(r) for r in rows.select(MONTH, WRITER).distinct().collect()}
+        for part in before - now:
+            remove(spark, part_path(root, *part))
 
 
 def create_fact_table(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -260,11 +292,17 @@ def create_fact_table(spark: SparkSession, name: str, location: str | None = Non
     )
     at = f" LOCATION '{location}'" if location else ""
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({columns}, {MONTH} STRING) "
-        f"USING parquet PARTITIONED BY ({MONTH}){at}"
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns}, {MONTH} STRING, {WRITER} STRING) "
+        f"USING parquet PARTITIONED BY ({MONTH}, {WRITER}){at}"
     )
 
 
+def register_parts(spark: SparkSession, name: str, root: str) -> None:
+    """The fact table at ``root`` in the catalog, with the partitions it has now."""
+    create_fact_table(spark, name, root)
+    spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+
+
 def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 

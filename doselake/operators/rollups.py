@@ -12,18 +12,20 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from doselake.functions.calendar import month_label
-from doselake.schema import MONTH
-from doselake.session import fan_in
+from doselake.schema import FACT_SCHEMA, MONTH
+from doselake.session import fan_in, remove
 
 PATIENTS = "unique_patients"
 #: 2^16 entries: distinct counts are exact up to 65,536 patients per state.
 SKETCH_LG = 16
 
-_SALT = "_salt"
+_SALT, _SET = "_salt", "_set"
 
 
 @dataclass(frozen=True)
@@ -50,6 +52,12 @@ class Rollup:
     def columns(self) -> list[str]:
         return [*self.keys, "total_doses", PATIENTS, *self.counters[1:]]
 
+    @property
+    def schema(self) -> T.StructType:
+        """Of stored rows, whose distinct patients are states."""
+        kinds = {PATIENTS: T.BinaryType()} | {k: FACT_SCHEMA[k].dataType for k in self.keys}
+        return T.StructType([T.StructField(c, kinds.get(c, T.LongType())) for c in self.columns])
+
 
 # The conditions of both rollups.
 _DOSE_COUNTS = (
@@ -93,6 +101,11 @@ STATE_DEMOGRAPHICS = Rollup(
 ROLLUPS = (STATE_VACCINE_DATE, STATE_DEMOGRAPHICS)
 
 
+def _patient() -> Column:
+    """Sketches leave out empty strings, so that the patient without a code would not count."""
+    return F.concat(F.lit("="), F.col("codigo_paciente"))
+
+
 def build(fact: DataFrame, spec: Rollup, salts: int | None = None) -> DataFrame:
     """One mergeable row per key.
 
@@ -105,11 +118,37 @@ def build(fact: DataFrame, spec: Rollup, salts: int | None = None) -> DataFrame:
     salts = salts or fan_in(fact.sparkSession)
     salted = fact.withColumn(_SALT, F.spark_partition_id() % salts)
     first = salted.groupBy(*spec.keys, _SALT).agg(
-        *spec.measures(), F.theta_sketch_agg("codigo_paciente", SKETCH_LG).alias(PATIENTS)
+        *spec.measures(), F.theta_sketch_agg(_patient(), SKETCH_LG).alias(PATIENTS)
     )
     return regroup(first, spec, spec.keys)
 
 
+def build_all(fact: DataFrame, specs: Sequence[Rollup], path: str, salts: int | None = None) -> list[DataFrame]:
+    """The rows ``build`` gives for each rollup, from one scan of the fact rows.
+
+    One aggregation over the grouping sets of all rollups makes their partial states, salted as in ``build``. They
+    are written below ``path``, and each rollup is united from its share.
+    """
+    salts = salts or fan_in(fact.sparkSession)
+    keys = list(dict.fromkeys(k for spec in specs for k in spec.keys))
+    measures = {n: m for spec in specs for n, m in zip(spec.counters, spec.measures(), strict=True)}
+    salted = fact.withColumn(_SALT, F.spark_partition_id() % salts)
+    sets = [[*spec.keys, _SALT] for spec in specs]
+    first = salted.groupingSets(sets, *keys, _SALT).agg(
+        F.grouping_id().cast("bigint").alias(_SET),
+        *measures.values(),
+        F.theta_sketch_agg(_patient(), SKETCH_LG).alias(PATIENTS),
+    )
+    first.write.partitionBy(_SET).parquet(path)
+    states = fact.sparkSession.read.parquet(path)
+    out = []
+    for spec in specs:
+        # a bit for every key, the first one highest, set where it is not in the set; the salt always is
+        number = sum(1 << (len(keys) - i) for i, k in enumerate(keys) if k not in spec.keys)
+        out.append(regroup(states.where(F.col(_SET) == number), spec, spec.keys))
+    return out
+
+
 def build_exact(fact: DataFrame, spec: Rollup) -> DataFrame:
     """The rollup with exact distinct counts; these rows cannot be merged further.
 
@@ -147,15 +186,28 @@ def estimate(rows: DataFrame) -> DataFrame:
 def store(rows: DataFrame, spec: Rollup, path: str, months: Sequence[str] | None = None) -> None:
     """Replace a stored rollup: month partitions, rows in key order.
 
-    Given ``months``, those are replaced and the others stay; else the whole table is,
-    so that months that lost all their rows disappear.
+    Months are replaced one by one, each complete before its old rows go. Given ``months``, the others stay;
+    else months that lost all their rows are removed afterwards.
     """
+    spark = rows.sparkSession
     with_month = rows.withColumn(MONTH, month_label(F.col("data_vacina")))
+    before = set() if months is not None else stored_months(spark, path)
     (
         with_month.hint("rebalance", MONTH)
         .sortWithinPartitions(MONTH, *spec.keys)
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static" if months is None else "dynamic")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy(MONTH)
         .parquet(path)
     )
+    if before:
+        for label in before - {r[0] for r in with_month.select(MONTH).distinct().collect()}:
+            remove(spark, f"{path}/{MONTH}={label}")
+
+
+def stored_months(spark: SparkSession, path: str) -> set[str]:
+    """Month labels of a stored rollup; none if it is not there yet."""
+    try:
+        return {r[0] for r in spark.read.schema(f"{MONTH} string").parquet(path).select(MONTH).distinct().collect()}
+    except AnalysisException:
+        return set()

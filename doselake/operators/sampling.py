@@ -201,6 +201,10 @@ class Sampler:
         made = {name: Inline.of(rows) for name, rows in items.items()}
         return Sampler(spark, path, stats, {n: i for n, i in made.items() if i is not None})
 
+    def joins(self, picks: Iterable[str]) -> bool:
+        """Whether picking from these dimensions joins a table, which may deal rows out anew."""
+        return any(d in self.stats and d not in self.inline for d in picks)
+
     def pick(self, df: DataFrame, picks: Mapping[str, Mapping[str, str]]) -> DataFrame:
         """Add columns of the items hit by the draw columns ``d_<dimension>``.
 

@@ -176,6 +176,18 @@ _AS_FACT = ", ".join(
 )
 _CLEAN_FACT = f"with {_CLEAN} select {_AS_FACT} from clean where {_problem()} is null"
 
+_BOTH = f"with {_CLEAN}, streamed as (select {_AS_FACT} from clean where {_problem()} is null), loaded as () " + (
+    f"select {', '.join(CANONICAL)} from streamed union all select {', '.join(CANONICAL)} from loaded"
+)
+_DEFAULTS = ", ".join(
+    f"cast(coalesce({f.name}, 0) as smallint) as {f.name}"
+    if f.kind == "byte"
+    else f"coalesce({f.name}, '') as {f.name}"
+    if f.kind == "text" and not f.nullable
+    else f.name
+    for f in FIELDS
+)
+
 _QUARANTINE = (
     f"with {_CLEAN}, judged as (select event_id, {_problem('event_id % 37 = 0')} as problem "
     "from clean) select problem, case when event_id % 37 = 0 "
@@ -446,8 +458,8 @@ def _targets() -> str:
 
 
 _PLAN = (
-    f"months as (select yyyymm, (select count(*) from orders) // 12 as month_rows "
-    "from range(202501, 202513) t(yyyymm)), "
+    f"months as (select yyyymm, n // 12 + case when yyyymm - 202501 < n % 12 then 1 else 0 end as month_rows "
+    "from range(202501, 202513) t(yyyymm), (select count(*) as n from orders)), "
     f"plan as (select concat(cast(yyyymm // 100 as varchar), '-', "
     "lpad(cast(yyyymm % 100 as varchar), 2, '0')) as year_month, shard, "
     f"least({PLAN_SHARD}, month_rows - shard * {PLAN_SHARD}) as n_rows, "
@@ -522,7 +534,28 @@ def oracle_sql() -> dict[str, str]:
         "stream_ingest": _CLEAN_FACT,
         "stream_reset": _CLEAN_FACT,
         "stream_then_compact": _CLEAN_FACT,
-        "stream_then_load": _exchange(f"{month} in ('2025-01', '2025-03')"),
+        "stream_then_load": _BOTH.replace(
+            "loaded as ()", f"loaded as ({_exchange(f"{month} in ('2025-01', '2025-03')")})"
+        ),
+        "stream_repeated_pages": _CLEAN_FACT,
+        "stream_resume": _CLEAN_FACT,
+        "stream_repeated_rollup": f"with {_CLEAN}, doses as (select {_AS_FACT} from clean where {_problem()} is null) "
+        f"select {', '.join(A.keys)}, {month} as year_month, {_select(_measures(A))} from doses group by all",
+        "ingest_status": "select * from (values (1, 'failed', cast(1 as bigint), true, true), "
+        "(2, 'completed', cast(2 as bigint), cast(null as boolean), true)) "
+        "t(attempt_no, status, batches, planned, timed)",
+        "patients_exact": f"with p as (select {DOSE_EVENTS_ANSI['sigla_uf_paciente']} as sigla_uf_paciente, "
+        f"{DOSE_EVENTS_ANSI['sigla_vacina']} as sigla_vacina, l_orderkey, l_linenumber, unnest([1, 2]) as k "
+        "from lineitem) select sigla_uf_paciente, sigla_vacina, "
+        "count(distinct concat_ws('-', l_orderkey, l_linenumber, k)) as unique_patients "
+        "from p group by grouping sets ((sigla_uf_paciente, sigla_vacina), ())",
+        "catalog_months": fact + f"distinct {month} as year_month from doses",
+        "inventory": fact + f"distinct {month} as year_month, true as has_bytes from doses "
+        "union all select '2024-01', true",
+        "overwrite_month": fact + f"{all_columns} from doses where month(data_vacina) <> 2 or codigo_dose_vacina = 1",
+        "date_first_copy": fact + "data_vacina, count(*) as n, min(codigo_documento) as first_document "
+        "from doses group by all",
+        "generate_to_table": f"select {_DEFAULTS} from ({_records()})",
         "quarantine_pages": f"with {_CLEAN}, judged as (select case when event_id // 100 = 2 "
         f"then '{MALFORMED}' else coalesce({_problem()}, 'accepted') end as outcome, "
         "case when event_id // 100 = 2 then -1 else event_id end as record from clean) "

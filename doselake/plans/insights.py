@@ -23,9 +23,11 @@ from doselake.operators.rollups import (
     regroup,
 )
 from doselake.schema import MONTH
+from doselake.session import fan_in
 
 A, B = STATE_VACCINE_DATE, STATE_DEMOGRAPHICS
 STATE, VACCINE, DAY = A.keys
+SEX, RACE = B.keys[2:4]
 
 
 def narrow(
@@ -56,7 +58,10 @@ def _average_age() -> Column:
 
 def kpi_overview(rollup: DataFrame, **filters) -> DataFrame:
     """One row of totals for a filter: doses, patients, average age, sexes, doses by kind."""
-    total = narrow(rollup, **filters).agg(*merged_measures(A.counters))
+    # in two levels: tasks unite shares of the states first
+    rows = narrow(rollup, **filters).withColumn("_share", F.spark_partition_id() % fan_in(rollup.sparkSession))
+    shares = rows.groupBy("_share").agg(*merged_measures(A.counters))
+    total = shares.agg(*merged_measures(A.counters))
     zero = {c: F.coalesce(F.col(c), F.lit(0)) for c in A.counters}
     total = estimate(total).withColumns(zero)
     return total.select(
@@ -114,24 +119,38 @@ def state_vaccine_cube(rollup: DataFrame, **filters) -> DataFrame:
 
 
 def demographics(
-    rollup: DataFrame, min_age: int = 0, max_age: int = 255, states: Sequence[str] | None = None
+    rollup: DataFrame,
+    min_age: int = 0,
+    max_age: int = 255,
+    states: Sequence[str] | None = None,
+    sexes: Sequence[str] | None = None,
+    races: Sequence[str] | None = None,
+    start: date | None = None,
+    end: date | None = None,
 ) -> DataFrame:
-    """By sex and race, for an inclusive age range."""
-    rows = rollup.where(F.col("numero_idade_paciente").between(min_age, max_age))
-    if states is not None:
-        rows = rows.where(F.col(STATE).isin(list(states)))
-    keys = ["tipo_sexo_paciente", "nome_raca_cor_paciente"]
-    return estimate(regroup(rows, B, keys))
+    """By sex and race, for an inclusive age range, some states, sexes and races, and days from ``start`` to ``end``."""
+    rows = narrow(rollup, states=states, start=start, end=end)
+    rows = rows.where(F.col("numero_idade_paciente").between(min_age, max_age))
+    if sexes is not None:
+        rows = rows.where(F.col(SEX).isin(list(sexes)))
+    if races is not None:
+        rows = rows.where(F.col(RACE).isin(list(races)))
+    return estimate(regroup(rows, B, [SEX, RACE]))
 
 
 def last_days(rollup: DataFrame, days: int = 30, as_of: date | None = None) -> DataFrame:
     """Rollup rows of the ``days`` days up to ``as_of``, by default the last day present.
 
-    Given ``as_of``, the month partitions are pruned as well.
+    Month partitions are pruned, without ``as_of`` by what scalar subqueries find when the query runs: the
+    newest month, read from partition values alone, then the newest day in it.
     """
     if as_of is None:
-        # one value, computed by a scalar subquery
-        newest = rollup.agg(F.max(DAY)).scalar()
+        last = rollup
+        if MONTH in rollup.columns:
+            last = rollup.where(F.col(MONTH) == rollup.agg(F.max(MONTH)).scalar())
+        newest = last.agg(F.max(DAY)).scalar()
+        if MONTH in rollup.columns:
+            rollup = rollup.where(F.col(MONTH) >= F.date_format(F.date_sub(newest, days - 1), "yyyy-MM"))
         return rollup.where(F.col(DAY) > F.date_sub(newest, days))
     start = date.fromordinal(as_of.toordinal() - days + 1)
     return narrow(rollup, start=start, end=as_of)

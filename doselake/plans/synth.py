@@ -8,7 +8,7 @@ task is computed again with the same result.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,12 +24,22 @@ from doselake.operators.ids import (
     pooled_patient,
     postal_code,
 )
-from doselake.operators.layout import ROW_GROUP_BYTES, file_options
+from doselake.operators.cleaning import accepted, load_judge, rejected
+from doselake.operators.layout import (
+    BLOOM,
+    ROW_GROUP_BYTES,
+    SYNTH,
+    file_options,
+    put_parts,
+    read_or_none,
+    write_months,
+)
 from doselake.operators.sampling import STATE_NAME, Sampler, biased_day, month_calendar
-from doselake.schema import CANONICAL, MONTH
+from doselake.schema import CANONICAL, MONTH, WRITER
 from doselake.sources.months import as_label
 
 SHARD_ROWS = 1_500_000
+SHARD_LEDGER = f"seed bigint, {MONTH} string, shard bigint, done boolean"
 SEED = 42
 #: Sort order of a shard.
 SHARD_SORT = ("sigla_uf_paciente", "sigla_vacina", "data_vacina")
@@ -197,29 +207,36 @@ def seasonal_targets(current: DataFrame, target: int, batch_rows: int = 50_000)
 
 def shard_identities(
     spark: SparkSession,
-    months: Iterable[int | str],
-    rows_per_month: int,
+    months: Iterable[int | str] | Mapping[int | str, int],
+    rows_per_month: int | None = None,
     shard_rows: int = SHARD_ROWS,
 ) -> DataFrame:
     """Row identities ``year_month, shard, row, n_rows``, one task per shard.
 
-    The id space is padded to whole shards so that task borders are shard
-    borders; the padding of a short last shard is filtered out.
+    ``months`` says how many rows each has, or ``rows_per_month`` does for all. The id space is padded to whole
+    shards so that task borders are shard borders; the padding is filtered out.
     """
-    labels = sorted({as_label(m) for m in months})
-    per_month = -(-rows_per_month // shard_rows)
-    slots = per_month * shard_rows
-    ids = spark.range(0, len(labels) * slots, 1, max(1, len(labels) * per_month))
-    at = int_div(F.col("id"), F.lit(slots).cast("bigint"))
+    if isinstance(months, Mapping):
+        rows = {as_label(m): n for m, n in months.items() if n > 0}
+    else:
+        rows = {as_label(m): rows_per_month or 0 for m in months}
+    labels = sorted(rows)
+    per_month = -(-max(rows.values(), default=0) // shard_rows)
+    slots = max(1, per_month * shard_rows)
+    ids = spark.range(0, len(labels) * per_month * shard_rows, 1, max(1, len(labels) * per_month))
+    at = int_div(F.col("id"), F.lit(slots).cast("bigint")).cast("int")
     in_month = F.col("id") % slots
     size = F.lit(shard_rows).cast("bigint")
     shard = int_div(in_month, size)
-    return ids.where(in_month < rows_per_month).select(
-        F.get(F.array(*[F.lit(x) for x in labels]), at.cast("int")).alias(MONTH),
+    held = ids.select(
+        F.get(F.array(*[F.lit(x) for x in labels]), at).alias(MONTH),
         shard.alias("shard"),
         (in_month % size).alias("row"),
-        F.least(size, F.lit(rows_per_month).cast("bigint") - shard * size).alias("n_rows"),
+        in_month.alias("_at"),
+        F.get(F.array(*[F.lit(rows[x]).cast("bigint") for x in labels]), at).alias("_all"),
     )
+    n_rows = F.least(size, F.col("_all") - F.col("shard") * size).alias("n_rows")
+    return held.where("_at < _all").select(MONTH, "shard", "row", n_rows)
 
 
 # ---- records -------------------------------------------------------------------
@@ -257,6 +274,7 @@ def build_records(
     months: Iterable[int | str],
     seed: int = SEED,
     method: str = "xxhash64",
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """The 56 columns of a synthetic record for every row identity, in exchange types.
 
@@ -318,26 +336,97 @@ def build_records(
             for c in CANONICAL
         ],
         MONTH,
+        *keep,
     )
 
 
 def generate(
     sampler: Sampler,
-    months: Iterable[int | str],
-    rows_per_month: int,
+    months: Iterable[int | str] | Mapping[int | str, int],
+    rows_per_month: int | None = None,
     shard_rows: int = SHARD_ROWS,
     seed: int = SEED,
     method: str = "xxhash64",
 ) -> DataFrame:
-    """Synthetic records for whole months."""
-    months = list(months)
+    """Synthetic records for whole months, one task per shard.
+
+    Where weight tables had to be joined, which deals rows out anew, they are sent back to their shards.
+    """
+    months = months if isinstance(months, Mapping) else list(months)
     rows = shard_identities(sampler.spark, months, rows_per_month, shard_rows)
-    return build_records(rows, sampler, months, seed, method)
+    records = build_records(rows, sampler, months, seed, method, keep=("shard",))
+    if sampler.joins(SAMPLED):
+        labels = sorted({as_label(m) for m in months})
+        n = rows.rdd.getNumPartitions()
+        per_month = max(1, n // max(1, len(labels)))
+        place = F.array_position(F.array(*[F.lit(x) for x in labels]), F.col(MONTH)) - 1
+        records = records.repartitionById(n, (place * per_month + F.col("shard")).cast("int"))
+    return records.drop("shard")
 
 
-def rows_per_month(total: int, months: Sequence) -> int:
-    """Equal share of each month; a remainder is left out."""
-    return total // len(months)
+def rows_of_months(total: int, months: Sequence[int | str]) -> dict[int | str, int]:
+    """Equal shares of ``total``; the first months get one row more until none is left over."""
+    each, over = divmod(total, len(months))
+    return {m: each + (k < over) for k, m in enumerate(months)}
+
+
+def generate_to_table(
+    rows: DataFrame,
+    sampler: Sampler,
+    months: Iterable[int | str],
+    fact_root: str,
+    ledger_root: str,
+    seed: int = SEED,
+    method: str = "xxhash64",
+    reject_root: str | None = None,
+) -> None:
+    """Synthetic records of row identities ``rows`` into the fact table, every shard once.
+
+    The ledger lists finished shards by seed, month and shard: a second run makes only those it lacks. A shard is a
+    part of its own in the table, so one whose run ended before the ledger was written replaces itself, also
+    after compaction has moved it. Rows pass the gate of the table: what it can't hold is set
+    aside by shard, or stops the run if there is nowhere to put it.
+    """
+    spark = rows.sparkSession
+    name = F.concat_ws(".", F.lit(SYNTH), F.lit(str(seed)), F.col("shard"))
+    ended = read_or_none(spark, SHARD_LEDGER, ledger_root).where(F.col("seed") == seed)
+    begun, ended = ended.where("not done"), ended.where("done")
+    plan = rows.select(MONTH, "shard").distinct()
+    todo = plan.join(ended, [MONTH, "shard"], "left_anti").join(
+        begun.select(MONTH, "shard", F.lit(True).alias("begun")).distinct(), [MONTH, "shard"], "left"
+    )
+    # one row per shard
+    todo = [(r[MONTH], r["shard"], bool(r["begun"])) for r in todo.collect()]
+    if not todo:
+        return
+
+    def note(done: bool) -> None:
+        entries = [(seed, m, s, done) for m, s, _ in todo]
+        spark.createDataFrame(entries, SHARD_LEDGER).coalesce(1).write.mode("append").parquet(ledger_root)
+
+    wanted = spark.createDataFrame([(m, s) for m, s, _ in todo], f"{MONTH} string, shard bigint")
+    mine = rows.join(F.broadcast(wanted), [MONTH, "shard"], "left_semi")
+    judged = load_judge(build_records(mine, sampler, months, seed, method, keep=("shard",)))
+    bad = rejected(judged, keep=(MONTH, "shard"))
+    if reject_root is not None:
+        (
+            bad.withColumn(WRITER, name)
+            .drop("shard")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(MONTH, WRITER)
+            .parquet(reject_root)
+        )
+    elif not bad.isEmpty():
+        raise ValueError("rows the fact table cannot hold; give reject_root to set them aside")
+    note(done=False)
+    made = accepted(judged, keep=(MONTH, "shard")).withColumn(WRITER, name).drop("shard")
+    again = sorted({f"{SYNTH}.{seed}.{s}" for _, s, known in todo if known})
+    if again:
+        put_parts(spark, made.where(F.col(WRITER).isin(again)), fact_root, again)
+        made = made.where(~F.col(WRITER).isin(again))
+    write_months(made.drop(MONTH), fact_root, bloom=BLOOM, writer=F.col(WRITER))
+    note(done=True)
 
 
 def write_shards(
@@ -347,10 +436,10 @@ def write_shards(
     row_group_bytes: int = ROW_GROUP_BYTES,
     mode: str = "overwrite",
 ) -> None:
-    """Write each task's shard as sorted files of its month, without a shuffle.
+    """Write each task's shard as sorted files of its month, in exchange types, without a shuffle.
 
     ``overwrite`` replaces the months written. ``append`` adds to them, next to
-    files that came from elsewhere.
+    files that came from elsewhere. For the fact table there is ``generate_to_table``.
     """
     (
         records.sortWithinPartitions(MONTH, *SHARD_SORT)

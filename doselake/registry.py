@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from doselake.adapters import (
@@ -20,13 +22,14 @@ from doselake.functions.calendar import label_of, month_label, split_yyyymm, yyy
 from doselake.functions.convert import date_prefix, dose_digits, small_int, whole_number
 from doselake.functions.draws import digest, digit
 from doselake.functions.text import optional_text, required_text
-from doselake.operators import cleaning, ids, layout, lookup, profile, rollups, sampling
+from doselake.operators import cleaning, ids, layout, lookup, patients, profile, rollups, sampling
 from doselake.operators.rollups import STATE_DEMOGRAPHICS as B
 from doselake.operators.rollups import STATE_VACCINE_DATE as A
 from doselake.plans import insights, load, synth
-from doselake.schema import CANONICAL, FIELDS, MONTH
+from doselake.schema import CANONICAL, ENVELOPE_KEY, FACT_SCHEMA, FIELDS, MONTH, PAGE_SCHEMA
 from doselake.session import work_dir
 from doselake.sources import legacy, months, pages
+from doselake.streaming import progress
 from doselake.streaming.ingest import IngestSink, start_ingest, start_live_rollups
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -120,14 +123,41 @@ def rollup_refresh_months(spark, sf_dir):
 
 @query
 def rollup_refresh_live(spark, sf_dir):
-    """Partial rollups of a stream of fact files folded into the stored rollup."""
-    root, src = work_dir(spark, "live-fold"), _fact(spark, sf_dir)
-    stream = spark.readStream.schema(spark.read.parquet(src).schema).parquet(src)
-    start_live_rollups(spark, stream, f"{root}/partials", f"{root}/checkpoint").awaitTermination()
-    load.refresh(spark, f"{root}/partials", f"{root}/rollups", mode="live")
+    """Fact rows that come in two parts: after each, its partial rollups are folded into the stored ones."""
+    root = work_dir(spark, "live-fold")
+    rows = dose_events(spark, sf_dir, keep=("l_orderkey",))
+    for k in (0, 1):
+        rows.where(F.col("l_orderkey") % 2 == k).drop("l_orderkey").write.mode("append").parquet(f"{root}/src")
+        stream = spark.readStream.schema(FACT_SCHEMA).parquet(f"{root}/src")
+        start_live_rollups(spark, stream, f"{root}/partials", f"{root}/checkpoint").awaitTermination()
+        load.fold(spark, f"{root}/partials", f"{root}/rollups", f"{root}/folds", retire=True)
+    load.fold(spark, f"{root}/partials", f"{root}/rollups", f"{root}/folds")
     return rollups.estimate(load.read_rollup(spark, f"{root}/rollups", A))
 
 
+@query
+def patients_exact(spark, sf_dir):
+    """Two patients for every row: states of four blocks, two of them numbered later, merged per state and vaccine."""
+    root = work_dir(spark, "patients")
+    rows = dose_events(spark, sf_dir, keep=("l_orderkey", "l_linenumber"))
+    rows = rows.withColumn("k", F.explode(F.array(F.lit(1), F.lit(2))))
+    who = F.concat_ws("-", *(F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "k")))
+    rows = rows.withColumn(patients.PATIENT, who).withColumn("block", F.col("l_orderkey") % 4)
+    keys = ["sigla_uf_paciente", "sigla_vacina"]
+    early, late = rows.where("block < 2"), rows.where("block >= 2")
+    patients.number_patients(early).write.parquet(f"{root}/numbers")
+    known = spark.read.schema(patients.NUMBERS).parquet(f"{root}/numbers")
+    patients.number_patients(late, known).write.mode("append").parquet(f"{root}/more")
+    numbers = known.unionByName(spark.read.schema(patients.NUMBERS).parquet(f"{root}/more"))
+    for part in (early, late):
+        patients.patient_states(part, numbers, ["block", *keys]).write.mode("append").parquet(f"{root}/states")
+    states = spark.read.parquet(f"{root}/states")
+    whole = [F.lit(None).cast("string").alias(k) for k in keys]
+    return patients.count_patients(states, keys).unionAll(
+        patients.count_patients(states, []).select(*whole, "unique_patients")
+    )
+
+
 def _stored_rollup(spark: SparkSession, sf_dir: str, spec: rollups.Rollup = A) -> DataFrame:
     """The rollup as the dashboard finds it: built and stored before."""
     path = _once(
@@ -363,7 +393,7 @@ def _streamed(spark: SparkSession, src: str, root: str, partials: str | None = N
 
 
 def _promoted(spark: SparkSession, root: str) -> None:
-    layout.promote(spark, f"{root}/staged", f"{root}/fact", f"{root}/ledger")
+    load.promote(spark, f"{root}/staged", f"{root}/fact", f"{root}/ledger")
 
 
 @query
@@ -395,14 +425,98 @@ def stream_then_compact(spark, sf_dir):
 
 @query
 def stream_then_load(spark, sf_dir):
-    """Streamed months replaced by a load of exchange files, which a later promotion leaves alone."""
+    """Streamed pages and loaded exchange files in the same months, each brought in twice: all rows, each once."""
     root = work_dir(spark, "stream-load")
-    layout.write_months(dose_events(spark, sf_dir).limit(0), f"{root}/fact")
+    _streamed(spark, _landed(spark, sf_dir), root)
+    for _ in range(2):
+        _promoted(spark, root)
+        layout.load_months(spark, _exchange(spark, sf_dir), f"{root}/fact", [202501, 202503])
+    return months.read_months(spark, f"{root}/fact").select(*CANONICAL)
+
+
+def _landed_twice(spark: SparkSession, sf_dir: str, root: str, partials: str | None) -> None:
+    """Pages that land in two runs: every third is cut to 60 records first and whole later, every fifth twice the same."""
+    lines = spark.read.text(_landed(spark, sf_dir))
+    page = F.from_json("value", PAGE_SCHEMA)
+    short = page.withField(ENVELOPE_KEY, F.slice(page[ENVELOPE_KEY], 1, 60))
+    number = page["offset"]
+    early = F.when(number % 3 == 0, F.to_json(short, {"ignoreNullFields": "false"})).otherwise(F.col("value"))
+    for rows in (
+        lines.where(number % 7 > 0).select(early.alias("value")),
+        lines.where((number % 7 == 0) | (number % 3 == 0) | (number % 5 == 0)).select("value"),
+    ):
+        rows.write.mode("append").text(f"{root}/src")
+        _streamed(spark, f"{root}/src", root, partials)
+        _promoted(spark, root)
+        if partials:
+            load.fold(spark, partials, f"{root}/rollups", f"{root}/folds", f"{root}/staged")
+
+
+@query
+def stream_repeated_pages(spark, sf_dir):
+    """Pages landed twice in a stream count once, the larger landing, also where the other is in the table already."""
+    root = work_dir(spark, "repeated")
+    _landed_twice(spark, sf_dir, root, None)
+    return months.read_months(spark, f"{root}/fact").select(*CANONICAL)
+
+
+@query
+def stream_repeated_rollup(spark, sf_dir):
+    """The live rollup of the same, folded after each run."""
+    root = work_dir(spark, "repeated-live")
+    _landed_twice(spark, sf_dir, root, f"{root}/partials")
+    return rollups.estimate(load.read_rollup(spark, f"{root}/rollups", A))
+
+
+@query
+def stream_resume(spark, sf_dir):
+    """A stream that fails in its second batch and is started again: no page lost, none taken twice."""
+    root = work_dir(spark, "resume")
+    _failing(spark, _landed(spark, sf_dir), root)
     _streamed(spark, _landed(spark, sf_dir), root)
     _promoted(spark, root)
-    layout.load_months(spark, _exchange(spark, sf_dir), f"{root}/fact", [202501, 202503])
-    _promoted(spark, root)
-    return months.read_months(spark, f"{root}/fact", [202501, 202503]).select(*CANONICAL)
+    return months.read_months(spark, f"{root}/fact").select(*CANONICAL)
+
+
+def _failing(spark: SparkSession, src: str, root: str):
+    """A stream of one file a batch that fails after it has staged its second."""
+    sink = IngestSink(f"{root}/staged", f"{root}/rejects")
+
+    class Broken(IngestSink):
+        def __call__(self, envelopes, batch_id, run=None):
+            sink(envelopes, batch_id, run)
+            if batch_id == 1:
+                raise RuntimeError("planned failure")
+
+    broken = Broken(f"{root}/staged", f"{root}/rejects")
+    stream = start_ingest(spark, src, broken, f"{root}/one", files_per_batch=1)
+    try:
+        stream.awaitTermination()
+    except StreamingQueryException:
+        pass
+    return stream
+
+
+@query
+def ingest_status(spark, sf_dir):
+    """What the log says of a stream that fails, and of its next start: status, batches, pages, error."""
+    root = work_dir(spark, "status")
+    spark.read.text(_landed(spark, sf_dir)).repartition(3).write.text(f"{root}/src")
+    log = progress.ProgressLog(spark, f"{root}/status")
+    spark.streams.addListener(log)
+    try:
+        log.wait(_failing(spark, f"{root}/src", root))
+        sink = IngestSink(f"{root}/staged", f"{root}/rejects")
+        stream = start_ingest(spark, f"{root}/src", sink, f"{root}/one", files_per_batch=1)
+        stream.awaitTermination()
+        log.wait(stream)
+    finally:
+        spark.streams.removeListener(log)
+    rows = progress.ingest_status(spark, f"{root}/status")
+    attempt = F.row_number().over(Window.partitionBy("run").orderBy("started")).alias("attempt_no")
+    planned = F.contains("error_message", F.lit("planned failure"))
+    timed = F.col("started") <= F.col("updated")
+    return rows.select(attempt, "status", "batches", planned.alias("planned"), timed.alias("timed"))
 
 
 @query
@@ -425,7 +539,10 @@ def stream_rollup_a(spark, sf_dir):
 
 def _fact(spark: SparkSession, sf_dir: str) -> str:
     return _once(
-        spark, sf_dir, "fact", lambda path: layout.write_months(dose_events(spark, sf_dir), path)
+        spark,
+        sf_dir,
+        "fact",
+        lambda path: layout.write_months(dose_events(spark, sf_dir), path, writer=layout.LOAD),
     )
 
 
@@ -440,6 +557,51 @@ def discover_months(spark, sf_dir):
     return months.discover_months(spark, _fact(spark, sf_dir))
 
 
+@query
+def catalog_months(spark, sf_dir):
+    """Months as the catalog lists them for the fact table."""
+    name = "fact_" + uuid.uuid4().hex
+    layout.register_parts(spark, name, _fact(spark, sf_dir))
+    try:
+        rows = months.catalog_months(spark, name).collect()
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+    return spark.createDataFrame(rows, f"{MONTH} string")
+
+
+@query
+def inventory(spark, sf_dir):
+    """Files of a table with one file a month, and one file without rows."""
+    root = work_dir(spark, "inventory")
+    rows = dose_events(spark, sf_dir)
+    layout.write_months(rows, root, spread=(), row_group_bytes=1 << 30)
+    rows.limit(0).coalesce(1).write.parquet(f"{root}/{MONTH}=2024-01")
+    files = months.inventory(spark, root)
+    month = F.regexp_extract("path", f"{MONTH}=([^/]*)", 1).alias(MONTH)
+    return files.select(month, (F.col("bytes") > 0).alias("has_bytes")).distinct()
+
+
+@query
+def overwrite_month(spark, sf_dir):
+    """One month replaced by fewer rows, then a batch without rows: the other months stay."""
+    root = work_dir(spark, "overwrite")
+    rows = dose_events(spark, sf_dir)
+    layout.write_months(rows, root, writer=layout.LOAD)
+    fewer = rows.where("month(data_vacina) = 2 and codigo_dose_vacina = 1")
+    layout.write_months(fewer, root, writer=layout.LOAD)
+    layout.write_months(rows.limit(0), root, writer=layout.LOAD)
+    return months.read_months(spark, root).select(*CANONICAL)
+
+
+@query
+def date_first_copy(spark, sf_dir):
+    """The copy in date order: rows and days of every file are as the order says."""
+    root = work_dir(spark, "by-date")
+    layout.compact_months(spark, _fact(spark, sf_dir), sort=layout.BY_DATE, out_root=root)
+    rows = months.read_months(spark, root)
+    return rows.groupBy("data_vacina").agg(F.count("*").alias("n"), F.min("codigo_documento").alias("first_document"))
+
+
 @query
 def count_records(spark, sf_dir):
     return months.count_records(dose_events(spark, sf_dir))
@@ -621,11 +783,30 @@ def synth_events(spark, sf_dir):
     return records.select(*CANONICAL)
 
 
+@query
+def generate_to_table(spark, sf_dir):
+    """Generated shards in the fact table: made twice, compacted, and made again as if the last run had not ended."""
+    root = work_dir(spark, "generated")
+    rows, sampler = order_rows(spark, sf_dir), _sampler(spark, sf_dir)
+
+    def run(ledger: str) -> None:
+        synth.generate_to_table(rows, sampler, GENERATED_MONTHS, f"{root}/fact", f"{root}/{ledger}", method="md5")
+
+    run("ledger")
+    run("ledger")
+    layout.compact_months(spark, f"{root}/fact", ["2025-02"])
+    begun = spark.read.schema(synth.SHARD_LEDGER).parquet(f"{root}/ledger").where("not done or shard > 0")
+    begun.write.parquet(f"{root}/cut-ledger")
+    run("cut-ledger")
+    return months.read_months(spark, f"{root}/fact").select(*CANONICAL)
+
+
 def _plan_months(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The order count shared over the twelve months of 2025."""
+    """The order count shared over the twelve months of 2025; what is left over goes to the first months."""
     total = table(spark, sf_dir, "orders").agg(F.count(F.lit(1)).alias("n"))
-    each = F.expr("n div 12").alias("month_rows")
-    return total.select(each, F.explode(F.sequence(F.lit(202501), F.lit(202512))).alias("yyyymm"))
+    plan = total.select("n", F.explode(F.sequence(F.lit(202501), F.lit(202512))).alias("yyyymm"))
+    more = F.expr("if(yyyymm - 202501 < n % 12, 1, 0)")
+    return plan.select((F.expr("n div 12") + more).alias("month_rows"), "yyyymm")
 
 
 @query

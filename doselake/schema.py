@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MONTH = "year_month"
+#: Second partition key of the fact table: who wrote the rows.
+WRITER = "writer"
 ENVELOPE_KEY = "doses_aplicadas_pni"
 SURROGATE = "Unnamed: 0"
 

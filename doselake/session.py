@@ -49,6 +49,12 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store it lies in; a missing one is fine."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def fan_in(spark: SparkSession) -> int:
     """Number of salts that splits a hot group's merge into two even levels."""
     return max(2, math.isqrt(int(spark.conf.get("spark.sql.shuffle.partitions"))))

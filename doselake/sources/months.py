@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from doselake.functions.calendar import month_label, yyyymm
-from doselake.schema import EXCHANGE_SCHEMA, FACT_SCHEMA, MONTH
+from doselake.schema import EXCHANGE_SCHEMA, FACT_SCHEMA, MONTH, WRITER
 
 
 def _with_month(schema: T.StructType) -> T.StructType:
@@ -39,8 +39,15 @@ def read_months(
     read as null, and no file footer is opened for planning.
     """
     df = spark.read.schema(_with_month(schema)).parquet(root)
-    # a live table has batches below its months
+    # the fact table has writers below its months, a live table batches
     df = df.drop(*set(df.columns).difference(schema.names, [MONTH]))
+    return in_months(df, months, start, end)
+
+
+def in_months(
+    df: DataFrame, months: Iterable[int | str] | None = None, start: date | None = None, end: date | None = None
+) -> DataFrame:
+    """Rows of some months, of the days from ``start`` to ``end``."""
     if months is not None:
         df = df.where(F.col(MONTH).isin([as_label(m) for m in months]))
     if start is not None:
@@ -55,12 +62,26 @@ def read_exchange(spark: SparkSession, root: str, months=None) -> DataFrame:
     return read_months(spark, root, months, schema=EXCHANGE_SCHEMA)
 
 
+def read_parts(
+    spark: SparkSession, root: str, schema: T.StructType = FACT_SCHEMA, months: Iterable[int | str] | None = None
+) -> DataFrame:
+    """Scan month partitions together with who wrote the rows."""
+    keys = [T.StructField(MONTH, T.StringType()), T.StructField(WRITER, T.StringType())]
+    return in_months(spark.read.schema(T.StructType(schema.fields + keys)).parquet(root), months)
+
+
 def discover_months(spark: SparkSession, root: str) -> DataFrame:
-    """The month labels present, sorted."""
+    """The month labels present, sorted. Scans files; ``catalog_months`` does not."""
     found = spark.read.schema(_with_month(FACT_SCHEMA)).parquet(root)
     return found.select(MONTH).distinct().orderBy(MONTH)
 
 
+def catalog_months(spark: SparkSession, name: str) -> DataFrame:
+    """The month labels whose partitions the catalog lists for a table, sorted. Opens no file."""
+    month = F.regexp_extract("partition", f"{MONTH}=([^/]*)", 1).alias(MONTH)
+    return spark.sql(f"SHOW PARTITIONS {name}").select(month).distinct().orderBy(MONTH)
+
+
 def count_records(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n"))
 
@@ -77,11 +98,11 @@ def misplaced(df: DataFrame) -> DataFrame:
     return df.where(~actual.eqNullSafe(F.col(MONTH)))
 
 
-def inventory(df: DataFrame) -> DataFrame:
-    """One row per data file behind a scan: path, bytes."""
-    return df.select(
-        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("bytes")
-    ).distinct()
+def inventory(spark: SparkSession, root: str) -> DataFrame:
+    """One row per data file below a folder: path, bytes. From the listing; no file is read, files without rows count."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    files = files.option("pathGlobFilter", "*.parquet").load(root)
+    return files.select("path", F.col("length").alias("bytes"))
 
 
 def inventory_totals(files: DataFrame) -> DataFrame:

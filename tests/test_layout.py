@@ -16,7 +16,7 @@ from doselake.sources import months
 
 
 def files(root, month="*"):
-    return sorted(glob.glob(f"{root}/year_month={month}/*.parquet"))
+    return sorted(glob.glob(f"{root}/year_month={month}/**/*.parquet", recursive=True))
 
 
 def copies(df, n):
@@ -189,7 +189,7 @@ def test_load_is_repeatable_and_rejects_bad_rows(spark, fact, tmp_path):
 
 def test_month_of_bad_rows_ends_up_empty_and_rejects_stay_by_month(spark, fact, tmp_path):
     src, dst, bad = str(tmp_path / "x"), str(tmp_path / "f"), str(tmp_path / "bad")
-    layout.write_months(fact, dst)
+    layout.write_months(fact, dst, writer=layout.LOAD)
     january = fact.where(F.month("data_vacina") == 1)
     layout.write_months(january.withColumn("numero_idade_paciente", F.lit(300)), src)
     layout.load_months(spark, src, dst, reject_root=bad)
@@ -250,22 +250,32 @@ def test_catalog_table(spark, fact, tmp_path):
     layout.create_fact_table(spark, "doses_t", str(tmp_path / "t"))
     assert layout.table_exists(spark, "doses_t")
     got = spark.table("doses_t")
-    assert got.columns == [*CANONICAL, "year_month"]
+    assert got.columns == [*CANONICAL, "year_month", "writer"]
     assert [f.dataType for f in got.schema][:56] == [f.dataType for f in FACT_SCHEMA]
-    layout.write_months(fact, str(tmp_path / "t"))
-    spark.sql("MSCK REPAIR TABLE doses_t")
+    layout.write_months(fact, str(tmp_path / "t"), writer=layout.LOAD)
+    layout.register_parts(spark, "doses_t", str(tmp_path / "t"))
     assert spark.table("doses_t").count() == fact.count()
+    listed = months.catalog_months(spark, "doses_t")
+    assert [r[0] for r in listed.collect()] == ["2025-01", "2025-02", "2025-03"]
+    assert "Scan parquet" not in plan(listed)
     spark.sql("DROP TABLE doses_t")
 
 
 def test_inventory(spark, stored):
-    listed = months.inventory(months.read_months(spark, stored))
+    listed = months.inventory(spark, stored)
+    assert "content" not in plan(listed)
     totals = months.inventory_totals(listed).first()
     assert (totals["files"], totals["bytes"]) == (3, sum(os.path.getsize(f) for f in files(stored)))
     assert [r["path"][-8:] for r in months.inventory_sample(listed, 2).collect()]
     assert months.inventory_sample(listed, 2).count() == 2
 
 
+def test_inventory_lists_files_without_rows(spark, fact, tmp_path):
+    fact.limit(0).coalesce(1).write.parquet(str(tmp_path / "year_month=2025-01"))
+    files_ = months.inventory(spark, str(tmp_path))
+    assert [r["bytes"] > 0 for r in files_.collect()] == [True]
+
+
 def test_real_and_synthetic_files_share_a_month(spark, fact, tmp_path):
     layout.write_months(fact, str(tmp_path), spread=())
     extra = fact.where(F.month("data_vacina") == 1)

@@ -7,7 +7,7 @@ import pytest
 from helpers import plan, rows
 from pyspark.sql import functions as F
 
-from doselake.operators import rollups
+from doselake.operators import patients, rollups
 from doselake.operators.rollups import STATE_DEMOGRAPHICS as B
 from doselake.operators.rollups import STATE_VACCINE_DATE as A
 from doselake.plans import insights, load
@@ -151,3 +151,79 @@ def test_filters(fact):
     )
     assert got["total_doses"] == want.count()
     assert got["unique_patients"] == want.select("codigo_paciente").distinct().count()
+
+
+def scans(df):
+    """Places where a plan reads the fact rows."""
+    return plan(df).count("Scan parquet") or plan(df).count("FileScan")
+
+
+def test_all_rollups_from_one_scan(spark, fact, tmp_path, monkeypatch):
+    root = str(tmp_path / "fact")
+    fact.withColumn("numero_idade_paciente", F.when(F.col("codigo_dose_vacina") > 1, F.col("numero_idade_paciente"))).write.parquet(root)
+    seen = []
+    monkeypatch.setattr(rollups, "fan_in", lambda spark: seen.append(1) or 3)
+    read = spark.read.schema(FACT_SCHEMA).parquet(root)
+    built = rollups.build_all(read, [A, B], str(tmp_path / "states"))
+    assert len(seen) == 1
+    for spec, got in zip((A, B), built, strict=True):
+        assert rows(rollups.estimate(got)) == rows(rollups.estimate(rollups.build(read, spec)))
+        # what is read is the states
+        assert "states" in plan(got) and root not in plan(got).replace(str(tmp_path / "states"), "")
+
+
+def test_patient_without_code_counts(spark):
+    df = facts(spark, [("SP", "V", "", "F", 20, 1, 1), ("SP", "V", "a", "F", 20, 1, 1)])
+    assert rollups.estimate(rollups.build(df, A)).first()["unique_patients"] == 2
+
+
+def test_stored_months_go_when_they_lose_their_rows(spark, fact, tmp_path):
+    path = str(tmp_path / "r")
+    rollups.store(rollups.build(fact, A), A, path)
+    rollups.store(rollups.build(fact.where(F.month("data_vacina") == 2), A), A, path)
+    assert rollups.stored_months(spark, path) == {"2025-02"}
+
+
+def test_exact_patients_merge_and_take_new_numbers(spark, tmp_path):
+    def some(low, high, key):
+        return spark.range(low, high).select(F.concat(F.lit("p"), "id").alias("codigo_paciente"), F.lit(key).alias("k"))
+
+    def numbered(rows_, known, name):
+        patients.number_patients(rows_, known).write.parquet(str(tmp_path / name))
+        return spark.read.schema(patients.NUMBERS).parquet(str(tmp_path / name))
+
+    one, two = some(0, 70_000, "a"), some(60_000, 140_000, "b")
+    known = numbered(one, None, "one")
+    numbers = known.unionByName(numbered(two, known, "two"))
+    assert numbers.select(patients.NUMBER).distinct().count() == numbers.count() == 140_000
+    states = patients.patient_states(one.unionAll(two).unionAll(one), numbers, ["k"])
+    by_key = {r["k"]: r["unique_patients"] for r in patients.count_patients(states, ["k"]).collect()}
+    assert by_key == {"a": 70_000, "b": 80_000}
+    assert patients.count_patients(states, []).first()[0] == 140_000
+    nobody = spark.createDataFrame([(None, "a")], "codigo_paciente string, k string")
+    assert patients.count_patients(patients.patient_states(nobody, numbers, ["k"]), []).first()[0] == 0
+
+
+def test_last_days_prune_months_at_run_time(spark, tmp_path):
+    path = str(tmp_path / "r")
+    days = [date(2025, m, 15) for m in range(1, 7)] + [date(2025, 6, 30)]
+    df = facts(spark, [("SP", "V", "a", "F", 20, 1, 1)]).drop("data_vacina")
+    df = df.crossJoin(spark.createDataFrame([(d,) for d in days], "data_vacina date"))
+    rollups.store(rollups.build(to_schema(df, FACT_SCHEMA), A), A, path)
+    got = insights.last_days(spark.read.parquet(path), 30)
+    assert sorted(r["data_vacina"] for r in got.collect()) == days[-2:]
+    filters = [x for x in plan(got).splitlines() if "PartitionFilters" in x]
+    assert any("year_month" in x and "ubquery" in x for x in filters)
+    read = {r[0].split("year_month=")[1][:7] for r in got.select("_metadata.file_path").distinct().collect()}
+    assert read == {"2025-06"}
+
+
+def test_demographics_filters(spark):
+    df = facts(spark, [("SP", "V", "a", "F", 20, 1, 1), ("SP", "V", "b", "M", 20, 1, 2), ("RJ", "V", "c", "F", 40, 1, 3)])
+    rollup = rollups.build(df, B)
+
+    def total(**filters):
+        return sum(r["total_doses"] for r in insights.demographics(rollup, **filters).collect())
+
+    assert total() == 3 and total(sexes=["F"]) == 2 and total(states=["RJ"]) == 1 and total(races=["x"]) == 0
+    assert total(start=date(2025, 1, 2)) == 2 and total(end=date(2025, 1, 2), sexes=["M"]) == 1

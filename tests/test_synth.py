@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 from doselake.functions import draws
 from doselake.operators import ids, profile, sampling
+from doselake.operators import layout
 from doselake.plans import synth
+from doselake.sources import months
 from doselake.schema import CANONICAL
 from doselake.session import work_dir
 from doselake.sources.months import read_months
@@ -224,8 +226,65 @@ def test_shard_plan(spark):
     assert tuple(synth.plan_totals(synth.shard_plan(months, 4)).first()) == (4, 14)
 
 
-def test_rows_per_month_drops_the_remainder():
-    assert synth.rows_per_month(10**9, range(12)) * 12 == 999_999_996
+def test_rows_of_months_leave_nothing_out(spark):
+    shares = synth.rows_of_months(10**9, list(range(202501, 202513)))
+    assert sum(shares.values()) == 10**9 and list(shares.values()) == [83_333_334] * 4 + [83_333_333] * 8
+    rows_ = synth.shard_identities(spark, synth.rows_of_months(11, [202501, 202502, 202503]), shard_rows=3)
+    got = sorted(tuple(r) for r in rows_.groupBy("year_month", "shard", "n_rows").count().collect())
+    assert got == [
+        ("2025-01", 0, 3, 3), ("2025-01", 1, 1, 1), ("2025-02", 0, 3, 3), ("2025-02", 1, 1, 1), ("2025-03", 0, 3, 3),
+    ]
+    assert synth.shard_identities(spark, {}, shard_rows=3).count() == 0
+
+
+def test_one_file_per_shard_whatever_the_join(spark, fact, tmp_path):
+    weights = profile.frequency_profile(fact)
+    got = []
+    for inline in (sampling.INLINE_ROWS, 0):
+        sampler = sampling.Sampler.prepare(weights, str(tmp_path / f"w{inline}"), inline)
+        root = str(tmp_path / f"out{inline}")
+        assert sampler.joins(synth.SAMPLED) == (inline == 0)
+        records = synth.generate(sampler, {202501: 25, 202502: 14}, shard_rows=10)
+        synth.write_shards(records, root)
+        files = spark.read.parquet(root).groupBy(F.input_file_name().alias("f"))
+        got.append(sorted(r["n"] for r in files.agg(F.count("*").alias("n")).collect()))
+        assert len(got[-1]) == 5
+    assert got[0] == got[1] == [4, 5, 10, 10, 10]
+
+
+def test_generation_resumes_by_shard(spark, fact, tmp_path):
+    sampler = sampling.Sampler.prepare(profile.frequency_profile(fact), str(tmp_path / "w"))
+    root, ledger = str(tmp_path / "t"), str(tmp_path / "l")
+    layout.write_months(fact, root, writer=layout.LOAD)
+    for n in (10, 10, 25):
+        rows_ = synth.shard_identities(spark, {202501: n}, shard_rows=10)
+        synth.generate_to_table(rows_, sampler, [202501], root, ledger)
+
+    def made():
+        table = months.read_months(spark, root)
+        ids = table.where("codigo_documento like '%-i0b0'").select("codigo_documento")
+        assert table.count() == fact.count() + ids.count()
+        return ids.count(), ids.distinct().count()
+
+    assert made() == (25, 25)
+    entries = spark.read.parquet(ledger)
+    assert entries.where("done").count() == 3
+    # a run that wrote, was compacted, and did not end
+    layout.compact_months(spark, root, [202501])
+    entries.where("not done").write.parquet(str(tmp_path / "cut"))
+    synth.generate_to_table(rows_, sampler, [202501], root, str(tmp_path / "cut"))
+    assert made() == (25, 25)
+    # what the table can't hold
+    bad = weights_without_dose(fact)
+    sampler = sampling.Sampler.prepare(bad, str(tmp_path / "v"))
+    with pytest.raises(ValueError):
+        synth.generate_to_table(rows_, sampler, [202501], root, ledger, seed=7)
+    synth.generate_to_table(rows_, sampler, [202501], root, ledger, seed=7, reject_root=str(tmp_path / "bad"))
+    assert spark.read.parquet(str(tmp_path / "bad")).count() == 25
+
+
+def weights_without_dose(fact):
+    return profile.frequency_profile(fact.withColumn("numero_idade_paciente", F.lit(300)))
 
 
 def test_shards_beyond_a_thousand_do_not_repeat_the_next_month(spark):
