@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import functools
+import inspect
 import mmap
 import tempfile
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -138,6 +141,32 @@ def numbered(df: DataFrame) -> DataFrame:
     return df.toDF(*(f"c{k}" for k in range(len(df.columns))))
 
 
+def shielded(*columns: str, made: tuple[str, ...] = ()) -> Callable:
+    """Lets an operator see its table's columns by place, so that names it uses itself can't clash with the user's.
+
+    ``columns`` are its parameters that name columns. Columns it adds, ``made``, replace the user's of the same name.
+    """
+
+    def wrap(operator):
+        signature = inspect.signature(operator)
+
+        @functools.wraps(operator)
+        def run(docs: DataFrame, *args, **kwargs):
+            bound = signature.bind(docs, *args, **kwargs)
+            bound.apply_defaults()
+            places = {name: f"c{k}" for k, name in enumerate(docs.columns)}
+            bound.arguments |= {c: places[bound.arguments[c]] for c in columns}
+            bound.arguments[next(iter(signature.parameters))] = numbered(docs)
+            out = operator(*bound.args, **bound.kwargs)
+            names = {place: name for name, place in places.items() if name.lower() not in made}
+            kept = [c for c in out.columns if c in names or c not in places.values()]
+            return out.select(*(F.col(c).alias(names.get(c, c)) for c in kept))
+
+        return run
+
+    return wrap
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -23,7 +23,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from doselake.llm.common import stored
+from doselake.llm.common import shielded, stored
 
 WINDOW = 10
 #: Windows searched for at once: bounds what is broadcast (some hundred bytes each).
@@ -190,12 +190,11 @@ def find_contamination(
     return docs, hits.join(ids, DOC)
 
 
+@shielded("doc_id", "text", made=("n_words", "n_hit", "n_items", "item_ids", "contaminated"))
 def decontaminate(
     docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", **names
 ) -> DataFrame:
     """``docs`` with n_words, n_hit, n_items, item_ids (sorted as strings) and contaminated."""
-    made = {"n_words", "n_hit", "n_items", "item_ids", "contaminated"}
-    docs = docs.drop(*[c for c in docs.columns if c.lower() in made])
     rows, hits = find_contamination(docs, items, doc_id, text, **names)
     rows = rows.select(*DOC, *docs.columns, n_words(raw_words(text)).alias("n_words"))
     out = rows.join(hits, DOC, "left")

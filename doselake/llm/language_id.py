@@ -11,8 +11,9 @@ of expectation maximisation over the distinct words: a forward and a backward pa
 how often each piece is expected to occur, tasks add these up per language and piece.
 Models have (languages x pieces) numbers, whatever the size of the corpus.
 
-Texts are lower-cased; words are runs of letters and marks, scored in stretches of
-``STRETCH`` letters if longer. Null texts and texts without a letter are ``und`` with score
+Texts are lower-cased; words are runs of letters and marks, of any length. Where probabilities of a word become too
+small for plain numbers, because it is long or has many letters outside the vocabulary, the passes run over
+their logarithms. Null texts and texts without a letter are ``und`` with score
 0, as is everything if there is nothing to learn from. Ties go to the first language in
 alphabetical order. Repeated rows are judged alike. Training rows with a null text or null
 language are left out. Other columns pass through; ``lang_pred`` and ``score`` are replaced.
@@ -30,11 +31,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from doselake.llm.common import stored
+from doselake.llm.common import shielded, stored
 
 WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
-#: Letters of the longest piece, letters scored at a stretch, first letter of a word's first piece.
-PIECE, STRETCH, HEAD = 12, 40, "▁"
+#: Letters of the longest piece, first letter of a word's first piece.
+PIECE, HEAD = 12, "▁"
+#: Words of more letters, or of a smaller probability, are passed over in logarithms; letters of a block of words.
+LONG, TINY, CELLS = 200, 1e-250, 200_000
 #: Rounds of expectation maximisation, count added to each piece, probability of a letter outside the vocabulary.
 ROUNDS, ADDED, OUTSIDE = 2, 0.1, 1e-9
 UNDETERMINED = "und"
@@ -53,13 +56,9 @@ def load_pieces(path: str) -> list[str]:
     )
 
 
-def stretches(text: str) -> list[str]:
-    """Words of a text, marked at their start, in stretches of bounded length."""
-    out = []
-    for word in WORD.findall(text.lower()):
-        word = HEAD + word
-        out += [word[i : i + STRETCH] for i in range(0, len(word), STRETCH)]
-    return out
+def marked_words(text: str) -> list[str]:
+    """Words of a text, marked at their start."""
+    return [HEAD + word for word in WORD.findall(text.lower())]
 
 
 class Lattice:
@@ -141,20 +140,66 @@ class Lattice:
     def log_probs(self, words: list[str], probs: np.ndarray) -> np.ndarray:
         """[word, language] log probabilities."""
         out = np.empty((len(words), len(probs)))
-        for rows in by_length(words):
-            lengths, found = self.edges([words[i] for i in rows])
-            alpha = self.forward(lengths, found, probs)
-            out[rows] = np.log(np.maximum(alpha[:, np.arange(len(rows)), lengths], 1e-300)).T
+        for rows in by_length(words) if len(probs) else ():
+            if len(words[rows[0]]) > LONG:
+                rest = rows
+            else:
+                lengths, found = self.edges([words[i] for i in rows])
+                alpha = self.forward(lengths, found, probs)[:, np.arange(len(rows)), lengths]
+                small = alpha.min(axis=0) < TINY
+                out[rows[~small]] = np.log(alpha[:, ~small]).T
+                rest = rows[small]
+            for row in rest.tolist():
+                out[row] = self.log_pass(self.pieces_at(words[row]), len(words[row]), np.log(probs))[:, -1]
         return out
 
+    def pieces_at(self, word: str) -> list[list[tuple[int, int]]]:
+        """(start, piece) of the pieces that end before each place of a word."""
+        _, found = self.edges([word])
+        out: list[list[tuple[int, int]]] = [[] for _ in range(len(word) + 1)]
+        for k, ids in enumerate(found):
+            for start in np.flatnonzero(ids[0] >= 0).tolist():
+                out[start + k + 1].append((start, int(ids[0, start])))
+        return out
+
+    @staticmethod
+    def log_pass(ends: list[list[tuple[int, int]]], n: int, logs: np.ndarray) -> np.ndarray:
+        """[language, place]: log probability of the letters up to a place, all segmentations."""
+        alpha = np.zeros((len(logs), n + 1))
+        outside = np.log(OUTSIDE)
+        for end in range(1, n + 1):
+            ways = [alpha[:, end - 1] + outside, *(alpha[:, start] + logs[:, piece] for start, piece in ends[end])]
+            alpha[:, end] = np.logaddexp.reduce(ways)
+        return alpha
+
+    def log_expected(self, word: str, logs: np.ndarray, total: np.ndarray, count: float) -> None:
+        """Add the expected uses of pieces in one word that occurs ``count`` times; one language."""
+        n, ends = len(word), self.pieces_at(word)
+        begins: list[list[tuple[int, int]]] = [[] for _ in range(n + 1)]
+        for end, pieces in enumerate(ends):
+            for start, piece in pieces:
+                begins[n - start].append((n - end, piece))
+        alpha, beta = self.log_pass(ends, n, logs)[0], self.log_pass(begins, n, logs)[0][::-1]
+        for end, pieces in enumerate(ends):
+            for start, piece in pieces:
+                total[piece] += count * np.exp(alpha[start] + logs[0, piece] + beta[end] - alpha[n])
+
     def expected(self, words: list[str], counts: np.ndarray, probs: np.ndarray, n_pieces: int) -> np.ndarray:
         """Expected number of uses of each piece in words that occur ``counts`` times; one language."""
         total = np.zeros(n_pieces)
         for rows in by_length(words):
+            if len(words[rows[0]]) > LONG:
+                for row in rows.tolist():
+                    self.log_expected(words[row], np.log(probs), total, counts[row])
+                continue
             lengths, found = self.edges([words[i] for i in rows])
             alpha = self.forward(lengths, found, probs)[0]
             beta = self.backward(lengths, found, probs)[0]
-            weight = counts[rows] / np.maximum(alpha[np.arange(len(rows)), lengths], 1e-300)
+            whole = alpha[np.arange(len(rows)), lengths]
+            small = whole < TINY
+            for row in rows[small].tolist():
+                self.log_expected(words[row], np.log(probs), total, counts[row])
+            weight = np.where(small, 0.0, counts[rows] / np.where(small, 1.0, whole))
             for k, ids in enumerate(found):
                 r, c = np.nonzero(ids >= 0)
                 p = ids[r, c]
@@ -164,10 +209,16 @@ class Lattice:
 
 
 def by_length(words: list[str], most: int = 4096):
-    """Row numbers in blocks of words of similar length."""
-    order = np.argsort(np.fromiter(map(len, words), np.int64, len(words)), kind="stable")
-    for at in range(0, len(order), most):
-        yield order[at : at + most]
+    """Row numbers in blocks of words of similar length, long ones apart, of a bounded number of letters."""
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    order = np.argsort(lengths, kind="stable")
+    at, short = 0, int(np.count_nonzero(lengths <= LONG))
+    while at < len(order):
+        end = min(at + most, short if at < short else len(order))
+        while end > at + 1 and (end - at) * lengths[order[end - 1]] > CELLS:
+            end = at + (end - at + 1) // 2
+        yield order[at:end]
+        at = end
 
 
 @dataclass
@@ -184,7 +235,7 @@ def count_words(docs: DataFrame, text: str, lang: str) -> DataFrame:
         for name, chunks in seen.items():
             words: Counter = Counter()
             for chunk, n in chunks.items():
-                for w in stretches(chunk):
+                for w in marked_words(chunk):
                     words[w] += n
             yield pa.RecordBatch.from_arrays(
                 [pa.array([name] * len(words), pa.string()), pa.array(list(words), pa.string()),
@@ -261,7 +312,7 @@ class Scorer:
             self.forget()
         words, owner = [], []
         for k, chunk in enumerate(new):
-            for w in stretches(chunk):
+            for w in marked_words(chunk):
                 words.append(w)
                 owner.append(k)
         sums = np.zeros((len(new), len(self.model.langs)))
@@ -295,9 +346,10 @@ class Scorer:
         return out
 
 
+@shielded("text", made=("lang_pred", "score"))
 def predict(docs: DataFrame, model: LanguageModel, text: str = "text", batch_chars: int = 2_000_000) -> DataFrame:
     """``docs`` with lang_pred and score."""
-    kept = [c for c in docs.columns if c.lower() not in ("lang_pred", "score")]
+    kept = docs.columns
     schema = T.StructType(
         [docs.schema[c] for c in kept]
         + [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]

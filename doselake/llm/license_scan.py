@@ -1,16 +1,18 @@
 """License notices in texts: exact phrases, and blocks that contain a template.
 
-Words are runs of 0-9, a-z (A-Z lowered) and non-ASCII characters. A text is cut into
-overlapping blocks of ``BLOCK`` words, one starting every ``BLOCK / 2`` words, so every
-run of half a block lies in some block whole. A block matches a template if it
-holds at least ``threshold`` of the template's distinct words.
+Words are runs of 0-9, a-z (A-Z lowered) and non-ASCII characters. Every run of ``BLOCK`` consecutive words of a
+text, or of twice as many words as the template has if that is more, is a block; the text is one if it is shorter. A
+block matches a template if it holds at least ``threshold`` of the template's distinct words.
+Templates may have any length.
 
 The join is exact and filtered as set-similarity joins are. Template words are put in
 order of how many documents of the whole corpus hold them, rarest first. With overlap
 ``a = ceil(threshold * size)`` needed, a matching block holds one of the first
 ``size - a + 1`` words (prefix filter), has at least ``a`` distinct words (length filter),
 and after its first hit at place ``i`` enough template words remain, ``size - i >= a``
-(positional filter). What passes is counted.
+(positional filter). What passes is counted: blocks need to be looked at only where they begin with a word of the
+template, and the counts slide from one to the next. Overlapping matches of a template are reported once, by
+the best block.
 
 Null and empty texts have no words, no places and no labels. Repeated rows are treated
 alike, no row depends on another. Other columns pass through, the result's names replace
@@ -28,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from doselake.llm.common import words_of
+from doselake.llm.common import shielded, words_of
 
 #: Phrases whose exact places are reported, with their labels.
 PHRASES = {
@@ -85,6 +87,7 @@ class Template:
     label: str
     words: tuple[bytes, ...]  # rarest first
     need: int
+    block: int  # words of a block
 
     @property
     def prefix(self) -> tuple[bytes, ...]:
@@ -111,8 +114,10 @@ def document_counts(docs: DataFrame, vocabulary: set[bytes], text: str = "text")
 def ordered_templates(templates: dict[str, str], counts: dict, threshold: float) -> list[Template]:
     out = []
     for label, phrase in templates.items():
-        words = sorted(set(words_of(phrase)), key=lambda w: (counts.get(w, 0), w))
-        out.append(Template(label, tuple(words), math.ceil(threshold * len(words) - 1e-9)))
+        all_ = words_of(phrase)
+        words = sorted(set(all_), key=lambda w: (counts.get(w, 0), w))
+        need = max(1, math.ceil(threshold * len(words) - 1e-9))
+        out.append(Template(label, tuple(words), need, max(BLOCK, 2 * len(all_))))
     return out
 
 
@@ -128,31 +133,48 @@ def phrase_places(words: list[bytes], phrase: list[bytes]) -> list[int]:
             out.append(at)
 
 
-def matching_blocks(words: list[bytes], templates: list[Template], rare: dict) -> list[tuple]:
-    """(label, first word, containment) of every block that contains a template."""
-    hits: dict[int, set[int]] = {}
-    half = BLOCK // 2
+def matching_blocks(words: list[bytes], templates: list[Template], holders: dict) -> list[tuple]:
+    """(label, first word, containment) of the blocks that contain a template, overlapping ones once."""
+    hits: dict[int, list[tuple[int, int]]] = {}
     for at, w in enumerate(words):
-        if w in rare:
-            for start in {max(0, at // half - 1), at // half}:
-                hits.setdefault(start, set()).update(rare[w])
-    last = max(0, math.ceil(len(words) / half) - 2)
-    found: dict[tuple[int, int], float] = {}
-    for start in {min(s, last) for s in hits}:
-        block = set(words[start * half : start * half + BLOCK])
-        for k in set().union(*(hits[s] for s in hits if min(s, last) == start)):
-            t = templates[k]
-            if len(block) < t.need:
-                continue
-            first = next((i for i, w in enumerate(t.words) if w in block), len(t.words))
-            if len(t.words) - first < t.need:
-                continue
-            got = sum(w in block for w in t.words)
-            if got >= t.need:
-                found[start, k] = got / len(t.words)
-    return [(templates[k].label, s * half, c) for (s, k), c in sorted(found.items())]
-
-
+        for k, place in holders.get(w, ()):
+            hits.setdefault(k, []).append((at, place))
+    found = []
+    for k, places in hits.items():
+        t = templates[k]
+        prefix = len(t.words) - t.need
+        # length filter, on the whole text first
+        if len({p for _, p in places}) < t.need:
+            continue
+        rare = [at for at, p in places if p <= prefix]
+        held = [0] * len(t.words)
+        distinct = end = r = 0
+        best: tuple[float, int] | None = None
+        for i, (start, place) in enumerate(places):
+            end = max(end, i)
+            while end < len(places) and places[end][0] < start + t.block:
+                held[places[end][1]] += 1
+                distinct += held[places[end][1]] == 1
+                end += 1
+            while r < len(rare) and rare[r] < start:
+                r += 1
+            if best and start >= best[1] + t.block:
+                found.append((t.label, best[1], best[0]))
+                best = None
+            near = r < len(rare) and rare[r] < start + t.block  # prefix filter
+            if near and end - i >= t.need and distinct >= t.need:
+                first = next(p for p, n in enumerate(held) if n)
+                if len(t.words) - first >= t.need:  # positional filter
+                    share = distinct / len(t.words)
+                    best = max(best, (share, start), key=lambda b: (b[0], -b[1])) if best else (share, start)
+            held[place] -= 1
+            distinct -= held[place] == 0
+        if best:
+            found.append((t.label, best[1], best[0]))
+    return sorted(found, key=lambda b: (b[1], b[0]))
+
+
+@shielded("text", made=tuple(f.name for f in OUT))
 def scan_licenses(
     docs: DataFrame,
     text: str = "text",
@@ -163,17 +185,15 @@ def scan_licenses(
     """``docs`` with word count, phrase places, labels, best containment and matching blocks."""
     templates = TEMPLATES if templates is None else templates
     base = {tuple(words_of(p)): label for p, label in (PHRASES if phrases is None else phrases).items()}
-    if any(len(words_of(t)) > BLOCK // 2 for t in templates.values()):
-        raise ValueError(f"templates may have {BLOCK // 2} words at most")
     vocabulary = {w for t in templates.values() for w in words_of(t)}
     order = ordered_templates(templates, document_counts(docs, vocabulary, text), threshold)
-    rare: dict[bytes, list[int]] = {}
+    holders: dict[bytes, list[tuple[int, int]]] = {}
     for k, t in enumerate(order):
-        for w in t.prefix:
-            rare.setdefault(w, []).append(k)
-    rarest = set(rare)
+        for place, w in enumerate(t.words):
+            holders.setdefault(w, []).append((k, place))
+    rarest = {w for t in order for w in t.prefix}
     openers = {p[0] for p in base}
-    kept = [c for c in docs.columns if c.lower() not in {f.name for f in OUT}]
+    kept = docs.columns
     schema = T.StructType([docs.schema[c] for c in kept] + OUT.fields)
 
     def judge(value: str | None) -> tuple:
@@ -187,7 +207,7 @@ def scan_licenses(
                     labels.add(label)
         blocks = []
         if not distinct.isdisjoint(rarest):
-            blocks = matching_blocks(words, order, rare)
+            blocks = matching_blocks(words, order, holders)
         best = max([1.0 if places else 0.0, *(c for _, _, c in blocks)])
         return (
             len(words),

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from doselake.llm.common import among, bitmap, discard, mixed, partitions, stored, text_key, word_digests
+from doselake.llm.common import among, bitmap, discard, mixed, partitions, shielded, stored, text_key, word_digests
 
 WORDS, THRESHOLD = 2, 0.8
 #: With these a pair of Jaccard value 3/7 over labels (0.8 of the words aligned, the others evenly scattered) agrees in
@@ -306,15 +306,25 @@ def joining_links(rows: DataFrame, seqs: DataFrame, threshold: float) -> DataFra
 def links_in(open_: DataFrame, seqs: DataFrame, threshold: float) -> DataFrame:
     """Links (key, hub, similarity) in buckets (bucket, key, hub) whose components are those of all links in them.
 
-    First all members of a bucket are compared with its hub. Buckets whose members that leaves in several
+    First every text is compared with one of its hubs, then all members of a bucket with its hub, but for those that
+    this has joined already. Buckets whose members that leaves in several
     components are parted by length and their members compared with each other.
     """
     pairs = open_.where("key <> hub").select("key", "hub").distinct()
     sizes = seqs.select("key", "n")
     pairs = pairs.join(sizes, "key").join(sizes.select(F.col("key").alias("hub"), F.col("n").alias("hub_n")), "hub")
     alike = F.least("n", "hub_n") >= threshold * F.greatest("n", "hub_n") - 1e-6
-    judged = verified(pairs.where(alike).select("key", "hub"), seqs, threshold)
-    found = stored(judged.where(F.col("similarity") >= threshold - 1e-9), "near-pairs")
+    pairs = stored(pairs.where(alike).select("key", "hub"), "near-candidates")
+    enough = F.col("similarity") >= threshold - 1e-9
+    first = pairs.groupBy("key").agg(F.min("hub").alias("hub"))
+    found = stored(verified(first, seqs, threshold).where(enough), "near-pairs")
+    roots = components(found)
+    sides = pairs.join(first, ["key", "hub"], "left_anti").join(roots, "key", "left")
+    sides = sides.join(roots.select(F.col("key").alias("hub"), F.col("root").alias("hub_root")), "hub", "left")
+    apart = F.coalesce("root", "key") != F.coalesce("hub_root", "hub")
+    more = verified(sides.where(apart).select("key", "hub"), seqs, threshold).where(enough)
+    found = stored(found.unionByName(more), "near-pairs")
+    discard(pairs)
     roots = components(found)
     rows = open_.join(roots, "key", "left").select("bucket", "key", F.coalesce("root", "key").alias("root"))
     # two members are a hub and its only other one, already compared
@@ -423,6 +433,7 @@ def near_duplicates(
     )
 
 
+@shielded("doc_id", "text")
 def keep_first(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD
 ) -> DataFrame:

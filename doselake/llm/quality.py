@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from doselake.llm.common import stored
+from doselake.llm.common import shielded, stored
 
 ORDER, QUANTILE = 4, 0.99
 MODEL_ROWS = 6_000_000
@@ -263,6 +263,7 @@ def scored_by_join(docs: DataFrame, model: DataFrame, order: int) -> DataFrame:
     return numbered.join(per_row, "_row", "left").select(*kept, "_lang", "perplexity")
 
 
+@shielded("doc_id", "text", "lang", made=("perplexity", "threshold", "keep"))
 def judge_quality(
     docs: DataFrame,
     trusted_ids: DataFrame,
@@ -274,8 +275,7 @@ def judge_quality(
     model_rows: int = MODEL_ROWS,
 ) -> DataFrame:
     """``docs`` without text, with perplexity, threshold and keep; ``trusted_ids`` has ids of trusted documents."""
-    made = {"perplexity", "threshold", "keep"}
-    kept = [c for c in docs.columns if c.lower() not in made and c != text]
+    kept = [c for c in docs.columns if c != text]
     ids = trusted_ids.select(F.col(trusted_ids.columns[0]).alias("_id")).distinct()
     name = F.coalesce(F.col(lang), F.lit(NO_LANG))
     rows = docs.select(F.col(doc_id).alias("_id"), name.alias("lang"), F.col(text).alias("text"))

@@ -110,7 +110,8 @@ def tokenizer_file(name: str) -> str:
 def op1_language_id(spark, sf_dir):
     """Predicted language of every document, learned from two thirds of the labelled ones."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    docs = docs.withColumn("held_out", F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1)
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    docs = docs.withColumn("held_out", F.coalesce(held_out, F.lit(False)))
     pieces = language_id.load_pieces(tokenizer_file("piece_bpe_32k.model"))
     model = language_id.train(docs.where(~F.col("held_out")), pieces)
     judged = language_id.predict(docs.select("doc_id", "held_out", "text"), model)

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from doselake.llm.common import partitions, stored
+from doselake.llm.common import partitions, shielded, stored
 
 LAW = "bytes"
 #: Digest ranges known at first, and parts looked at by one scan, whatever the number of groups.
@@ -136,13 +136,13 @@ def minimax_cuts(groups: DataFrame, known: PrefixSums, n: int, largest: int) ->
         known.insert(*split_intervals(groups, known.ends[rows - 1], known.ends[rows]))
 
 
+@shielded("doc_id", "text", made=("size", "text_crc32", "law", "shard", "slot", "grown_shard"))
 def assign_shards(
     docs: DataFrame, n_shards: int = 16, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """``docs`` without its text, with size, text_crc32, law, shard, slot and grown_shard."""
     spark = docs.sparkSession
-    made = {"size", "text_crc32", "law", "shard", "slot", "grown_shard"}
-    kept = [c for c in docs.columns if c.lower() not in made and c != text]
+    kept = [c for c in docs.columns if c != text]
     value = F.coalesce(F.col(text), F.lit(""))
     rows = stored(
         docs.select(

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from doselake.llm.common import Mapped
+from doselake.llm.common import Mapped, shielded
 
 SEED = 42
 #: Rules of one array; longer lists are probed as several arrays, one after the other.
@@ -153,14 +153,13 @@ def digest_arrays(rules: DataFrame, most: int = ARRAY_RULES) -> Iterator[DigestA
         yield DigestArray.build(part)
 
 
+@shielded("url", made=("host", "path", "rule", "verdict"))
 def judge_urls(
     pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "allow"
 ) -> DataFrame:
     """``pages`` with ``host``, ``path``, ``rule`` (null where none fits) and ``verdict``."""
-    clash = [c for c in pages.columns if c.lower() in ("host", "path", "rule", "verdict")]
     host, path = url_parts(url)
-    out = pages.withColumns({"_host": host, "_path": path}).drop(*clash)
-    out = out.withColumnsRenamed({"_host": "host", "_path": "path"})
+    out = pages.withColumns({"host": host, "path": path})
     out = out.withColumns({"rule": F.lit(None).cast("string"), "verdict": F.lit(default)})
     out = out.withColumn("_cut", F.lit(0))
     for array in digest_arrays(rules):

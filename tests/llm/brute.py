@@ -52,3 +52,11 @@ def odd_columns(df):
 
     names = ("key", "id", "word", "n", "name", "digest", "score", "shard", "size", "spans", "lang_pred")
     return df.select("*", *(F.lit(k).alias(n) for k, n in enumerate(names)))
+
+
+def own_names(df):
+    """With extra columns named as the operators name theirs inside."""
+    from pyspark.sql import functions as F
+
+    names = ("_key", "_id", "_text", "_salt", "_place", "_lang", "_h1", "_h2", "_cut", "_spans", "_host", "c0", "c1", "a.b")
+    return df.select("*", *(F.lit(k).alias(n) for k, n in enumerate(names)))

@@ -39,6 +39,32 @@ def test_forward_sums_all_segmentations():
         assert np.allclose(got[:, k], want, rtol=1e-9)
 
 
+def plain_log_forward(word, probs):
+    alpha = [0.0] + [-np.inf] * len(word)
+    for end in range(1, len(word) + 1):
+        ways = [alpha[end - 1] + np.log(language_id.OUTSIDE)]
+        ways += [alpha[s] + np.log(probs[word[s:end]]) for s in range(max(0, end - 12), end) if word[s:end] in probs]
+        alpha[end] = np.logaddexp.reduce(ways)
+    return alpha[-1]
+
+
+def test_long_words_and_letters_outside_keep_what_is_known():
+    pieces = ["▁the", "▁und", "th", "e", "und", "a"]
+    probs = np.random.default_rng(2).dirichlet(np.ones(len(pieces)), 2)
+    han, ethiopic = "\u4e00" * 36, "\u1200\u1208" * 300
+    words = ["▁the" + han, "▁und" + han, "▁the" + ethiopic, "▁" + "a" * 500, "▁" + "athe" * 40 + han, "▁the"]
+    got = language_id.Lattice(pieces).log_probs(words, probs)
+    for k in range(2):
+        want = [plain_log_forward(w, dict(zip(pieces, probs[k], strict=True))) for w in words]
+        assert np.allclose(got[:, k], want, rtol=1e-9)
+    # the known pieces decide, however much follows
+    assert got[0, 0] - got[0, 1] == pytest.approx(got[5, 0] - got[5, 1])
+    counts = np.array([2.0, 1.0, 1.0, 1.0, 1.0, 1.0])
+    uses = language_id.Lattice(pieces).expected(words, counts, probs[:1], len(pieces))
+    # each long word begins with its piece for certain: th, e and letters outside are far less likely
+    assert uses[0] == pytest.approx(2 + 1 + 1, rel=1e-3) and uses[1] == pytest.approx(1, rel=1e-3)
+
+
 def test_expected_counts_add_up():
     pieces = ["▁a", "a", "b", "ab", "▁ab"]
     probs = np.full((1, 5), 0.2)
@@ -253,7 +279,7 @@ def test_fingerprints_against_plain_version(spark, awkward, documents):
 # ---- licenses ---------------------------------------------------------------------
 
 
-def plain_scan(text):
+def plain_scan(text, templates=None):
     ws = brute.words(text)
     places, labels = [], set()
     for phrase, label in license_scan.PHRASES.items():
@@ -262,12 +288,12 @@ def plain_scan(text):
         places += here
         labels |= {label} if here else set()
     base, best = set(labels), 1.0 if places else 0.0
-    half = license_scan.BLOCK // 2
-    for at in range(0, max(1, len(ws) - half), half):
-        block = set(ws[at : at + license_scan.BLOCK])
-        for label, template in license_scan.TEMPLATES.items():
-            t = set(brute.words(template))
-            share = len(t & block) / len(t)
+    for label, template in (templates or license_scan.TEMPLATES).items():
+        t, size = set(brute.words(template)), max(license_scan.BLOCK, 2 * len(brute.words(template)))
+        for at in range(max(1, len(ws) - size + 1)):
+            if at < len(ws) - size and ws[at] not in t:
+                continue  # the next block holds as much
+            share = len(t.intersection(ws[at : at + size])) / len(t)
             if share >= license_scan.THRESHOLD:
                 labels.add(label)
                 best = max(best, share)
@@ -291,6 +317,26 @@ def test_licenses_against_plain_version(spark, awkward):
     assert license_scan.scan_licenses(docs.limit(0)).count() == 0
 
 
+def test_templates_wherever_their_words_stand(spark):
+    """Words of a template spread over a block, at every offset; a whole license of hundreds of words."""
+    notice = license_scan.TEMPLATES["mit-text"].split()
+    texts = []
+    for offset in range(0, 70, 3):
+        spread = [w for k, n in enumerate(notice) for w in (n, *(f"x{k}y{j}" for j in range(2)))]
+        texts.append(" ".join([f"f{j}" for j in range(offset)] + spread[:60] + ["end"] * 30))
+    rng = random.Random(2)
+    whole = " ".join(f"term{k % 190}" for k in range(400))
+    texts += ["pre " * 50 + whole + " post" * 50, whole.replace("term1", "other"), " ".join(rng.sample(whole.split(), 400))]
+    templates = license_scan.TEMPLATES | {"long": whole, "tiny": "tiny"}
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate([*texts, "tiny"])], "doc_id int, text string")
+    got = license_scan.scan_licenses(docs, templates=templates).orderBy("doc_id").collect()
+    for r, text in zip(got, [*texts, "tiny"], strict=True):
+        want = plain_scan(text, templates)
+        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels, r.labels, r.score) == want
+        assert all(b.containment >= license_scan.THRESHOLD for b in r.blocks)
+    assert all("mit-text" in r.labels for r in got[:24])
+
+
 def test_licenses_of_documents(spark, sf_dir, documents):
     texts = {r.doc_id: r.text for r in documents.collect()}
     for r in queries.op7_license_scan(spark, sf_dir).collect():
