@@ -101,13 +101,20 @@ def _bit(column: str) -> Column:
 
 
 def bitmap(rows: DataFrame, column: str) -> np.ndarray:
-    """A bit for every value of a column; of one size, however many values there are."""
+    """A bit for every value of a column, in a map of bounded size, however many values there are.
+
+    While at most one bit in 32 is set the map is folded in half: small maps are quicker to send and to look into.
+    """
     place = _bit(column) + 1
     bits = rows.select(F.bitmap_bucket_number(place).alias("block"), F.bitmap_bit_position(place).alias("at"))
     out = np.zeros((1 << BITS >> 15, BLOCK_BITS >> 3), np.uint8)
     for block, part in bits.groupBy("block").agg(F.bitmap_construct_agg("at").alias("bits")).toLocalIterator():
         out[block - 1] = np.frombuffer(bytes(part), np.uint8)
-    return out.reshape(-1)
+    out = out.reshape(-1)
+    while len(out) > BLOCK_BITS >> 3 and 32 * int(np.bitwise_count(out).sum()) <= 4 * len(out):
+        half = len(out) // 2
+        out = out[:half] | out[half:]
+    return out
 
 
 def marked(rows: DataFrame, column: str, bits: np.ndarray, flag: str) -> DataFrame:
@@ -117,7 +124,7 @@ def marked(rows: DataFrame, column: str, bits: np.ndarray, flag: str) -> DataFra
 
     def look(batches):
         for batch in batches:
-            at = batch.column(batch.num_columns - 1).to_numpy()
+            at = batch.column(batch.num_columns - 1).to_numpy() & (8 * len(shared.value) - 1)
             there = (shared.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
             columns = [*batch.columns[:-1], pa.array(there)]
             yield pa.RecordBatch.from_arrays(columns, names=names)
@@ -131,6 +138,13 @@ def among(rows: DataFrame, column: str, bits: np.ndarray) -> DataFrame:
     return marked(rows, column, bits, "_there").where("_there").drop("_there")
 
 
+def slices(batches, rows: int = 500):
+    """Arrow batches in pieces of at most so many rows: texts as Python objects take several times their size."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def quoted(name: str) -> Column:
     """The column of exactly this name, whatever signs it holds."""
     return F.col("`" + name.replace("`", "``") + "`")

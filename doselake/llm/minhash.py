@@ -38,15 +38,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from doselake.llm.common import among, bitmap, discard, mixed, partitions, shielded, stored, text_key, word_digests
+from doselake.llm.common import among, bitmap, discard, mixed, partitions, shielded, slices, stored, text_key, word_digests
 
 WORDS, THRESHOLD = 2, 0.8
 #: With these a pair of Jaccard value 3/7 over labels (0.8 of the words aligned, the others evenly scattered) agrees in
-#: a sketch with a chance of (3/7)^2 and is missed with one of 6e-5; of 15 words, the fewest that are not
-#: met exactly, 3 changed ones with 5e-4.
-SKETCHES, KEPT = 48, 2
+#: a sketch with a chance of (3/7)^3 and is missed with one of 1e-4; of 20 words, the fewest that are not
+#: met exactly, 4 changed ones with 2e-3. Fewer labels would let unlike texts meet by the thousand.
+SKETCHES, KEPT = 112, 3
 #: Remainders of a text at most; with more it has sketches only.
-REMAINDERS = 128
+REMAINDERS = 1200
 SEEDS = np.random.default_rng(20190705).integers(1, 2**63, SKETCHES, np.uint64) | np.uint64(1)
 MIX = np.uint64(0xBF58476D1CE4E5B9)
 #: Labels hashed at once, members of a bucket in one tile at most.
@@ -76,6 +76,17 @@ def labels(d: np.ndarray) -> np.ndarray:
     return mixed(h + occurrence * np.uint64(0xD6E8FEB86659FD93))
 
 
+def smallest(h: np.ndarray) -> np.ndarray:
+    """Places of the ``KEPT`` smallest values of each row, or of all."""
+    rows = np.arange(len(h))
+    out = np.empty((len(h), min(KEPT, h.shape[1])), np.int64)
+    values = h.copy()
+    for k in range(out.shape[1]):
+        out[:, k] = values.argmin(axis=1)
+        values[rows, out[:, k]] = np.iinfo(np.uint64).max
+    return out
+
+
 def sketches(label: np.ndarray) -> np.ndarray:
     """One 64-bit value per sketch: its smallest labels in text order; none for no labels."""
     if not len(label):
@@ -85,17 +96,12 @@ def sketches(label: np.ndarray) -> np.ndarray:
         h = label[None, start : start + LABELS] * SEEDS[:, None]
         h ^= h >> np.uint64(29)
         h *= MIX
-        if h.shape[1] > KEPT:
-            some = np.argpartition(h, KEPT - 1, axis=1)[:, :KEPT]
-            h = np.take_along_axis(h, some, 1)
-        else:
-            some = np.broadcast_to(np.arange(h.shape[1]), h.shape)
-        some = some + start
+        few = smallest(h)
+        some, h = few + start, np.take_along_axis(h, few, 1)
         if least is not None:
             h, some = np.concatenate([least, h], 1), np.concatenate([at, some], 1)
-            if h.shape[1] > KEPT:
-                few = np.argpartition(h, KEPT - 1, axis=1)[:, :KEPT]
-                h, some = np.take_along_axis(h, few, 1), np.take_along_axis(some, few, 1)
+            few = smallest(h)
+            h, some = np.take_along_axis(h, few, 1), np.take_along_axis(some, few, 1)
         least, at = h, some
     value = np.arange(SKETCHES, dtype=np.uint64)
     for x in label[np.sort(at, axis=1)].T:
@@ -171,7 +177,7 @@ def sketched(docs: DataFrame, doc_id: str, text: str, threshold: float = THRESHO
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def sketch(batches):
-        for batch in batches:
+        for batch in slices(batches):
             made = [meeting_places(t.as_py(), threshold) for t in batch.column(2)]
             ends = np.cumsum([0, *map(len, made)]).astype(np.int32)
             flat = pa.array(np.concatenate([np.empty(0, np.int64), *made]))
@@ -191,7 +197,7 @@ def sequences(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str) -> Dat
     rows = rows.join(wanted.select("key", F.col("id").alias("first")), "key").where(F.col("id").eqNullSafe(F.col("first")))
 
     def count(batches):
-        for batch in batches:
+        for batch in slices(batches):
             n = [len(sequence(t.as_py())) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(n, pa.int64())], names=["key", "text", "n"])
 
@@ -205,7 +211,7 @@ def verified(pairs: DataFrame, seqs: DataFrame, threshold: float) -> DataFrame:
     )
 
     def align(batches):
-        for batch in batches:
+        for batch in slices(batches):
             got = [
                 similarity(sequence(a.as_py()), sequence(b.as_py()), threshold)
                 for a, b in zip(batch.column(2), batch.column(3), strict=True)

@@ -57,6 +57,7 @@ from doselake.llm.common import (
     partitions,
     powers,
     quoted,
+    slices,
     stored,
     text_key,
     word_digests,
@@ -362,7 +363,7 @@ def stretches(docs: DataFrame, length: int, width: int = BYTES) -> DataFrame:
     """(name, digest, key, id, start, n, twice) of all documents (key, id, text)."""
 
     def cut(batches):
-        for batch in batches:
+        for batch in slices(batches):
             cols: list[list] = [[], [], [], [], [], [], []]
             for key, doc, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 for name, digest, start, n, twice in stretches_of(units(text, width), length, width):
@@ -383,7 +384,7 @@ def cut_out(docs: DataFrame, wanted: DataFrame, length: int, width: int = BYTES)
     rows = among(docs, "key", bitmap(wanted, "key")).join(per_doc, ["key", "id"]).select("text", "cuts")
 
     def cut(batches):
-        for batch in batches:
+        for batch in slices(batches):
             cols: list[list] = [[], [], []]
             for text, cuts in zip(batch.column(0), batch.column(1), strict=True):
                 raw = units(text.as_py(), width)
@@ -570,7 +571,7 @@ def remove_repeats(
     arrow = to_arrow_schema(made)
 
     def work(batches):
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for row, value in enumerate(batch.column(at)):
                 raw = (value.as_py() or "").encode("utf-8", "replace")
