@@ -45,7 +45,7 @@ LETTERS = bytes(
 BREAK = b","
 UNKNOWN = "und"
 #: Segments of the stripe of all words, and of any other stripe.
-WORD_SEGMENTS, SEGMENTS = 4096, 64
+WORD_SEGMENTS, SEGMENTS = 4096, 16
 #: Bytes of a block of a bitmap.
 BLOCK = 4096
 SCATTER, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)

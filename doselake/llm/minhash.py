@@ -16,7 +16,9 @@ In a bucket the first document is the hub, and all others are compared with it f
 joins most of what belongs together. Where a bucket then still holds members of several classes, all pairs
 of them that no links join yet are compared, those with the hub's class included: up to ``MEMBERS`` members with as
 many others in a task. So no link that would join two classes is left out, but links within a class
-are; ``n_pairs`` counts the links that were met, not all there are. A comparison aligns the two word
+are; ``n_pairs`` counts the links that were met, not all there are. The members of a bucket of more than ``MEMBERS`` meet
+again by their rarest words instead, which loses none of the pairs (``rare_words``): many texts that share one passage
+are not compared with each other for it. A comparison aligns the two word
 sequences in the band of offsets
 that the threshold allows; similarity is the share of the longer text's words that are
 aligned, in order, with equal ones. Pairs of ``threshold`` or more are links, and classes are
@@ -49,8 +51,10 @@ SKETCHES, KEPT = 112, 3
 REMAINDERS = 1200
 SEEDS = np.random.default_rng(20190705).integers(1, 2**63, SKETCHES, np.uint64) | np.uint64(1)
 MIX = np.uint64(0xBF58476D1CE4E5B9)
-#: Labels hashed at once, members of a bucket in one tile at most.
-LABELS, MEMBERS = 16_384, 128
+#: Labels hashed at once, members of a bucket in one tile at most, classes of words for a first look at two texts.
+LABELS, MEMBERS, BINS = 16_384, 256, 1024
+#: Counters that tell rare words from common ones, and of these in a block.
+COUNTERS, COUNTER_BLOCK = 1 << 16, 1024
 
 
 def sequence(text: str | None) -> np.ndarray:
@@ -58,11 +62,11 @@ def sequence(text: str | None) -> np.ndarray:
     return word_digests(text)
 
 
-def labels(d: np.ndarray) -> np.ndarray:
+def labels(d: np.ndarray, words: int = WORDS) -> np.ndarray:
     """Digests of the labelled shingles of a word sequence, in text order."""
     if not len(d):
         return d
-    size = min(WORDS, len(d))
+    size = min(words, len(d))
     n = len(d) - size + 1
     h = np.zeros(n, np.uint64)
     for k in range(size):
@@ -253,6 +257,63 @@ def unsettled(rows: DataFrame) -> DataFrame:
     return rows.join(kept.select("bucket"), "bucket", "left_semi")
 
 
+def rare_words(crowd: DataFrame, seqs: DataFrame, threshold: float) -> DataFrame:
+    """(bucket, key, root): other buckets for the members (key, root) of crowded ones: their rarest words.
+
+    Texts that belong together have at least ``threshold`` of the longer one's labelled words in common. So with
+    all words in one order, each text's first ``n - ceil(threshold n) + 1`` hold one that is the other's as well. The order is
+    that of a table of counters, the rarest first; what texts of a crowd have in common comes last.
+    """
+    docs = stored(crowd.join(seqs, "key").select("key", "root", "text"), "near-crowds")
+
+    def count(batches):
+        counts = np.zeros(COUNTERS, np.int64)
+        for batch in slices(batches):
+            for text in batch.column(2):
+                counts += np.bincount(labels(sequence(text.as_py()), 1) >> np.uint64(48), minlength=COUNTERS)
+        blocks = counts.reshape(-1, COUNTER_BLOCK)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(range(len(blocks)), pa.int32()), pa.array([b.tobytes() for b in blocks], pa.binary())],
+            names=["block", "n"],
+        )
+
+    def add(batches):
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                sums[block] = sums.get(block, 0) + np.frombuffer(n, np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(sums), pa.int32()), pa.array([n.tobytes() for n in sums.values()], pa.binary())],
+            names=["block", "n"],
+        )
+
+    parts = docs.mapInArrow(count, "block int, n binary").repartition("block").mapInArrow(add, "block int, n binary")
+    table = np.zeros((COUNTERS // COUNTER_BLOCK, COUNTER_BLOCK), np.int64)
+    for block, n in parts.toLocalIterator():
+        table[block] = np.frombuffer(bytes(n), np.int64)
+    shared = docs.sparkSession.sparkContext.broadcast(table.reshape(-1))
+
+    def rarest(batches):
+        for batch in slices(batches):
+            held = []
+            for text in batch.column(2):
+                label = labels(sequence(text.as_py()), 1)
+                order = np.lexsort((label, shared.value[label >> np.uint64(48)]))
+                held.append(label[order[: len(label) - math.ceil(threshold * len(label) - 1e-9) + 1]].view(np.int64))
+            at = np.repeat(np.arange(len(held)), [len(x) for x in held])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate([np.empty(0, np.int64), *held])), *(batch.column(k).take(pa.array(at)) for k in (0, 1))],
+                names=["bucket", "key", "root"],
+            )
+
+    return docs.mapInArrow(rarest, "bucket long, key binary, root binary")
+
+
+def bins(words: np.ndarray) -> np.ndarray:
+    """How many words of each class a text has: what two texts have in common at most is the sum of the lesser."""
+    return np.minimum(np.bincount(words >> np.uint64(54), minlength=BINS), 65535).astype(np.uint16)
+
+
 def joining_links(rows: DataFrame, seqs: DataFrame, threshold: float) -> DataFrame:
     """(key, hub, similarity): links that join all roots of a bucket that any links join.
 
@@ -273,6 +334,7 @@ def joining_links(rows: DataFrame, seqs: DataFrame, threshold: float) -> DataFra
 
     def work(batches):
         last, members, joined = None, [], {}
+        held = np.zeros((MEMBERS, BINS), np.uint16)
 
         def find(x: bytes) -> bytes:
             while joined.setdefault(x, x) != x:
@@ -287,14 +349,19 @@ def joining_links(rows: DataFrame, seqs: DataFrame, threshold: float) -> DataFra
                     last, members, joined = unit, [], {}
                 key, root, pushed = key.as_py(), root.as_py(), pushed.as_py()
                 words = sequence(text.as_py())
-                if later.as_py() or unit[1] == unit[2]:
-                    for other, its_root, its_pushed, its_words in members:
+                mine = bins(words)
+                if members and (later.as_py() or unit[1] == unit[2]):
+                    common = np.minimum(held[: len(members)], mine).sum(axis=1, dtype=np.int64)
+                    most = np.maximum([len(m[3]) for m in members], len(words))
+                    for k in np.flatnonzero(common >= threshold * most - 1e-9).tolist():
+                        other, its_root, its_pushed, its_words = members[k]
                         if (pushed or its_pushed) and find(root) != find(its_root):
                             got = similarity(words, its_words, threshold)
                             if got >= threshold - 1e-9:
                                 joined[find(root)] = find(its_root)
                                 out.append((key, other, got))
                 if not later.as_py():
+                    held[len(members)] = mine
                     members.append((key, root, pushed, words))
             kinds = (pa.binary(), pa.binary(), pa.float64())
             yield pa.RecordBatch.from_arrays(
@@ -335,8 +402,14 @@ def links_in(open_: DataFrame, seqs: DataFrame, threshold: float) -> DataFrame:
     rows = open_.join(roots, "key", "left").select("bucket", "key", F.coalesce("root", "key").alias("root"))
     # two members are a hub and its only other one, already compared
     several = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
-    rest = stored(rows.join(several.where("n > 2 and low <> high").select("bucket"), "bucket", "left_semi"), "near-open")
-    if rest.isEmpty():
+    several = stored(several.where("n > 2 and low <> high").select("bucket", "n"), "near-several")
+    rows = stored(rows.join(several, "bucket"), "near-open")
+    crowded = F.col("n") > MEMBERS
+    rest = rows.where(~crowded).drop("n")
+    crowd = stored(rows.where(crowded).select("key", "root").distinct(), "near-crowd")
+    if not crowd.isEmpty():
+        rest = rest.unionByName(rare_words(crowd, seqs, threshold))
+    if rows.isEmpty():
         return found
     # texts of one class of lengths, or of neighbouring ones; pushed: in the next class
     part = F.floor(F.log("n") / (1e-9 - math.log(threshold))).cast("int")

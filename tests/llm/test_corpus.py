@@ -428,6 +428,50 @@ def test_members_that_left_with_the_hub_stay_partners(spark, monkeypatch, member
     assert sorted(map(sorted, groups.values())) == plain_classes(list(enumerate(texts)))
 
 
+def test_crowds_meet_by_their_rarest_words(spark, monkeypatch):
+    """Texts that share a passage, and some of them more than that, in buckets too large for all pairs."""
+    monkeypatch.setattr(minhash, "MEMBERS", 4)
+    rng = random.Random(4)
+    passage = [f"p{k}" for k in range(60)]
+    texts = []
+    for k in range(30):
+        own = [f"o{k}x{j}" for j in range(60)]
+        texts.append(passage + own)
+        if k % 3 == 0:
+            other = passage[:] + own[:]
+            for at in rng.sample(range(120), 20):
+                other[at] = f"e{k}y{at}"
+            texts.append(other)
+    rows = [(k, " ".join(t)) for k, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    assert got_classes(docs, rows) == plain_classes(rows)
+    # the filter by itself: every pair that belongs together has a rare word in common
+    seqs = spark.createDataFrame([(str(k).encode(), t, len(t.split())) for k, t in rows], "key binary, text string, n long")
+    crowd = seqs.selectExpr("key", "key as root")
+    buckets = defaultdict(set)
+    for r in minhash.rare_words(crowd, seqs, 0.8).collect():
+        buckets[int(bytes(r.key))].add(r.bucket)
+    for a in range(len(rows)):
+        for b in range(a):
+            if plain_similarity(rows[a][1], rows[b][1]) >= 0.8:
+                assert buckets[a] & buckets[b]
+
+
+def test_recall_against_all_pairs(documents):
+    """Of all pairs of documents that align at 0.8 or more, those with one text apart, how many meet in a bucket."""
+    rows = [(r.doc_id, r.text) for r in documents.collect() if r.text]
+    rows = list({t: (k, t) for k, t in rows}.values())
+    seqs = [minhash.sequence(t) for _, t in rows]
+    places = [set(minhash.meeting_places(t).tolist()) for _, t in rows]
+    met = linked = 0
+    for a, (doc_id, _) in enumerate(rows):
+        for b in range(len(rows)):
+            if doc_id % 20 == 0 and a != b and minhash.similarity(seqs[a], seqs[b]) >= 0.8 - 1e-9:
+                linked += 1
+                met += bool(places[a] & places[b])
+    assert met >= 0.99 * linked
+
+
 def test_one_of_each_class_stays(spark, awkward):
     rows = near_copies()
     docs = spark.createDataFrame(rows + rows[:3], "doc_id int, text string")
