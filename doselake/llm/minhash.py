@@ -335,6 +335,8 @@ def joining_links(rows: DataFrame, seqs: DataFrame, threshold: float) -> DataFra
     def work(batches):
         last, members, joined = None, [], {}
         held = np.zeros((MEMBERS, BINS), np.uint16)
+        sizes, classes, far = (np.zeros(MEMBERS, np.int64) for _ in range(3))
+        numbers: dict[bytes, int] = {}
 
         def find(x: bytes) -> bytes:
             while joined.setdefault(x, x) != x:
@@ -346,22 +348,25 @@ def joining_links(rows: DataFrame, seqs: DataFrame, threshold: float) -> DataFra
             for bucket, i, j, later, key, root, pushed, text in zip(*(batch.column(k) for k in range(8)), strict=True):
                 unit = bucket.as_py(), i.as_py(), j.as_py()
                 if unit != last:
-                    last, members, joined = unit, [], {}
+                    last, members, joined, numbers = unit, [], {}, {}
                 key, root, pushed = key.as_py(), root.as_py(), pushed.as_py()
                 words = sequence(text.as_py())
-                mine = bins(words)
-                if members and (later.as_py() or unit[1] == unit[2]):
-                    common = np.minimum(held[: len(members)], mine).sum(axis=1, dtype=np.int64)
-                    most = np.maximum([len(m[3]) for m in members], len(words))
-                    for k in np.flatnonzero(common >= threshold * most - 1e-9).tolist():
-                        other, its_root, its_pushed, its_words = members[k]
-                        if (pushed or its_pushed) and find(root) != find(its_root):
+                mine, number, m = bins(words), numbers.setdefault(root, len(numbers)), len(members)
+                if m and (later.as_py() or unit[1] == unit[2]):
+                    # other classes, lengths that allow it, enough words in common at most: then aligned
+                    longer = threshold * np.maximum(sizes[:m], len(words)) - 1e-9
+                    open_ = (classes[:m] != number) & (np.minimum(sizes[:m], len(words)) >= longer)
+                    open_ = np.flatnonzero(open_ if pushed else open_ & (far[:m] > 0))
+                    common = np.minimum(held[open_], mine).sum(axis=1, dtype=np.uint32)
+                    for k in open_[common >= longer[open_]].tolist():
+                        other, its_root, _, its_words = members[k]
+                        if find(root) != find(its_root):
                             got = similarity(words, its_words, threshold)
                             if got >= threshold - 1e-9:
                                 joined[find(root)] = find(its_root)
                                 out.append((key, other, got))
                 if not later.as_py():
-                    held[len(members)] = mine
+                    held[m], sizes[m], classes[m], far[m] = mine, len(words), number, pushed
                     members.append((key, root, pushed, words))
             kinds = (pa.binary(), pa.binary(), pa.float64())
             yield pa.RecordBatch.from_arrays(
