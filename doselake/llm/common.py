@@ -96,19 +96,27 @@ def discard(df: DataFrame) -> None:
 BITS, BLOCK_BITS = 27, 1 << 15
 
 
-def _bit(column: str) -> Column:
+def place(column: str) -> Column:
+    """Where the bit of a column's value is in a bitmap."""
     return F.pmod(F.xxhash64(column), F.lit(1 << BITS))
 
 
+def bits_at(bits: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """The bits of a map, which may be a folded one."""
+    at = places & (8 * len(bits) - 1)
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+
+
 def bitmap(rows: DataFrame, column: str) -> np.ndarray:
     """A bit for every value of a column, in a map of bounded size, however many values there are.
 
     While at most one bit in 32 is set the map is folded in half: small maps are quicker to send and to look into.
     """
-    place = _bit(column) + 1
-    bits = rows.select(F.bitmap_bucket_number(place).alias("block"), F.bitmap_bit_position(place).alias("at"))
+    at = place(column) + 1
+    bits = rows.select(F.bitmap_bucket_number(at).alias("block"), F.bitmap_bit_position(at).alias("at"))
     out = np.zeros((1 << BITS >> 15, BLOCK_BITS >> 3), np.uint8)
-    for block, part in bits.groupBy("block").agg(F.bitmap_construct_agg("at").alias("bits")).toLocalIterator():
+    # as large as the map at most, and one job instead of one a partition
+    for block, part in bits.groupBy("block").agg(F.bitmap_construct_agg("at").alias("bits")).collect():
         out[block - 1] = np.frombuffer(bytes(part), np.uint8)
     out = out.reshape(-1)
     while len(out) > BLOCK_BITS >> 3 and 32 * int(np.bitwise_count(out).sum()) <= 4 * len(out):
@@ -124,13 +132,12 @@ def marked(rows: DataFrame, column: str, bits: np.ndarray, flag: str) -> DataFra
 
     def look(batches):
         for batch in batches:
-            at = batch.column(batch.num_columns - 1).to_numpy() & (8 * len(shared.value) - 1)
-            there = (shared.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+            there = bits_at(shared.value, batch.column(batch.num_columns - 1).to_numpy())
             columns = [*batch.columns[:-1], pa.array(there)]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     schema = T.StructType([*rows.schema.fields, T.StructField(flag, T.BooleanType())])
-    return rows.withColumn(flag, _bit(column)).mapInArrow(look, schema)
+    return rows.withColumn(flag, place(column)).mapInArrow(look, schema)
 
 
 def among(rows: DataFrame, column: str, bits: np.ndarray) -> DataFrame:

@@ -40,7 +40,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from doselake.llm.common import among, bitmap, discard, mixed, partitions, shielded, slices, stored, text_key, word_digests
+from doselake.llm.common import (
+    among,
+    bitmap,
+    bits_at,
+    discard,
+    mixed,
+    partitions,
+    place,
+    shielded,
+    slices,
+    stored,
+    text_key,
+    word_digests,
+)
 
 WORDS, THRESHOLD = 2, 0.8
 #: With these a pair of Jaccard value 3/7 over labels (0.8 of the words aligned, the others evenly scattered) agrees in
@@ -130,7 +143,10 @@ def remainders(d: np.ndarray, threshold: float = THRESHOLD) -> np.ndarray:
 
 def meeting_places(text: str | None, threshold: float = THRESHOLD) -> np.ndarray:
     """Buckets of a text."""
-    d = sequence(text)
+    return buckets_of(sequence(text), threshold)
+
+
+def buckets_of(d: np.ndarray, threshold: float) -> np.ndarray:
     return np.concatenate([sketches(labels(d)), remainders(d, threshold)])
 
 
@@ -175,44 +191,46 @@ def similarity(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> fl
     return aligned(a.tolist(), b.tolist(), band) / most
 
 
-def sketched(docs: DataFrame, doc_id: str, text: str, threshold: float = THRESHOLD) -> DataFrame:
-    """(key, id, sketch): per distinct text its key, its first id, its buckets."""
+def sketched(docs: DataFrame, doc_id: str, text: str, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
+    """(key, id, n, sketch): per distinct text its key, its first id, its words, its buckets; and the table it reads.
+
+    Only texts that occur more than once, and those a bitmap takes for such, are shuffled with their buckets.
+    """
     rows = docs.select(text_key(text).alias("key"), F.col(doc_id).alias("id"), F.col(text).alias("text"))
+    copied = bitmap(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "key")
+    shared = docs.sparkSession.sparkContext.broadcast(copied)
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def sketch(batches):
         for batch in slices(batches):
-            made = [meeting_places(t.as_py(), threshold) for t in batch.column(2)]
+            words = [sequence(t.as_py()) for t in batch.column(2)]
+            made = [buckets_of(d, threshold) for d in words]
             ends = np.cumsum([0, *map(len, made)]).astype(np.int32)
             flat = pa.array(np.concatenate([np.empty(0, np.int64), *made]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.ListArray.from_arrays(ends, flat)],
-                names=["key", "id", "sketch"],
-            )
+                [batch.column(0), batch.column(1), pa.array([len(d) for d in words], pa.int32()),
+                 pa.ListArray.from_arrays(ends, flat), pa.array(bits_at(shared.value, batch.column(3).to_numpy()))],
+                names=["key", "id", "n", "sketch", "copied"],
+            )
 
-    parts = rows.mapInArrow(sketch, f"key binary, id {kind}, sketch array<bigint>")
-    return parts.groupBy("key").agg(F.min("id").alias("id"), F.first("sketch").alias("sketch"))
+    schema = f"key binary, id {kind}, n int, sketch array<bigint>, copied boolean"
+    made = stored(rows.withColumn("at", place("key")).mapInArrow(sketch, schema), "near-sketched")
+    several = made.where("copied").groupBy("key")
+    several = several.agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    return made.where("not copied").drop("copied").unionByName(stored(several, "near-copied")), made
 
 
-def sequences(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(key, text, n) of the wanted (key, id): texts, which take less room than digests of words, and their words."""
-    rows = docs.select(text_key(text).alias("key"), F.col(doc_id).alias("id"), F.col(text).alias("text"))
-    rows = among(rows, "key", bitmap(wanted, "key"))
-    rows = rows.join(wanted.select("key", F.col("id").alias("first")), "key").where(F.col("id").eqNullSafe(F.col("first")))
-
-    def count(batches):
-        for batch in slices(batches):
-            n = [len(sequence(t.as_py())) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(n, pa.int64())], names=["key", "text", "n"])
-
-    return rows.dropDuplicates(["key"]).select("key", "text").mapInArrow(count, "key binary, text string, n long")
+def sequences(docs: DataFrame, wanted: DataFrame, text: str) -> DataFrame:
+    """(key, text) of the wanted keys, and of a few others: texts, which take less room than digests of words."""
+    rows = docs.select(text_key(text).alias("key"), F.col(text).alias("text"))
+    return among(rows, "key", bitmap(wanted, "key")).dropDuplicates(["key"])
 
 
 def verified(pairs: DataFrame, seqs: DataFrame, threshold: float) -> DataFrame:
     """(key, hub, similarity) of all pairs."""
-    sides = pairs.join(seqs, "key").join(
-        seqs.select(F.col("key").alias("hub"), F.col("text").alias("hub_text")), "hub"
-    )
+    # of the texts only those of a side are shuffled for it
+    hubs = among(seqs, "key", bitmap(pairs, "hub")).select(F.col("key").alias("hub"), F.col("text").alias("hub_text"))
+    sides = pairs.join(among(seqs, "key", bitmap(pairs, "key")), "key").join(hubs, "hub")
 
     def align(batches):
         for batch in slices(batches):
@@ -231,15 +249,12 @@ def verified(pairs: DataFrame, seqs: DataFrame, threshold: float) -> DataFrame:
 
 
 def shared_buckets(rows: DataFrame) -> DataFrame:
-    """(bucket, key, hub) of every bucket of two or more."""
+    """(bucket, key, n, hub, hub_n) of every bucket of two or more of (bucket, key, n)."""
     seen = rows.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
     rows = among(rows, "bucket", bitmap(seen, "bucket"))
-    hubs = (
-        rows.groupBy("bucket")
-        .agg(F.min("key").alias("hub"), F.count("*").alias("members"))
-        .where("members > 1")
-    )
-    return rows.join(hubs, "bucket").select("bucket", "key", "hub")
+    hubs = rows.groupBy("bucket").agg(F.min(F.struct("key", "n")).alias("hub"), F.count("*").alias("members"))
+    hubs = hubs.where("members > 1").select("bucket", F.col("hub.key").alias("hub"), F.col("hub.n").alias("hub_n"))
+    return rows.join(hubs, "bucket").select("bucket", "key", "n", "hub", "hub_n")
 
 
 def unsettled(rows: DataFrame) -> DataFrame:
@@ -258,12 +273,13 @@ def unsettled(rows: DataFrame) -> DataFrame:
 
 
 def rare_words(crowd: DataFrame, seqs: DataFrame, threshold: float) -> DataFrame:
-    """(bucket, key, root): other buckets for the members (key, root) of crowded ones: their rarest words.
+    """(bucket, key, root, n): other buckets for the members (key, root) of crowded ones: their rarest words.
 
     Texts that belong together have at least ``threshold`` of the longer one's labelled words in common. So with
     all words in one order, each text's first ``n - ceil(threshold n) + 1`` hold one that is the other's as well. The order is
     that of a table of counters, the rarest first; what texts of a crowd have in common comes last.
     """
+    seqs = among(seqs, "key", bitmap(crowd, "key"))
     docs = stored(crowd.join(seqs, "key").select("key", "root", "text"), "near-crowds")
 
     def count(batches):
@@ -295,18 +311,20 @@ def rare_words(crowd: DataFrame, seqs: DataFrame, threshold: float) -> DataFrame
 
     def rarest(batches):
         for batch in slices(batches):
-            held = []
+            held, n = [], []
             for text in batch.column(2):
                 label = labels(sequence(text.as_py()), 1)
+                n.append(len(label))
                 order = np.lexsort((label, shared.value[label >> np.uint64(48)]))
                 held.append(label[order[: len(label) - math.ceil(threshold * len(label) - 1e-9) + 1]].view(np.int64))
             at = np.repeat(np.arange(len(held)), [len(x) for x in held])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([np.empty(0, np.int64), *held])), *(batch.column(k).take(pa.array(at)) for k in (0, 1))],
-                names=["bucket", "key", "root"],
-            )
+                [pa.array(np.concatenate([np.empty(0, np.int64), *held])), *(batch.column(k).take(pa.array(at)) for k in (0, 1)),
+                 pa.array(np.array(n, np.int32)[at])],
+                names=["bucket", "key", "root", "n"],
+            )
 
-    return docs.mapInArrow(rarest, "bucket long, key binary, root binary")
+    return docs.mapInArrow(rarest, "bucket long, key binary, root binary, n int")
 
 
 def bins(words: np.ndarray) -> np.ndarray:
@@ -329,6 +347,7 @@ def joining_links(rows: DataFrame, seqs: DataFrame, threshold: float) -> DataFra
     pairs = left.join(right, "bucket").where("i <= j and low <> high").select("bucket", "i", "j")
     first = pairs.withColumn("tile", F.col("i")).join(tiled, ["bucket", "tile"]).withColumn("second", F.lit(False))
     second = pairs.where("i < j").withColumn("tile", F.col("j")).join(tiled, ["bucket", "tile"])
+    seqs = among(seqs, "key", bitmap(tiled, "key"))
     held = first.unionByName(second.withColumn("second", F.lit(True))).join(seqs, "key")
     held = held.select("bucket", "i", "j", "second", "key", "root", "pushed", "text")
 
@@ -382,65 +401,87 @@ def joining_links(rows: DataFrame, seqs: DataFrame, threshold: float) -> DataFra
 
 
 def links_in(open_: DataFrame, seqs: DataFrame, threshold: float) -> DataFrame:
-    """Links (key, hub, similarity) in buckets (bucket, key, hub) whose components are those of all links in them.
+    """Links (key, hub, similarity) in buckets (bucket, key, hub) whose components are those of all links in them."""
+    sizes = seqs.select("key", "n")
+    hubs = sizes.select(F.col("key").alias("hub"), F.col("n").alias("hub_n"))
+    return linked(open_.join(sizes, "key").join(hubs, "hub"), seqs.drop("n"), threshold)[0]
+
+
+def linked(open_: DataFrame, seqs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """Links (key, hub, similarity) in buckets (bucket, key, n, hub, hub_n) whose components are those of all links in
+    them, and (key, root) of these components.
 
     First every text is compared with one of its hubs, then all members of a bucket with its hub, but for those that
     this has joined already. Buckets whose members that leaves in several
     components are parted by length and their members compared with each other.
     """
-    pairs = open_.where("key <> hub").select("key", "hub").distinct()
-    sizes = seqs.select("key", "n")
-    pairs = pairs.join(sizes, "key").join(sizes.select(F.col("key").alias("hub"), F.col("n").alias("hub_n")), "hub")
     alike = F.least("n", "hub_n") >= threshold * F.greatest("n", "hub_n") - 1e-6
-    pairs = stored(pairs.where(alike).select("key", "hub"), "near-candidates")
+    pairs = open_.where(alike & (F.col("key") != F.col("hub"))).select("key", "hub").distinct()
+    pairs = stored(pairs, "near-candidates")
     enough = F.col("similarity") >= threshold - 1e-9
-    first = pairs.groupBy("key").agg(F.min("hub").alias("hub"))
+    first = stored(pairs.groupBy("key").agg(F.min("hub").alias("hub")), "near-first")
     found = stored(verified(first, seqs, threshold).where(enough), "near-pairs")
     roots = components(found)
     sides = pairs.join(first, ["key", "hub"], "left_anti").join(roots, "key", "left")
     sides = sides.join(roots.select(F.col("key").alias("hub"), F.col("root").alias("hub_root")), "hub", "left")
     apart = F.coalesce("root", "key") != F.coalesce("hub_root", "hub")
-    more = verified(sides.where(apart).select("key", "hub"), seqs, threshold).where(enough)
-    found = stored(found.unionByName(more), "near-pairs")
+    more = stored(sides.where(apart).select("key", "hub"), "near-more")
+    more = stored(verified(more, seqs, threshold).where(enough), "near-pairs")
+    found = found.unionByName(more)
     discard(pairs)
-    roots = components(found)
-    rows = open_.join(roots, "key", "left").select("bucket", "key", F.coalesce("root", "key").alias("root"))
+    roots = joined(roots, more)
+    rows = open_.join(roots, "key", "left").select("bucket", "key", "n", F.coalesce("root", "key").alias("root"))
     # two members are a hub and its only other one, already compared
-    several = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
-    several = stored(several.where("n > 2 and low <> high").select("bucket", "n"), "near-several")
+    several = rows.groupBy("bucket").agg(F.count("*").alias("members"), F.min("root").alias("low"), F.max("root").alias("high"))
+    several = several.where("members > 2 and low <> high").select("bucket", "members")
     rows = stored(rows.join(several, "bucket"), "near-open")
-    crowded = F.col("n") > MEMBERS
-    rest = rows.where(~crowded).drop("n")
+    crowded = F.col("members") > MEMBERS
+    rest = rows.where(~crowded).drop("members")
     crowd = stored(rows.where(crowded).select("key", "root").distinct(), "near-crowd")
     if not crowd.isEmpty():
         rest = rest.unionByName(rare_words(crowd, seqs, threshold))
-    if rows.isEmpty():
-        return found
+    elif rows.isEmpty():
+        return found, roots
     # texts of one class of lengths, or of neighbouring ones; pushed: in the next class
     part = F.floor(F.log("n") / (1e-9 - math.log(threshold))).cast("int")
     both = F.array(
         F.struct(part.alias("part"), F.lit(False).alias("pushed")), F.struct((part + 1).alias("part"), F.lit(True).alias("pushed"))
     )
-    rest = rest.join(seqs.select("key", F.explode(both).alias("at")), "key")
+    rest = rest.select("bucket", "key", "root", F.explode(both).alias("at"))
     rest = rest.select(F.xxhash64("bucket", "at.part").alias("bucket"), "key", "root", "at.pushed")
     rest = stored(unsettled(stored(rest, "near-parts")), "near-buckets")
-    return found.unionByName(stored(joining_links(rest, seqs, threshold), "near-pairs"))
+    last = stored(joining_links(rest, seqs, threshold), "near-pairs")
+    return found.unionByName(last), joined(roots, last)
 
 
-def links_of(docs: DataFrame, doc_id: str, text: str, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """(key, id) of all distinct texts, and links (key, hub, similarity) that give the classes."""
-    sketches = stored(sketched(docs, doc_id, text, threshold), "near-sketches")
+def links_of(docs: DataFrame, doc_id: str, text: str, threshold: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(key, id) of all distinct texts, links (key, hub, similarity) that give the classes, (key, root) of texts with links."""
+    sketches, made = sketched(docs, doc_id, text, threshold)
     texts = stored(sketches.select("key", "id"), "near-texts")
-    open_ = stored(shared_buckets(sketches.select("key", F.explode("sketch").alias("bucket"))), "near-buckets")
-    discard(sketches)
-    wanted = stored(open_.select("key").distinct().join(texts, "key"), "near-wanted")
-    seqs = stored(sequences(docs, wanted, doc_id, text), "near-sequences")
+    open_ = stored(shared_buckets(sketches.select(F.explode("sketch").alias("bucket"), "key", "n")), "near-buckets")
+    discard(made)
+    seqs = stored(sequences(docs, open_, text), "near-sequences")
     pair = F.least("key", "hub").alias("key"), F.greatest("key", "hub").alias("hub"), "similarity"
-    found = links_in(open_, seqs, threshold).select(*pair)
-    links = stored(found.dropDuplicates(["key", "hub"]), "near-links")
-    for table in (open_, wanted, seqs):
+    found, roots = linked(open_, seqs, threshold)
+    links = stored(found.select(*pair).dropDuplicates(["key", "hub"]), "near-links")
+    for table in (open_, seqs):
         discard(table)
-    return texts, links
+    return texts, links, roots
+
+
+def joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``roots``, as of ``components``, after more links: only components that these join are gone through again."""
+    ends = links.select("key", "hub").join(roots, "key", "left").select("hub", F.coalesce("root", "key").alias("a"))
+    hubs = roots.select(F.col("key").alias("hub"), "root")
+    ends = ends.join(hubs, "hub", "left").select(F.col("a").alias("key"), F.coalesce("root", "hub").alias("hub"))
+    ends = stored(ends.where("key <> hub").distinct(), "near-ends")
+    if ends.isEmpty():
+        return roots
+    top = components(ends)
+    new = top.select("key", F.col("key").alias("root")).join(roots, "key", "left_anti")
+    top = top.select(F.col("key").alias("root"), F.col("root").alias("up"))
+    after = roots.select("key", "root").unionByName(new).join(top, "root", "left")
+    return stored(after.select("key", F.coalesce("up", "root").alias("root")), "near-roots")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -473,8 +514,7 @@ def components(links: DataFrame) -> DataFrame:
 
 def classes(docs: DataFrame, doc_id: str, text: str, threshold: float) -> DataFrame:
     """Per distinct text: its class, the id and the text of the class's first document, its links met."""
-    texts, links = links_of(docs, doc_id, text, threshold)
-    roots = components(links)
+    texts, links, roots = links_of(docs, doc_id, text, threshold)
     degree = (
         links.select("key")
         .unionAll(links.select(F.col("hub").alias("key")))

@@ -489,6 +489,36 @@ def test_components_of_long_chains(spark):
     assert got == {bytes([k]): bytes([0 if k <= 30 else 31]) for k in range(61)}
 
 
+def test_components_after_more_links(spark):
+    rng = random.Random(3)
+    links = [(bytes([a]), bytes([b]), 1.0) for a, b in (rng.sample(range(80), 2) for _ in range(60))]
+    kind = "key binary, hub binary, similarity double"
+    before = minhash.components(spark.createDataFrame(links[:35], kind))
+    for more in (links[35:], links[:3], []):
+        got = minhash.joined(before, spark.createDataFrame(more, kind)).collect()
+        want = minhash.components(spark.createDataFrame(links[:35] + more, kind)).collect()
+        assert sorted((bytes(r.key), bytes(r.root)) for r in got) == sorted((bytes(r.key), bytes(r.root)) for r in want)
+
+
+def test_buckets_and_texts_of_single_documents_are_not_shuffled(spark):
+    rows = [(k, f"one two three four five w{k}") for k in range(40)] + [(99, "one two three four five w7"), (None, None), (5, "")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    found, made = minhash.sketched(docs, "doc_id", "text")
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    assert made.count() == len(rows)
+    got = {bytes(r.key): (r.id, r.n, r.sketch) for r in found.collect()}
+    assert found.count() == len(got) == 41
+    assert sorted(x[0] for x in got.values()) == sorted([*range(40), 5])
+    assert all(x[1] == 6 and len(x[2]) > minhash.SKETCHES for x in got.values() if x[1])
+    seqs = spark.createDataFrame([(bytes([k]), f"a{k} " * 9) for k in range(200)], "key binary, text string")
+    pairs = spark.createDataFrame([(b"\x01", b"\x02")], "key binary, hub binary")
+    taken = minhash.among(seqs, "key", minhash.bitmap(pairs, "hub"))
+    assert [bytes(r.key) for r in taken.collect()] == [b"\x02"]
+    # the rare words of a crowd bring the number of words: no join with the texts for it
+    crowd = seqs.limit(9).selectExpr("key", "key as root")
+    assert {r.n for r in minhash.rare_words(crowd, seqs, 0.8).collect()} == {9}
+
+
 # ---- pipeline ---------------------------------------------------------------------
 
 
