@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from doselake.llm.common import shielded, stored
+from doselake.llm.common import shielded, slices, stored
 
 WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 #: Letters of the longest piece, first letter of a word's first piece.
@@ -41,7 +41,8 @@ LONG, TINY, CELLS = 200, 1e-250, 200_000
 #: Rounds of expectation maximisation, count added to each piece, probability of a letter outside the vocabulary.
 ROUNDS, ADDED, OUTSIDE = 2, 0.1, 1e-9
 UNDETERMINED = "und"
-REMEMBERED, COUNTED = 400_000, 300_000
+#: Chunks a task remembers the score of, and those it counts before it emits their words: memory, not results.
+REMEMBERED, COUNTED = 100_000, 60_000
 BASE = np.uint64(0x100000001B3)
 
 
@@ -245,7 +246,7 @@ def count_words(docs: DataFrame, text: str, lang: str) -> DataFrame:
 
     def count(batches):
         seen: dict[str, Counter] = {}
-        for batch in batches:
+        for batch in slices(batches):
             for value, name in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 seen.setdefault(name, Counter()).update(value.split())
                 if sum(map(len, seen.values())) > COUNTED:
@@ -304,8 +305,8 @@ class Scorer:
 
     def forget(self) -> None:
         self.rows: dict[str, int] = {}
-        self.table = np.zeros((0, len(self.model.langs)))
-        self.letters = np.zeros(0, bool)
+        self.table = np.zeros((1024, len(self.model.langs)))
+        self.letters = np.zeros(1024, bool)
 
     def learn(self, new: list[str]) -> None:
         if len(self.rows) + len(new) > REMEMBERED:
@@ -322,10 +323,14 @@ class Scorer:
             logs = self.lattice.log_probs(list(distinct), self.model.probs)
             np.add.at(sums, owner, logs[[distinct[w] for w in words]])
             letters[owner] = True
-        for k, chunk in enumerate(new, len(self.rows)):
-            self.rows[chunk] = k
-        self.table = np.concatenate([self.table, sums])
-        self.letters = np.concatenate([self.letters, letters])
+        at, end = len(self.rows), len(self.rows) + len(new)
+        if end > len(self.letters):
+            # twice as long, so that what is there is copied now and then only
+            more = max(end, 2 * len(self.letters)) - at
+            self.table = np.concatenate([self.table[:at], np.zeros((more, self.table.shape[1]))])
+            self.letters = np.concatenate([self.letters[:at], np.zeros(more, bool)])
+        self.table[at:end], self.letters[at:end] = sums, letters
+        self.rows.update(zip(new, range(at, end), strict=True))
 
     def score(self, texts: list[str | None]) -> list[tuple[str, float]]:
         split = [(t or "").split() for t in texts]
@@ -350,6 +355,8 @@ class Scorer:
 def predict(docs: DataFrame, model: LanguageModel, text: str = "text", batch_chars: int = 2_000_000) -> DataFrame:
     """``docs`` with lang_pred and score."""
     kept = docs.columns
+    # the text is sent once, with the columns that pass through
+    place = kept.index(text)
     schema = T.StructType(
         [docs.schema[c] for c in kept]
         + [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
@@ -359,7 +366,7 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text", batch_cha
     def work(batches):
         scorer = Scorer(shared.value)
         for batch in batches:
-            at, n, texts = 0, batch.num_rows, batch.column(len(kept))
+            at, n, texts = 0, batch.num_rows, batch.column(place)
             while at < n:
                 part, size, end = [], 0, at
                 while end < n and (size < batch_chars or end == at):
@@ -375,4 +382,4 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text", batch_cha
                 )
                 at = end
 
-    return docs.select(*kept, F.col(text).alias("_text")).mapInArrow(work, schema)
+    return docs.mapInArrow(work, schema)

@@ -98,6 +98,21 @@ def test_language_of_awkward_rows(spark, awkward):
     assert language_id.predict(brute.empty(spark), model).count() == 0
 
 
+def test_language_scores_do_not_depend_on_what_is_remembered(spark, documents, monkeypatch):
+    pieces = language_id.load_pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    model = language_id.train(documents, pieces)
+    texts = [r.text for r in documents.limit(60).collect()]
+    want = language_id.Scorer(model).score(texts)
+    monkeypatch.setattr(language_id, "REMEMBERED", 3000)
+    scorer = language_id.Scorer(model)
+    got = [x for k in range(0, 60, 4) for x in scorer.score(texts[k : k + 4])]
+    assert [g[0] for g in got] == [w[0] for w in want]
+    assert [g[1] for g in got] == pytest.approx([w[1] for w in want])
+    # a text is sent to the task once
+    plan = language_id.predict(documents, model)._jdf.queryExecution().executedPlan().toString()
+    assert "_text" not in plan
+
+
 # ---- urls -------------------------------------------------------------------------
 
 
