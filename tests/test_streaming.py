@@ -10,6 +10,7 @@ from doselake.operators import layout, rollups
 from doselake.operators.rollups import ROLLUPS
 from doselake.plans import load
 from doselake.schema import CANONICAL, ENVELOPE_KEY
+from doselake.sources import landings
 from doselake.sources.months import read_months, read_parts
 from doselake.sources.pages import scan_envelopes
 from doselake.streaming import ingest
@@ -226,3 +227,22 @@ def test_one_file_per_page_stream(spark, tmp_path, sink):
 def test_unknown_refresh_mode(spark, tmp_path):
     with pytest.raises(ValueError):
         load.refresh(spark, str(tmp_path), str(tmp_path), mode="other")
+
+
+def test_pages_and_staged_rows_are_shuffled_once_at_most(spark, tmp_path, sink):
+    """Known landings come to the pages, and staged files are written on by the tasks that read them."""
+    src = tmp_path / "src"
+    land(src, {0: [record(0), record(1)], 1: [record(2)]})
+    run(spark, src, sink, tmp_path / "checkpoint")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        taken = landings.take(scan_envelopes(spark, str(src)), sink.staged_root, "other", 0)
+        assert "BroadcastHashJoin" in taken._jdf.queryExecution().executedPlan().toString()
+        assert [r["counts"] for r in taken.collect()] == [False, False]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    staged = read_months(spark, sink.staged_root).select(*CANONICAL)
+    layout.write_months(staged, str(tmp_path / "written"), writer="one", in_place=True)
+    fact = read_months(spark, str(tmp_path / "written")).select(*CANONICAL)
+    assert rows(fact) == rows(staged)
+    assert len(fact.inputFiles()) <= len(staged.inputFiles())
