@@ -41,8 +41,8 @@ LONG, TINY, CELLS = 200, 1e-250, 200_000
 #: Rounds of expectation maximisation, count added to each piece, probability of a letter outside the vocabulary.
 ROUNDS, ADDED, OUTSIDE = 2, 0.1, 1e-9
 UNDETERMINED = "und"
-#: Chunks a task remembers the score of, and those it counts before it emits their words: memory, not results.
-REMEMBERED, COUNTED = 100_000, 60_000
+#: Distinct words a task remembers the score of, and those it counts before it emits them: memory, not results.
+REMEMBERED, COUNTED = 300_000, 200_000
 BASE = np.uint64(0x100000001B3)
 
 
@@ -57,9 +57,9 @@ def load_pieces(path: str) -> list[str]:
     )
 
 
-def marked_words(text: str) -> list[str]:
-    """Words of a text, marked at their start."""
-    return [HEAD + word for word in WORD.findall(text.lower())]
+def words_of(text: str | None) -> list[str]:
+    """Words of a text."""
+    return WORD.findall(text.lower()) if text else []
 
 
 class Lattice:
@@ -233,13 +233,9 @@ def count_words(docs: DataFrame, text: str, lang: str) -> DataFrame:
     """(lang, word, n) over all rows."""
 
     def emit(seen: dict[str, Counter]):
-        for name, chunks in seen.items():
-            words: Counter = Counter()
-            for chunk, n in chunks.items():
-                for w in marked_words(chunk):
-                    words[w] += n
+        for name, words in seen.items():
             yield pa.RecordBatch.from_arrays(
-                [pa.array([name] * len(words), pa.string()), pa.array(list(words), pa.string()),
+                [pa.array([name] * len(words), pa.string()), pa.array([HEAD + w for w in words], pa.string()),
                  pa.array(list(words.values()), pa.int64())],
                 names=["lang", "word", "n"],
             )
@@ -248,7 +244,7 @@ def count_words(docs: DataFrame, text: str, lang: str) -> DataFrame:
         seen: dict[str, Counter] = {}
         for batch in slices(batches):
             for value, name in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                seen.setdefault(name, Counter()).update(value.split())
+                seen.setdefault(name, Counter()).update(words_of(value))
                 if sum(map(len, seen.values())) > COUNTED:
                     yield from emit(seen)
                     seen = {}
@@ -297,7 +293,7 @@ def train(docs: DataFrame, pieces: list[str], text: str = "text", lang: str = "l
 
 
 class Scorer:
-    """Scores texts; remembers the log probabilities of a bounded number of chunks."""
+    """Scores texts; remembers the log probabilities of a bounded number of words."""
 
     def __init__(self, model: LanguageModel):
         self.model, self.lattice = model, Lattice(model.pieces)
@@ -306,45 +302,29 @@ class Scorer:
     def forget(self) -> None:
         self.rows: dict[str, int] = {}
         self.table = np.zeros((1024, len(self.model.langs)))
-        self.letters = np.zeros(1024, bool)
 
     def learn(self, new: list[str]) -> None:
-        if len(self.rows) + len(new) > REMEMBERED:
-            self.forget()
-        words, owner = [], []
-        for k, chunk in enumerate(new):
-            for w in marked_words(chunk):
-                words.append(w)
-                owner.append(k)
-        sums = np.zeros((len(new), len(self.model.langs)))
-        letters = np.zeros(len(new), bool)
-        if words:
-            distinct = {w: k for k, w in enumerate(dict.fromkeys(words))}
-            logs = self.lattice.log_probs(list(distinct), self.model.probs)
-            np.add.at(sums, owner, logs[[distinct[w] for w in words]])
-            letters[owner] = True
         at, end = len(self.rows), len(self.rows) + len(new)
-        if end > len(self.letters):
+        if end > len(self.table):
             # twice as long, so that what is there is copied now and then only
-            more = max(end, 2 * len(self.letters)) - at
+            more = max(end, 2 * len(self.table)) - at
             self.table = np.concatenate([self.table[:at], np.zeros((more, self.table.shape[1]))])
-            self.letters = np.concatenate([self.letters[:at], np.zeros(more, bool)])
-        self.table[at:end], self.letters[at:end] = sums, letters
+        self.table[at:end] = self.lattice.log_probs([HEAD + w for w in new], self.model.probs)
         self.rows.update(zip(new, range(at, end), strict=True))
 
     def score(self, texts: list[str | None]) -> list[tuple[str, float]]:
-        split = [(t or "").split() for t in texts]
+        split = [words_of(t) for t in texts] if self.model.langs else [[]] * len(texts)
         new = set().union(*split).difference(self.rows)
         if len(self.rows) + len(new) > REMEMBERED:
             self.forget()
             new = set().union(*split)
         self.learn(sorted(new))
         out = []
-        for chunks in split:
-            rows = np.fromiter(map(self.rows.__getitem__, chunks), np.int64, len(chunks))
-            if not self.model.langs or not self.letters[rows].any():
+        for words in split:
+            if not words:
                 out.append((UNDETERMINED, 0.0))
                 continue
+            rows = np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words))
             logs = self.table[rows].sum(axis=0)
             best = int(np.argmax(logs))
             out.append((self.model.langs[best], float(1.0 / np.exp(logs - logs[best]).sum())))

@@ -113,6 +113,17 @@ def test_language_scores_do_not_depend_on_what_is_remembered(spark, documents, m
     assert "_text" not in plan
 
 
+def test_a_word_is_passed_over_once_whatever_stands_beside_it(monkeypatch):
+    model = language_id.LanguageModel(["de", "en"], ["a", "b"], np.full((2, 2), 0.5))
+    scorer, passed = language_id.Scorer(model), []
+    log_probs = scorer.lattice.log_probs
+    monkeypatch.setattr(scorer.lattice, "log_probs", lambda words, probs: passed.extend(words) or log_probs(words, probs))
+    first = scorer.score(["ab ba", None, "12"])
+    assert first[1:] == [("und", 0.0)] * 2
+    assert scorer.score(['"Ab", (BA)!'])[0] == first[0]
+    assert sorted(passed) == ["▁ab", "▁ba"]
+
+
 # ---- urls -------------------------------------------------------------------------
 
 
