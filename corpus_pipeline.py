@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from doselake.llm import bpe, decontaminate, language_id, minhash, suffix_dedup
-from doselake.llm.common import stored, table
+from doselake.llm.common import stored, table, trimmed
 from doselake.llm.queries import PASSAGE, tokenizer_file
 
 #: No SQL: language models, sketches, suffix arrays and merges; tests compare with brute force.
@@ -59,7 +59,7 @@ def without(docs: DataFrame, made: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([cols[n] for n in names], names=names)
 
     changed = F.col("n_removed") > 0
-    out = made.mapInArrow(whole, made.schema).where(~changed | F.col("text").rlike(r"[0-9A-Za-z]|[^\x00-\x7F]"))
+    out = made.mapInArrow(trimmed(whole), made.schema).where(~changed | F.col("text").rlike(r"[0-9A-Za-z]|[^\x00-\x7F]"))
     out = out.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return out.select(docs.columns)
 

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from doselake.llm.common import numbered, stored
+from doselake.llm.common import numbered, slices, stored, trimmed
 from doselake.llm.merging import Memory, Merges, spans, strings
 
 #: Words of the lexicon at most, bytes of its longest word.
@@ -365,7 +365,7 @@ def count_words(docs: DataFrame, rules: Rules, text: str = "text") -> DataFrame:
 
     def count(batches):
         seen: Counter = Counter()
-        for batch in batches:
+        for batch in slices(batches):
             for value in batch.column(0).to_pylist():
                 seen.update(spaced(value or ""))
                 if len(seen) > COUNTED:
@@ -373,7 +373,7 @@ def count_words(docs: DataFrame, rules: Rules, text: str = "text") -> DataFrame:
                     seen = Counter()
         yield from emit(seen)
 
-    parts = docs.select(text).mapInArrow(count, "word binary, n long")
+    parts = docs.select(text).mapInArrow(trimmed(count), "word binary, n long")
     return parts.groupBy("word").agg(F.sum("n").alias("n"))
 
 
@@ -433,7 +433,7 @@ def encode_decode(
                 yield pa.RecordBatch.from_arrays([*(piece.column(k) for k in kept), *columns], names=schema.names)
                 at = end
 
-    return numbered(docs).mapInArrow(work, schema)
+    return numbered(docs).mapInArrow(trimmed(work), schema)
 
 
 def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:

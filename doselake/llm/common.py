@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import functools
 import inspect
 import mmap
@@ -96,6 +97,26 @@ def discard(df: DataFrame) -> None:
 BITS, BLOCK_BITS = 27, 1 << 15
 
 
+def trimmed(work: Callable) -> Callable:
+    """``work`` on Arrow batches, after which its worker gives back the memory that it has no more use for.
+
+    Workers are kept for other tasks, several to a task where such steps follow one another, and else keep it as well.
+    """
+
+    @functools.wraps(work)
+    def run(batches):
+        try:
+            yield from work(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            # of the GNU C library; others have no such function
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return run
+
+
 def place(column: str) -> Column:
     """Where the bit of a column's value is in a bitmap."""
     return F.pmod(F.xxhash64(column), F.lit(1 << BITS))
@@ -127,17 +148,22 @@ def bitmap(rows: DataFrame, column: str) -> np.ndarray:
 
 def marked(rows: DataFrame, column: str, bits: np.ndarray, flag: str) -> DataFrame:
     """``rows`` with a flag: whether the bit of a column's value is set. Of other values one may have the same bit."""
-    shared = rows.sparkSession.sparkContext.broadcast(bits)
-    names = [*rows.columns, flag]
+    return flagged(rows, column, {flag: bits})
+
+
+def flagged(rows: DataFrame, column: str, maps: dict[str, np.ndarray]) -> DataFrame:
+    """``rows`` with a flag of each of the maps, as ``marked`` gives it, in one step."""
+    shared = rows.sparkSession.sparkContext.broadcast(list(maps.values()))
+    names = [*rows.columns, *maps]
 
     def look(batches):
         for batch in batches:
-            there = bits_at(shared.value, batch.column(batch.num_columns - 1).to_numpy())
-            columns = [*batch.columns[:-1], pa.array(there)]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            places = batch.column(batch.num_columns - 1).to_numpy()
+            there = [pa.array(bits_at(bits, places)) for bits in shared.value]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *there], names=names)
 
-    schema = T.StructType([*rows.schema.fields, T.StructField(flag, T.BooleanType())])
-    return rows.withColumn(flag, place(column)).mapInArrow(look, schema)
+    schema = T.StructType([*rows.schema.fields, *(T.StructField(flag, T.BooleanType()) for flag in maps)])
+    return rows.withColumn(next(iter(maps)), place(column)).mapInArrow(trimmed(look), schema)
 
 
 def among(rows: DataFrame, column: str, bits: np.ndarray) -> DataFrame:

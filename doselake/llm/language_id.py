@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from doselake.llm.common import shielded, slices, stored
+from doselake.llm.common import shielded, slices, stored, trimmed
 
 WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 #: Letters of the longest piece, first letter of a word's first piece.
@@ -251,7 +251,7 @@ def count_words(docs: DataFrame, text: str, lang: str) -> DataFrame:
         yield from emit(seen)
 
     rows = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(text, lang)
-    parts = rows.mapInArrow(count, "lang string, word string, n long")
+    parts = rows.mapInArrow(trimmed(count), "lang string, word string, n long")
     return parts.groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
@@ -282,7 +282,7 @@ def train(docs: DataFrame, pieces: list[str], text: str = "text", lang: str = "l
                     names=["lang", "piece", "n"],
                 )
 
-        parts = words.mapInArrow(expect, "lang int, piece int, n double")
+        parts = words.mapInArrow(trimmed(expect), "lang int, piece int, n double")
         # languages x pieces rows at most
         got = parts.groupBy("lang", "piece").agg(F.sum("n").alias("n")).toPandas()
         counts = np.zeros_like(probs)
@@ -362,4 +362,4 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text", batch_cha
                 )
                 at = end
 
-    return docs.mapInArrow(work, schema)
+    return docs.mapInArrow(trimmed(work), schema)

@@ -45,6 +45,7 @@ from doselake.llm.common import (
     bitmap,
     bits_at,
     discard,
+    flagged,
     mixed,
     partitions,
     place,
@@ -52,6 +53,7 @@ from doselake.llm.common import (
     slices,
     stored,
     text_key,
+    trimmed,
     word_digests,
 )
 
@@ -214,16 +216,23 @@ def sketched(docs: DataFrame, doc_id: str, text: str, threshold: float = THRESHO
             )
 
     schema = f"key binary, id {kind}, n int, sketch array<bigint>, copied boolean"
-    made = stored(rows.withColumn("at", place("key")).mapInArrow(sketch, schema), "near-sketched")
+    made = stored(rows.withColumn("at", place("key")).mapInArrow(trimmed(sketch), schema), "near-sketched")
     several = made.where("copied").groupBy("key")
     several = several.agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     return made.where("not copied").drop("copied").unionByName(stored(several, "near-copied")), made
 
 
-def sequences(docs: DataFrame, wanted: DataFrame, text: str) -> DataFrame:
-    """(key, text) of the wanted keys, and of a few others: texts, which take less room than digests of words."""
+def sequences(docs: DataFrame, wanted: DataFrame, text: str, copied: np.ndarray) -> tuple[DataFrame, list[DataFrame]]:
+    """(key, text) of the wanted keys, and of a few others: texts, which take less room than digests of words; and the
+    tables it reads.
+
+    Only texts whose bit is set in ``copied`` may occur more than once and are shuffled for that.
+    """
     rows = docs.select(text_key(text).alias("key"), F.col(text).alias("text"))
-    return among(rows, "key", bitmap(wanted, "key")).dropDuplicates(["key"])
+    rows = flagged(rows, "key", {"wanted": bitmap(wanted, "key"), "copied": copied})
+    made = stored(rows.where("wanted").drop("wanted"), "near-sequences")
+    several = stored(made.where("copied").drop("copied").dropDuplicates(["key"]), "near-sequences")
+    return made.where("not copied").drop("copied").unionByName(several), [made, several]
 
 
 def verified(pairs: DataFrame, seqs: DataFrame, threshold: float) -> DataFrame:
@@ -244,17 +253,24 @@ def verified(pairs: DataFrame, seqs: DataFrame, threshold: float) -> DataFrame:
             )
 
     return sides.select("key", "hub", "text", "hub_text").mapInArrow(
-        align, "key binary, hub binary, similarity double"
+        trimmed(align), "key binary, hub binary, similarity double"
     )
 
 
 def shared_buckets(rows: DataFrame) -> DataFrame:
-    """(bucket, key, n, hub, hub_n) of every bucket of two or more of (bucket, key, n)."""
+    """(bucket, key, n, hub, hub_n, members) of every bucket of two or more of (bucket, key, n)."""
     seen = rows.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
     rows = among(rows, "bucket", bitmap(seen, "bucket"))
     hubs = rows.groupBy("bucket").agg(F.min(F.struct("key", "n")).alias("hub"), F.count("*").alias("members"))
-    hubs = hubs.where("members > 1").select("bucket", F.col("hub.key").alias("hub"), F.col("hub.n").alias("hub_n"))
-    return rows.join(hubs, "bucket").select("bucket", "key", "n", "hub", "hub_n")
+    hubs = hubs.where("members > 1")
+    hubs = hubs.select("bucket", F.col("hub.key").alias("hub"), F.col("hub.n").alias("hub_n"), "members")
+    return rows.join(hubs, "bucket").select("bucket", "key", "n", "hub", "hub_n", "members")
+
+
+def of_several_roots(rows: DataFrame) -> DataFrame:
+    """The rows (bucket, root, ...) of buckets with several roots, and of a few others, without a shuffle of whole rows."""
+    roots = rows.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    return among(rows, "bucket", bitmap(roots, "bucket"))
 
 
 def unsettled(rows: DataFrame) -> DataFrame:
@@ -396,7 +412,7 @@ def joining_links(rows: DataFrame, seqs: DataFrame, threshold: float) -> DataFra
     return (
         held.repartition(partitions(rows.sparkSession), "bucket", "i", "j")
         .sortWithinPartitions("bucket", "i", "j", "second", "root", "key")
-        .mapInArrow(work, "key binary, hub binary, similarity double")
+        .mapInArrow(trimmed(work), "key binary, hub binary, similarity double")
     )
 
 
@@ -404,12 +420,13 @@ def links_in(open_: DataFrame, seqs: DataFrame, threshold: float) -> DataFrame:
     """Links (key, hub, similarity) in buckets (bucket, key, hub) whose components are those of all links in them."""
     sizes = seqs.select("key", "n")
     hubs = sizes.select(F.col("key").alias("hub"), F.col("n").alias("hub_n"))
-    return linked(open_.join(sizes, "key").join(hubs, "hub"), seqs.drop("n"), threshold)[0]
+    members = open_.groupBy("bucket").agg(F.count("*").alias("members"))
+    return linked(open_.join(sizes, "key").join(hubs, "hub").join(members, "bucket"), seqs.drop("n"), threshold)[0]
 
 
 def linked(open_: DataFrame, seqs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """Links (key, hub, similarity) in buckets (bucket, key, n, hub, hub_n) whose components are those of all links in
-    them, and (key, root) of these components.
+    """Links (key, hub, similarity) in buckets (bucket, key, n, hub, hub_n, members) whose components are those of all links
+    in them, and (key, root) of these components.
 
     First every text is compared with one of its hubs, then all members of a bucket with its hub, but for those that
     this has joined already. Buckets whose members that leaves in several
@@ -430,16 +447,17 @@ def linked(open_: DataFrame, seqs: DataFrame, threshold: float) -> tuple[DataFra
     found = found.unionByName(more)
     discard(pairs)
     roots = joined(roots, more)
-    rows = open_.join(roots, "key", "left").select("bucket", "key", "n", F.coalesce("root", "key").alias("root"))
     # two members are a hub and its only other one, already compared
-    several = rows.groupBy("bucket").agg(F.count("*").alias("members"), F.min("root").alias("low"), F.max("root").alias("high"))
-    several = several.where("members > 2 and low <> high").select("bucket", "members")
-    rows = stored(rows.join(several, "bucket"), "near-open")
+    rooted = open_.where("members > 2").join(roots, "key", "left")
+    rooted = stored(rooted.select("bucket", "key", "n", "members", F.coalesce("root", "key").alias("root")), "near-rooted")
+    rows = stored(of_several_roots(rooted), "near-open")
+    discard(rooted)
     crowded = F.col("members") > MEMBERS
     rest = rows.where(~crowded).drop("members")
     crowd = stored(rows.where(crowded).select("key", "root").distinct(), "near-crowd")
     if not crowd.isEmpty():
-        rest = rest.unionByName(rare_words(crowd, seqs, threshold))
+        # most rare words are those of one text
+        rest = rest.unionByName(of_several_roots(stored(rare_words(crowd, seqs, threshold), "near-words")))
     elif rows.isEmpty():
         return found, roots
     # texts of one class of lengths, or of neighbouring ones; pushed: in the next class
@@ -459,12 +477,13 @@ def links_of(docs: DataFrame, doc_id: str, text: str, threshold: float) -> tuple
     sketches, made = sketched(docs, doc_id, text, threshold)
     texts = stored(sketches.select("key", "id"), "near-texts")
     open_ = stored(shared_buckets(sketches.select(F.explode("sketch").alias("bucket"), "key", "n")), "near-buckets")
+    copied = bitmap(made.where("copied"), "key")
     discard(made)
-    seqs = stored(sequences(docs, open_, text), "near-sequences")
+    seqs, held = sequences(docs, open_, text, copied)
     pair = F.least("key", "hub").alias("key"), F.greatest("key", "hub").alias("hub"), "similarity"
     found, roots = linked(open_, seqs, threshold)
     links = stored(found.select(*pair).dropDuplicates(["key", "hub"]), "near-links")
-    for table in (open_, seqs):
+    for table in (open_, *held):
         discard(table)
     return texts, links, roots
 

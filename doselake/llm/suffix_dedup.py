@@ -60,6 +60,7 @@ from doselake.llm.common import (
     slices,
     stored,
     text_key,
+    trimmed,
     word_digests,
 )
 
@@ -375,7 +376,7 @@ def stretches(docs: DataFrame, length: int, width: int = BYTES) -> DataFrame:
                 names=["name", "digest", "key", "id", "start", "n", "twice"],
             )
 
-    return docs.mapInArrow(cut, "name long, digest long, key binary, id string, start int, n int, twice boolean")
+    return docs.mapInArrow(trimmed(cut), "name long, digest long, key binary, id string, start int, n int, twice boolean")
 
 
 def cut_out(docs: DataFrame, wanted: DataFrame, length: int, width: int = BYTES) -> DataFrame:
@@ -397,7 +398,7 @@ def cut_out(docs: DataFrame, wanted: DataFrame, length: int, width: int = BYTES)
                 [pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["name", "digest", "raw"]
             )
 
-    return rows.mapInArrow(cut, "name long, digest long, raw binary")
+    return rows.mapInArrow(trimmed(cut), "name long, digest long, raw binary")
 
 
 def intervals(flags: np.ndarray) -> tuple[list[int], list[int]]:
@@ -440,7 +441,7 @@ def sorted_repeats(cuts: DataFrame, length: int, find) -> DataFrame:
     return (
         cuts.repartition(partitions(cuts.sparkSession), "name")
         .sortWithinPartitions("name")
-        .mapInArrow(work, "name long, digest long, spans array<struct<s:int,e:int>>")
+        .mapInArrow(trimmed(work), "name long, digest long, spans array<struct<s:int,e:int>>")
     )
 
 
@@ -593,4 +594,4 @@ def remove_repeats(
                 names=schema.names,
             )
 
-    return rows.mapInArrow(work, schema)
+    return rows.mapInArrow(trimmed(work), schema)

@@ -519,6 +519,24 @@ def test_buckets_and_texts_of_single_documents_are_not_shuffled(spark):
     assert {r.n for r in minhash.rare_words(crowd, seqs, 0.8).collect()} == {9}
 
 
+def test_rows_of_settled_buckets_and_single_texts_are_left_out_before_shuffles(spark):
+    # of the words of 200 texts one alone is in two texts, of different classes
+    words = [(k, bytes([k]), bytes([k]), 9) for k in range(200)] + [(7, b"\xf0", b"\xf0", 9), (8, b"\xf1", bytes([8]), 9)]
+    rows = spark.createDataFrame(words, "bucket long, key binary, root binary, n int")
+    left = minhash.of_several_roots(rows)
+    assert sorted((r.bucket, bytes(r.key)) for r in left.collect()) == [(7, b"\x07"), (7, b"\xf0")]
+    # buckets know their number of members
+    sketched = spark.createDataFrame([(1, b"a", 3), (1, b"b", 3), (1, b"c", 4), (2, b"a", 3)], "bucket long, key binary, n int")
+    assert {(r.bucket, r.members) for r in minhash.shared_buckets(sketched).collect()} == {(1, 3)}
+    # only texts that occur more than once are shuffled as a whole
+    docs = spark.createDataFrame([(k, f"text {k % 9}x{k // 9}") for k in range(90)] + [(90, "text 0x0")], "doc_id int, text string")
+    keyed = docs.select(minhash.text_key("text").alias("key"))
+    copied = minhash.bitmap(keyed.groupBy("key").count().where("count > 1"), "key")
+    seqs, held = minhash.sequences(docs, keyed, "text", copied)
+    assert seqs.count() == 90 and held[0].where("copied").count() == 2
+    assert held[0].count() == 91
+
+
 # ---- pipeline ---------------------------------------------------------------------
 
 
