@@ -246,3 +246,21 @@ def test_pages_and_staged_rows_are_shuffled_once_at_most(spark, tmp_path, sink):
     fact = read_months(spark, str(tmp_path / "written")).select(*CANONICAL)
     assert rows(fact) == rows(staged)
     assert len(fact.inputFiles()) <= len(staged.inputFiles())
+
+
+def test_live_rollups_read_the_columns_they_need(spark, tmp_path, monkeypatch, sf_dir):
+    from doselake import registry
+
+    src = registry._fact(spark, sf_dir)
+    taken, write = [], ingest.write_partials
+    monkeypatch.setattr(ingest, "write_partials", lambda df, *x: taken.append(df.columns) or write(df, *x))
+    want = sorted(registry.stream_rollup_a(spark, sf_dir).collect())
+    assert want == sorted(rollups.estimate(rollups.build(spark.read.parquet(src), ROLLUPS[0])).collect())
+    assert {len(columns) for columns in taken} == {8}
+    # a quarter of the files is a batch, three at least and 48 at most
+    taken.clear()
+    for _ in range(40):
+        spark.read.parquet(src).limit(5).coalesce(1).write.mode("append").parquet(str(tmp_path / "many"))
+    monkeypatch.setattr(registry, "_fact", lambda *_: str(tmp_path / "many"))
+    registry.stream_rollup_a(spark, sf_dir)
+    assert len(taken) == 4
