@@ -39,6 +39,8 @@ from doselake.schema import CANONICAL, MONTH, WRITER
 from doselake.sources.months import as_label
 
 SHARD_ROWS = 1_500_000
+#: Rows that a task of a generation to the table makes, about, where shards are smaller.
+TASK_ROWS = 100_000
 SHARD_LEDGER = f"seed bigint, {MONTH} string, shard bigint, done boolean"
 SEED = 42
 #: Sort order of a shard.
@@ -386,19 +388,25 @@ def generate_to_table(
     part of its own in the table, so one whose run ended before the ledger was written replaces itself, also
     after compaction has moved it. Rows pass the gate of the table: what it can't hold is set
     aside by shard, or stops the run if there is nowhere to put it.
+
+    Identities are dealt out by shard, few columns, and become records in the task that sorts and writes their shard. Where
+    weight tables have to be joined, which deals rows out anew, the records are brought together again.
     """
     spark = rows.sparkSession
     name = F.concat_ws(".", F.lit(SYNTH), F.lit(str(seed)), F.col("shard"))
     ended = read_or_none(spark, SHARD_LEDGER, ledger_root).where(F.col("seed") == seed)
     begun, ended = ended.where("not done"), ended.where("done")
-    plan = rows.select(MONTH, "shard").distinct()
+    plan = rows.groupBy(MONTH, "shard").agg(F.count("*").alias("n"))
     todo = plan.join(ended, [MONTH, "shard"], "left_anti").join(
         begun.select(MONTH, "shard", F.lit(True).alias("begun")).distinct(), [MONTH, "shard"], "left"
     )
     # one row per shard
-    todo = [(r[MONTH], r["shard"], bool(r["begun"])) for r in todo.collect()]
+    todo = todo.collect()
     if not todo:
         return
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), sum(r["n"] for r in todo) // TASK_ROWS)
+    tasks = min(len(todo), tasks)
+    todo = [(r[MONTH], r["shard"], bool(r["begun"])) for r in todo]
 
     def note(done: bool) -> None:
         entries = [(seed, m, s, done) for m, s, _ in todo]
@@ -420,12 +428,16 @@ def generate_to_table(
     elif not bad.isEmpty():
         raise ValueError("rows the fact table cannot hold; give reject_root to set them aside")
     note(done=False)
+    whole = not sampler.joins(SAMPLED)
+    if whole:
+        dealt = mine.repartition(tasks, MONTH, "shard")
+        judged = load_judge(build_records(dealt, sampler, months, seed, method, keep=("shard",)))
     made = accepted(judged, keep=(MONTH, "shard")).withColumn(WRITER, name).drop("shard")
     again = sorted({f"{SYNTH}.{seed}.{s}" for _, s, known in todo if known})
     if again:
-        put_parts(spark, made.where(F.col(WRITER).isin(again)), fact_root, again)
+        put_parts(spark, made.where(F.col(WRITER).isin(again)), fact_root, again, in_place=whole)
         made = made.where(~F.col(WRITER).isin(again))
-    write_months(made.drop(MONTH), fact_root, bloom=BLOOM, writer=F.col(WRITER))
+    write_months(made.drop(MONTH), fact_root, bloom=BLOOM, writer=F.col(WRITER), in_place=whole)
     note(done=True)
 
 

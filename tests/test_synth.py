@@ -333,3 +333,18 @@ def test_profile_round_trip(spark, sf_dir, fact):
     n = fact.count()
     assert per["vacina"] == per["idade"] == n
     assert per["fabricante"] == fact.where("codigo_vacina_fabricante is not null").count() < n
+
+
+def test_shards_become_records_in_the_tasks_that_write_them(spark, fact, tmp_path, monkeypatch):
+    sampler = sampling.Sampler.prepare(profile.frequency_profile(fact), str(tmp_path / "w"))
+    written = []
+    write = synth.write_months
+    monkeypatch.setattr(synth, "write_months", lambda df, *x, **kw: written.append(df) or write(df, *x, **kw))
+    # all identities in one task, as a small file gives them
+    rows_ = synth.shard_identities(spark, {202501: 50}, shard_rows=10).coalesce(1)
+    synth.generate_to_table(rows_, sampler, [202501], str(tmp_path / "t"), str(tmp_path / "l"))
+    plan = written[0]._jdf.queryExecution().executedPlan().toString()
+    shuffled = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(shuffled) == 1 and ", 5)" in shuffled[0].replace(", REPARTITION_BY_NUM", ")")
+    files = months.read_months(spark, str(tmp_path / "t")).groupBy(F.input_file_name()).count().collect()
+    assert [r["count"] for r in files] == [10] * 5
