@@ -537,6 +537,31 @@ def test_rows_of_settled_buckets_and_single_texts_are_left_out_before_shuffles(s
     assert held[0].count() == 91
 
 
+def test_members_of_buckets_are_compared_without_their_texts(spark, monkeypatch):
+    """Pairs to align come from classes of words, each member once a bucket, however many lengths there are."""
+    monkeypatch.setattr(minhash, "MEMBERS", 3)
+    rng = random.Random(8)
+    texts = []
+    for k in range(6):
+        own = [f"o{k}x{j}" for j in range(60 + 15 * k)]
+        texts.append(own)
+        texts.append([w if rng.random() > 0.1 else f"e{k}{w}" for w in own])
+    words = [minhash.sequence(" ".join(t)) for t in texts]
+    rows = [(bucket, bytes([k]), bytes([k]), len(w), minhash.binned(w)) for bucket in (1, 2) for k, w in enumerate(words)]
+    # settled: of one class; longer than a byte counts
+    rows += [(3, bytes([k]), b"\x00", 400, minhash.binned(np.zeros(400, np.uint64))) for k in (100, 101)]
+    rows += [(4, bytes([k]), bytes([k]), 400, minhash.binned(np.zeros(400, np.uint64))) for k in (102, 103)]
+    buckets = spark.createDataFrame(rows, "bucket long, key binary, root binary, n int, bins binary")
+    got = {(r.key[0], r.hub[0]) for r in minhash.candidates(buckets, 0.8).collect()}
+    alike = {
+        (a, b) for b in range(12) for a in range(b) if minhash.similarity(words[a], words[b]) >= 0.8 - 1e-9
+    }
+    assert {(2 * k, 2 * k + 1) for k in range(6)} <= alike | got
+    assert alike <= got and (102, 103) in got and (100, 101) not in got and len(got) < 20
+    made = minhash.candidates(buckets, 0.8)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in made and "text" not in made
+
+
 # ---- pipeline ---------------------------------------------------------------------
 
 
