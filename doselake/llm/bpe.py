@@ -14,7 +14,7 @@ of the ids by a space, as a file without decoder asks.
 
 Null counts as the empty text: no tokens, empty strings. Rows do not depend on each other;
 repeated rows are encoded alike, an empty table gives an empty result. Long texts cost
-time in proportion; a worker remembers a bounded number of chunks of text. Columns ``n_tokens ids decoded`` of the
+time in proportion; a worker remembers a bounded number of chunks of text, and when that is reached those it met more than once. Columns ``n_tokens ids decoded`` of the
 input are replaced, all others are carried along, whatever their names.
 """
 
@@ -100,13 +100,18 @@ class Rules:
         )
 
     def __post_init__(self):
-        self.pieces = regex.compile(self.pattern)
-
-    def words(self, chunk: str) -> list[bytes]:
-        """Words of a piece of text without white space and special tokens."""
-        if not chunk.isascii():
-            chunk = unicodedata.normalize("NFC", chunk).replace("Σ", "σ")
-        return [w.encode("utf-8", "replace") for w in self.pieces.findall(chunk.lower())]
+        self.lines = regex.compile(self.pattern + r"|\n")
+
+    def words(self, chunks: list[str]) -> tuple[list[str], list[int]]:
+        """(words of pieces of text without white space and special tokens, one after the other; number of each piece)."""
+        # a line each: nothing in the pattern or the forms of letters reaches over the end of a line
+        text = "\n".join(chunks)
+        if not text.isascii():
+            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
+        found = self.lines.findall(text.lower())
+        ends = [k for k, w in enumerate(found) if w == "\n"] + [len(found)]
+        counts = [b - a - 1 for a, b in zip([-1, *ends[:-1]], ends, strict=True)]
+        return [w for w in found if w != "\n"], counts if chunks else []
 
     def merge(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(token ids of all words one after the other, number of ids of each)."""
@@ -243,9 +248,10 @@ class Lexicon:
         rows = np.flatnonzero(lengths <= LONGEST)
         if not self.n_moves or not len(rows):
             return out
+        sizes = lengths[rows]
         letters = np.zeros((len(rows), LONGEST), np.uint8)
-        for k, row in enumerate(rows):
-            letters[k, : lengths[row]] = np.frombuffer(words[row], np.uint8)
+        flat = np.frombuffer(b"".join([words[row] for row in rows.tolist()]), np.uint8)
+        letters.reshape(-1)[spans(np.arange(len(rows)) * LONGEST, sizes)] = flat
         state = np.full(len(rows), self.n_states - 1, np.int64)
         number = np.zeros(len(rows), np.int64)
         alive = np.arange(len(rows))
@@ -284,6 +290,27 @@ class Encoder:
         for text in special:
             memory.known[text]
         memory.add(np.array(list(special.values()), np.int32), np.ones(len(special), np.int64), 0)
+        self.fresh()
+
+    def fresh(self) -> None:
+        """From now on it counts how often chunks are met."""
+        self.met = np.zeros(self.memory.words, np.int64)
+
+    def tidy(self) -> None:
+        """Forget chunks met once since the last time, or all if that leaves too many."""
+        memory, kept = self.memory, len(self.rules.special)
+        chunks = list(memory.known)
+        often = np.flatnonzero(self.met[: len(chunks)] > 1)
+        often = often[often >= kept]
+        sizes = memory.sizes[often]
+        ids = memory.ids[spans(memory.starts[often], sizes)]
+        self.begin()
+        words = [chunks[k] for k in often.tolist()]
+        letters = sum(map(len, words))
+        if len(words) <= memory.words // 2 and letters + len(ids) <= memory.room // 2:
+            for word in words:
+                memory.known[word]
+            memory.add(ids, sizes, letters)
 
     def split(self, text: str) -> list[str]:
         special = self.rules.special
@@ -293,10 +320,11 @@ class Encoder:
 
     def learn(self, new: list[str]) -> None:
         """Encode chunks not seen before: their words by the lexicon, the rest by merging."""
-        words = [self.rules.words(c) for c in new]
-        place: dict[bytes, int] = {}
-        flat = [place.setdefault(w, len(place)) for ws in words for w in ws]
-        distinct = list(place)
+        words, n_words = self.rules.words(new)
+        distinct = list(dict.fromkeys(words))
+        place = dict(zip(distinct, range(len(distinct)), strict=True))
+        at = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
+        distinct = encoded(distinct)
         number = self.lexicon.numbers(distinct)
         held, other = np.flatnonzero(number >= 0), np.flatnonzero(number < 0)
         starts, sizes = (np.zeros(len(distinct), np.int64) for _ in range(2))
@@ -308,28 +336,37 @@ class Encoder:
         if len(other):
             merged, sizes[other] = self.rules.merge([distinct[k] for k in other.tolist()])
             starts[other] = len(known) + np.cumsum(sizes[other]) - sizes[other]
-        at = np.array(flat, np.int64)
         ids = np.concatenate([known, merged])[spans(starts[at], sizes[at])]
         upto = np.concatenate([[0], np.cumsum(sizes[at])])
-        counts = np.diff(upto[np.cumsum([0, *map(len, words)])])
+        counts = np.diff(upto[np.cumsum([0, *n_words])])
         self.memory.add(ids, counts, sum(map(len, new)))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, number of ids of each)."""
         if self.memory.full():
-            self.begin()
+            self.tidy()
         chunks, counts = [], []
         for text in texts:
             parts = self.split(text)
             chunks += parts
             counts.append(len(parts))
         known = self.memory.known
+        new = [c for c in dict.fromkeys(chunks) if c not in known]
+        known.update(zip(new, range(len(known), len(known) + len(new)), strict=True))
         numbers = np.fromiter(map(known.__getitem__, chunks), np.int64, len(chunks))
-        if known.new:
-            self.learn(known.new)
+        if new:
+            self.learn(new)
+        if len(known) > len(self.met):
+            self.met = np.concatenate([self.met, np.zeros(len(known) - len(self.met), np.int64)])
+        self.met[: len(known)] += np.bincount(numbers, minlength=len(known))
         return self.memory.gather(numbers, counts)
 
 
+def encoded(words: list[str]) -> list[bytes]:
+    """The words, none of which holds an end of line, in UTF-8."""
+    return "\n".join(words).encode("utf-8", "replace").split(b"\n") if words else []
+
+
 def spaced(text: str) -> list[str]:
     """Chunks between white space."""
     if ODD_SPACE.search(text):
@@ -353,15 +390,14 @@ def count_words(docs: DataFrame, rules: Rules, text: str = "text") -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(rules)
 
     def emit(chunks: Counter):
-        words: Counter = Counter()
-        for chunk, n in chunks.items():
-            for w in shared.value.words(chunk):
-                if len(w) <= LONGEST:
-                    words[w] += n
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(words), pa.binary()), pa.array(list(words.values()), pa.int64())],
-            names=["word", "n"],
-        )
+        words: dict[str, int] = {}
+        found, n_words = shared.value.words(list(chunks))
+        for w, n in zip(found, np.repeat(np.fromiter(chunks.values(), np.int64, len(chunks)), n_words).tolist(), strict=True):
+            words[w] = words.get(w, 0) + n
+        made = pa.array(encoded(list(words)), pa.binary())
+        short = pa.array(np.fromiter(map(len, made.to_pylist()), np.int64, len(made)) <= LONGEST)
+        counts = pa.array(words.values(), pa.int64())
+        yield pa.RecordBatch.from_arrays([made.filter(short), counts.filter(short)], names=["word", "n"])
 
     def count(batches):
         seen: Counter = Counter()

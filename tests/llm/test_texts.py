@@ -399,6 +399,24 @@ def test_tokens_equal_the_library(spark, awkward, documents):
     check_tokens(docs.limit(3), rows[:3], 0)
 
 
+def test_chunks_met_again_stay_in_memory(monkeypatch):
+    """A full memory forgets what it met once; new chunks are split all at once."""
+    monkeypatch.setattr(bpe, "REMEMBERED", 40)
+    rules = bpe.Rules.load(BPE_FILE)
+    encoder = bpe.Encoder(rules, bpe.Lexicon.compile([], {}))
+    learnt, library = [], Tokenizer.from_file(BPE_FILE)
+    learn = encoder.learn
+    monkeypatch.setattr(encoder, "learn", lambda new: (learnt.extend(new), learn(new)))
+    often = "don't I'LL e\u0301 ΑΣ often. x \u0338"
+    for k in range(12):
+        text = f"{often} <|endoftext|> " + " ".join(f"w{k}x{j}," for j in range(15)) + " " + often
+        ids, sizes = encoder.encode([text, ""])
+        assert ids.tolist() == library.encode(text, add_special_tokens=False).ids and sizes.tolist() == [len(ids), 0]
+        assert len(encoder.memory.known) <= 100
+    assert learnt.count("don't") == learnt.count("often.") == 1 and len(set(learnt)) == 12 * 15 + 7
+    assert rules.words(["a\u0301b", "", "c1-"]) == (["áb", "c", "1", "-"], [1, 0, 3]) and rules.words([]) == ([], [])
+
+
 def test_lexicon_numbers_words_and_shares_suffixes():
     words = sorted({w.encode() for w in "walking talking balking walked talked balked é walk".split()})
     lexicon = bpe.Lexicon.compile(words, {w: [k, k + 1] for k, w in enumerate(words)}).open()
