@@ -14,8 +14,11 @@ from doselake.adapters import (
     GENERATED_MONTHS,
     PACKED,
     as_doses,
+    as_records,
     dose_events,
     dose_lines,
+    event_rows,
+    file_count,
     land_events,
     order_rows,
     raw_events,
@@ -30,7 +33,7 @@ from doselake.operators.rollups import STATE_DEMOGRAPHICS as B
 from doselake.operators.rollups import STATE_VACCINE_DATE as A
 from doselake.plans import insights, load, synth
 from doselake.schema import CANONICAL, ENVELOPE_KEY, FACT_SCHEMA, FIELDS, MONTH, PAGE_SCHEMA
-from doselake.session import work_dir
+from doselake.session import wide_rows, work_dir
 from doselake.sources import legacy, months, pages
 from doselake.streaming import progress
 from doselake.streaming.ingest import IngestSink, start_ingest, start_live_rollups
@@ -257,7 +260,7 @@ def clean_records(spark, sf_dir):
 
 
 def _record_lines(spark: SparkSession, sf_dir: str) -> str:
-    """Raw records as JSON lines; every 37th line is cut short."""
+    """Raw records as packed JSON lines; every 37th line is cut short."""
 
     def write(path: str) -> None:
         rec = F.to_json(F.struct(*CANONICAL))
@@ -265,8 +268,10 @@ def _record_lines(spark: SparkSession, sf_dir: str) -> str:
             F.col("event_id") % 37 == 0,
             F.concat(F.lit('{"codigo_documento": "cut-'), F.col("event_id").cast("string")),
         ).otherwise(rec)
-        raw = raw_events(spark, sf_dir, keep=("event_id",))
-        raw.select(line.alias("value")).write.text(path)
+        events = event_rows(spark, sf_dir)
+        raw = as_records(events.repartition(file_count(events)), keep=("event_id",))
+        with wide_rows(spark):
+            raw.select(line.alias("value")).write.options(**PACKED).text(path)
 
     return _once(spark, sf_dir, "record-lines", write)
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -33,6 +35,31 @@ def builder(app: str = "doselake") -> SparkSession.Builder:
         b = b.config(key, value)
     return b
 
+#: Bytes of files that a task reads for wide rows, which take some forty times as much in memory.
+WIDE_READ_BYTES = 16 * 1024 * 1024
+
+
+@contextmanager
+def wide_rows(spark: SparkSession) -> Iterator[None]:
+    """Settings for what is written inside: rows of 56 columns, or the text of such.
+
+    Tasks read little enough that what they sort and shuffle stays in memory, and shuffle files go when the write that
+    made them has ended, instead of whenever the driver collects garbage.
+    """
+    most = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    now = {
+        "spark.sql.files.maxPartitionBytes": str(min(most, WIDE_READ_BYTES)),
+        "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    }
+    before = {k: spark.conf.get(k, None) for k in now}
+    for key, value in now.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
 
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for intermediate tables.
