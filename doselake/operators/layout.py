@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from doselake.functions.calendar import month_label
 from doselake.operators.cleaning import PROBLEM, accepted, load_judge, rejected
 from doselake.schema import CANONICAL, FACT_SCHEMA, MONTH, WRITER
-from doselake.session import remove
+from doselake.session import remove, wide_rows
 from doselake.sources.months import misplaced, read_exchange, read_months, read_parts
 
 #: Fact order: state and vaccine narrow a scan first, date and age trim within.
@@ -95,15 +95,16 @@ def write_months(
     if not in_place:
         labelled = labelled.hint("rebalance", *keys, *[c for c in spread if c not in keys])
     ordered = labelled.sortWithinPartitions(*keys, *sort)
-    (
-        (shape(ordered, tuple(keys)) if shape else ordered)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("maxRecordsPerFile", rows_per_file)
-        .options(**file_options(bloom, row_group_bytes))
-        .partitionBy(*keys)
-        .parquet(root)
-    )
+    with wide_rows(df.sparkSession):
+        (
+            (shape(ordered, tuple(keys)) if shape else ordered)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .option("maxRecordsPerFile", rows_per_file)
+            .options(**file_options(bloom, row_group_bytes))
+            .partitionBy(*keys)
+            .parquet(root)
+        )
 
 
 def gate(df: DataFrame, reject_root: str | None) -> DataFrame:
@@ -145,10 +146,12 @@ def export_months(
 ) -> DataFrame:
     """Export months of the fact table to exchange files and return rows per month.
 
-    The dose code keeps its width: a signed byte would lose the codes beyond 127.
+    The dose code keeps its width: a signed byte would lose the codes beyond 127. Files of the fact table hold rows of one
+    month, brought together by the column that leads ``BY_STATE``: in an order it leads too they are sorted and written on as
+    they are, without another shuffle. For any other order rows are brought together anew.
     """
     rows = read_months(spark, fact_root, months)
-    write_months(rows.select(*CANONICAL), out_root, sort)
+    write_months(rows.select(*CANONICAL), out_root, sort, in_place=sort[0] == BY_STATE[0])
     return rows.groupBy(MONTH).agg(F.count(F.lit(1)).alias("n"))
 
 
